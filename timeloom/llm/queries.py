@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from timeloom.llm import op2_fingerprints, op5_topk
+from timeloom.llm import op2_fingerprints, op3_mixing, op4_packing, op5_topk
 
 QUERIES = {
     "op2_fingerprints": op2_fingerprints.query,
+    "op3_mixing": op3_mixing.query,
+    "op4_packing": op4_packing.query,
     "op5_topk": op5_topk.query,
 }
 
