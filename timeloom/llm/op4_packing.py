@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,13 +47,13 @@ UNUSUAL = re.compile("[^\t\n\r -~¡-ɏ]|<\\|")
 class Words(dict):
     """Little-endian 32-bit ids by word."""
 
-    def __init__(self, path: str):
+    def __init__(self, definition: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_str(definition)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -89,16 +90,20 @@ class Words(dict):
 
 PIECES = T.StructType([T.StructField(n, T.LongType()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")])
 PACKED = T.StructType([*PIECES.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-_words: dict[str, Words] = {}
+
+
+@lru_cache(1)
+def worker_words(definition: str) -> Words:
+    return Words(definition)
 
 
 def cut(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int | None = END_ID) -> DataFrame:
-    """The pieces of every document: full windows and one rest."""
+    """The pieces of every document: full windows and one rest.  ``tokenizer`` is the path of its file on the driver."""
+    with open(tokenizer, encoding="utf-8") as file:
+        definition = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if tokenizer not in _words:
-            _words[tokenizer] = Words(tokenizer)
-        words = _words[tokenizer]
+        words = worker_words(definition.value)
         end = np.array([] if end_id is None else [end_id], "<u4")
         for batch in batches:
             for part in common.slices(batch, batch.column(1)):

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from timeloom.llm import op2_fingerprints, op3_mixing, op4_packing, op5_topk
+from timeloom.llm import op2_fingerprints, op3_mixing, op4_packing, op5_topk, op6_language, op7_token_counts
 
 QUERIES = {
     "op2_fingerprints": op2_fingerprints.query,
     "op3_mixing": op3_mixing.query,
     "op4_packing": op4_packing.query,
     "op5_topk": op5_topk.query,
+    "op6_language": op6_language.query,
+    "op7_token_counts": op7_token_counts.query,
 }
 
 ORACLE_SQL = {"op5_topk": op5_topk.SQL}
