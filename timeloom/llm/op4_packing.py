@@ -33,13 +33,13 @@ from timeloom.llm import common
 
 WINDOW, END_ID = 4096, 2
 #: Words kept with their ids in a Python worker.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 
 # The splitting pattern of the word tokenizer, for lower-case
 # characters up to U+024F, where its classes are the ranges below.
 LETTER = "a-zªµºß-öø-ɏ"
 NUMBER = "0-9²³¹¼-¾"
-TOKEN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[{NUMBER}]|[^ \t\n\r{LETTER}{NUMBER}]+")
+TOKEN = re.compile(rf"[{LETTER}]+|'s|'t|'re|'ve|'m|'ll|'d|[{NUMBER}]|[^ \t\n\r{LETTER}{NUMBER}]+")
 #: A text with none of these is unchanged by the tokenizer's Unicode normal form.
 UNUSUAL = re.compile("[^\t\n\r -~¡-ɏ]|<\\|")
 
@@ -51,41 +51,43 @@ class Words(dict):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(definition)
+        # The same model for words that are normal and split already.
+        self.by_word = Tokenizer.from_str(definition)
+        self.by_word.normalizer = normalizers.Sequence([])
+        self.by_word.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
-    def learn(self, words: set[str]) -> None:
-        """Encode words at once; the last id of a word is one that ends words."""
-        missing = [w for w in words if w not in self]
-        if len(self) + len(missing) > CACHE_WORDS:
-            self.clear()
-            missing = list(words)
-        if not missing:
-            return
-        ids = np.array(self.tokenizer.encode(" ".join(missing), add_special_tokens=False).ids, "<u4")
-        stops = np.flatnonzero(self.ends[ids]) + 1
-        if len(stops) != len(missing):
-            for w in missing:
-                self[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
-            return
-        raw, at = ids.tobytes(), 0
-        for w, stop in zip(missing, (stops * 4).tolist()):
-            self[w] = raw[at:stop]
-            at = stop
+    def learn(self, words: set[str]) -> list[str]:
+        """Encode the words that aren't known yet, all at once; the last id of a word is one that ends words."""
+        missing = list(words.difference(self))
+        if missing:
+            ids = np.array(self.by_word.encode_batch_fast([" ".join(missing)], add_special_tokens=False)[0].ids, "<u4")
+            stops = np.flatnonzero(self.ends[ids]) * 4 + 4
+            if len(stops) == len(missing):
+                raw, stops = ids.tobytes(), stops.tolist()
+                self.update(zip(missing, map(raw.__getitem__, map(slice, [0, *stops], stops))))
+            else:
+                self.update((w, np.array(self.by_word.encode(w, add_special_tokens=False).ids, "<u4").tobytes()) for w in missing)
+        return missing
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each whole text."""
         split = [None if UNUSUAL.search(t) else TOKEN.findall(t.lower()) for t in texts]
-        self.learn(set().union(*(s for s in split if s)))
+        missing = self.learn(set().union(*(s for s in split if s)))
         look = self.__getitem__
-        return [
+        out = [
             np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4") if s is None else np.frombuffer(b"".join(map(look, s)), "<u4")
             for t, s in zip(texts, split)
         ]
+        if len(self) > CACHE_WORDS:  # the words met first are the frequent ones
+            for w in missing:
+                del self[w]
+        return out
 
 
 PIECES = T.StructType([T.StructField(n, T.LongType()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")])
