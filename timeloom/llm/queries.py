@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from timeloom.llm import op2_fingerprints, op3_mixing, op4_packing, op5_topk, op6_language, op7_token_counts
+from timeloom.llm import op2_fingerprints, op3_mixing, op4_packing, op5_topk, op6_language, op7_token_counts, op8_toxicity, op10_quality
 
 QUERIES = {
     "op2_fingerprints": op2_fingerprints.query,
@@ -11,6 +11,8 @@ QUERIES = {
     "op5_topk": op5_topk.query,
     "op6_language": op6_language.query,
     "op7_token_counts": op7_token_counts.query,
+    "op8_toxicity": op8_toxicity.query,
+    "op10_quality": op10_quality.query,
 }
 
 ORACLE_SQL = {"op5_topk": op5_topk.SQL}
