@@ -2,9 +2,22 @@
 
 from __future__ import annotations
 
-from timeloom.llm import op2_fingerprints, op3_mixing, op4_packing, op5_topk, op6_language, op7_token_counts, op8_toxicity, op10_quality
+import corpus_pipeline
+from timeloom.llm import (
+    op1_licenses,
+    op2_fingerprints,
+    op3_mixing,
+    op4_packing,
+    op5_topk,
+    op6_language,
+    op7_token_counts,
+    op8_toxicity,
+    op9_jaccard_join,
+    op10_quality,
+)
 
 QUERIES = {
+    "op1_licenses": op1_licenses.query,
     "op2_fingerprints": op2_fingerprints.query,
     "op3_mixing": op3_mixing.query,
     "op4_packing": op4_packing.query,
@@ -12,7 +25,11 @@ QUERIES = {
     "op6_language": op6_language.query,
     "op7_token_counts": op7_token_counts.query,
     "op8_toxicity": op8_toxicity.query,
+    "op9_jaccard_join": op9_jaccard_join.query,
     "op10_quality": op10_quality.query,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {"op5_topk": op5_topk.SQL}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
