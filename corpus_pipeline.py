@@ -17,20 +17,18 @@ from timeloom.llm import common, op3_mixing, op4_packing, op6_language, op9_jacc
 QUALITY, LANGUAGE = 0.5, 0.5
 
 
-def _filtered(docs: DataFrame, scored: DataFrame, keep) -> DataFrame:
-    return scored.where(keep).select(*docs.columns)
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that the co-trained classifiers accept."""
     model = op10_quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _filtered(docs, op10_quality.score(docs, model, *docs.columns), F.col("score") >= QUALITY)
+    rows, names, back = common.set_aside(docs, "source", "lang")
+    return op10_quality.score(rows, model, *names).where(F.col("score") >= QUALITY).select(*back)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents with a known language that labels most of their letters."""
-    scored = op6_language.identify(docs, op6_language.learn(docs), *docs.columns)
-    return _filtered(docs, scored, (F.col("lang_pred") != op6_language.UND) & (F.col("score") >= LANGUAGE))
+    rows, names, back = common.set_aside(docs)
+    scored = op6_language.identify(rows, op6_language.learn(docs), *names)
+    return scored.where((F.col("lang_pred") != op6_language.UND) & (F.col("score") >= LANGUAGE)).select(*back)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

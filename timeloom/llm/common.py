@@ -125,3 +125,23 @@ def bounded_sample(df: DataFrame, by: str, per_class: int, *key: str) -> DataFra
     for value, n in counts.items():
         share = F.when(F.col(by) == F.lit(value), F.lit(per_class / n)).otherwise(share)
     return df.where(unit_hash(*[F.col(k) for k in key]) < share)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def set_aside(df: DataFrame, *used: str) -> tuple[DataFrame, list[str], list[Column]]:
+    """The rows with every column but ``text`` under a number, beside those in ``used`` under their names.
+
+    Returns the rows, the names to carry along and the columns that turn them
+    back, so that no column's name can clash with one that an operator makes.
+    """
+    names = [c if c == "text" else f"_{i}" for i, c in enumerate(df.columns)]
+    carried = [F.col(f"`{c}`").alias(n) for c, n in zip(df.columns, names)]
+    back = [F.col(n).alias(c) for c, n in zip(df.columns, names)]
+    return df.select(*carried, *[u for u in used if u != "text"]), names, back

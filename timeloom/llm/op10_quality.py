@@ -248,17 +248,19 @@ def score(docs: DataFrame, model: Model | None, *keep: str) -> DataFrame:
     """The columns ``keep`` with score, text_score and record_score of every document."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     made = ["score", "text_score", "record_score"]
-    source = docs.select(*[F.col(c) for c in keep], F.col("text").alias("_text"), F.col("source").cast("string").alias("_source"), F.col("lang").cast("string").alias("_lang"))
+    reads = ["text", "source", "lang"]
+    names = [*keep, *(c for c in reads if c not in keep)]
+    source = docs.select(*keep, *(F.col(c).cast("string").alias(c) for c in names[len(keep) :]))
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(n, T.DoubleType()) for n in made])
+    at = [names.index(c) for c in reads]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
         out_schema, m, tokens = to_arrow_schema(schema), shared.value, Tokens()
         for batch in batches:
-            for part in common.slices(batch, batch.column(len(keep))):
-                texts, sources, langs = (part.column(len(keep) + i).to_pylist() for i in range(3))
-                found = [m.score(tokens, t or "", s, g) if m else (1.0, 1.0, 1.0) for t, s, g in zip(texts, sources, langs)]
+            for part in common.slices(batch, batch.column(at[0])):
+                found = [m.score(tokens, t or "", s, g) if m else (1.0, 1.0, 1.0) for t, s, g in zip(*(part.column(i).to_pylist() for i in at))]
                 arrays = [part.column(i).cast(out_schema.field(i).type) for i in range(len(keep))]
                 arrays += [pa.array([f[i] for f in found], pa.float64()) for i in range(3)]
                 yield pa.RecordBatch.from_arrays(arrays, schema=out_schema)

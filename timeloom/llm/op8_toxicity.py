@@ -99,7 +99,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg((F.max(label) > 0).cast("int").alias("_label"))
     known = known.where(~common.held_out(F.col("doc_id")))
     sample = common.bounded_sample(known, "_label", per_class, "doc_id")
-    texts = docs.where(F.col("text").isNotNull()).join(F.broadcast(sample), "doc_id").select("text", "_label")
+    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(sample), "doc_id").select("text", "_label")
     texts = common.durable(texts, "toxic-sample")
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -344,12 +344,14 @@ def first_of_each(docs: DataFrame, **how) -> DataFrame:
     """The documents with the smallest id of each class, one row each."""
     found = common.durable(join(docs, **how), "joined")
     out = found.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id", "th").distinct()
-    columns = docs.columns
-    rows = docs.withColumn("_th", text_hash())
-    rows = rows.join(out.select(F.col("doc_id").alias("_out"), F.col("th").alias("_out_th")), F.col("doc_id").cast("long").eqNullSafe(F.col("_out")) & (F.col("_th") == F.col("_out_th")), "left_anti")
+    columns, th = docs.columns, common.fresh(docs, "_th")
+    rows = docs.withColumn(th, text_hash())
+    out = out.select(F.col("doc_id").alias(common.fresh(docs, "_out")), F.col("th").alias(common.fresh(docs, "_out_th")))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(out.columns[0])) & (F.col(th) == F.col(out.columns[1]))
+    rows = rows.join(out, same, "left_anti")
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("class_id")) & F.col("doc_id").isNotNull())
     if kept.groupBy("doc_id").count().where("count > 1").limit(1).count():  # repeated rows, or one id for several texts
-        rows = rows.dropDuplicates(["doc_id", "_th"])
+        rows = rows.dropDuplicates(["doc_id", th])
     return rows.select(*columns)
 
 
