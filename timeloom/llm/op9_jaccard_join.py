@@ -41,7 +41,7 @@ GRAM, THRESHOLD = 5, 0.8
 BANDS, BAND_ROWS = 32, 5
 CHUNK, TOLERANCE = 16, 1e-6
 #: Classes, and grams, of one tile of a star.
-TILE_CLASSES, TILE_GRAMS = 1500, 1_000_000
+TILE_CLASSES, TILE_GRAMS = 500, 400_000
 CACHE_WORDS = 300_000
 WORD = re.compile(r"\w+")
 _RANDOM = np.random.default_rng(20240917).integers(1, 1 << 63, (2, BANDS * BAND_ROWS), dtype=np.uint64)
@@ -148,8 +148,8 @@ def candidate_pairs(sig: np.ndarray, sizes: np.ndarray, side: np.ndarray | None,
         keep = (same >= least[0]) & (place[block, None] < place)
         if side is not None:
             keep &= side[block, None] != side
-        i, j = np.nonzero(keep)
-        m, i = same[i, j], i + at
+        i, j = (x.astype(np.int32) for x in np.nonzero(keep))
+        m, i = same[i, j], i + np.int32(at)
         fits = np.minimum(sizes[i], sizes[j]) >= threshold * np.maximum(sizes[i], sizes[j]) - 1e-9
         i, j, m = i[fits], j[fits], m[fits]
         for (a, b), need in zip(pairwise(stops), least[1:]):
