@@ -7,6 +7,7 @@ from collections.abc import Iterable
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Words that say nothing about what a text is about.
 STOP_WORDS = [
@@ -88,7 +89,7 @@ def spoken(value) -> str | None:
     return str(value)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def json_text(values: pd.Series) -> pd.Series:
     """A JSON text of any depth as one line; text that isn't JSON is taken as it is."""
     import json

@@ -68,7 +68,7 @@ def block_range(day: Column, start: Column, end: Column) -> tuple[Column, Column
     a, b = clock_fragment_minutes(start), clock_fragment_minutes(end)
     b = F.when(b <= a, b + 1440).otherwise(b)
     known = a.isNotNull() & b.isNotNull()
-    return F.when(known, add_micros(base, a * 60_000_000)), F.when(known, add_micros(base, b * 60_000_000))
+    return F.when(known, add_micros(base, a.cast("long") * 60_000_000)), F.when(known, add_micros(base, b.cast("long") * 60_000_000))
 
 
 def audio_times(at: Column, start: Column, end: Column) -> tuple[Column, Column]:

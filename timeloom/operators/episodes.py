@@ -107,7 +107,12 @@ def build(events: DataFrame, built_at, config: Config = Config()) -> tuple[DataF
     rows = rows.withColumn("seconds", F.greatest(F.lit(0.0), seconds_between(F.col("start_at"), F.col("end_at"))))
     primary = F.col("role") == "primary"
     said = lambda c: F.transform(F.array_sort(F.collect_list(F.struct("ordinal", F.col(c).alias("v")))), lambda x: x["v"])
-    counted = lambda c: F.to_json(F.map_from_entries(F.array_sort(F.transform(F.array_distinct(F.col(c)), lambda v: F.struct(v.alias("key"), F.size(F.filter(F.col(c), lambda x: x == v)).alias("value"))))))
+
+    def counted(c: str) -> Column:
+        some = F.filter(F.col(c), lambda v: v.isNotNull())
+        pairs = F.transform(F.array_sort(F.array_distinct(some)), lambda v: F.struct(v.alias("key"), F.size(F.filter(some, lambda x: x == v)).alias("value")))
+        return F.to_json(F.map_from_entries(pairs))
+
     blocks = rows.groupBy(*group).agg(
         F.first("episode_type").alias("episode_type"),
         F.min("start_at").alias("started_at"),
