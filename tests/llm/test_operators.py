@@ -177,6 +177,26 @@ def test_best_fit_matches_a_plain_search():
 ODD = ["it's  DON'T  we'll 'S ''s '9 a'd", "naïve ÀÉÎ œuvre ß ẞ Ⅷ ²³ ½ x", "<|endoftext|> hi <|x", "Σας ΑΣ 中文 привет", "\x1c\x1d a\x85b c", "é café", "", "a\tb\r\nc", "🙂 ok", "×÷ª µ º", "İstanbul Ǆ ŉ"]
 
 
+def test_ids_of_split_texts_are_the_tokenizers(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = tokenizers.path("word_bpe_49k.json")
+    with open(path, encoding="utf-8") as file:
+        definition = file.read()
+    plain = Tokenizer.from_file(path)
+    rng = random.Random(11)
+    texts = [*ODD, "Ⱥ Ⱦ ǅ", "x" * 200 + " " + "y1" * 90, "'", "''", "'r 're're 'vex l'l'll", "'s", "a's", "a'", "'tis 'Twas", "\n\n"]
+    texts += ["".join(rng.choices("abstrevmld'' .,!9²ÀßŸſ\n<|", k=rng.randint(0, 80))) for _ in range(3000)]
+    for slots in (1 << 22, 64):  # a small table evicts all the time
+        monkeypatch.setattr(op4_packing, "SLOTS", slots)
+        monkeypatch.setattr(op4_packing, "POOL_IDS", 5000)
+        words = op4_packing.Words(definition)
+        for at in range(0, len(texts), 500):
+            part = texts[at : at + 500]
+            assert [x.tolist() for x in words.encode(part)] == [plain.encode(t, add_special_tokens=False).ids for t in part]
+    assert words.encode([]) == []
+
+
 def test_packing_covers_every_id_once(spark, docs, empty):
     from tokenizers import Tokenizer
 

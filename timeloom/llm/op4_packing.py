@@ -8,8 +8,9 @@ table of pieces, which holds lengths and checksums only, so nothing is
 shuffled and a task's memory depends on its share alone.
 
 Ids come from the tokenizer itself.  Texts of common Latin characters are split
-as the tokenizer splits them and each distinct word is encoded once; any other
-text goes through the tokenizer whole.  Both give the same ids.
+as the tokenizer splits them, by arrays of character classes, and each distinct
+word is encoded once and then found by a 64-bit hash; any other text goes
+through the tokenizer whole.  Both give the same ids.
 
 Corner cases: a null or empty text has only the end id; a length that is a
 multiple of the window leaves no rest; repeated rows are packed as often as
@@ -21,7 +22,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,20 +33,75 @@ from pyspark.sql import types as T
 from timeloom.llm import common
 
 WINDOW, END_ID = 4096, 2
-#: Words kept with their ids in a Python worker.
-CACHE_WORDS = 1_000_000
-
-# The splitting pattern of the word tokenizer, for lower-case
-# characters up to U+024F, where its classes are the ranges below.
-LETTER = "a-zªµºß-öø-ɏ"
+#: Words that a Python worker can keep, and their ids at most; both are let go together when the ids are full.
+SLOTS, POOL_IDS = 1 << 22, 8_000_000
+#: Longer texts, and words, aren't split here.
+LONG_TEXT, LONG_WORD = 4_000_000, 64
+
+# The word tokenizer's classes among lower-case characters up to
+# U+017F, and its contractions.  Words are runs of letters, single digits, runs
+# of other signs; a sign run that is one apostrophe takes a contraction's letters.
+LETTER = "a-zªµºß-öø-ſ"
 NUMBER = "0-9²³¹¼-¾"
-TOKEN = re.compile(rf"[{LETTER}]+|'s|'t|'re|'ve|'m|'ll|'d|[{NUMBER}]|[^ \t\n\r{LETTER}{NUMBER}]+")
-#: A text with none of these is unchanged by the tokenizer's Unicode normal form.
-UNUSUAL = re.compile("[^\t\n\r -~¡-ɏ]|<\\|")
+SPACE = " \t\n\r"
+CONTRACTIONS = ["s", "t", "re", "ve", "m", "ll", "d"]
+LAST = 0x17F
+_B = 0x9E3779B97F4A7C15
+
 
+@cache
+def characters() -> tuple[np.ndarray, np.ndarray]:
+    """By code point up to LAST: its lower-case form, and its class; 0 space, 1 letter, 2 number, 3 sign, 9 unusual.
 
-class Words(dict):
-    """Little-endian 32-bit ids by word."""
+    A text without unusual characters is unchanged by the tokenizer's Unicode
+    normal form, and has its lower case character by character.
+    """
+    low, kind = np.zeros(LAST + 2, np.uint32), np.full(LAST + 2, 9, np.uint8)
+    for i in range(LAST + 1):
+        c = chr(i)
+        usual = c in SPACE or " " <= c <= "~" or i >= 0xA1
+        if usual and len(c.lower()) == 1 and ord(c.lower()) <= LAST:
+            low[i] = ord(c.lower())
+            small = c.lower()
+            kind[i] = 0 if c in SPACE else 1 if re.match(f"[{LETTER}]", small) else 2 if re.match(f"[{NUMBER}]", small) else 3
+    return low, kind
+
+
+@cache
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    with np.errstate(over="ignore"):
+        return np.cumprod(np.full(n, _B, np.uint64)), np.cumprod(np.full(n, pow(_B, -1, 1 << 64), np.uint64))
+
+
+def split(points: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of lower-case code points begin and end."""
+    edge = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+    first = np.r_[True, edge] & (kind > 0)
+    last = np.r_[edge, True] & (kind > 0)
+    mark = np.flatnonzero(first[:-1] & last[:-1] & (points[:-1] == ord("'")) & (kind[1:] == 1))
+    at = lambda i: np.where(i < len(points), points[np.minimum(i, len(points) - 1)], 0)
+    for tail in CONTRACTIONS:
+        hit = np.logical_and.reduce([at(mark + 1 + k) == ord(c) for k, c in enumerate(tail)])
+        here, mark = mark[hit], mark[~hit]
+        last[here], first[here + 1] = False, False
+        last[here + len(tail)] = True
+        after = here + len(tail) + 1
+        after = after[after < len(points)]
+        first[after[kind[after] == 1]] = True
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def word_hashes(points: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word, from sums of prefixes."""
+    power, inverse = powers(1 << max(20, len(points).bit_length()))
+    with np.errstate(over="ignore"):
+        sums = np.r_[np.uint64(0), np.cumsum((points.astype(np.uint64) + np.uint64(7)) * power[: len(points)])]
+        h = (sums[last] - sums[first]) * inverse[first]
+        return np.maximum(common.mix64(h + (last - first).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)), np.uint64(1))
+
+
+class Words:
+    """Ids of texts, each distinct word encoded once and kept in a direct-mapped table."""
 
     def __init__(self, definition: str):
         import os
@@ -61,33 +117,72 @@ class Words(dict):
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-
-    def learn(self, words: set[str]) -> list[str]:
-        """Encode the words that aren't known yet, all at once; the last id of a word is one that ends words."""
-        missing = list(words.difference(self))
-        if missing:
-            ids = np.array(self.by_word.encode_batch_fast([" ".join(missing)], add_special_tokens=False)[0].ids, "<u4")
-            stops = np.flatnonzero(self.ends[ids]) * 4 + 4
-            if len(stops) == len(missing):
-                raw, stops = ids.tobytes(), stops.tolist()
-                self.update(zip(missing, map(raw.__getitem__, map(slice, [0, *stops], stops))))
-            else:
-                self.update((w, np.array(self.by_word.encode(w, add_special_tokens=False).ids, "<u4").tobytes()) for w in missing)
-        return missing
+        self.forget()
+
+    def forget(self) -> None:
+        self.hash, self.start, self.size = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.int32), np.zeros(SLOTS, np.int32)
+        self.pool, self.used = np.empty(1 << 20, "<u4"), 0
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some words, and how many each has; the last id of a word is one that ends words."""
+        ids = np.array(self.by_word.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) == len(words):
+            return ids, np.diff(stops, prepend=0)
+        each = [np.array(self.by_word.encode(w, add_special_tokens=False).ids, "<u4") for w in words]
+        return np.concatenate(each), np.array([len(x) for x in each])
+
+    def add(self, ids: np.ndarray) -> int:
+        """Put ids at the end of the pool; where they start."""
+        at = self.used
+        while at + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
+        self.pool[at : at + len(ids)] = ids
+        self.used += len(ids)
+        return at
+
+    def look_up(self, text: str, points: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where in the pool the ids of each word are, and how many."""
+        h = word_hashes(points, first, last)
+        slot = (h & np.uint64(SLOTS - 1)).astype(np.int64)
+        short = last - first <= LONG_WORD
+        known = (self.hash[slot] == h) & short
+        start, size = self.start[slot], self.size[slot]
+        miss = np.flatnonzero(~known & short)
+        if len(miss):
+            new, one, which = np.unique(h[miss], return_index=True, return_inverse=True)
+            words = [text[a:b].lower() for a, b in zip(first[miss[one]].tolist(), last[miss[one]].tolist())]
+            ids, n = self.encode_words(words)
+            at = self.add(ids) + np.cumsum(n) - n
+            place = slot[miss[one]]
+            self.hash[place], self.start[place], self.size[place] = new, at, n
+            start[miss], size[miss] = at[which], n[which]
+        for i in np.flatnonzero(~short):
+            ids, _ = self.encode_words([text[first[i] : last[i]].lower()])
+            start[i], size[i] = self.add(ids), len(ids)
+        return start, size
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each whole text."""
-        split = [None if UNUSUAL.search(t) else TOKEN.findall(t.lower()) for t in texts]
-        missing = self.learn(set().union(*(s for s in split if s)))
-        look = self.__getitem__
-        out = [
-            np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4") if s is None else np.frombuffer(b"".join(map(look, s)), "<u4")
-            for t, s in zip(texts, split)
-        ]
-        if len(self) > CACHE_WORDS:  # the words met first are the frequent ones
-            for w in missing:
-                del self[w]
-        return out
+        if self.used > POOL_IDS:
+            self.forget()
+        low, kinds = characters()
+        joined = "\n".join(t if len(t) <= LONG_TEXT else "" for t in texts) + "\n"
+        begin = np.cumsum([0] + [1 + (len(t) if len(t) <= LONG_TEXT else 0) for t in texts])
+        raw = np.minimum(common.code_points(joined), LAST + 1)
+        kind = kinds[raw]
+        odd = np.flatnonzero((kind == 9) | ((raw == ord("<")) & (np.r_[raw[1:], 0] == ord("|"))))
+        whole = {*np.unique(np.searchsorted(begin, odd, side="right") - 1).tolist(), *(i for i, t in enumerate(texts) if len(t) > LONG_TEXT)}
+        for i in whole:
+            kind[begin[i] : begin[i + 1]] = 0
+        points = low[raw]
+        first, last = split(points, kind)
+        start, size = self.look_up(joined, points, first, last)
+        ends = np.cumsum(size, dtype=np.int64)
+        total = int(ends[-1]) if len(ends) else 0
+        flat = self.pool[np.repeat(start - (ends - size), size) + np.arange(total)]
+        cuts = np.r_[0, ends][np.searchsorted(first, begin)]
+        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4") if i in whole else flat[cuts[i] : cuts[i + 1]] for i, t in enumerate(texts)]
 
 
 PIECES = T.StructType([T.StructField(n, T.LongType()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")])
