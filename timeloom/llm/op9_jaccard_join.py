@@ -42,7 +42,7 @@ BANDS, BAND_ROWS = 32, 5
 CHUNK, TOLERANCE = 16, 1e-6
 #: Classes, and grams, of one tile of a star.
 TILE_CLASSES, TILE_GRAMS = 500, 400_000
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 WORD = re.compile(r"\w+")
 _RANDOM = np.random.default_rng(20240917).integers(1, 1 << 63, (2, BANDS * BAND_ROWS), dtype=np.uint64)
 _A, _B = _RANDOM[0] * np.uint64(2) + np.uint64(1), _RANDOM[1]
