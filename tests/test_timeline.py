@@ -499,3 +499,30 @@ def test_job_transitions(spark):
     assert jobs.complete_parents(df, NOW).where("id = 'p'").first()["state"] == "failed"
     assert jobs.finish_runs(runs, F.col("job_id") == "a", "failed", NOW).where("status = 'failed'").count() == 1
     assert jobs.set_state(df, F.col("id") == "p", "canceled", finished_at=NOW).where("id = 'p'").first()["state"] == "canceled"
+
+
+# Scans and the store
+
+
+def test_scans(spark):
+    from timeloom.operators import scans
+
+    df = events(spark, [event("b", 50, None, "x"), event("a", 0, 10, "x"), event("c", 90_000, None, "y", kind="app_focus")])
+    rows = lambda **k: [r["id"] for r in scans.scan(df, "event", **k).collect()]
+    assert rows() == ["a", "b", "c"] and rows(event_type="app_focus") == ["c"] and rows(start=at(0), end=at(50)) == ["a"] and rows(day="2026-01-01") == ["a", "b"]
+    assert rows(like={"created_by": "%INTERPRETER%"}, among={"id": ["a", "c"]}, limit=1) == ["a"] and rows(device_id=None, day="2026-01-02", offset_hours=-7) == ["c"]
+    assert [r["day"] for r in scans.event_days(df, "u").collect()] == ["2026-01-01", "2026-01-02"] and scans.device_days(df, "u").count() == 2 and scans.get(df, "a").count() == 1
+
+
+def test_store_upserts_partitions(spark, tmp_path):
+    from timeloom.plans.store import TableStore
+
+    store = TableStore(spark, str(tmp_path / "store"))
+    assert store.read("event").count() == 0
+    store.upsert("event", events(spark, [event("a", 0, 10, "x"), event("b", 90_000, None, "x")]))
+    store.upsert("event", events(spark, [event("a", 0, 10, "y"), event("c", 0, 10, "z")]))
+    rows = {r["id"]: json.loads(r["payload_json"])["activity_type"] for r in store.read("event").collect()}
+    assert rows == {"a": "y", "b": "x", "c": "z"}
+    store.upsert("event_artifact", spark.createDataFrame([("a", "m", "primary", 0.5)], schema.TABLES["event_artifact"].schema))
+    store.upsert("event_artifact", spark.createDataFrame([("a", "n", "primary", 0.5)], schema.TABLES["event_artifact"].schema))
+    assert store.read("event_artifact").count() == 2

@@ -17,3 +17,25 @@ def session(app: str = "timeloom", **more: str) -> SparkSession:
     for key, value in (SETTINGS | more).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python, once a session, where the environment doesn't give it to them already."""
+    import os
+    import shutil
+    import tempfile
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [os.path.realpath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    app = spark.sparkContext.applicationId
+    if app in _shipped or os.path.realpath(root) in paths or os.path.realpath(os.getcwd()) == os.path.realpath(root):
+        return
+    folder = tempfile.mkdtemp(prefix="timeloom-code-")
+    shutil.copytree(os.path.join(root, "timeloom"), os.path.join(folder, "code", "timeloom"), ignore=shutil.ignore_patterns("__pycache__"))
+    if os.path.exists(top := os.path.join(root, "corpus_pipeline.py")):
+        shutil.copy(top, os.path.join(folder, "code"))
+    spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(folder, "timeloom_code"), "zip", os.path.join(folder, "code")))
+    _shipped.add(app)
