@@ -5,8 +5,9 @@ repeat, and hashed words.  The other sees what a page's record says of it:
 source, language, length, and the layout of its lines.  Both start from the
 labelled sample; in every round each hands the unlabelled documents of which
 it is surest to the other.  Each view is then calibrated on a fold of labelled
-documents that no training used, and the calibrated log-odds are added, less
-the prior counted twice; that sum is the score of every document.
+documents that no training used, to log-odds of at most what a fold of that
+size can tell; a second calibration on both gives the views their weights, and
+their weighted sum is the score of every document.
 
 The labelled sample is about PER_CLASS documents of each class, the unlabelled
 pool about POOL documents, both chosen by hash.
@@ -148,43 +149,47 @@ def train(rows: Rows, y: np.ndarray, weight: np.ndarray, size: int, ridge: float
     return w
 
 
-def calibrate(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Slope and offset, by Newton's method, that turn raw scores into log-odds."""
-    a = np.array([1.0, 0.0])
-    x = np.stack([z, np.ones_like(z)], 1)
-    prior = np.array([1.0, 0.0])
-    for _ in range(50):
+def calibrate(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Non-negative slopes and an offset, by Newton's method, that turn columns of raw scores into log-odds."""
+    x = np.column_stack([z, np.ones(len(z))])
+    prior = np.array([1.0] * (x.shape[1] - 1) + [0.0])
+    a = prior.copy()
+    for _ in range(100):
         p = sigmoid(x @ a)
-        g = x.T @ (weight * (y - p)) - 0.1 * (a - prior)
-        h = (x * (weight * p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(2)
-        step = np.linalg.solve(h, g)
-        a = a + np.clip(step, -1, 1)
+        g = x.T @ (weight * (y - p)) - 0.5 * (a - prior)
+        h = (x * (weight * p * (1 - p))[:, None]).T @ x + 0.5 * np.eye(len(a))
+        step = np.clip(np.linalg.solve(h, g), -1, 1)
+        a = a + step
+        a[:-1] = np.maximum(a[:-1], 0.0)
         if np.abs(step).max() < 1e-8:
             break
-    return float(max(a[0], 0.0)), float(a[1])
+    return a
 
 
 @dataclass
 class Model:
     text: np.ndarray
     record: np.ndarray
-    of_text: tuple[float, float]
-    of_record: tuple[float, float]
-    prior: float
+    of_text: np.ndarray
+    of_record: np.ndarray
+    of_both: np.ndarray
+    most: float
+
+    def odds(self, view: np.ndarray, z):
+        return np.clip(view[0] * z + view[1], -self.most, self.most)
 
     def score(self, tokens: Tokens, text: str, source: str | None, lang: str | None) -> tuple[float, float, float]:
         """Of the document together, of its text, of its record."""
-        z1 = sum(self.text[c] * v for c, v in text_features(tokens, text).items())
-        z2 = sum(self.record[c] * v for c, v in record_features(text, source, lang).items())
-        l1, l2 = self.of_text[0] * z1 + self.of_text[1], self.of_record[0] * z2 + self.of_record[1]
-        return float(sigmoid(l1 + l2 - self.prior)), float(sigmoid(l1)), float(sigmoid(l2))
+        l1 = self.odds(self.of_text, sum(self.text[c] * v for c, v in text_features(tokens, text).items()))
+        l2 = self.odds(self.of_record, sum(self.record[c] * v for c, v in record_features(text, source, lang).items()))
+        both = self.of_both[0] * l1 + self.of_both[1] * l2 + self.of_both[2]
+        return float(sigmoid(both)), float(sigmoid(l1)), float(sigmoid(l2))
 
 
 def cotrain(text: Rows, record: Rows, y: np.ndarray, fold: np.ndarray, rounds: int = ROUNDS, sure: float = SURE, handed: int = HANDED) -> Model:
     """y: 1 good, 0 bad, -1 unlabelled; labelled rows with fold 0 only calibrate."""
     labelled, spare = (y >= 0) & (fold != 0), (y >= 0) & (fold == 0)
     share = y[labelled].mean()
-    balance = np.where(y == 1, 0.5 / share, 0.5 / (1 - share))
     views = {"text": (text, TEXT_SIZE), "record": (record, RECORD_SIZE)}
     taught = {v: np.full(len(y), -1) for v in views}
     weights = {}
@@ -207,8 +212,11 @@ def cotrain(text: Rows, record: Rows, y: np.ndarray, fold: np.ndarray, rounds: i
         spare = labelled
     even = np.where(y[spare] == 1, 0.5 / y[spare].mean(), 0.5 / (1 - y[spare].mean()))
     z = {v: rows.times(weights[v])[spare] for v, (rows, _) in views.items()}
-    cal = {v: calibrate(z[v], y[spare], even) for v in views}
-    return Model(weights["text"], weights["record"], cal["text"], cal["record"], 0.0)
+    cal = {v: calibrate(z[v][:, None], y[spare], even) for v in views}
+    model = Model(weights["text"], weights["record"], cal["text"], cal["record"], np.zeros(3), float(np.log(spare.sum() + 1)))
+    views_odds = np.column_stack([model.odds(cal[v], z[v]) for v in ("text", "record")])
+    model.of_both = calibrate(views_odds, y[spare], even)
+    return model
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS, pool: int = POOL) -> Model | None:
@@ -264,6 +272,7 @@ def score(docs: DataFrame, model: Model | None, *keep: str) -> DataFrame:
                 arrays = [part.column(i).cast(out_schema.field(i).type) for i in range(len(keep))]
                 arrays += [pa.array([f[i] for f in found], pa.float64()) for i in range(3)]
                 yield pa.RecordBatch.from_arrays(arrays, schema=out_schema)
+        common.give_back()
 
     return source.mapInArrow(run, schema)
 
