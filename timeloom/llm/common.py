@@ -78,18 +78,19 @@ def map_text(
                 arrays += [pa.array(made[n], type=out_schema.field(n).type) for n, _ in fields]
                 arrays = [a if a.type == f.type else a.cast(f.type) for a, f in zip(arrays, out_schema, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, schema=out_schema)
+        give_back()
 
     return source.mapInArrow(run, schema)
 
 
-def slices(batch: pa.RecordBatch, text: pa.Array) -> Iterator[pa.RecordBatch]:
-    """Cut a batch so that the texts of a part hold about SLICE_CHARS bytes, one row at least."""
+def slices(batch: pa.RecordBatch, text: pa.Array, most: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
+    """Cut a batch so that the texts of a part hold about ``most`` bytes, one row at least."""
     import pyarrow.compute as pc
 
     size = np.asarray(pc.fill_null(pc.binary_length(text), 0))
     start = total = 0
     for i, n in enumerate(size):
-        if total and total + n > SLICE_CHARS:
+        if total and total + n > most:
             yield batch.slice(start, i - start)
             start, total = i, 0
         total += int(n)
@@ -97,6 +98,18 @@ def slices(batch: pa.RecordBatch, text: pa.Array) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start)
 
 
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task; workers wait for the next stage with little."""
+    import contextlib
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
 

@@ -50,7 +50,7 @@ def targets(sizes: list[int], weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
     out, open_, rest = [0.0] * len(sizes), list(range(len(sizes))), float(sum(sizes))
     while open_:
         whole = sum(share[i] for i in open_)
-        full = [i for i in open_ if rest * share[i] / whole > cap * sizes[i]]
+        full = {i for i in open_ if rest * share[i] / whole > cap * sizes[i]}
         if not full:
             for i in open_:
                 out[i] = rest * share[i] / whole
@@ -58,7 +58,7 @@ def targets(sizes: list[int], weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
         for i in full:
             out[i] = float(cap * sizes[i])
         rest -= sum(out[i] for i in full)
-        open_ = [i for i in open_ if i not in set(full)]
+        open_ = [i for i in open_ if i not in full]
     return out
 
 

@@ -22,7 +22,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from functools import cache, lru_cache
+from functools import cache, cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +34,9 @@ from timeloom.llm import common
 
 WINDOW, END_ID = 4096, 2
 #: Words that a Python worker can keep, and their ids at most; both are let go together when the ids are full.
-SLOTS, POOL_IDS = 1 << 22, 8_000_000
+SLOTS, POOL_IDS = 1 << 21, 3_000_000
+#: Characters split together.
+SLICE = 500_000
 #: Longer texts, and words, aren't split here.
 LONG_TEXT, LONG_WORD = 4_000_000, 64
 
@@ -93,7 +95,7 @@ def split(points: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def word_hashes(points: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each word, from sums of prefixes."""
-    power, inverse = powers(1 << max(20, len(points).bit_length()))
+    power, inverse = powers(1 << max(19, len(points).bit_length()))
     with np.errstate(over="ignore"):
         sums = np.r_[np.uint64(0), np.cumsum((points.astype(np.uint64) + np.uint64(7)) * power[: len(points)])]
         h = (sums[last] - sums[first]) * inverse[first]
@@ -109,16 +111,23 @@ class Words:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_str(definition)
+        self.definition = definition
         # The same model for words that are normal and split already.
         self.by_word = Tokenizer.from_str(definition)
         self.by_word.normalizer = normalizers.Sequence([])
         self.by_word.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        vocabulary = self.tokenizer.get_vocab()
+        vocabulary = self.by_word.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.forget()
 
+    @cached_property
+    def tokenizer(self):
+        """For texts that aren't split here; few workers meet any."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_str(self.definition)
+
     def forget(self) -> None:
         self.hash, self.start, self.size = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.int32), np.zeros(SLOTS, np.int32)
         self.pool, self.used = np.empty(1 << 20, "<u4"), 0
@@ -203,7 +212,7 @@ def cut(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int | Non
         words = worker_words(definition.value)
         end = np.array([] if end_id is None else [end_id], "<u4")
         for batch in batches:
-            for part in common.slices(batch, batch.column(1)):
+            for part in common.slices(batch, batch.column(1), SLICE):
                 rows = []
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 for doc_id, ids in zip(part.column(0).to_pylist(), words.encode(texts)):
@@ -213,6 +222,7 @@ def cut(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int | Non
                         rows.append((doc_id, start, len(piece), zlib.crc32(piece.tobytes()), len(ids)))
                 columns = zip(*rows) if rows else [[]] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=PIECES.names)
+        common.give_back()
 
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(run, PIECES)
 

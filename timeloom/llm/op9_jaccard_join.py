@@ -115,6 +115,7 @@ def signatures(docs: DataFrame, gram: int = GRAM) -> DataFrame:
                     bands.append(band_keys(low)), sig.append(low.astype("<u2").tobytes())
                 made = [pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sig, pa.binary())]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *made], names=names)
+        common.give_back()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("th"), "text").mapInArrow(run, SIGNED)
 
@@ -278,6 +279,7 @@ def star_links(tiles: DataFrame, gram: int, threshold: float, tolerance: float)
             close(key, *held)
         if out:
             yield batch_of()
+        common.give_back()
 
     return tiles.select("star", "a", "b", "tile", "cid", "rows", "stars", "sig", "text").mapInArrow(run, "cid long, links long, root long")
 
