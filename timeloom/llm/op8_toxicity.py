@@ -36,7 +36,7 @@ from timeloom.llm import common
 PER_CLASS = 3000
 THRESHOLD, LOCATE = 0.7, 0.5
 #: A word is a feature if it is in so many documents of the sample and so many standard errors more frequent in one class.
-MIN_DOCS, MIN_Z, MAX_FEATURES = 6, 3.0, 20_000
+MIN_DOCS, MIN_Z, MAX_FEATURES = 8, 4.0, 20_000
 BASE = -4.0
 WORD = re.compile(r"\w+")
 SENTENCE = re.compile(r"[^.!?\n]+")
@@ -100,7 +100,8 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
     known = known.where(~common.held_out(F.col("doc_id")))
     sample = common.bounded_sample(known, "_label", per_class, "doc_id")
     texts = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(sample), "doc_id").select("text", "_label")
-    texts = common.durable(texts, "toxic-sample")
+    # Copies of one document would make its chance words telling.
+    texts = common.durable(texts.groupBy("text").agg(F.max("_label").alias("_label")), "toxic-sample")
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally: Counter = Counter()
