@@ -418,28 +418,32 @@ def job_queue_topk(spark, sf_dir):
 
 
 @query(
-    """WITH t AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 3 <> 0), s AS (SELECT o_orderkey, 'U' AS o_orderstatus, o_totalprice + 1 AS o_totalprice FROM orders WHERE o_orderkey % 2 = 0)
+    """WITH t AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderpriority <> '1-URGENT'), s AS (SELECT o_orderkey, 'U' AS o_orderstatus, o_totalprice + 1 AS o_totalprice FROM orders WHERE o_orderstatus = 'O')
     SELECT coalesce(t.o_orderkey, s.o_orderkey) AS o_orderkey, coalesce(t.o_orderstatus, s.o_orderstatus) AS o_orderstatus, coalesce(s.o_totalprice, t.o_totalprice) AS o_totalprice FROM t FULL JOIN s ON t.o_orderkey = s.o_orderkey"""
 )
 def upsert_merge(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    new = o.where("o_orderkey % 2 = 0").select("o_orderkey", F.lit("U").alias("o_orderstatus"), (F.col("o_totalprice") + 1).alias("o_totalprice"))
-    return upsert.merge(o.where("o_orderkey % 3 <> 0"), new, ["o_orderkey"], ["o_totalprice"])
+    o = table(spark, sf_dir, "orders")
+    new = o.where("o_orderstatus = 'O'").select("o_orderkey", F.lit("U").alias("o_orderstatus"), (F.col("o_totalprice") + 1).alias("o_totalprice"))
+    old = o.where("o_orderpriority <> '1-URGENT'").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    return upsert.merge(old, new, ["o_orderkey"], ["o_totalprice"])
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN 'old' ELSE 'new' END AS origin FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderkey % 2 = 0")
+@query("SELECT o_orderkey, CASE WHEN o_orderpriority <> '1-URGENT' THEN 'old' ELSE 'new' END AS origin FROM orders WHERE o_orderpriority <> '1-URGENT' OR o_orderstatus = 'O'")
 def insert_if_missing(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    rows, _ = upsert.insert_missing(o.where("o_orderkey % 3 <> 0").select("o_orderkey", F.lit("old").alias("origin")), o.where("o_orderkey % 2 = 0").select("o_orderkey", F.lit("new").alias("origin")), ["o_orderkey"])
+    rows, _ = upsert.insert_missing(o.where("o_orderpriority <> '1-URGENT'").select("o_orderkey", F.lit("old").alias("origin")), o.where("o_orderstatus = 'O'").select("o_orderkey", F.lit("new").alias("origin")), ["o_orderkey"])
     return rows
 
 
-@query("SELECT event_id, CASE WHEN user_id % 5 = 0 AND event_type <> 'error' THEN 'new' ELSE 'old' END AS origin FROM events WHERE NOT (user_id % 5 = 0 AND event_type = 'error')")
+@query(
+    """WITH e AS (SELECT event_id, user_id, strftime(ts, '%Y-%m-%d') AS day, event_type FROM events), t AS (SELECT DISTINCT user_id, day FROM e WHERE event_type = 'signup')
+    SELECT event_id, CASE WHEN t.user_id IS NULL THEN 'old' ELSE 'new' END AS origin FROM e LEFT JOIN t ON e.user_id = t.user_id AND e.day = t.day WHERE t.user_id IS NULL OR event_type <> 'error'"""
+)
 def replace_day(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("event_id", "user_id", day_of(F.col("ts")).alias("day"), "event_type")
-    days = e.where("user_id % 5 = 0")
-    new = days.where("event_type <> 'error'").withColumn("origin", F.lit("new"))
-    return upsert.replace_days(e.withColumn("origin", F.lit("old")), new, days, ["user_id", "day"]).select("event_id", "origin")
+    days = e.where("event_type = 'signup'").select("user_id", "day").distinct()
+    new = e.join(days, ["user_id", "day"], "left_semi").where("event_type <> 'error'").select(*e.columns, F.lit("new").alias("origin"))
+    return upsert.replace_days(e.withColumn("origin", F.lit("old")).select(*new.columns), new, days, ["user_id", "day"]).select("event_id", "origin")
 
 
 @query(
@@ -462,9 +466,9 @@ def orphan_check(spark, sf_dir):
 # Joins of the sources
 
 
-@query("SELECT o_orderkey, coalesce(l_linenumber, 0) AS l_linenumber, coalesce(l_quantity, 0) AS l_quantity FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_returnflag = 'R' WHERE o_orderdate >= TIMESTAMP '1997-01-01'")
+@query("SELECT o_orderkey, coalesce(l_linenumber, 0) AS l_linenumber, coalesce(l_quantity, 0) AS l_quantity FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_returnflag = 'R'")
 def frames_left_join(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").where(F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp_ntz")).select("o_orderkey")
+    o = table(spark, sf_dir, "orders").select("o_orderkey")
     li = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_quantity")
     return o.join(li, "o_orderkey", "left").na.fill(0)
 
@@ -487,10 +491,10 @@ def content_spans(spark, sf_dir):
 
 @query(
     """SELECT doc_id, CASE WHEN lang = source THEN lang ELSE 'Language: ' || lang || chr(10) || source END || CASE WHEN s IN ('Language: ' || lang, source) OR s = '' THEN '' ELSE chr(10) || s END AS parts
-    FROM (SELECT *, trim(regexp_replace(substr(text, 1, 40), '\\s+', ' ', 'g')) AS s FROM documents)"""
+    FROM (SELECT *, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS s FROM documents)"""
 )
 def join_parts(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", text.join_parts(F.concat(F.lit("Language: "), F.col("lang")), F.col("source"), F.substring("text", 1, 40), F.col("source")).alias("parts"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.join_parts(F.concat(F.lit("Language: "), F.col("lang")), F.col("source"), F.col("text"), F.col("source")).alias("parts"))
 
 
 @query(
@@ -650,14 +654,14 @@ def tag_semi_join(spark, sf_dir):
 
 
 @query(
-    """SELECT doc_id AS chunk_id, 'label' AS ref_kind, CAST(quality AS VARCHAR) AS shown FROM labels WHERE doc_id % 2 = 0
-    UNION ALL SELECT d.doc_id, 'benchmark', substr(b.text, 1, 20) FROM documents d JOIN benchmark b ON b.item_id = d.doc_id UNION ALL SELECT doc_id, 'vector', CAST(label AS VARCHAR) FROM documents JOIN embeddings ON vec_id = doc_id"""
+    """SELECT doc_id AS chunk_id, 'label' AS ref_kind, CAST(quality AS VARCHAR) AS shown FROM labels
+    UNION ALL SELECT d.doc_id, 'benchmark', b.text FROM documents d JOIN benchmark b ON b.item_id = d.doc_id UNION ALL SELECT doc_id, 'vector', CAST(label AS VARCHAR) FROM documents JOIN embeddings ON vec_id = doc_id"""
 )
 def evidence_lookup(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("chunk_id"))
     kinds = {
-        "label": table(spark, sf_dir, "labels").where("doc_id % 2 = 0").select(F.col("doc_id").alias("chunk_id"), F.col("quality").cast("string").alias("shown")),
-        "benchmark": table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("chunk_id"), F.substring("text", 1, 20).alias("shown")),
+        "label": table(spark, sf_dir, "labels").select(F.col("doc_id").alias("chunk_id"), F.col("quality").cast("string").alias("shown")),
+        "benchmark": table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("chunk_id"), F.col("text").alias("shown")),
         "vector": table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("chunk_id"), F.col("label").cast("string").alias("shown")),
     }
     parts = [d.join(rows, "chunk_id").select("chunk_id", F.lit(kind).alias("ref_kind"), "shown") for kind, rows in kinds.items()]
