@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from timeloom.session import ship
+
 #: Characters handled together by the array code; bounds a Python worker's memory.
 SLICE_CHARS = 1_000_000
 
@@ -19,15 +21,18 @@ _own_dir: str | None = None
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; one of our own only where that is unset."""
+    """The folder named in ``spark.checkpoint.dir``; one of our own only where that is unset and the session is local."""
     global _own_dir
     set_dir = spark.conf.get("spark.checkpoint.dir", None)
     if set_dir:
         return set_dir.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if _own_dir is None:
         _own_dir = tempfile.mkdtemp(prefix="timeloom-")
     return _own_dir
@@ -35,6 +40,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def durable(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors."""
+    ship(df.sparkSession)
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -50,6 +56,30 @@ def unit_hash(*cols: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*cols), 11) / F.lit(float(1 << 53))
 
 
+def text_hash() -> Column:
+    return F.coalesce(F.xxhash64("text"), F.lit(0)).cast("long")
+
+
+#: A row's id, with null apart, and its text's hash, as plain keys.
+ROW = ["did", "no_id", "th"]
+
+
+def keyed(df: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    return df.withColumns({"did": F.coalesce(F.col(doc_id), F.lit(0)).cast("long"), "no_id": F.col(doc_id).isNull()})
+
+
+#: Tasks among which the rows of one key are dealt where they meet their one partner.
+SALTS = 8
+
+
+def meet(many: DataFrame, one: DataFrame, keys: list[str], by: str | Column, how: str = "inner") -> DataFrame:
+    """Join rows with their one partner, the rows of each key dealt to SALTS tasks by a hash of ``by``."""
+    by = F.col(by) if isinstance(by, str) else by
+    dealt = many.withColumn("salt", F.pmod(F.xxhash64(by, F.lit("salt")), F.lit(SALTS)).cast("int"))
+    copies = one.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return dealt.join(copies, [*keys, "salt"], how).drop("salt")
+
+
 def map_text(
     df: DataFrame,
     keep: list[str],
@@ -110,6 +140,30 @@ def give_back() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
+#: Characters of the words, and a few for each entry, that a Python worker keeps with what it found for them.
+CACHE_CHARS, ENTRY_CHARS = 2_000_000, 8
+
+
+class Kept(dict):
+    """The value of every word met, computed once while there is room."""
+
+    def __init__(self, value: Callable[[str], object]):
+        self.value, self.room = value, CACHE_CHARS
+
+    def __missing__(self, word: str):
+        found = self.value(word)
+        if self.room > 0:
+            self.room -= len(word) + ENTRY_CHARS
+            self[word] = found
+        return found
+
+    def make_room(self) -> None:
+        """Forget all if it is full."""
+        if self.room <= 0:
+            self.clear()
+            self.room = CACHE_CHARS
+
+
 def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
 

@@ -13,7 +13,11 @@ pieces can't cover is one unknown token.
 
 Corner cases: a null or empty text has no words and no tokens; a vocabulary
 without pieces makes every word one unknown token; the mark itself, written in
-a text, is an ordinary character; repeated rows get equal results.
+a text, is an ordinary character; a very long text or word is read whole, in
+linear time; of pieces that fit the longest is taken, so there are no ties;
+repeated rows get equal results; an empty table gives no rows.  Only the text
+is read; columns to carry that are called n_words or n_tokens are for the
+caller to rename (``common.set_aside``).
 """
 
 from __future__ import annotations
@@ -26,8 +30,6 @@ from pyspark.sql import types as T
 from timeloom.llm import common
 
 MARK = "▁"
-#: Words kept with their counts in a Python worker.
-CACHE_WORDS = 300_000
 
 
 class Automaton:
@@ -92,22 +94,9 @@ class Automaton:
         return total
 
 
-class Counts(dict):
-    """Token counts by word, filled as words are met."""
-
-    def __init__(self, pieces: tuple[str, ...]):
-        self.automaton = Automaton(pieces)
-
-    def __missing__(self, word: str) -> int:
-        n = self.automaton.count(word)
-        if len(self) < CACHE_WORDS:
-            self[word] = n
-        return n
-
-
 @lru_cache(1)
-def worker_counts(pieces: tuple[str, ...]) -> Counts:
-    return Counts(pieces)
+def worker_counts(pieces: tuple[str, ...]) -> common.Kept:
+    return common.Kept(Automaton(pieces).count)
 
 
 def sentence_pieces(path: str) -> tuple[str, ...]:
@@ -130,8 +119,7 @@ def count_tokens(docs: DataFrame, pieces: tuple[str, ...], *keep: str, text: str
 
     def make():
         counts = worker_counts(shared.value)
-        if len(counts) >= CACHE_WORDS:
-            counts.clear()
+        counts.make_room()
         look = counts.__getitem__
 
         def score(texts):
