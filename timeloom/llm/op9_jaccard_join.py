@@ -13,12 +13,23 @@ the whole sets.  A pair that meets in several stars counts in the smallest.
 Links give each class its number of linked documents, and connected components
 by alternating star contraction, on tables in the shared folder.
 
-Words are runs of letters, digits and underscores, in lower case.
+A star of many classes is cut into tiles, and every class goes to each of
+them.  What goes there is not its text but the symmetric difference of its set
+with the pivot's, which is short for near copies and says as much: A ^ B is
+(A ^ P) ^ (B ^ P), and |A & B| = (|A| + |B| - |A ^ B|) / 2.
+
+Words are runs of letters, digits and underscores, in lower case.  Grams, and
+whole sets, are known by 64-bit and 128-bit hashes: results are exact up to a
+collision of those.
 
 Corner cases: a text of fewer than five words is one gram of all its words; a
 null text, or one without words, has no grams, is linked to nothing and is its
-own class; repeated rows are linked documents like any others; an empty table
-gives no rows.
+own class; a very long text is a set like any other, read whole; repeated rows
+are linked documents like any others; a class has the smallest id of its rows
+that isn't null, and a null one only if all are; of ties (equal ids, equal
+texts) ``first_of_each`` keeps one row; an empty table gives no rows.  Only
+doc_id and text are read, so other columns may have any name; ``join`` returns
+its own columns alone and ``first_of_each`` those of its input.
 """
 
 from __future__ import annotations
@@ -34,31 +45,23 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from timeloom.llm import common
 
 GRAM, THRESHOLD = 5, 0.8
 BANDS, BAND_ROWS = 32, 5
 CHUNK, TOLERANCE = 16, 1e-6
-#: Classes, and grams, of one tile of a star.
-TILE_CLASSES, TILE_GRAMS = 500, 400_000
-CACHE_WORDS = 200_000
+#: Classes of one tile of a star, at least and at most, between which it is a TILE_SHARE of the star; grams of one tile.
+TILE_CLASSES, TILE_MOST, TILE_SHARE, TILE_GRAMS = 200, 1000, 16, 400_000
 WORD = re.compile(r"\w+")
 _RANDOM = np.random.default_rng(20240917).integers(1, 1 << 63, (2, BANDS * BAND_ROWS), dtype=np.uint64)
 _A, _B = _RANDOM[0] * np.uint64(2) + np.uint64(1), _RANDOM[1]
 
 
-class Hashes(dict):
-    def __missing__(self, word: str) -> int:
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < CACHE_WORDS:
-            self[word] = h
-        return h
-
-
 @lru_cache(1)
-def worker_hashes() -> Hashes:
-    return Hashes()
+def worker_hashes() -> common.Kept:
+    return common.Kept(xxhash.xxh3_64_intdigest)
 
 
 def gram_set(text: str, gram: int = GRAM) -> np.ndarray:
@@ -117,11 +120,7 @@ def signatures(docs: DataFrame, gram: int = GRAM) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *made], names=names)
         common.give_back()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("th"), "text").mapInArrow(run, SIGNED)
-
-
-def text_hash():
-    return F.coalesce(F.xxhash64("text"), F.lit(0)).cast("long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_hash().alias("th"), "text").mapInArrow(run, SIGNED)
 
 
 def least_matches(hashes: int, threshold: float, tolerance: float) -> int:
@@ -213,16 +212,20 @@ def common_members(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.n
     return total[row[i], row[j]].astype(np.int64)
 
 
-def compare(cids: np.ndarray, rows: np.ndarray, sig: np.ndarray, grams: list[np.ndarray], stars: list[np.ndarray], star: int, side: np.ndarray | None, threshold: float, tolerance: float):
-    """Of one tile: for each class with a link, the documents linked here and the smallest class it is connected to here."""
-    sizes = np.array([len(g) for g in grams])
+def compare(cids: np.ndarray, rows: np.ndarray, sizes: np.ndarray, sig: np.ndarray, sets: list[np.ndarray], stars: list[np.ndarray], star: int, side: np.ndarray | None, threshold: float, tolerance: float):
+    """Of one tile: for each class with a link, the documents linked here and the smallest class it is connected to here.
+
+    ``sizes`` are the sizes of the gram sets, ``sets`` the sets themselves or their differences with one and the same set.
+    """
     i, j = candidate_pairs(sig, sizes, side, threshold, tolerance)
     if len(i):
         before = [s[s < star] for s in stars]
         first = common_members(before, i, j) == 0
         i, j = i[first], j[first]
     if len(i):
-        both = common_members(grams, i, j)
+        own = np.array([len(s) for s in sets])
+        apart = own[i] + own[j] - 2 * common_members(sets, i, j)
+        both = (sizes[i] + sizes[j] - apart) // 2
         linked = both / (sizes[i] + sizes[j] - both) >= threshold
         i, j = i[linked], j[linked]
     if not len(i):
@@ -240,39 +243,63 @@ def compare(cids: np.ndarray, rows: np.ndarray, sig: np.ndarray, grams: list[np.
     return cids[some], links[some], label[some]
 
 
-def star_links(tiles: DataFrame, gram: int, threshold: float, tolerance: float) -> DataFrame:
+def relative(members: DataFrame, gram: int) -> DataFrame:
+    """Turn ``text`` into the bytes of its gram set, or of the difference with the set of ``pivot`` where that isn't null."""
+    names = [c for c in members.columns if c not in ("text", "pivot")]
+    schema = T.StructType([*(members.schema[c] for c in names), T.StructField("grams", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        star, base = None, None
+        for batch in batches:
+            for part in common.slices(batch, batch.column(batch.schema.get_field_index("text"))):
+                columns = {c: part.column(i) for i, c in enumerate(part.schema.names)}
+                out = []
+                for now, text, pivot in zip(*(columns[c].to_pylist() for c in ("star", "text", "pivot"))):
+                    own = gram_set(text or "", gram)
+                    if pivot is not None:
+                        if now != star:
+                            star, base = now, gram_set(pivot, gram)
+                        own = np.setxor1d(own, base, assume_unique=True)
+                    out.append(own.tobytes())
+                yield pa.RecordBatch.from_arrays([*(columns[c] for c in names), pa.array(out, pa.binary())], names=[*names, "grams"])
+        common.give_back()
+
+    return members.mapInArrow(run, schema)
+
+
+TILE = ["star", "a", "b", "tile", "cid", "rows", "n", "stars", "sig", "grams"]
+
+
+def star_links(tiles: DataFrame, threshold: float, tolerance: float) -> DataFrame:
     """Compare every tile; tiles are runs of rows with equal (star, a, b) in sorted partitions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[np.ndarray, ...]] = []
-        waiting = 0
 
         def batch_of():
             columns = [np.concatenate(c) for c in zip(*out)]
             return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["cid", "links", "root"])
 
-        def close(key, cids, rows, sig, grams, stars, tile):
+        def close(key, cids, rows, sizes, sig, sets, stars, tile):
             if len(cids) < 2:
                 return
             side = None if key[1] == key[2] else np.array(tile)
-            found = compare(np.array(cids), np.array(rows), np.array(sig), grams, stars, key[0], side, threshold, tolerance)
+            found = compare(np.array(cids), np.array(rows), np.array(sizes), np.array(sig), sets, stars, key[0], side, threshold, tolerance)
             if found:
                 out.append(found)
 
         key, held = None, None
         for batch in batches:
-            for part in common.slices(batch, batch.column(8)):
-                for star, a, b, tile, cid, n_rows, stars, sig, text in zip(*(c.to_pylist() for c in part.columns)):
+            for part in common.slices(batch, batch.column(9)):
+                for star, a, b, tile, cid, n_rows, n, stars, sig, grams in zip(*(c.to_pylist() for c in part.columns)):
                     if (star, a, b) != key:
                         if key:
                             close(key, *held)
-                        key, held = (star, a, b), ([], [], [], [], [], [])
-                    if held[0] and held[0][-1] == cid:
-                        continue  # a repeated row of the class's representative
-                    for column, value in zip(held, (cid, n_rows, np.frombuffer(sig, "<u2"), gram_set(text or "", gram), np.array(stars, np.int64), tile)):
+                        key, held = (star, a, b), ([], [], [], [], [], [], [])
+                    row = cid, n_rows, n, np.frombuffer(sig, "<u2"), np.frombuffer(grams, np.uint64), np.array(stars, np.int64), tile
+                    for column, value in zip(held, row):
                         column.append(value)
-                waiting = sum(len(x[0]) for x in out)
-                if waiting > 100_000:
+                if sum(len(x[0]) for x in out) > 100_000:
                     yield batch_of()
                     out.clear()
         if key:
@@ -281,7 +308,7 @@ def star_links(tiles: DataFrame, gram: int, threshold: float, tolerance: float)
             yield batch_of()
         common.give_back()
 
-    return tiles.select("star", "a", "b", "tile", "cid", "rows", "stars", "sig", "text").mapInArrow(run, "cid long, links long, root long")
+    return tiles.select(*TILE).mapInArrow(run, "cid long, links long, root long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -295,67 +322,100 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(low, "u").where("v > u AND v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = common.meet(both, low, ["u"], "v").where("v > u AND v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
+        small = common.meet(large, low, ["u"], "v")
         small = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(low.select("u", F.col("m").alias("v"))).distinct()
         edges = common.durable(small, "edges")
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1000003), F.sum("v")).first())
+        # Ids reach 2^63, so their hashes are added as decimals.
+        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
         if now == mark:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         mark = now
 
 
-def join(docs: DataFrame, gram: int = GRAM, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
-    """doc_id, th (hash of the text), class_id (smallest id connected by links) and n_links of every row."""
-    signed = common.durable(signatures(docs, gram), "signatures")
-    classes = signed.where("n > 0").groupBy("k1", "k2").agg(F.count("*").alias("rows"), F.min(F.struct("doc_id", "th")).alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
-    classes = classes.select(F.monotonically_increasing_id().alias("cid"), "k1", "k2", "rows", F.col("rep.doc_id").alias("rep_id"), F.col("rep.th").alias("rep_th"), "n", "bands", "sig")
-    classes = common.durable(classes, "classes")
-
+def stars_of(classes: DataFrame) -> DataFrame:
+    """(star, cid): the classes that share a bucket with a pivot, the pivot included."""
     banded = classes.select("cid", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.min("cid").alias("star"), F.max("cid").alias("_last")).where("star < _last").select("band", "star")
-    member = common.durable(banded.join(buckets, "band").select("star", "cid").distinct(), "stars")
+    return common.meet(banded, buckets, ["band"], "cid").select("star", "cid").distinct()
+
+
+def tiled(member: DataFrame, classes: DataFrame, texts: DataFrame, gram: int, parts: int) -> DataFrame:
+    """The rows of all tiles, dealt to ``parts`` partitions and sorted there."""
     sized = member.join(classes.select("cid", "n"), "cid")
-    tiling = sized.groupBy("star").agg(F.ceil(F.greatest(F.count("*") / TILE_CLASSES, F.sum("n") / TILE_GRAMS)).cast("int").alias("g"))
+    per_tile = F.least(F.greatest(F.count("*") / TILE_SHARE, F.lit(TILE_CLASSES)), F.lit(TILE_MOST))
+    tiling = sized.groupBy("star").agg(F.ceil(F.greatest(F.count("*") / per_tile, F.sum("n") / TILE_GRAMS)).cast("int").alias("g"))
+    large = common.durable(tiling.where("g > 1"), "large-stars")
+
     own = member.groupBy("cid").agg(F.array_sort(F.collect_set("star")).alias("stars"))
-    tile = F.pmod(F.xxhash64("cid"), F.col("g")).cast("int")
-    placed = member.join(tiling, "star").withColumn("tile", tile)
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
-    placed = placed.select("star", "cid", "tile", F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b"))
-
-    reps = own.join(classes, "cid").select("cid", "rows", "stars", "sig", "rep_id", "rep_th")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("th"), "text")
-    reps = reps.join(texts, F.col("rep_id").eqNullSafe(F.col("doc_id")) & (F.col("rep_th") == F.col("th"))).select("cid", "rows", "stars", "sig", "text")
+    reps = common.keyed(own.join(classes, "cid"), "rep_id").withColumnRenamed("rep_th", "th")
+    reps = reps.join(texts, common.ROW).select("cid", "rows", "n", "stars", "sig", "text")
+    narrow = common.meet(member, large, ["star"], "cid", "left")
+
+    small = narrow.where("g IS NULL").select("star", "cid").join(reps, "cid").withColumn("pivot", F.lit(None).cast("string"))
+    small = relative(small, gram).withColumns({"a": F.lit(0), "b": F.lit(0), "tile": F.lit(0), "place": F.pmod(F.xxhash64("star"), F.lit(parts))})
+
+    pivots = large.join(reps.select(F.col("cid").alias("star"), F.col("text").alias("pivot")), "star").select("star", "pivot")
+    big = common.meet(narrow.where("g IS NOT NULL").join(reps, "cid"), pivots, ["star"], "cid")
+    big = relative(big, gram).withColumn("tile", F.pmod(F.xxhash64("cid"), F.col("g")).cast("int"))
+    big = big.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
+    big = big.withColumns({"a": F.least("tile", "other"), "b": F.greatest("tile", "other")})
+    # The tiles of one star lie in partitions one after another.
+    turn = F.shiftright(F.col("b").cast("long") * (F.col("b") + 1), 1) + F.col("a")
+    big = big.withColumn("place", F.pmod(F.pmod(F.xxhash64("star"), F.lit(parts)) + turn, F.lit(parts)))
+
+    rows = small.select(*TILE, F.col("place").cast("int").alias("place")).unionByName(big.select(*TILE, F.col("place").cast("int").alias("place")))
+    return rows.repartitionById(parts, "place").sortWithinPartitions("star", "a", "b", "cid")
+
+
+def linked_rows(docs: DataFrame, gram: int = GRAM, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
+    """Of every row: doc_id, th (hash of the text), and, null unless it has a copy or a link, the first row of its class (rep) and n_links."""
+    signed = common.durable(signatures(docs, gram), "signatures")
+    rep = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th"))
+    classes = signed.where("n > 0").groupBy("k1", "k2").agg(F.count("*").alias("rows"), rep.alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
+    classes = classes.select(F.monotonically_increasing_id().alias("cid"), "k1", "k2", "rows", F.col("rep.doc_id").alias("rep_id"), F.col("rep.th").alias("rep_th"), "n", "bands", "sig")
+    classes = common.durable(classes, "classes")
+
+    member = common.durable(stars_of(classes), "stars")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tiles = placed.join(reps, "cid").repartition(parts, "star", "a", "b").sortWithinPartitions("star", "a", "b", "cid")
-    found = common.durable(star_links(tiles, gram, threshold, tolerance), "links")
+    texts = common.keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_hash().alias("th"), "text"))
+    texts = texts.groupBy(*common.ROW).agg(F.first("text").alias("text"))  # a row that is repeated once
+    found = common.durable(star_links(tiled(member, classes, texts, gram, parts), threshold, tolerance), "links")
 
     links = found.groupBy("cid").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("cid").alias("u"), F.col("root").alias("v")))
-    known = classes.select("cid", "k1", "k2", "rows", "rep_id").join(links, "cid", "left").where("rows > 1 OR links IS NOT NULL")
+    known = classes.select("cid", "k1", "k2", "rows", "rep_id", "rep_th").join(links, "cid", "left").where("rows > 1 OR links IS NOT NULL")
     known = known.join(roots, F.col("cid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cid"))
-    first = known.groupBy("root").agg(F.min("rep_id").alias("class_id"))
-    known = known.join(first, "root").select("k1", "k2", "class_id", (F.col("rows") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    first = known.groupBy("root").agg(F.min(F.struct(F.col("rep_id").isNull().alias("no_id"), F.col("rep_id").alias("doc_id"), F.col("rep_th").alias("th"))).alias("rep"))
+    known = common.meet(known, first, ["root"], "cid").select("k1", "k2", "rep", (F.col("rows") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     known = common.durable(known, "classes-linked")
-    rows = signed.select("doc_id", "th", "k1", "k2").join(known, ["k1", "k2"], "left")
-    return rows.select("doc_id", "th", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+    plain = signed.select("doc_id", "th", "k1", "k2")
+    some = common.meet(plain.where("k1 IS NOT NULL"), known, ["k1", "k2"], F.monotonically_increasing_id(), "left").select("doc_id", "th", "rep", "n_links")
+    none = plain.where("k1 IS NULL").select("doc_id", "th", F.lit(None).cast(some.schema["rep"].dataType).alias("rep"), F.lit(None).cast("long").alias("n_links"))
+    return some.unionByName(none)
+
+
+def join(docs: DataFrame, gram: int = GRAM, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
+    """doc_id, class_id (smallest id connected by links) and n_links of every row."""
+    rows = linked_rows(docs, gram, threshold, tolerance)
+    return rows.select("doc_id", F.when(F.col("rep").isNull(), F.col("doc_id")).otherwise(F.col("rep.doc_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def first_of_each(docs: DataFrame, **how) -> DataFrame:
     """The documents with the smallest id of each class, one row each."""
-    found = common.durable(join(docs, **how), "joined")
-    out = found.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id", "th").distinct()
-    columns, th = docs.columns, common.fresh(docs, "_th")
-    rows = docs.withColumn(th, text_hash())
-    out = out.select(F.col("doc_id").alias(common.fresh(docs, "_out")), F.col("th").alias(common.fresh(docs, "_out_th")))
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col(out.columns[0])) & (F.col(th) == F.col(out.columns[1]))
-    rows = rows.join(out, same, "left_anti")
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("class_id")) & F.col("doc_id").isNotNull())
-    if kept.groupBy("doc_id").count().where("count > 1").limit(1).count():  # repeated rows, or one id for several texts
-        rows = rows.dropDuplicates(["doc_id", th])
+    found = common.durable(common.keyed(linked_rows(docs, **how)), "joined")
+    away = F.col("rep").isNotNull() & ~(F.col("doc_id").eqNullSafe(F.col("rep.doc_id")) & (F.col("th") == F.col("rep.th")))
+    columns, names = docs.columns, [common.fresh(docs, f"_{c}") for c in common.ROW]
+    own = docs["doc_id"].cast("long")
+    rows = docs.withColumns(dict(zip(names, [F.coalesce(own, F.lit(0)), own.isNull(), common.text_hash()])))
+    out = found.where(away).select(*(F.col(c).alias(n) for c, n in zip(common.ROW, names))).distinct()
+    rows = rows.join(out, names, "left_anti")
+    if found.where(~away).groupBy(*common.ROW).count().where("count > 1").limit(1).count():  # rows that are repeated
+        rows = rows.dropDuplicates(names)
     return rows.select(*columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join(common.documents(spark, sf_dir)).drop("th")
+    return join(common.documents(spark, sf_dir))
