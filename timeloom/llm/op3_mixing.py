@@ -11,12 +11,18 @@ smallest hashes take the extra copy.
 
 What reaches the driver is a row for each source, as the weights do.  The table
 of (source, size) groups is broadcast only if it has at most BROADCAST_ROWS
-rows; beyond that it is joined by shuffle.
+rows; beyond that the rows, texts included in ``resample``, are exchanged by
+group, those of one group dealt to several tasks.
 
 Corner cases: a null text has size 0; a null source is a source, last in order;
 a source of size 0 has target 0; documents of size 0 keep one copy and count
-nothing; rows that agree in id and text decide alike; an empty table gives no
-rows; columns of other names are carried or ignored, never read.
+nothing; a very long text is one document of its size, and a source that it
+dominates misses its target by up to half of it; rows that agree in id and
+text are numbered, and each number has its own hash, so that so many of them
+as needed are taken (which ones is left open, as they are the same); ties of
+hashes inside a group decide alike; an empty table gives no rows; columns of
+other names, clashing ones too, are carried by ``resample`` and ignored by
+``mix``, never read.
 """
 
 from __future__ import annotations
@@ -161,30 +167,76 @@ def cut_hashes(sized: DataFrame, groups: DataFrame) -> DataFrame:
 def with_copies(sized: DataFrame, planned: DataFrame) -> DataFrame:
     """All rows of (source, size, u, ...) with source_size, target and copies."""
     small = planned.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    right = planned.select(F.col("source").alias("_source"), F.col("size").alias("_size"), "source_size", "target", "base", "cut")
-    same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("size") == F.col("_size"))
-    rows = sized.join(F.broadcast(right) if small else right, same).withColumn("copies", F.col("base") + (F.col("u") <= F.col("cut")).cast("long"))
-    return rows.drop("_source", "_size", "base", "cut")
+    right = planned.select(group_key().alias("group"), "source_size", "target", "base", "cut")
+    rows = sized.withColumn("group", group_key())
+    rows = rows.join(F.broadcast(right), "group") if small else common.meet(rows, right, ["group"], "u")
+    return rows.withColumn("copies", F.col("base") + (F.col("u") <= F.col("cut")).cast("long")).drop("group", "base", "cut")
+
+
+def group_key() -> Column:
+    """Source and size as one key without nulls."""
+    return F.struct(F.col("source").isNull(), F.coalesce("source", F.lit("")), F.col("size"))
 
 
 def measured(docs: DataFrame, *keep: str) -> DataFrame:
-    """source, size, u and the columns ``keep``."""
-    return docs.select(*keep, F.col("source").cast("string").alias("source"), size_of(F.col("text")).alias("size"), common.unit_hash(F.col("doc_id"), F.col("text")).alias("u"))
+    """source, size, the keys of the row and the columns ``keep``."""
+    rows = docs.select(*keep, F.col("doc_id").cast("long").alias("_id"), F.col("source").cast("string").alias("source"), size_of(F.col("text")).alias("size"), common.text_hash().alias("th"))
+    return common.keyed(rows, "_id").drop("_id")
+
+
+def repeats(sized: DataFrame) -> DataFrame | None:
+    """The keys of rows that agree in id and text, or None if no two do."""
+    found = common.durable(sized.groupBy(*common.ROW).count().where("count > 1").select(*common.ROW, F.lit(True).alias("repeated")), "repeats")
+    return found if found.limit(1).count() else None
+
+
+def hashed(sized: DataFrame, repeated: DataFrame | None) -> DataFrame:
+    """Add u: a hash of id, text and, among rows that agree in both, of a number from 1.
+
+    Numbers count on from one input partition to the next, so that a row that
+    is repeated very often is numbered in many tasks.
+    """
+    if repeated is None:
+        return sized.withColumn("u", common.unit_hash(*map(F.col, common.ROW), F.lit(1).cast("long")))
+    rows = sized.withColumn("uid", F.monotonically_increasing_id()).withColumn("part", F.shiftright("uid", 33))
+    rows = common.meet(rows, repeated, common.ROW, "uid", "left")
+    once = rows.where("repeated IS NULL").withColumn("number", F.lit(1).cast("long"))
+    more = rows.where("repeated")
+    keys = [*common.ROW, "part"]
+    counts = more.groupBy(*keys).agg(F.count("*").alias("k"))
+    before = F.coalesce(F.sum("k").over(Window.partitionBy(*common.ROW).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.select(*keys, before.alias("before"))
+    more = more.withColumn("number", F.row_number().over(Window.partitionBy(*keys).orderBy("uid")))
+    more = more.join(counts, keys).withColumn("number", (F.col("number") + F.col("before")).cast("long"))
+    every = once.unionByName(more.select(*once.columns))
+    return every.withColumn("u", common.unit_hash(*map(F.col, common.ROW), F.col("number"))).select(*sized.columns, "u")
+
+
+def numbered(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The measured rows as a stored table with their hashes, and the keys of those that repeat."""
+    sized = common.durable(rows, "measured")
+    repeated = repeats(sized)
+    return hashed(sized, None) if repeated is None else common.durable(hashed(sized, repeated), "hashed"), repeated
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """doc_id, size, source_size, target, taken: the words the mix takes of each document, repeats counted."""
-    sized = common.durable(measured(docs, "doc_id"), "measured")
+    sized, _ = numbered(measured(docs, "doc_id"))
     rows = with_copies(sized, plan(sized, weights, cap))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
 def resample(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
-    """The documents themselves, each as often as the mix takes it; the texts are not exchanged."""
+    """The documents themselves, each as often as the mix takes it.
+
+    ``docs`` must give its rows in the same partitions whenever it is read, as
+    stored tables do, if rows repeat.  Texts are exchanged only if rows repeat
+    or there are more than BROADCAST_ROWS groups.
+    """
     columns = docs.columns
-    whole = docs.select(F.struct(*columns).alias("row"), "doc_id", "text", "source")
-    sized = common.durable(measured(docs), "measured")
-    rows = with_copies(measured(whole, "row"), plan(sized, weights, cap))
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"), "doc_id", "text", "source")
+    sized, repeated = numbered(measured(docs))
+    rows = with_copies(hashed(measured(whole, "row"), repeated), plan(sized, weights, cap))
     return rows.where("copies > 0").select(F.explode(F.array_repeat("row", F.col("copies").cast("int"))).alias("row")).select("row.*")
 
 
