@@ -10,10 +10,14 @@ letters times the posterior of the language over the whole text.
 The model is counts of hashed trigrams by language, learnt from about
 PER_LANGUAGE documents of each language, which are not held out.
 
-Corner cases: a null text, and one without letters, is ``und`` with score 0;
-words in a script that no learnt language uses leave the choice to the rest; if
-nothing could be learnt every text is ``und``; ties go to the language whose
-name sorts first; repeated rows get equal results.
+Corner cases: a null text, and one without letters (marks alone are none), is
+``und`` with score 0; words in a script that no learnt language uses leave the
+choice to the rest; a very long text is labelled whole, with memory in
+proportion to it; if nothing could be learnt every text is ``und``; ties go to
+the language whose name sorts first; repeated rows get equal results; an empty
+table gives no rows.  ``identify`` reads text alone and carries the columns it
+is told to; one called like a column it makes is for the caller to rename
+(``common.set_aside``).
 """
 
 from __future__ import annotations
@@ -81,7 +85,7 @@ def characters() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 @dataclass
 class Words:
-    """The words of some texts: first and last letter's place in the joined text, length, script, text number."""
+    """The words of some texts: hashed trigrams, where each word's begin, length, script, text number, place in the text; and the letters of each text."""
 
     grams: np.ndarray
     at: np.ndarray
@@ -89,11 +93,12 @@ class Words:
     script: np.ndarray
     text: np.ndarray
     offset: np.ndarray
+    letters: np.ndarray
 
 
 def words_of(texts: list[str]) -> Words:
     """Words of the joined texts and the hashed trigram around each of their letters."""
-    low, _, scripts = characters()
+    low, letter, scripts = characters()
     points = common.code_points("\n" + "\n".join(texts) + "\n")
     starts = np.cumsum([1] + [len(t) + 1 for t in texts])
     c = low[points]
@@ -105,7 +110,8 @@ def words_of(texts: list[str]) -> Words:
     grams = (h >> np.uint32(16))[inside[1:-1]]
     length = last - first
     text = np.searchsorted(starts, first, side="right") - 1
-    return Words(grams, np.cumsum(length) - length, length, scripts[points[first]], text, first - starts[text])
+    letters = np.diff(np.r_[0, np.cumsum(letter[points])][starts])
+    return Words(grams, np.cumsum(length) - length, length, scripts[points[first]], text, first - starts[text], letters)
 
 
 @dataclass
@@ -193,7 +199,6 @@ def identify_texts(model: Model, texts: list[str], spans: bool = False) -> dict[
     k = len(model.languages)
     if not k or not len(w.at):
         return out
-    _, letter, _ = characters()
     scores = model.scores(w)
     labels = best_path(scores, w.text)
     letters = np.bincount(w.text * k + labels, weights=w.length, minlength=len(texts) * k).reshape(-1, k)
@@ -203,9 +208,7 @@ def identify_texts(model: Model, texts: list[str], spans: bool = False) -> dict[
     with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
         posterior = 1 / np.exp(np.minimum(whole - whole[rows, chosen][:, None], 700)).sum(1)
         share = letters[rows, chosen] / letters.sum(1)
-    for i in np.flatnonzero(letters.sum(1)):
-        if letters[i].sum() < 64 and not letter[common.code_points(texts[i])].any():
-            continue  # marks alone
+    for i in np.flatnonzero((w.letters > 0) & (letters.sum(1) > 0)):  # marks alone are no text
         out["lang_pred"][i] = model.languages[chosen[i]]
         # Inside mixed texts the whole's posterior says little; the share alone counts there.
         out["score"][i] = float(share[i] * (posterior[i] if share[i] == 1 else 1.0))
