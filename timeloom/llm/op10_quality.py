@@ -1,21 +1,26 @@
 """Quality by co-training two views.
 
 One classifier sees a document's text: the shapes of its words, how they
-repeat, and hashed words.  The other sees what a page's record says of it:
-source, language, length, and the layout of its lines.  Both start from the
-labelled sample; in every round each hands the unlabelled documents of which
-it is surest to the other.  Each view is then calibrated on a fold of labelled
-documents that no training used, to log-odds of at most what a fold of that
-size can tell; a second calibration on both gives the views their weights, and
-their weighted sum is the score of every document.
+repeat, and hashed words.  The other sees its record and nothing of the text:
+source, language, their pair, and the length that the record states.  Both
+start from the labelled sample; in every round each hands the unlabelled
+documents of which it is surest to the other.  Each view is then calibrated on
+a fold of labelled documents that no training used, to log-odds of at most what
+a fold of that size can tell; a second calibration on both gives the views
+their weights, and their weighted sum is the score of every document.
 
 The labelled sample is about PER_CLASS documents of each class, the unlabelled
 pool about POOL documents, both chosen by hash.
 
 Corner cases: a null or empty text has all text features at 0 and is scored by
-what remains; null source or language is a value of its own; several labels of
-one document count as bad if one is, null labels are left out; with one class
-alone, or no labels, every document scores 1; repeated rows get equal results.
+what remains; a null source, language or length is a value of its own, and so
+is a column of the record that the table lacks; a very long text or word is
+read whole; several labels of one document count as bad if one is, null labels
+are left out; with one class alone, or no labels, every document scores 1;
+documents of which a view is equally sure are handed over in the order of the
+sample; a score of exactly KEEP is kept; repeated rows get equal results; an
+empty table gives no rows.  Columns to carry that are called like one that
+``score`` makes are for the caller to rename (``common.set_aside``).
 """
 
 from __future__ import annotations
@@ -28,7 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,28 +41,26 @@ from timeloom.llm import common
 
 PER_CLASS, POOL = 2500, 4000
 ROUNDS, SURE, HANDED = 3, 0.95, 500
+#: Steps of a training from the start, and of one that goes on from the round before.
+FIRST_STEPS, STEPS = 200, 60
 KEEP = 0.5
-#: Hashed shapes, hashed words and plain numbers of the text view; hashed values and plain numbers of the record's.
+#: Hashed shapes, hashed words and plain numbers of the text view; hashed values of the record's.
 SHAPES, WORDS, PLAIN = 512, 4096, 8
-VALUES, LAYOUT = 512, 8
-TEXT_SIZE, RECORD_SIZE = SHAPES + WORDS + PLAIN + 1, VALUES + LAYOUT + 1
-CACHE_WORDS = 300_000
+VALUES = 1024
+TEXT_SIZE, RECORD_SIZE = SHAPES + WORDS + PLAIN + 1, VALUES + 1
+#: The record of a document.
+RECORD = ["source", "lang", "n_chars"]
 _RUNS = re.compile(r"(.)\1+", re.S)
 
 
-class Tokens(dict):
-    """(shape feature, word feature) by token, filled as tokens are met."""
+def token_features(token: str) -> tuple[int, int]:
+    """Shape feature and word feature."""
+    shape = "".join("a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else "L" if c.isalpha() else c for c in token)
+    shape = _RUNS.sub(r"\1", shape)
+    return zlib.crc32(shape.encode("utf-8", "surrogatepass")) % SHAPES, SHAPES + zlib.crc32(token.lower().encode("utf-8", "surrogatepass")) % WORDS
 
-    def __missing__(self, token: str) -> tuple[int, int]:
-        shape = "".join("a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else "L" if c.isalpha() else c for c in token[:64])
-        shape = _RUNS.sub(r"\1", shape)
-        found = zlib.crc32(shape.encode("utf-8", "surrogatepass")) % SHAPES, SHAPES + zlib.crc32(token.lower().encode("utf-8", "surrogatepass")) % WORDS
-        if len(self) < CACHE_WORDS:
-            self[token] = found
-        return found
 
-
-def text_features(tokens: Tokens, text: str) -> dict[int, float]:
+def text_features(tokens: common.Kept, text: str) -> dict[int, float]:
     words = text.split()
     out: dict[int, float] = {TEXT_SIZE - 1: 1.0}
     n = len(words)
@@ -87,29 +90,10 @@ def text_features(tokens: Tokens, text: str) -> dict[int, float]:
     return out
 
 
-def record_features(text: str, source: str | None, lang: str | None) -> dict[int, float]:
-    out: dict[int, float] = {RECORD_SIZE - 1: 1.0}
-    out[zlib.crc32(f"source {source}".encode()) % VALUES] = 0.3
-    out[zlib.crc32(f"lang {lang}".encode()) % VALUES] = 0.3
-    n = len(text)
-    if not n:
-        return out
-    lines = text.split("\n")
-    spaces = text.count(" ") + len(lines)
-    size = [len(x) for x in lines]
-    ends = sum(x.endswith((".", "?", "!", ":", ";")) for x in lines)
-    upper = sum(x.isupper() for x in lines)
-    out |= {
-        VALUES: np.log1p(n) / 10,
-        VALUES + 1: np.log1p(len(lines)) / 5,
-        VALUES + 2: np.log1p(n / len(lines)) / 6,
-        VALUES + 3: (max(size) - min(size)) / n,
-        VALUES + 4: ends / len(lines),
-        VALUES + 5: 1 - len(set(lines)) / len(lines),
-        VALUES + 6: upper / len(lines),
-        VALUES + 7: n / spaces / 10,
-    }
-    return out
+def record_features(source: str | None, lang: str | None, n_chars: int | None) -> dict[int, float]:
+    length = None if n_chars is None else int(2 * np.log2(max(n_chars, 0) + 1))  # half a power of two
+    names = f"source {source}", f"lang {lang}", f"both {source} {lang}", f"length {length}"
+    return {RECORD_SIZE - 1: 1.0} | {zlib.crc32(x.encode("utf-8", "surrogatepass")) % VALUES: 1.0 for x in names}
 
 
 @dataclass
@@ -125,6 +109,11 @@ class Rows:
         size = [len(r) for r in rows]
         return cls(np.cumsum([0, *size]), np.array([c for r in rows for c in r], np.int32), np.array([v for r in rows for v in r.values()], np.float32))
 
+    def some(self, which: np.ndarray) -> Rows:
+        size = np.diff(self.start)
+        inside = np.repeat(which, size)
+        return Rows(np.r_[0, np.cumsum(size[which])], self.column[inside], self.value[inside])
+
     def times(self, w: np.ndarray) -> np.ndarray:
         if len(self.start) == 1:
             return np.zeros(0)
@@ -138,12 +127,15 @@ def sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def train(rows: Rows, y: np.ndarray, weight: np.ndarray, size: int, ridge: float = 1e-4, steps: int = 200) -> np.ndarray:
-    """Logistic regression; rows with weight 0 take no part."""
-    w, m, v = np.zeros(size), np.zeros(size), np.zeros(size)
+def train(rows: Rows, y: np.ndarray, weight: np.ndarray, size: int, start: np.ndarray | None = None, ridge: float = 1e-4, steps: int = 200, flat: float = 1e-5) -> np.ndarray:
+    """Logistic regression from ``start`` on; rows with weight 0 take no part, and it ends where the gradient is flat."""
+    rows, y, weight = rows.some(weight > 0), y[weight > 0], weight[weight > 0]
+    w, m, v = np.zeros(size) if start is None else start, np.zeros(size), np.zeros(size)
     total = max(weight.sum(), 1.0)
     for t in range(1, steps + 1):
         g = rows.back(weight * (y - sigmoid(rows.times(w))), size) / total - ridge * w
+        if np.abs(g).max() < flat:
+            break
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w = w + 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
     return w
@@ -178,10 +170,10 @@ class Model:
     def odds(self, view: np.ndarray, z):
         return np.clip(view[0] * z + view[1], -self.most, self.most)
 
-    def score(self, tokens: Tokens, text: str, source: str | None, lang: str | None) -> tuple[float, float, float]:
+    def score(self, tokens: common.Kept, text: str, *record) -> tuple[float, float, float]:
         """Of the document together, of its text, of its record."""
         l1 = self.odds(self.of_text, sum(self.text[c] * v for c, v in text_features(tokens, text).items()))
-        l2 = self.odds(self.of_record, sum(self.record[c] * v for c, v in record_features(text, source, lang).items()))
+        l2 = self.odds(self.of_record, sum(self.record[c] * v for c, v in record_features(*record).items()))
         both = self.of_both[0] * l1 + self.of_both[1] * l2 + self.of_both[2]
         return float(sigmoid(both)), float(sigmoid(l1)), float(sigmoid(l2))
 
@@ -198,7 +190,8 @@ def cotrain(text: Rows, record: Rows, y: np.ndarray, fold: np.ndarray, rounds: i
         for v, (rows, size) in views.items():
             target = np.where(labelled, y, taught[v])
             known = labelled | (taught[v] >= 0)
-            weights[v] = train(rows, target, np.where(known, np.where(target == 1, 0.5 / share, 0.5 / (1 - share)) * np.where(labelled, 1.0, 0.5), 0.0), size)
+            even = np.where(target == 1, 0.5 / share, 0.5 / (1 - share)) * np.where(labelled, 1.0, 0.5)
+            weights[v] = train(rows, target, np.where(known, even, 0.0), size, weights.get(v), steps=STEPS if turn else FIRST_STEPS)
             p[v] = sigmoid(rows.times(weights[v]))
         if turn == rounds:
             break
@@ -219,26 +212,32 @@ def cotrain(text: Rows, record: Rows, y: np.ndarray, fold: np.ndarray, rounds: i
     return model
 
 
+def record_of(docs: DataFrame) -> list[Column]:
+    """The record's columns; null where the table lacks one."""
+    types = {"n_chars": "long"}
+    return [(F.col(c) if c in docs.columns else F.lit(None)).cast(types.get(c, "string")).alias(c) for c in RECORD]
+
+
 def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS, pool: int = POOL) -> Model | None:
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg((F.min(label) > 0).cast("int").alias("_label"))
     sample = common.bounded_sample(known, "_label", per_class, "doc_id")
-    rows = docs.select("doc_id", "text", F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"))
+    rows = docs.select("doc_id", "text", *record_of(docs))
     n = max(1, rows.count())
     rows = rows.join(F.broadcast(sample), "doc_id", "left")
     rows = rows.where(F.col("_label").isNotNull() | (common.unit_hash(F.col("doc_id"), F.lit("pool")) * n < F.lit(float(pool))))
-    rows = rows.select("text", "source", "lang", F.coalesce("_label", F.lit(-1)).alias("y"), F.floor(common.unit_hash(F.col("doc_id"), F.lit("fold")) * 4).cast("int").alias("fold"))
+    rows = rows.select("text", *RECORD, F.coalesce("_label", F.lit(-1)).alias("y"), F.floor(common.unit_hash(F.col("doc_id"), F.lit("fold")) * 4).cast("int").alias("fold"))
     schema = "tc array<int>, tv array<float>, rc array<int>, rv array<float>, y int, fold int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens()
+        tokens = common.Kept(token_features)
         for batch in batches:
             for part in common.slices(batch, batch.column(0)):
-                text, source, lang = (part.column(i).to_pylist() for i in range(3))
+                text, *record = (part.column(i).to_pylist() for i in range(4))
                 t = [text_features(tokens, x or "") for x in text]
-                r = [record_features(x or "", s, g) for x, s, g in zip(text, source, lang)]
+                r = [record_features(*x) for x in zip(*record)]
                 made = [pa.array([list(x) for x in t], pa.list_(pa.int32())), pa.array([list(x.values()) for x in t], pa.list_(pa.float32()))]
                 made += [pa.array([list(x) for x in r], pa.list_(pa.int32())), pa.array([list(x.values()) for x in r], pa.list_(pa.float32()))]
-                yield pa.RecordBatch.from_arrays([*made, part.column(3), part.column(4)], names=["tc", "tv", "rc", "rv", "y", "fold"])
+                yield pa.RecordBatch.from_arrays([*made, part.column(4), part.column(5)], names=["tc", "tv", "rc", "rv", "y", "fold"])
 
     table = rows.mapInArrow(run, schema).toArrow()
     y, fold = table["y"].to_numpy(), table["fold"].to_numpy()
@@ -256,19 +255,17 @@ def score(docs: DataFrame, model: Model | None, *keep: str) -> DataFrame:
     """The columns ``keep`` with score, text_score and record_score of every document."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     made = ["score", "text_score", "record_score"]
-    reads = ["text", "source", "lang"]
-    names = [*keep, *(c for c in reads if c not in keep)]
-    source = docs.select(*keep, *(F.col(c).cast("string").alias(c) for c in names[len(keep) :]))
+    source = docs.select(*keep, F.col("text").alias("_text"), *(x.alias(f"_{n}") for n, x in zip(RECORD, record_of(docs))))
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(n, T.DoubleType()) for n in made])
-    at = [names.index(c) for c in reads]
+    at = range(len(keep), len(keep) + 4)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        out_schema, m, tokens = to_arrow_schema(schema), shared.value, Tokens()
+        out_schema, m, tokens = to_arrow_schema(schema), shared.value, common.Kept(token_features)
         for batch in batches:
             for part in common.slices(batch, batch.column(at[0])):
-                found = [m.score(tokens, t or "", s, g) if m else (1.0, 1.0, 1.0) for t, s, g in zip(*(part.column(i).to_pylist() for i in at))]
+                found = [m.score(tokens, t or "", *x) if m else (1.0, 1.0, 1.0) for t, *x in zip(*(part.column(i).to_pylist() for i in at))]
                 arrays = [part.column(i).cast(out_schema.field(i).type) for i in range(len(keep))]
                 arrays += [pa.array([f[i] for f in found], pa.float64()) for i in range(3)]
                 yield pa.RecordBatch.from_arrays(arrays, schema=out_schema)
