@@ -1,19 +1,26 @@
 """Licence scan of paragraphs.
 
 A multinomial logistic regression over sparse word n-grams (single words and
-pairs) gives each paragraph, a line of text, a licence family or the class
-``unknown``.  It is trained on paragraphs made from the templates below, cut,
+pairs) gives each paragraph a licence family or the class ``unknown``.
+A line is a paragraph; so is a run of lines, each with a word of licences, that
+is mostly one notice or has none in a single line, so that notices may be
+wrapped.
+The classifier is trained on paragraphs made from the templates below, cut,
 thinned and set among other words, against paragraphs of a bounded sample of
-the corpus.  A temperature fitted on spare examples calibrates it; a family
-needs probability PROBABLE.  A predicted family is confirmed by comparing the
-paragraph with its templates: the share of word pairs that the shorter of the
-two has in common with the other must reach LIKENESS.
+the corpus.  A temperature calibrates it; it is fitted on examples of templates
+that a first training didn't see.  A family needs probability PROBABLE.  A
+predicted family is confirmed by comparing the paragraph with its templates:
+the share of word pairs that the shorter of the two has in common with the
+other must reach LIKENESS; a template of few words is compared with single
+sentences, and the longer of the two counts.
 
 Corner cases: a null or empty text has no paragraphs; a paragraph without any
-n-gram of the model is unknown; blank lines are skipped; several families in a
-document are all reported; ties go to the family that is listed first; repeated
-rows get equal results; with an empty corpus the model is trained on the
-templates alone.
+n-gram of the model is unknown; blank lines are skipped; a very long text or
+line is read whole; several families in a document are all reported; ties go to
+the family that is listed first; repeated rows get equal results; with an empty
+corpus the model is trained on the templates alone, and an empty table gives no
+rows.  Only doc_id and text are read; columns to carry that are called matches
+are for the caller to rename (``common.set_aside``).
 """
 
 from __future__ import annotations
@@ -30,11 +37,14 @@ from pyspark.sql import types as T
 
 from timeloom.llm import common
 
-PROBABLE, LIKENESS = 0.7, 0.6
-#: About so many documents, chosen by hash, give the paragraphs of class unknown, at most PER_DOCUMENT each.
+PROBABLE, LIKENESS = 0.5, 0.6
+#: About so many documents, chosen by hash, give lines of class unknown, at most PER_DOCUMENT each, chosen by hash too.
 SAMPLE, PER_DOCUMENT = 1500, 4
+#: Templates of up to so many word pairs are compared with single sentences.
+SHORT = 4
 UNKNOWN = "unknown"
 WORD = re.compile(r"[^\W_]+")
+SENTENCE = re.compile(r"[.;!?](?:\s+|$)")
 
 # Notices of common licences.
 TEMPLATES = {
@@ -117,10 +127,18 @@ def pairs(words: list[str]) -> frozenset:
 COMPARE = {family: [pairs(WORD.findall(t.lower())) for t in texts] for family, texts in TEMPLATES.items()}
 
 
-def likeness(words: list[str], family: str) -> float:
-    """The best share of the shorter's word pairs that it has in common with a template."""
-    own = pairs(words)
-    return max((len(own & t) / max(1, min(len(own), len(t))) for t in COMPARE[family]), default=0.0)
+def likeness(text: str, family: str) -> float:
+    """The best share of word pairs in common with a template of the family."""
+    low = text.lower()
+    own = pairs(WORD.findall(low))
+    best = 0.0
+    for template in COMPARE[family]:
+        if len(template) > SHORT:
+            best = max(best, len(own & template) / max(1, min(len(own), len(template))))
+        elif not template.isdisjoint(own):
+            sentences = (pairs(WORD.findall(x)) for x in SENTENCE.split(low))
+            best = max(best, *(len(x & template) / max(1, len(x), len(template)) for x in sentences))
+    return best
 
 
 @dataclass
@@ -144,15 +162,22 @@ class Model:
         return (FAMILIES[best] if p[best] >= PROBABLE else UNKNOWN), float(p[best])
 
 
-def examples(background: list[str], seed: int = 7) -> list[tuple[list[str], int]]:
+@dataclass
+class Example:
+    words: list[str]
+    family: int
+    template: int  # its number among the family's, -1 without
+
+
+def examples(background: list[str], seed: int = 7) -> list[Example]:
     """Paragraphs made from the templates, and others."""
     rng = random.Random(seed)
-    other = [WORD.findall(t.lower()) for t in background]
-    other = [w for w in other if w and all(likeness(w, f) < 0.5 for f in TEMPLATES)]
+    other = [WORD.findall(t.lower()) for t in background if all(likeness(t, f) < 0.5 for f in TEMPLATES)]
+    other = [w for w in other if w]
     filler = [w for words in other for w in words[:20]] or ["text", "word", "line"]
-    out = [(w, 0) for w in other] + [(WORD.findall(t.lower()), 0) for t in OTHERS for _ in range(5)]
+    out = [Example(w, 0, -1) for w in other] + [Example(WORD.findall(t.lower()), 0, -1) for t in OTHERS for _ in range(5)]
     for k, family in enumerate(FAMILIES[1:], 1):
-        for text in TEMPLATES[family]:
+        for i, text in enumerate(TEMPLATES[family]):
             words = WORD.findall(text.lower())
             for turn in range(24):
                 made = list(words)
@@ -163,80 +188,117 @@ def examples(background: list[str], seed: int = 7) -> list[tuple[list[str], int]
                     made = [w for w in made if rng.random() > 0.08] or made
                 if turn % 4 == 3:
                     made = rng.choices(filler, k=rng.randint(1, 6)) + made + rng.choices(filler, k=rng.randint(0, 4))
-                out.append((made, k))
+                out.append(Example(made, k, i))
             for _ in range(3):  # its words without their order, too few to grant anything
-                out.append((rng.sample(words, min(3, len(words))) + rng.choices(filler, k=8), 0))
+                out.append(Example(rng.sample(words, min(3, len(words))) + rng.choices(filler, k=8), 0, -1))
     return out
 
 
-def train(background: list[str], steps: int = 250, ridge: float = 2e-4) -> Model:
-    made = examples(background)
-    spare = [i % 5 == 4 for i in range(len(made))]
+def probabilities(z: np.ndarray) -> np.ndarray:
+    p = np.exp(z - z.max(1, keepdims=True))
+    return p / p.sum(1, keepdims=True)
+
+
+def fit(made: list[Example], steps: int = 250, ridge: float = 2e-4) -> Model:
+    """The regression; n-grams are those that are telling of licences, or rare outside them."""
     licence, plain = Counter(), Counter()
-    for words, k in made:
-        (licence if k else plain).update(set(grams(words)))
-    n1, n0 = sum(k > 0 for _, k in made), max(1, sum(k == 0 for _, k in made))
+    for x in made:
+        (licence if x.family else plain).update(set(grams(x.words)))
+    n1, n0 = sum(x.family > 0 for x in made), max(1, sum(x.family == 0 for x in made))
     telling = lambda g: licence[g] >= 5 and licence[g] / n1 > 3 * (plain[g] + 1) / n0 or licence[g] >= 5 and plain[g] < 0.02 * n0
     single = {g for g in licence if isinstance(g, str) and telling(g)}
     kept = sorted(single) + sorted(g for g in licence if not isinstance(g, str) and telling(g) and (g[0] in single or g[1] in single))
     index = {g: i for i, g in enumerate(kept)}
-    rows = [sorted({index[g] for g in grams(words) if g in index}) for words, _ in made]
-    y = np.array([k for _, k in made])
-    fit, held = ~np.array(spare), np.array(spare)
+    rows = [sorted({index[g] for g in grams(x.words) if g in index}) for x in made]
+    y = np.array([x.family for x in made])
     doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     col = np.array([c for r in rows for c in r], np.int64)
-    share = np.bincount(y, minlength=len(FAMILIES)) / len(y)
-    offset = np.log(share + 1e-3)
+    by_col = np.argsort(col, kind="stable")
+    some, at_doc = np.unique(doc, return_index=True)
+    used, at_col = np.unique(col[by_col], return_index=True)
+    b = np.log(np.bincount(y, minlength=len(FAMILIES)) / len(y) + 1e-3)
     w = np.zeros((len(kept), len(FAMILIES)))
     m, v = np.zeros_like(w), np.zeros_like(w)
-    b, truth = offset.copy(), np.eye(len(FAMILIES))[y]
-
-    def probabilities(z):
-        p = np.exp(z - z.max(1, keepdims=True))
-        return p / p.sum(1, keepdims=True)
-
-    def raw():
-        z = np.tile(b, (len(rows), 1))
-        np.add.at(z, doc, w[col])
-        return z
-
+    truth = np.eye(len(FAMILIES))[y]
     for t in range(1, steps + 1):
-        miss = (truth - probabilities(raw())) * fit[:, None]
-        g = np.zeros_like(w)
-        np.add.at(g, col, miss[doc])
-        g = g / fit.sum() - ridge * w
+        z = np.tile(b, (len(rows), 1))
+        if len(some):
+            z[some] += np.add.reduceat(w[col], at_doc)
+        miss = truth - probabilities(z)
+        g = -ridge * w
+        if len(used):
+            g[used] += np.add.reduceat(miss[doc[by_col]], at_col) / len(rows)
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w = w + 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
-        b = b + 0.5 * miss.sum(0) / fit.sum()
-    z = raw()[held]
-    cost = lambda temperature: -np.log(probabilities(z / temperature)[np.arange(len(z)), y[held]] + 1e-12).mean()
-    temperature = min((0.5 * 1.1**i for i in range(30)), key=cost)
-    return Model({g: w[i] for g, i in index.items()}, b, float(temperature))
+        b = b + 0.5 * miss.mean(0)
+    return Model({g: w[i] for g, i in index.items()}, b)
+
+
+def train(background: list[str]) -> Model:
+    """Fit on all examples, with the temperature at which a fit without some templates judges those and spare lines best."""
+    made = examples(background)
+    # The last template of families of three or more, and a fifth of the rest of class unknown.
+    spare = [len(TEMPLATES[FAMILIES[x.family]]) == x.template + 1 > 2 if x.family else i % 5 == 4 for i, x in enumerate(made)]
+    first = fit([x for x, s in zip(made, spare) if not s])
+    held = [x for x, s in zip(made, spare) if s]
+    z, y = np.array([first.raw(x.words) for x in held]), np.array([x.family for x in held])
+    cost = lambda temperature: -np.log(probabilities(z / temperature)[np.arange(len(z)), y] + 1e-12).mean()
+    model = fit(made)
+    model.temperature = float(min((0.5 * 1.1**i for i in range(30)), key=cost))
+    return model
 
 
 def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
     n = max(1, docs.count())
     rows = docs.where(F.col("text").isNotNull()).where(common.unit_hash(F.col("doc_id"), F.lit("licence")) * n < F.lit(float(sample)))
-    lines = rows.select("doc_id", F.slice(F.filter(F.split("text", "\n"), lambda x: F.length(x) > 3), 1, PER_DOCUMENT).alias("lines"))
-    lines = lines.select(F.explode("lines").alias("line")).select(F.substring("line", 1, 2000).alias("line"))
-    return train(sorted(r[0] for r in lines.collect()))
+    lines = F.filter(F.split("text", "\n"), lambda x: F.length(x) > 3)
+    chosen = F.slice(F.array_sort(F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("h"), x.alias("line")))), 1, PER_DOCUMENT)
+    return train(sorted(r[0] for r in rows.select(F.explode(chosen).alias("x")).select("x.line").collect()))
+
+
+def judge(model: Model, text: str) -> tuple[str, float, float] | None:
+    """Family, probability and likeness of a text with a confirmed family."""
+    words = WORD.findall(text.lower())
+    if model.telling.isdisjoint(words):
+        return None
+    family, p = model.predict(words)
+    if family == UNKNOWN:
+        return None
+    like = likeness(text, family)
+    return (family, p, like) if like >= LIKENESS else None
+
+
+def like_templates(text: str, family: str) -> float:
+    """The share of a text's word pairs that one template of the family has."""
+    own = pairs(WORD.findall(text.lower()))
+    return max(len(own & t) for t in COMPARE[family]) / max(1, len(own))
+
+
+def judge_run(model: Model, lines: list[tuple[int, str]]) -> list[tuple[int, int, str, float, float]]:
+    """Of successive lines, each with its start: the whole if most of it is a notice, else each notice among them, else the whole if it holds one."""
+    whole = judge(model, "\n".join(x for _, x in lines)) if len(lines) > 1 else None
+    if not (whole and like_templates("\n".join(x for _, x in lines), whole[0]) >= LIKENESS):
+        found = [(at, at + len(x), *judged) for at, x in lines if (judged := judge(model, x))]
+        if found or not whole:
+            return found
+    inside = [i for i, (_, x) in enumerate(lines) if like_templates(x, whole[0]) > 0]
+    first, last = lines[min(inside, default=0)], lines[max(inside, default=-1)]
+    return [(first[0], last[0] + len(last[1]), *whole)]
 
 
 def scan_text(model: Model, text: str) -> list[tuple[int, int, str, float, float]]:
     """start, end, family, probability and likeness of every paragraph with a confirmed family."""
     if model.telling.isdisjoint(WORD.findall(text.lower())):
         return []
-    out, at = [], 0
+    out, run, at = [], [], 0
     for line in text.split("\n"):
-        words = WORD.findall(line.lower())
-        if not model.telling.isdisjoint(words):
-            family, p = model.predict(words)
-            if family != UNKNOWN:
-                like = likeness(words, family)
-                if like >= LIKENESS:
-                    out.append((at, at + len(line), family, p, like))
+        if not model.telling.isdisjoint(WORD.findall(line.lower())):
+            run.append((at, line))
+        elif run:
+            out += judge_run(model, run)
+            run = []
         at += len(line) + 1
-    return out
+    return out + judge_run(model, run)
 
 
 MATCH = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("family", T.StringType()), T.StructField("probability", T.DoubleType()), T.StructField("likeness", T.DoubleType())]))
