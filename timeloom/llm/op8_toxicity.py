@@ -13,9 +13,14 @@ word learnt from are known too.
 
 The sample is about PER_CLASS labelled documents of each class, none held out.
 
-Corner cases: a null or empty text scores 0; several labels of one document
-count as toxic if one does, null labels are left out; with one class alone, or
-no labels, every document scores 0; repeated rows get equal results.
+Corner cases: a null or empty text scores 0; a very long text is read whole,
+sentence by sentence, with memory in proportion to it; several labels of one
+document count as toxic if one does, null labels are left out; with one class
+alone, or no labels, every document scores 0; repeated rows get equal results
+and teach once; a score of exactly THRESHOLD counts as toxic; an empty table
+gives no rows.  ``score`` reads text alone and carries the columns it is told
+to; one called score or sentences is for the caller to rename
+(``common.set_aside``).
 """
 
 from __future__ import annotations
@@ -36,7 +41,7 @@ from timeloom.llm import common
 PER_CLASS = 3000
 THRESHOLD, LOCATE = 0.7, 0.5
 #: A word is a feature if it is in so many documents of the sample and so many standard errors more frequent in one class.
-MIN_DOCS, MIN_Z, MAX_FEATURES = 8, 4.0, 20_000
+MIN_DOCS, MIN_Z = 3, 4.0
 BASE = -4.0
 WORD = re.compile(r"\w+")
 SENTENCE = re.compile(r"[^.!?\n]+")
@@ -44,8 +49,6 @@ SENTENCE = re.compile(r"[^.!?\n]+")
 
 #: Lengths of the beginnings of words that are features.
 BEGINNINGS = range(4, 9)
-#: Words kept with their evidence in a Python worker.
-CACHE_WORDS = 300_000
 
 
 def features(word: str) -> list[str]:
@@ -56,21 +59,10 @@ def features(word: str) -> list[str]:
 class Model:
     weights: dict[str, float] = field(default_factory=dict)
 
-    def evidence(self) -> Evidence:
-        return Evidence(self.weights)
-
-
-class Evidence(dict):
-    """The weight of every word met, the sum of its features' weights."""
-
-    def __init__(self, weights: dict[str, float]):
-        self.weights = weights
-
-    def __missing__(self, word: str) -> float:
-        x = sum(self.weights.get(f, 0.0) for f in features(word)) if self.weights else 0.0
-        if len(self) < CACHE_WORDS:
-            self[word] = x
-        return x
+    def evidence(self) -> common.Kept:
+        """The weight of every word met, the sum of its features' weights."""
+        weights = self.weights
+        return common.Kept(lambda word: sum(weights.get(f, 0.0) for f in features(word)) if weights else 0.0)
 
 
 def chance(z):
@@ -118,8 +110,9 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
     by_word = texts.mapInArrow(words, "w string, y int, n long").groupBy("w").agg(F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("b"))
     rate = (F.col("a") + F.col("b") + 1) / F.lit(float(n0 + n1 + 2))
     z = (F.col("a") / n1 - F.col("b") / n0) / F.sqrt(rate * (1 - rate) * (1 / n0 + 1 / n1))
-    telling = by_word.withColumn("z", z).where((F.col("a") + F.col("b") >= MIN_DOCS) & (F.abs("z") >= MIN_Z)).orderBy(F.abs("z").desc(), "w").limit(MAX_FEATURES)
-    chosen = [(r["w"], r["a"], r["b"]) for r in telling.collect()]
+    telling = by_word.withColumn("z", z).where((F.col("a") + F.col("b") >= MIN_DOCS) & (F.abs("z") >= MIN_Z))
+    # As many as the bounded sample has; the order makes reruns agree.
+    chosen = sorted((r["w"], r["a"], r["b"]) for r in telling.select("w", "a", "b").collect())
     if not chosen:
         return Model()
     index = {w: i for i, (w, _, _) in enumerate(chosen)}
