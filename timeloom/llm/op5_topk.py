@@ -1,35 +1,44 @@
 """Exact top-k by inner product, term at a time.
 
-The rows hold sparse integer vectors; a term is a dimension.  A task turns its
-candidates into postings (term -> rows and weights) and, for a block of
-queries, scatters every query term's weighted postings into a dense array of
-scores; partition selection keeps each query's best of that task, and a window
-merges the tasks' lists.  Queries come in blocks of fixed size, each broadcast
-alone, so memory depends on neither side's length.
+The rows hold sparse integer vectors; a term is a dimension.  Rows are stored
+in blocks, a block as postings: for every term the rows that have it and their
+weights.  Every block of queries meets every block of candidates in one job:
+each term's postings of the queries are scattered, weighted by those of the
+candidates, into dense arrays of scores; partition selection keeps the best of
+each query, a task merges what it keeps over its blocks, and a window merges
+the tasks' lists.  No row passes the driver, and a task holds one block of each
+side, the scores of QUERY_GROUP queries, and the best of up to HELD queries.
+
+Spark pairs the blocks by a broadcast of one side only where that is below its
+own limit of size, and by partitions of both otherwise.
 
 Corner cases: vectors null, or with a null or non-finite component, take no
-part; vectors of unequal length meet on the dimensions they share; a repeated
-row is another candidate (only the query's own row is left out); scores are
-64-bit integers and wrap around beyond; a null id is a candidate, last among
-ties, and never a query; an empty table gives no rows.
+part; vectors of unequal length meet on the dimensions they share, and a very
+long one is as many postings as it has components that aren't 0; a repeated row
+is another candidate (only the query's own row is left out); of equal scores
+the smaller id comes first; scores are 64-bit integers and wrap around beyond;
+a null id is a candidate, last among ties, and never a query; a query without
+candidates, like an empty table, gives no rows.  Only the id and the vector are
+read, so other columns may have any name.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from timeloom.llm import common
 
-#: Queries broadcast together, and candidates scored together.
-QUERY_BLOCK, CANDIDATE_BLOCK = 2048, 2048
+#: Rows, and components, of one block; queries scored together; queries whose best a task holds.
+BLOCK, BLOCK_TERMS, QUERY_GROUP, HELD = 2048, 1 << 21, 64, 200_000
 PART = "query_uid long, query_id long, uid long, vec_id long, score long"
+ARRAYS = ["uids", "ids", "known", "terms", "start", "rows", "weights"]
 
 
 def integer_vectors(df: DataFrame, scale: int = 256, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -44,97 +53,166 @@ def integer_vectors(df: DataFrame, scale: int = 256, vec_id: str = "vec_id", vec
     )
 
 
-def dense(column: pa.Array) -> np.ndarray:
-    """Rows of integers as a matrix, padded with zeros."""
-    flat = np.asarray(column.values)[column.offsets[0].as_py() : column.offsets[-1].as_py()]
-    size = np.diff(np.asarray(column.offsets))
-    out = np.zeros((len(size), int(size.max(initial=0))), np.int64)
-    out[np.arange(out.shape[1]) < size[:, None]] = flat
-    return out
-
-
-def scatter_scores(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
+@dataclass
+class Postings:
+    """Rows by term: ``rows[start[i]:start[i + 1]]`` have ``terms[i]``, in ascending order."""
+
+    uids: np.ndarray
+    ids: np.ndarray
+    known: np.ndarray  # whether the row has an id
+    terms: np.ndarray
+    start: np.ndarray
+    rows: np.ndarray
+    weights: np.ndarray
+
+    @classmethod
+    def of(cls, uids: np.ndarray, ids: np.ndarray, known: np.ndarray, vectors: list[np.ndarray]) -> Postings:
+        row = np.repeat(np.arange(len(vectors)), [len(v) for v in vectors])
+        term = np.concatenate([np.arange(len(v)) for v in vectors]) if vectors else np.zeros(0, np.int64)
+        weight = np.concatenate(vectors) if vectors else np.zeros(0, np.int64)
+        row, term, weight = row[weight != 0], term[weight != 0], weight[weight != 0]
+        order = np.argsort(term, kind="stable")
+        terms, start = np.unique(term[order], return_index=True)
+        return cls(uids, ids, known, terms, np.r_[start, len(term)], row[order], weight[order])
+
+    def store(self) -> tuple[bytes, ...]:
+        return tuple(getattr(self, n).astype(np.int64).tobytes() for n in ARRAYS)
+
+    @classmethod
+    def load(cls, stored: list[bytes]) -> Postings:
+        return cls(*(np.frombuffer(x, np.int64) for x in stored))
+
+    def groups(self, size: int) -> Iterator[tuple[int, Postings]]:
+        """The same rows in groups of ``size``, each with the place of its first."""
+        for at in range(0, len(self.uids), size):
+            inside = (self.rows >= at) & (self.rows < at + size)
+            term = np.repeat(np.arange(len(self.terms)), np.diff(self.start))[inside]
+            some, start = np.unique(term, return_index=True)
+            part = slice(at, at + size)
+            yield at, Postings(self.uids[part], self.ids[part], self.known[part], self.terms[some], np.r_[start, len(term)], self.rows[inside] - at, self.weights[inside])
+
+
+def blocks(vectors: DataFrame) -> DataFrame:
+    """The rows as blocks of postings, one a row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        size = 0
+
+        def block() -> pa.RecordBatch:
+            uids, ids, v = zip(*held)
+            made = Postings.of(np.array(uids), np.array([i or 0 for i in ids], np.int64), np.array([i is not None for i in ids]), list(v))
+            return pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in made.store()], names=ARRAYS)
+
+        for batch in batches:
+            offsets, flat = np.asarray(batch.column(2).offsets), np.asarray(batch.column(2).values)
+            for i, (uid, vec_id) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                v = flat[offsets[i] : offsets[i + 1]]
+                if held and (len(held) == BLOCK or size + len(v) > BLOCK_TERMS):
+                    yield block()
+                    held, size = [], 0
+                held.append((uid, vec_id, v))
+                size += len(v)
+        if held:
+            yield block()
+
+    return vectors.select("uid", "vec_id", "v").mapInArrow(run, ", ".join(f"{n} binary" for n in ARRAYS))
+
+
+def scatter_scores(queries: Postings, candidates: Postings) -> np.ndarray:
     """Scores of every query with every candidate, accumulated one term at a time."""
-    scores = np.zeros((len(queries), len(candidates)), np.int64)
-    for term in range(min(queries.shape[1], candidates.shape[1])):
-        asks = np.flatnonzero(queries[:, term])
-        rows = np.flatnonzero(candidates[:, term])
-        if not len(asks) or not len(rows):
-            continue
-        weights = candidates[rows, term]
-        if len(asks) == len(queries) and len(rows) == len(candidates):
-            scores += queries[:, term, None] * weights
-        elif len(rows) == len(candidates):
-            scores[asks] += queries[asks, term, None] * weights
+    n, m = len(queries.uids), len(candidates.uids)
+    most = [int(np.abs(x.weights).max(initial=0)) for x in (queries, candidates)]
+    narrow = most[0] * most[1] * min(len(queries.terms), len(candidates.terms)) < 1 << 31
+    kind = np.int32 if narrow else np.int64
+    scores, buffer = np.zeros((n, m), kind), np.empty((n, m), kind)
+    q_weights, c_weights = queries.weights.astype(kind), candidates.weights.astype(kind)
+    _, qs, cs = np.intersect1d(queries.terms, candidates.terms, assume_unique=True, return_indices=True)
+    for q, c in zip(qs.tolist(), cs.tolist()):
+        a, b = slice(queries.start[q], queries.start[q + 1]), slice(candidates.start[c], candidates.start[c + 1])
+        asks, rows = queries.rows[a], candidates.rows[b]
+        if len(asks) == n and len(rows) == m:
+            np.multiply(q_weights[a, None], c_weights[b], out=buffer)
+            scores += buffer
+        elif len(rows) == m:
+            scores[asks] += q_weights[a, None] * c_weights[b]
         else:
-            scores[np.ix_(asks, rows)] += queries[asks, term, None] * weights
+            scores[np.ix_(asks, rows)] += q_weights[a, None] * c_weights[b]
     return scores
 
 
-def best(scores: np.ndarray, ids: np.ndarray, uids: np.ndarray, own: int, k: int) -> np.ndarray:
-    """Positions of the k best scores; of equal scores the smaller id, then the smaller uid."""
-    place = np.flatnonzero(uids != own)
-    if len(place) > k:
-        limit = np.partition(scores[place], len(place) - k)[len(place) - k]
-        place = place[scores[place] >= limit]
-    return place[np.lexsort((uids[place], ids[place], -scores[place]))[:k]]
+#: What is kept of candidates: the query's place, score, id, whether there is one, and uid.
+Found = tuple[np.ndarray, ...]
+
+
+def first_k(found: Found, k: int) -> Found:
+    """The k best of each query; of equal scores the smaller id, then the smaller uid."""
+    query, score, vec_id, known, uid = found
+    order = np.lexsort((uid, vec_id, known == 0, np.invert(score), query))  # ~score falls as score grows, without overflow
+    query = query[order]
+    place = np.arange(len(query)) - np.searchsorted(query, query)
+    order = order[place < k]
+    return tuple(x[order] for x in found)
+
+
+def select(scores: np.ndarray, queries: Postings, candidates: Postings, k: int) -> Found:
+    """By partition, the k best candidates of each query, its own row left out."""
+    m = scores.shape[1]
+    if m > k + 1:
+        limit = np.partition(scores, m - k - 1, axis=1)[:, m - k - 1]
+        query, place = np.nonzero(scores >= limit[:, None])
+    else:
+        query, place = (x.ravel() for x in np.indices(scores.shape))
+    other = queries.uids[query] != candidates.uids[place]
+    query, place = query[other], place[other]
+    return first_k((query, scores[query, place].astype(np.int64), candidates.ids[place], candidates.known[place], candidates.uids[place]), k)
+
+
+def best_of_pairs(pairs: DataFrame, k: int) -> DataFrame:
+    """The k best of every query over the candidate blocks that a task pairs it with; more rows than that where it holds too many queries."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple[Postings, Found]] = {}
+        candidates, stored = None, None
+
+        def give() -> Iterator[pa.RecordBatch]:
+            for queries, (query, score, vec_id, known, uid) in held.values():
+                ids = pa.array(vec_id, mask=known == 0)
+                columns = [pa.array(queries.uids[query]), pa.array(queries.ids[query]), pa.array(uid), ids, pa.array(score)]
+                yield pa.RecordBatch.from_arrays(columns, names=["query_uid", "query_id", "uid", "vec_id", "score"])
+            held.clear()
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = [c[i].as_py() for c in batch.columns]
+                asked, offered = row[: len(ARRAYS)], row[len(ARRAYS) :]
+                if offered != stored:
+                    candidates, stored = Postings.load(offered), offered
+                queries = Postings.load(asked)
+                found = []
+                for at, group in queries.groups(QUERY_GROUP):
+                    query, *rest = select(scatter_scores(group, candidates), group, candidates, k)
+                    found.append((query + at, *rest))
+                if (key := int(queries.uids[0])) in held:
+                    found.append(held[key][1])
+                held[key] = queries, first_k(tuple(map(np.concatenate, zip(*found))), k)
+                if sum(len(x[0].uids) for x in held.values()) > HELD:
+                    yield from give()
+        yield from give()
+        common.give_back()
+
+    return pairs.mapInArrow(run, PART)
 
 
 def top_k(df: DataFrame, is_query, k: int = 5, scale: int = 256, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """query_id, rank, vec_id, score: the k best candidates of each row for which ``is_query`` holds."""
-    spark = df.sparkSession
+    """query_id, rank, vec_id, score: the k best candidates of each row for which ``is_query``, a condition on vec_id, holds."""
     vectors = common.durable(integer_vectors(df, scale, vec_id, vector), "vectors")
-    last = np.iinfo(np.int64).max
-
-    def block_of(rows) -> DataFrame:
-        asked = spark.sparkContext.broadcast(([r[0] for r in rows], [r[1] for r in rows], [np.array(r[2], np.int64) for r in rows]))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            q_uid, q_id, q_rows = asked.value
-            width = max(map(len, q_rows))
-            queries = np.zeros((len(q_rows), width), np.int64)
-            for i, v in enumerate(q_rows):
-                queries[i, : len(v)] = v
-            for whole in batches:
-                for at in range(0, whole.num_rows, CANDIDATE_BLOCK):
-                    batch = whole.slice(at, CANDIDATE_BLOCK)
-                    uids = np.asarray(batch.column(0))
-                    ids = batch.column(1)
-                    order = np.asarray(ids.fill_null(last))
-                    scores = scatter_scores(queries, dense(batch.column(2)))
-                    take = [best(scores[i], order, uids, q_uid[i], k) for i in range(len(q_uid))]
-                    n = [len(t) for t in take]
-                    flat = np.concatenate(take)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.repeat(q_uid, n)),
-                            pa.array(np.repeat(q_id, n)),
-                            pa.array(uids[flat]),
-                            ids.take(pa.array(flat)),
-                            pa.array(scores[np.repeat(np.arange(len(n)), n), flat]),
-                        ],
-                        names=["query_uid", "query_id", "uid", "vec_id", "score"],
-                    )
-
-        found = vectors.mapInArrow(run, PART)
-        order = [F.col("score").desc(), F.col("vec_id").asc_nulls_last(), F.col("uid")]
-        ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_uid").orderBy(*order)))
-        return common.durable(ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"), "top-k")
-
-    parts, rows = [], []
-    for row in vectors.where(is_query).toLocalIterator():
-        rows.append(row)
-        if len(rows) == QUERY_BLOCK:
-            parts.append(block_of(rows))
-            rows = []
-    if rows:
-        parts.append(block_of(rows))
-    if not parts:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionAll(part)
-    return out
+    asked = common.durable(blocks(vectors.where(is_query).where("vec_id IS NOT NULL")), "query-blocks")
+    offered = common.durable(blocks(vectors), "candidate-blocks")
+    pairs = asked.select(*(F.col(n).alias(f"q_{n}") for n in ARRAYS)).crossJoin(offered)
+    order = [F.col("score").desc(), F.col("vec_id").asc_nulls_last(), F.col("uid")]
+    ranked = best_of_pairs(pairs, k).withColumn("rank", F.row_number().over(Window.partitionBy("query_uid").orderBy(*order)))
+    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
