@@ -4,17 +4,20 @@ A document's token ids are cut into full windows and a rest; full windows are
 sequences by themselves, the rests are packed from long to short, each into the
 open window with the least room that still holds it.  A segment tree over the
 remaining capacities finds that window.  Each task packs its own share of the
-table of pieces, which holds lengths and checksums only, so nothing is
-shuffled and a task's memory depends on its share alone.
+table of pieces, which holds lengths and checksums only, TOGETHER pieces at a
+time, so nothing is shuffled and memory is bounded.
 
 Ids come from the tokenizer itself.  Texts of common Latin characters are split
 as the tokenizer splits them, by arrays of character classes, and each distinct
-word is encoded once and then found by a 64-bit hash; any other text goes
-through the tokenizer whole.  Both give the same ids.
+word is encoded once and then found by a 64-bit hash; any other text, and one
+of more than LONG_TEXT characters, goes through the tokenizer whole.  Both give
+the same ids, up to a collision of the hashes of two words that a worker meets.
 
 Corner cases: a null or empty text has only the end id; a length that is a
-multiple of the window leaves no rest; repeated rows are packed as often as
-they come; an empty table gives no rows.
+multiple of the window leaves no rest; a very long text is many full windows,
+with memory in proportion to it; of equal lengths the first comes first;
+repeated rows are packed as often as they come; an empty table gives no rows.
+Only doc_id and text are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -33,6 +36,8 @@ from pyspark.sql import types as T
 from timeloom.llm import common
 
 WINDOW, END_ID = 4096, 2
+#: Pieces packed together, which bounds a task's memory; what is lost is about one open window in so many pieces.
+TOGETHER = 500_000
 #: Words that a Python worker can keep, and their ids at most; both are let go together when the ids are full.
 SLOTS, POOL_IDS = 1 << 21, 3_000_000
 #: Characters split together.
@@ -282,15 +287,32 @@ def pack(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
     """Give every piece its sequence and offset.
 
     ``pieces`` must be a stored table, so that a task that runs again sees the
-    same share.  A sequence's id is the share's number times 2^40 and a count.
+    same share.  A task packs TOGETHER pieces at a time.  A sequence's id is
+    the share's number times 2^40 and a count.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        share = TaskContext.get().partitionId() << 40
-        table = pa.Table.from_batches(list(batches), schema=pa.schema([(n, pa.int64()) for n in PIECES.names]))
-        sequence, offset = best_fit(table["length"].to_numpy(), window)
-        table = table.append_column("sequence_id", pa.array(sequence + share)).append_column("offset", pa.array(offset))
-        yield from table.to_batches(max_chunksize=100_000)
+        used, held, rows = TaskContext.get().partitionId() << 40, [], 0
+
+        def packed() -> Iterator[pa.RecordBatch]:
+            nonlocal used
+            table = pa.Table.from_batches(held, schema=pa.schema([(n, pa.int64()) for n in PIECES.names]))
+            sequence, offset = best_fit(table["length"].to_numpy(), window)
+            table = table.append_column("sequence_id", pa.array(sequence + used)).append_column("offset", pa.array(offset))
+            used += int(sequence.max(initial=-1)) + 1
+            yield from table.to_batches(max_chunksize=100_000)
+
+        for batch in batches:
+            while batch.num_rows:
+                part = batch.slice(0, TOGETHER - rows)
+                held.append(part)
+                rows, batch = rows + part.num_rows, batch.slice(part.num_rows)
+                if rows == TOGETHER:
+                    yield from packed()
+                    held, rows = [], 0
+        if held:
+            yield from packed()
+        common.give_back()
 
     return pieces.mapInArrow(run, PACKED)
 
