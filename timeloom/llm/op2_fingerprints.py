@@ -6,14 +6,17 @@ passage of at least ``k + window - 1`` code points that two texts share gives
 both the same selected hash, whatever surrounds it.  Positions are kept.
 
 Corner cases: a null text is empty and has the empty fingerprint; a text
-shorter than k is one gram; fewer grams than a window are one window; repeated
-rows get equal results; other columns, whatever their names, are not read.
+shorter than k is one gram; fewer grams than a window are one window; a very
+long text is hashed in blocks, with memory in proportion to it; repeated rows
+get equal fingerprints, and are each other's next; an empty table gives no
+rows; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -109,8 +112,8 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 def fingerprint(df: DataFrame, keep: list[str], text: str = "text", k: int = K, window: int = WINDOW) -> DataFrame:
     """The columns ``keep`` and, of each whole text, the selected hashes and their positions."""
-    if not 1 <= window <= 1 << 16 or k < 1:
-        raise ValueError("k must be 1 at least, window between 1 and 65536")
+    if not 1 <= window < 1 << 16 or k < 1:
+        raise ValueError("k must be 1 at least, window between 1 and 65535")
 
     def make():
         def score(texts):
@@ -122,29 +125,50 @@ def fingerprint(df: DataFrame, keep: list[str], text: str = "text", k: int = K,
     return common.map_text(df, keep, make, [("hashes", T.ArrayType(T.LongType())), ("positions", T.ArrayType(T.LongType()))], text)
 
 
+def range_edges(rows: DataFrame, columns: list[str], ranges: int) -> list[tuple[int, ...]]:
+    """Bounds that cut the rows into about equal ranges; where one value fills several, the next column cuts it."""
+    if ranges < 2:
+        return []
+    top, column = (1 << 63) - 1, F.col(columns[0])
+    found = rows.select(column.cast("double").alias("x")).approxQuantile("x", [i / ranges for i in range(1, ranges)], 0.2 / ranges)
+    out: list[tuple[int, ...]] = []
+    for x, times in sorted(Counter(found).items()):
+        value, hot = min(int(x), top), times > 2 and columns[1:]
+        if hot:  # the very value; a double is near it only
+            value = rows.where(column.cast("double") == F.lit(x)).groupBy(column.alias("v")).count().orderBy(F.col("count").desc(), "v").first()["v"]
+        out.append((value,))
+        if hot:
+            out += [(value, *edge) for edge in range_edges(rows.where(column == F.lit(value)), columns[1:], times + 1)]
+    return out
+
+
 def beside_next(docs: DataFrame) -> DataFrame:
     """All rows, in partitions that are ranges of descending doc_id and sorted so, each followed by the first row of the next range.
 
     Quantiles of the ids give the ranges, so the texts are exchanged once.
-    Equal ids are ordered by a hash of the text, null ids come last.  Of each
-    range only its first key reaches the driver.  ``_lent`` marks the copies.
+    Equal ids are ordered by a hash of the text, null ids come last; an id of
+    very many rows, or none, is cut by that hash, and one row that is repeated
+    as often by its place in ``docs``, which must then be the same whenever
+    they are read.  Of each range only its first key reaches the driver.
+    ``_lent`` marks the copies.
     """
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key = ["_null", "_down", "_tie"]
+    key = ["_null", "_down", "_tie", "_place"]
     rows = docs.select("doc_id", "text").select(
         "*",
         F.col("doc_id").isNull().cast("int").alias("_null"),
-        F.coalesce(-1 - F.col("doc_id").cast("bigint"), F.lit(0).cast("bigint")).alias("_down"),
+        F.coalesce(-1 - F.col("doc_id").cast("bigint"), F.lit((1 << 63) - 1)).alias("_down"),
         F.coalesce(F.xxhash64("text"), F.lit(0).cast("bigint")).alias("_tie"),
+        F.xxhash64(F.monotonically_increasing_id()).alias("_place"),
     )
-    ids = docs.where("doc_id IS NOT NULL").select((-1 - F.col("doc_id").cast("double")).alias("_down"))
-    shares = [i / partitions for i in range(1, partitions)]
-    edges = sorted({int(c) for c in ids.approxQuantile("_down", shares, 0.2 / partitions)}) if shares else []
-    rows = rows.withColumn("_range", F.when(F.col("_null") == 1, F.lit(len(edges))).otherwise(_range(F.col("_down"), edges)))
+    edges = range_edges(rows, key[1:], partitions)
+    if all(len(e) < 3 for e in edges):
+        rows = rows.withColumn("_place", F.lit(0).cast("bigint"))
+    rows = rows.withColumn("_range", _range(key[1:], edges))
     heads = rows.groupBy("_range").agg(F.min(F.struct(*key)).alias("h")).orderBy("_range").collect()
     before = {heads[i]["_range"]: heads[i - 1]["_range"] for i in range(len(heads))}
-    lend = spark.createDataFrame([(*h["h"], before[h["_range"]]) for h in heads], "_null int, _down long, _tie long, _to int")
+    lend = spark.createDataFrame([(*h["h"], before[h["_range"]]) for h in heads], "_null int, _down long, _tie long, _place long, _to int")
     rows = rows.join(F.broadcast(lend), key, "left")
     places = F.array(F.struct(F.lit(False).alias("lent"), F.col("_range").alias("at")), F.struct(F.lit(True).alias("lent"), F.col("_to").alias("at")))
     rows = rows.select("doc_id", "text", *key, F.explode(F.filter(places, lambda x: x["at"].isNotNull())).alias("_x"))
@@ -152,14 +176,20 @@ def beside_next(docs: DataFrame) -> DataFrame:
     return rows.repartitionById(len(edges) + 1, F.col("_range")).sortWithinPartitions("_lent", *key).select("doc_id", "text", "_lent")
 
 
-def _range(key, edges: list[int]):
+def _range(key: list[str], edges: list[tuple[int, ...]]):
     """How many of the ascending edges are at most the key, as a balanced tree of comparisons."""
 
+    def below(edge: tuple[int, ...]):
+        test = F.lit(False)
+        for column, value in reversed(list(zip(key, edge))):
+            test = (F.col(column) < F.lit(value)) | ((F.col(column) == F.lit(value)) & test)
+        return test
+
     def tree(lo: int, hi: int):
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
-        return F.when(key < F.lit(edges[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+        return F.when(below(edges[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
 
     return tree(0, len(edges))
 
