@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
 from timeloom.llm import (
     op1_licenses,
     op2_fingerprints,
@@ -14,6 +13,7 @@ from timeloom.llm import (
     op8_toxicity,
     op9_jaccard_join,
     op10_quality,
+    pipeline,
 )
 
 QUERIES = {
@@ -27,9 +27,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity.query,
     "op9_jaccard_join": op9_jaccard_join.query,
     "op10_quality": op10_quality.query,
-    "pipeline": corpus_pipeline.run,
+    "pipeline": pipeline.run,
 }
 
 ORACLE_SQL = {"op5_topk": op5_topk.SQL}
-if corpus_pipeline.ORACLE_SQL:
-    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+if pipeline.ORACLE_SQL:
+    ORACLE_SQL["pipeline"] = pipeline.ORACLE_SQL
