@@ -1,9 +1,9 @@
 """Ordered operators: change signals, islands and folds.
 
 What a look at neighbouring rows decides is a window expression.  What needs
-the state of the group so far is a fold: one exchange by key, a sort, and a
-stream over each sorted partition that keeps a single state, so a group of any
-length costs constant memory.
+the state of the group so far is a fold inside islands that window expressions
+have cut already: it streams over sorted partitions with one state, so an
+island of any length costs constant memory.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from timeloom.functions.times import seconds_between
 
 # Bits of difference, and seconds, within which frames are compared.
 DUPLICATE_BITS, BRIDGE_BITS, COMPARE_SECONDS = 6, 10, 300.0
+WORD64 = (1 << 64) - 1
 
 
 def ordered(keys: list[str], order: list) -> WindowSpec:
@@ -47,66 +48,74 @@ def islands(df: DataFrame, keys: list[str], order: list, breaks: Callable[[Windo
     return df.withColumn("_break", F.coalesce(breaks(w), F.lit(True)).cast("int")).withColumn(out, F.sum("_break").over(running(w))).drop("_break")
 
 
-Step = Callable[[object, dict], tuple[bool, object]]
+def instant(df: DataFrame, c: str) -> Column:
+    """Microseconds since 1970, whatever kind of timestamp the column is."""
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast(df.schema[c].dataType), F.col(c))
 
 
-def fold(df: DataFrame, keys: list[str], order: list[str], reads: list[str], step: Step, out: str = "segment_no") -> DataFrame:
-    """Number groups by a step function over the sorted rows of each key.
+def fold(df: DataFrame, keys: list[str], order: list[str], hard: Column, facts: dict[str, Column], step: Callable, out: str) -> DataFrame:
+    """Number groups that depend on the state of the group so far, in two phases.
 
-    ``step`` gets the state (None at a key's first row) and the columns
-    ``reads`` of the row; it returns whether a group starts and the next state.
+    ``hard`` says, by window expressions over the rows before, where a group
+    begins whatever the state; a null counts as one.  The rows between are an
+    island, and islands are dealt to all tasks, so that one key can fill many.
+    Inside an island ``step(state, *facts)``, with a state of None at its first
+    row, gives whether a group begins and the next state; it sees only the
+    ``facts``, a few numbers that the JVM has made.  A last running sum numbers
+    the groups of each key.
     """
-    names, schema = df.columns, T.StructType([*df.schema.fields, T.StructField(out, T.LongType())])
+    over, names = ordered(keys, order), list(facts)
+    rows = df.withColumns({"_hard": F.coalesce(hard, F.lit(True)).cast("int"), **facts})
+    rows = rows.withColumn("_island", F.sum("_hard").over(running(over))).drop("_hard")
+    group = [*keys, "_island"]
+    schema = T.StructType([*rows.schema.fields, T.StructField("_begins", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
-
-        target, key, state, number = to_arrow_schema(schema), None, None, 0
+        now, state = None, None
         for batch in batches:
-            place = {n: i for i, n in enumerate(batch.schema.names)}
-            columns = {c: batch.column(place[c]).to_pylist() for c in {*keys, *reads}}
-            numbers = []
-            for i in range(batch.num_rows):
-                now = tuple(columns[k][i] for k in keys)
-                if now != key:
-                    key, state, number = now, None, 0
-                starts, state = step(state, {c: columns[c][i] for c in reads})
-                number += starts
-                numbers.append(number)
-            arrays = [batch.column(place[n]) for n in names]
-            arrays.append(pa.array(numbers, pa.int64()))
-            yield pa.RecordBatch.from_arrays([a if a.type == t.type else a.cast(t.type) for a, t in zip(arrays, target)], schema=target)
-
-    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
+            column = {c: batch.column(i).to_pylist() for i, c in enumerate(batch.schema.names) if c in group or c in names}
+            begins = []
+            for which, seen in zip(zip(*(column[c] for c in group)), zip(*(column[c] for c in names))):
+                if which != now:
+                    now, state = which, None
+                first, state = step(state, *seen)
+                begins.append(int(first))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(begins, pa.int32())], names=[*batch.schema.names, "_begins"])
+
+    walked = rows.repartition(*group).sortWithinPartitions(*group, *order).mapInArrow(run, schema)
+    return walked.withColumn(out, F.sum("_begins").over(running(over))).select(*df.columns, out)
 
 
 def capped_scenes(df: DataFrame, keys: list[str], order: list[str], start: str, end: str, app: str, category: str, gap: float = 75.0, longest: float = 180.0, out: str = "scene_no") -> DataFrame:
     """Scenes: near enough to the row before, of its application or category, and at most ``longest`` seconds from the scene's start."""
+    w, cap = ordered(keys, order), int(longest * 1e6)
+    begin, ends = instant(df, start), F.coalesce(instant(df, end), instant(df, start))
+    same = lambda c: F.coalesce((F.col(c) != "") & (F.col(c) == F.lag(c).over(w)), F.lit(False))
+    apart = begin - F.lag(ends).over(w) > int(gap * 1e6)
 
-    def step(state, row):
-        s, e = row[start], row[end] if row[end] is not None else row[start]
-        if state:
-            first, last, before_app, before_category = state
-            alike = (row[app] and row[app] == before_app) or (row[category] and row[category] == before_category)
-            if (s - last).total_seconds() <= gap and (e - first).total_seconds() <= longest and alike:
-                return False, (first, e, row[app], row[category])
-        return True, (s, e, row[app], row[category])
+    def step(since, first, last):
+        return (True, first) if since is None or last - since > cap else (False, since)
 
-    return fold(df, keys, order, [start, end, app, category], step, out)
+    return fold(df, keys, order, apart | ~(same(app) | same(category)), {"_first": begin, "_last": ends}, step, out)
 
 
 def capped_overlaps(df: DataFrame, keys: list[str], order: list[str], start: str, end: str, tolerance: float = 8.0, longest: float = 900.0, out: str = "group_no") -> DataFrame:
-    """Groups of intervals that start before the latest end so far plus ``tolerance``, of at most ``longest`` seconds."""
+    """Groups of intervals that start before the latest end so far plus ``tolerance``, of at most ``longest`` seconds.
+
+    Beyond the latest end of all rows before there is a break for certain.
+    """
+    near, cap = int(tolerance * 1e6), int(longest * 1e6)
+    begin, ends = instant(df, start), instant(df, end)
+    reach = F.max(ends).over(ordered(keys, order).rowsBetween(Window.unboundedPreceding, -1))
 
-    def step(state, row):
-        s, e = row[start], row[end]
-        if state:
-            low, high = min(state[0], s), max(state[1], e)
-            if (s - state[1]).total_seconds() <= tolerance and (high - low).total_seconds() <= longest:
-                return False, (low, high)
-        return True, (s, e)
+    def step(span, first, last):
+        if span is not None and first <= span[1] + near:
+            wider = min(first, span[0]), max(last, span[1])
+            if wider[1] - wider[0] <= cap:
+                return False, wider
+        return True, (first, last)
 
-    return fold(df, keys, order, [start, end], step, out)
+    return fold(df, keys, order, begin - reach > near, {"_first": begin, "_last": ends}, step, out)
 
 
 def anchored_segments(
@@ -117,24 +126,25 @@ def anchored_segments(
     The anchor is the run's first picture; it moves to a row of the run that is
     like neither the anchor nor the row before.
     """
-
-    def alike(a, b):
-        if a[0] and a[0] == b[0]:
-            return True
-        return a[1] is not None and b[1] is not None and ((a[1] ^ b[1]) & 0xFFFFFFFFFFFFFFFF).bit_count() <= bits
-
-    def step(state, row):
-        name, heading, picture = (row[app] or "").strip().lower(), row[title] or "", (row[sha], row[dhash])
-        if state:
-            before, before_name, before_heading, anchor = state
-            same = name == before_name and name not in ("", "unknown")
-            same_heading = bool(heading) and heading == before_heading
-            same_anchor = alike(picture, anchor)
-            if (row[at] - before).total_seconds() <= gap and (same or same_heading or row[near] or same_anchor):
-                return False, (row[at], name, heading, anchor if same_anchor or row[near] else picture)
-        return True, (row[at], name, heading, picture)
-
-    return fold(df, keys, order, [at, app, title, sha, dhash, near], step, out)
+    w = ordered(keys, order)
+    name, heading = F.lower(F.trim(F.coalesce(app, F.lit("")))), F.coalesce(title, F.lit(""))
+    like = F.coalesce(F.col(near), F.lit(False))
+    tied = like | ((name == F.lag(name).over(w)) & ~name.isin("", "unknown")) | ((heading != "") & (heading == F.lag(heading).over(w)))
+    apart = instant(df, at) - F.lag(instant(df, at)).over(w) > int(gap * 1e6)
+
+    def step(anchor, tie, close, digest, picture):
+        seen = (digest, picture)
+        if anchor is None:
+            return True, seen
+        by_digest = bool(digest) and digest == anchor[0]
+        both = picture is not None and anchor[1] is not None
+        by_picture = both and ((picture ^ anchor[1]) & WORD64).bit_count() <= bits
+        if by_digest or by_picture:
+            return False, anchor
+        return not tie, anchor if tie and close else seen
+
+    facts = {"_tie": F.coalesce(tied, F.lit(False)), "_close": like, "_digest": F.col(sha), "_picture": F.col(dhash)}
+    return fold(df, keys, order, apart, facts, step, out)
 
 
 def frame_segments(df: DataFrame, keys: list[str], order: list, at: str, app: str, host: str, title: str, gap: float = 45.0, out: str = "segment_no") -> DataFrame:
