@@ -34,16 +34,46 @@ ARTIFACT_SOURCE = {
 }
 INTERPRETED = "codex_interpretation"
 
-# Applications by category.
+# The category of each application.
 APP_CATEGORY = {
-    "development": ["terminal", "iterm2", "warp", "ghostty", "ptyxis", "gnome-terminal", "konsole", "alacritty", "kitty", "claude code", "visual studio code", "cursor", "xcode"],
-    "browser": ["google chrome", "chrome", "safari", "arc", "firefox", "brave browser"],
-    "unknown": ["gnome-shell", "mutter"],
-    "communication": ["slack", "discord", "signal", "messages"],
-    "meeting": ["zoom", "microsoft teams", "meet"],
-    "documents": ["notion", "preview", "google docs", "loupe", "eye of gnome"],
-    "system_navigation": ["finder", "org.gnome.nautilus", "nautilus"],
-    "system_settings": ["system settings", "gnome-control-center"],
+    "terminal": "development",
+    "iterm2": "development",
+    "warp": "development",
+    "ghostty": "development",
+    "ptyxis": "development",
+    "gnome-terminal": "development",
+    "konsole": "development",
+    "alacritty": "development",
+    "kitty": "development",
+    "claude code": "development",
+    "visual studio code": "development",
+    "cursor": "development",
+    "xcode": "development",
+    "google chrome": "browser",
+    "chrome": "browser",
+    "safari": "browser",
+    "arc": "browser",
+    "firefox": "browser",
+    "brave browser": "browser",
+    "gnome-shell": "unknown",
+    "mutter": "unknown",
+    "slack": "communication",
+    "discord": "communication",
+    "signal": "communication",
+    "messages": "communication",
+    "zoom": "meeting",
+    "microsoft teams": "meeting",
+    "meet": "meeting",
+    "notion": "documents",
+    "preview": "documents",
+    "google docs": "documents",
+    "loupe": "documents",
+    "eye of gnome": "documents",
+    "finder": "system_navigation",
+    "org.gnome.nautilus": "system_navigation",
+    "nautilus": "system_navigation",
+    "system settings": "system_settings",
+    "gnome-control-center": "system_settings",
 }
 # The recorder's own applications; name yours here or where they are a parameter.
 CAPTURE_APPS = ("timeloom capture",)
@@ -114,7 +144,7 @@ def artifact_source(kind: Column) -> Column:
 def app_category(name: Column, capture_apps: tuple[str, ...] = CAPTURE_APPS) -> Column:
     """Whole names first, then parts of names in their order."""
     key = F.lower(F.trim(name))
-    exact = {app: category for category, apps in APP_CATEGORY.items() for app in apps} | {app: "capture_control" for app in capture_apps}
+    exact = APP_CATEGORY | dict.fromkeys(capture_apps, "capture_control")
     out = F.lit("unknown")
     for category, parts in reversed(APP_PARTS):
         hit = F.lit(False)

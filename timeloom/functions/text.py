@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from itertools import takewhile
 
 import pandas as pd
 from pyspark.sql import Column
@@ -74,19 +75,27 @@ def joined_facts(xs: Column, sep: str = "; ", limit: int | None = None) -> Colum
     return F.nullif(F.array_join(F.filter(F.transform(some, squeeze), lambda x: x.isNotNull()), sep), F.lit(""))
 
 
-def spoken(value) -> str | None:
-    """Any JSON value as text: lists as ``a; b``, objects as ``k: v; ...``."""
-    if value is None:
-        return None
-    if isinstance(value, str):
-        return " ".join(value.split()) or None
-    if isinstance(value, (bool, int, float)):
-        return str(value)
-    if isinstance(value, list):
-        return "; ".join(t for t in map(spoken, value) if t) or None
-    if isinstance(value, dict):
-        return "; ".join(f"{k}: {t}" for k, v in value.items() if (t := spoken(v))) or None
-    return str(value)
+def leaves(document) -> Iterator[tuple[tuple, str]]:
+    """The path and text of every leaf of a JSON value that says something; a path's steps are (place, key), the key None in lists."""
+    waiting = [((), document)]
+    while waiting:
+        path, value = waiting.pop()
+        if isinstance(value, (dict, list)):
+            inside = value.items() if isinstance(value, dict) else ((None, v) for v in value)
+            waiting += reversed([((*path, (place, key)), v) for place, (key, v) in enumerate(inside)])
+        elif value is not None and (shown := " ".join(str(value).split())):
+            yield path, shown
+
+
+def spoken(document) -> str | None:
+    """Any JSON value as one line: its leaves, each after the keys that it is the first to stand under."""
+    parts, before = [], ()
+    for path, shown in leaves(document):
+        old = sum(1 for _ in takewhile(lambda two: two[0] == two[1], zip(path, before)))
+        keys = [str(key) for _, key in path[old:] if key is not None]
+        parts.append(": ".join([*keys, shown]))
+        before = path
+    return "; ".join(parts) or None
 
 
 @F.pandas_udf(T.StringType())
