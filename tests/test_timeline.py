@@ -475,14 +475,6 @@ def test_cascades(spark, story):
     assert after["reference_scene_member"].count() == 0 and after["event"].count() == 0 and refs.event.count() == 1
 
 
-def test_publish_replaces_touched_partitions(spark, tmp_path):
-    path = str(tmp_path / "t")
-    df = spark.createDataFrame([("u", "1", 1), ("u", "2", 2)], "user_id string, day string, v int")
-    upsert.publish(df, path, ["user_id", "day"])
-    upsert.publish(df.where("day = '2'").withColumn("v", F.lit(9)), path, ["user_id", "day"])
-    assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == [1, 9]
-
-
 def test_job_transitions(spark):
     base = {"user_id": "u", "job_type": "fuse", "attempt_count": 0, "max_attempts": 2, "state": "queued", "priority": 1}
     rows = [base | {"id": "p"}, base | {"id": "a", "parent_job_id": "p", "priority": 5}, base | {"id": "b", "parent_job_id": "p"}]
@@ -514,6 +506,44 @@ def test_scans(spark):
     assert [r["day"] for r in scans.event_days(df, "u").collect()] == ["2026-01-01", "2026-01-02"] and scans.device_days(df, "u").count() == 2 and scans.get(df, "a").count() == 1
 
 
+def test_store_swaps_touched_days(spark, tmp_path):
+    from timeloom.plans.store import TableStore
+
+    store = TableStore(spark, str(tmp_path / "store"))
+    store.write("event", events(spark, [event("a", 0, 10, "x"), event("b", 90_000, None, "x"), event("c", 180_000, None, "x")]))
+    days = spark.createDataFrame([("u", "2026-01-02")], "user_id string, day string")
+    first = store.current("event")
+    store.replace_days("event", events(spark, []), days)  # the day becomes empty
+    assert sorted(r["id"] for r in store.read("event").collect()) == ["a", "c"]
+    kept = {r["_version"] for r in store._manifest("event", store.current("event")).collect()}
+    assert kept == {first}  # the other days weren't rewritten
+    moved = event("a", 90_000, None, "x")
+    store.write("scene_window", spark.createDataFrame([("s", "u", at(0), None)], "id string, user_id string, start_at timestamp, end_at timestamp"))
+    store.upsert("scene_window", spark.createDataFrame([("s", "u", at(90_000), None)], "id string, user_id string, start_at timestamp, end_at timestamp"))
+    rows = store.read("scene_window").collect()  # moved to another day, and gone from its first
+    assert [(r["id"], r["start_at"]) for r in rows] == [("s", at(90_000))] and moved
+    nobody = spark.createDataFrame([("n", None, None, None)], "id string, user_id string, start_at timestamp, end_at timestamp")
+    store.upsert("scene_window", nobody)
+    store.upsert("scene_window", nobody)
+    assert store.read("scene_window").count() == 2
+    one = store.read("event", spark.createDataFrame([("u-u", "2026-01-03")], "_user string, _day string"))
+    assert [r["id"] for r in one.collect()] == ["c"] and "PartitionFilters: [" in one._jdf.queryExecution().toString()
+    store.vacuum("event"), store.vacuum("scene_window")
+    assert store.read("event").count() == 2 and store.read("scene_window").count() == 2
+    assert len(list((tmp_path / "store/event/manifest").iterdir())) == 1
+
+
+def test_a_write_that_dies_changes_nothing(spark, tmp_path, monkeypatch):
+    from timeloom.plans.store import TableStore
+
+    store = TableStore(spark, str(tmp_path / "store"))
+    store.write("event", events(spark, [event("a", 0, 10, "x")]))
+    monkeypatch.setattr(TableStore, "_switch", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        store.write("event", events(spark, [event("b", 0, 10, "x")]))
+    assert [r["id"] for r in store.read("event").collect()] == ["a"]
+
+
 def test_store_upserts_partitions(spark, tmp_path):
     from timeloom.plans.store import TableStore
 

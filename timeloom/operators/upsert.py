@@ -1,7 +1,7 @@
 """Keyed upserts, replacements and cascades, as queries over snapshots.
 
 Plain files can't be changed in place: each operator returns the new snapshot,
-and ``publish`` swaps it in, whole or by the partitions it touches.
+and ``plans.store`` swaps it in, whole or by the days that it touches.
 """
 
 from __future__ import annotations
@@ -116,11 +116,3 @@ def cascade_references(tables: dict[str, DataFrame], where: Column, created_by:
     out["event"] = without(tables["event"], events, "id")
     out["reference_scene"] = without(tables["reference_scene"], ids, "id")
     return out, {"references": ids, "events": events}
-
-
-def publish(df: DataFrame, path: str, partitions: list[str] | None = None) -> None:
-    """Write a snapshot.  With partition columns only the partitions in ``df`` are replaced."""
-    writer = df.write.mode("overwrite")
-    if partitions:
-        writer = writer.partitionBy(*partitions).option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
