@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # BM25's parameters and the least weight of a term.
@@ -33,24 +35,50 @@ def fold_word(x: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFD", x.lower()) if not unicodedata.combining(c))
 
 
+PLACED = "array<struct<field:int,position:int,token:string>>"
+
+
 @dataclass(frozen=True)
 class Index:
-    """postings (token, doc, field, position), lengths (doc, length)."""
+    """An inverted index: over documents as they are (``words``), or stored (``postings``, sorted by token).
+
+    words: doc, length, words; postings: token, doc, field, position; lengths: doc, length.
+    """
 
-    postings: DataFrame
     lengths: DataFrame
+    words: DataFrame | None = None
+    postings: DataFrame | None = None
+
+    def found(self, any_of: Callable[[Column], Column]) -> DataFrame:
+        """doc, length and the places of the tokens for which ``any_of`` holds; others aren't exploded, nor read from a stored index."""
+        if self.postings is None:
+            return self.words.select("doc", "length", F.filter("words", lambda w: any_of(w["token"])).alias("places")).where(F.size("places") > 0)
+        rows = self.postings.where(any_of(F.col("token"))).groupBy("doc").agg(F.collect_list(F.struct("field", "position", "token")).alias("places"))
+        return rows.join(self.lengths, "doc")
 
 
 def index(docs: DataFrame, key: str, fields: list[str]) -> Index:
-    per = docs.select(F.col(key).alias("doc"), *[words(F.col(f)).alias(f) for f in fields])
-    lengths = per.select("doc", sum((F.size(f) for f in fields), F.lit(0)).alias("length"))
+    per = docs.select(F.col(key).alias("doc"), *[words(F.col(f)).alias(f"f{n}") for n, f in enumerate(fields)])
 
     def placed(n: int):
         return lambda w, i: F.struct(F.lit(n).alias("field"), i.alias("position"), w.alias("token"))
 
-    all_words = F.concat(*[F.transform(f, placed(n)) for n, f in enumerate(fields)])
-    postings = per.select("doc", F.explode(all_words).alias("w")).select("w.token", "doc", "w.field", "w.position")
-    return Index(postings, lengths)
+    every = F.concat(*[F.transform(f"f{n}", placed(n)) for n in range(len(fields))])
+    length = sum((F.size(f"f{n}") for n in range(len(fields))), F.lit(0))
+    per = per.select("doc", length.alias("length"), every.cast(PLACED).alias("words"))
+    return Index(per.select("doc", "length"), words=per)
+
+
+def store_index(ix: Index, folder: str, mode: str = "errorifexists") -> None:
+    """Write an index; postings lie in ranges of tokens, sorted, so that a query reads the row groups of its tokens alone.  ``append`` adds documents."""
+    rows = ix.words.select("doc", F.explode("words").alias("w")).select("w.token", "doc", "w.field", "w.position")
+    # A frequent token fills several ranges, cut by document.
+    rows.repartitionByRange("token", "doc").sortWithinPartitions("token", "doc", "field", "position").write.mode(mode).parquet(f"{folder}/postings")
+    ix.lengths.write.mode(mode).parquet(f"{folder}/lengths")
+
+
+def stored_index(spark: SparkSession, folder: str) -> Index:
+    return Index(spark.read.parquet(f"{folder}/lengths"), postings=spark.read.parquet(f"{folder}/postings"))
 
 
 def parse(query: str):
@@ -117,43 +145,60 @@ def leaves(tree) -> list[tuple]:
     return [tree] if tree[0] == "match" else leaves(tree[1]) + ([] if tree[0] == "not" else leaves(tree[2]))
 
 
-def hits(ix: Index, parts: tuple[str, ...], prefix: bool) -> DataFrame:
-    """(doc, tf) of a term, a phrase or a prefix."""
-    token = F.col("token")
-    last = token.startswith(parts[-1]) if prefix else token == parts[-1]
-    tests = [*(token == p for p in parts[:-1]), last]
-    rows = ix.postings.where(tests[0]).select("doc", "field", "position")
-    for n, test in enumerate(tests[1:], 1):
-        rows = rows.join(ix.postings.where(test).select("doc", "field", (F.col("position") - n).alias("position")).distinct(), ["doc", "field", "position"])
-    return rows.groupBy("doc").agg(F.count("*").alias("tf"))
+def tests_of(parts: tuple[str, ...], prefix: bool) -> list[Callable[[Column], Column]]:
+    """For each word of a leaf, what a token must be."""
+    equal = [lambda t, p=p: t == p for p in parts]
+    return [*equal[:-1], lambda t: t.startswith(parts[-1])] if prefix else equal
 
 
-def matching(ix: Index, tree) -> DataFrame:
-    """The documents for which a query holds."""
+def frequency(parts: tuple[str, ...], prefix: bool) -> Column:
+    """How often a term, a phrase or a prefix is among a document's ``places``."""
+
+    def begins(n: int, test) -> Column:
+        """Where a phrase would begin whose n-th word is a token that passes."""
+        fits = F.filter("places", lambda x: test(x["token"]))
+        return F.transform(fits, lambda x: F.struct(x["field"].alias("field"), (x["position"] - n).alias("position")))
+
+    first, *rest = (begins(n, test) for n, test in enumerate(tests_of(parts, prefix)))
+    for other in rest:
+        first = F.array_intersect(first, other)
+    return F.size(first)
+
+
+def holds(tree, tf: dict[tuple, Column]) -> Column:
+    """Whether a query holds for a document, from the frequencies of its leaves."""
     if tree[0] == "match":
-        return hits(ix, tree[1], tree[2]).select("doc")
-    a, b = matching(ix, tree[1]), matching(ix, tree[2])
-    if tree[0] == "and":
-        return a.join(b, "doc", "left_semi")
-    if tree[0] == "or":
-        return a.unionByName(b).distinct()
-    return a.join(b, "doc", "left_anti")
+        return tf[tree] > 0
+    a, b = holds(tree[1], tf), holds(tree[2], tf)
+    return a & b if tree[0] == "and" else a | b if tree[0] == "or" else a & ~b
+
+
+def every_leaf(tree) -> list[tuple]:
+    return [tree] if tree[0] == "match" else every_leaf(tree[1]) + every_leaf(tree[2])
 
 
 def bm25(ix: Index, query: str) -> DataFrame:
-    """(doc, score) of the documents that match; higher is better."""
+    """(doc, score) of the documents that match; higher is better.
+
+    One pass gives the counts of each leaf, one the scores; nothing is
+    exchanged but the counts, or the postings of the query's tokens if the
+    index is stored.
+    """
     tree = parse(query)
-    stats = ix.lengths.agg(F.count("*").alias("n_docs"), F.avg("length").alias("avg_length"))
-    scored = None
-    for _, parts, prefix in dict.fromkeys(leaves(tree)):
-        rows = hits(ix, parts, prefix)
-        n = rows.agg(F.count("*").alias("n"))
-        rows = rows.join(ix.lengths, "doc").crossJoin(F.broadcast(stats)).crossJoin(F.broadcast(n))  # one row each
-        idf = F.greatest(F.lit(LEAST_IDF), F.ln((F.col("n_docs") - F.col("n") + 0.5) / (F.col("n") + 0.5)))
-        weight = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.col("avg_length")))
-        rows = rows.select("doc", weight.alias("part"))
-        scored = rows if scored is None else scored.unionByName(rows)
-    return scored.groupBy("doc").agg(F.sum("part").alias("score")).join(matching(ix, tree), "doc", "left_semi")
+    asked = list(dict.fromkeys(every_leaf(tree)))
+    tests = [test for _, parts, prefix in asked for test in tests_of(parts, prefix)]
+    rows = ix.found(lambda t: reduce(Column.__or__, [test(t) for test in tests]))
+    rows = rows.select("doc", "length", *[frequency(parts, prefix).alias(f"tf{i}") for i, (_, parts, prefix) in enumerate(asked)])
+    tf = {leaf: F.col(f"tf{i}") for i, leaf in enumerate(asked)}
+    size = ix.lengths.agg(F.count("*").alias("n_docs"), F.avg("length").alias("avg_length"))
+    counts = rows.agg(*[F.count_if(tf[leaf] > 0).alias(f"n{i}") for i, leaf in enumerate(asked)])
+    rows = rows.where(holds(tree, tf)).crossJoin(F.broadcast(size)).crossJoin(F.broadcast(counts))  # one row each
+    score = F.lit(0.0)
+    for leaf in dict.fromkeys(leaves(tree)):
+        i = asked.index(leaf)
+        idf = F.greatest(F.lit(LEAST_IDF), F.ln((F.col("n_docs") - F.col(f"n{i}") + 0.5) / (F.col(f"n{i}") + 0.5)))
+        score = score + idf * tf[leaf] * (K1 + 1) / (tf[leaf] + K1 * (1 - B + B * F.col("length") / F.col("avg_length")))
+    return rows.select("doc", score.alias("score"))
 
 
 def snippet(body: Column, terms: list[str], size: int = 16, left: str = "[", right: str = "]", more: str = "...") -> Column:
