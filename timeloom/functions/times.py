@@ -74,4 +74,4 @@ def block_range(day: Column, start: Column, end: Column) -> tuple[Column, Column
 def audio_times(at: Column, start: Column, end: Column) -> tuple[Column, Column]:
     """A chunk's instant with the offsets of an utterance in it; a missing end is the start."""
     first = F.coalesce(start, F.lit(0.0))
-    return add_micros(at, first * 1_000_000), add_micros(at, F.coalesce(end, first) * 1_000_000)
+    return add_micros(at, F.rint(first * 1_000_000)), add_micros(at, F.rint(F.coalesce(end, first) * 1_000_000))
