@@ -628,12 +628,12 @@ said AS (SELECT * FROM spoken WHERE heard <> '' AND lower(kind) <> 'media' AND N
 seen AS (SELECT *, concat_ws(chr(10), CASE WHEN n % 2 = 0 THEN 'sees ' || role END, CASE WHEN n % 6 = 0 THEN 'Setting: yard' END, CASE WHEN n % 6 = 0 THEN 'Scene labels: a; b' END) AS t FROM c WHERE n % 2 = 0 OR n % 6 = 0),
 spans AS (
   SELECT {uuid5_sql("'tl-content-span|' || sid || '|transcript|v1'")} AS id, 'u' || conv_id % 3 AS user_id, sid AS source, 'transcript' AS span_type, CASE WHEN n % 2 = 0 THEN 'camera_audio' ELSE 'ambient_audio' END AS modality, 'clip' || conv_id AS title, heard AS text, lang AS language,
-    NULL AS speaker_label, 0.7 AS confidence, CASE WHEN turn < 3 THEN 'y' || conv_id END AS reference_scene_id, (1700000000 + conv_id * 40000 + turn * 60) AS start_s FROM said
-  UNION ALL SELECT {uuid5_sql("'tl-content-span|' || sid || '|visual_summary|v1'")}, 'u' || conv_id % 3, sid, 'visual_summary', 'camera_visual', 'clip' || conv_id, t, NULL, NULL, CASE WHEN n % 4 = 0 THEN 0.5 ELSE 0.7 END, CASE WHEN turn < 3 THEN 'y' || conv_id END, (1700000000 + conv_id * 40000 + turn * 60) FROM seen
-  UNION ALL SELECT {uuid5_sql("'tl-content-span|e' || event_id || '|desktop_audio|v1'")}, 'u' || user_id % 3, 'e' || event_id, 'transcript', 'desktop_audio', CASE WHEN event_id % 3 = 0 THEN 'App' ELSE 'mic' END, 'heard error', NULL, 'speaker_' || event_id % 4, 0.5, NULL, epoch_us(ts) // 1000000
+    NULL AS speaker_label, 0.7 AS confidence, CASE WHEN turn < 3 THEN 'y' || conv_id END AS reference_scene_id, (1700000000 + conv_id * 40000 + turn * 60) AS start_s, (1700000000 + conv_id * 40000 + turn * 60) * 1000000 AS start_us FROM said
+  UNION ALL SELECT {uuid5_sql("'tl-content-span|' || sid || '|visual_summary|v1'")}, 'u' || conv_id % 3, sid, 'visual_summary', 'camera_visual', 'clip' || conv_id, t, NULL, NULL, CASE WHEN n % 4 = 0 THEN 0.5 ELSE 0.7 END, CASE WHEN turn < 3 THEN 'y' || conv_id END, (1700000000 + conv_id * 40000 + turn * 60), (1700000000 + conv_id * 40000 + turn * 60) * 1000000 FROM seen
+  UNION ALL SELECT {uuid5_sql("'tl-content-span|e' || event_id || '|desktop_audio|v1'")}, 'u' || user_id % 3, 'e' || event_id, 'transcript', 'desktop_audio', CASE WHEN event_id % 3 = 0 THEN 'App' ELSE 'mic' END, 'heard error', NULL, 'speaker_' || event_id % 4, 0.5, NULL, epoch_us(ts) // 1000000, epoch_us(ts)
     FROM events WHERE event_type = 'error' AND event_id % 2 = 0
   UNION ALL SELECT {uuid5_sql("'tl-content-span|e' || event_id || '|activity_summary|v1'")}, 'u' || user_id % 3, 'e' || event_id, 'activity_summary', 'app_metadata', CASE WHEN event_id % 7 = 0 THEN event_type ELSE 'cat' END,
-    concat_ws(chr(10), CASE WHEN event_id % 5 <> 0 THEN 'did it' END, CASE WHEN event_id % 2 <> 0 THEN 'more' WHEN event_id % 5 = 0 THEN 'did it' END, CASE WHEN event_id % 5 <> 0 THEN 'Facts: f1; f2; f3' END), NULL, NULL, 0.5, NULL, epoch_us(ts) // 1000000
+    concat_ws(chr(10), CASE WHEN event_id % 5 <> 0 THEN 'did it' END, CASE WHEN event_id % 2 <> 0 THEN 'more' WHEN event_id % 5 = 0 THEN 'did it' END, CASE WHEN event_id % 5 <> 0 THEN 'Facts: f1; f2; f3' END), NULL, NULL, 0.5, NULL, epoch_us(ts) // 1000000, epoch_us(ts)
     FROM events WHERE event_type IN ('click', 'view'))"""
 
 
@@ -641,7 +641,7 @@ def span_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.build(scene_rows(spark, sf_dir), span_events(spark, sf_dir), *span_references(spark, sf_dir), NOW)
 
 
-@query(SPANS + " SELECT * FROM spans")
+@query(SPANS + " SELECT * EXCLUDE (start_us) FROM spans")
 def content_spans(spark, sf_dir):
     rows = span_table(spark, sf_dir)
     return rows.select("id", "user_id", F.coalesce("scene_window_id", "event_id").alias("source"), "span_type", "modality", "title", "text", "language", "speaker_label", "confidence", "reference_scene_id", F.unix_seconds("start_at").alias("start_s"))
@@ -934,3 +934,102 @@ def scene_events(spark, sf_dir):
     of = lambda k: F.get_json_object("payload_json", f"$.{k}")
     claims = F.from_json(of("accepted_claims"), "array<struct<claim_type:string>>")
     return scene_tables(spark, sf_dir).event.select("id", of("scene_window_id").alias("scene_id"), F.size(F.from_json(of("source_event_ids"), "array<string>")).alias("sources"), F.array_join(F.transform(claims, lambda x: x["claim_type"]), ",").alias("accepted"))
+
+
+# The memory store
+
+SIDECAR = (
+    '{"day_arc": " arc  %s", "topics": ["t1", " t1 ", "t2"], "tools_used": ["vim"], "people": [{"name": "P %s", "context": "c"}, "x"], "decisions_observed": ["d1", {"title": "T", "description": "D"}, {"x": 1}], '
+    '"time_blocks": [{"start_utc": "9:00", "end_utc": "10:30", "description": " did ", "primary_activity": "code"}, {"start_hour": "23", "end_hour": "1", "label": "L"}], "activities": {"mail": "1", "code": "2.5"}}'
+)
+
+
+def day_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of notes for a day of each nation: some without biography, some with a broken sidecar, some incomplete."""
+    n = F.col("n_nationkey")
+    return table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("u"), (n % 3).cast("string")).alias("user_id"), F.date_format(F.date_add(F.lit("2023-11-15").cast("date"), n.cast("int")), "yyyy-MM-dd").alias("day"),
+        F.when(n % 3 != 0, F.concat(F.lit("---\na: b\n---\n\nBio "), n.cast("string"))).alias("biography"), F.when(n % 4 == 0, "oops").otherwise(F.format_string(SIDECAR, n.cast("string"), n.cast("string"))).alias("sidecar"),
+        F.when(n % 5 == 0, "why").when(n % 5 == 1, " ").alias("incomplete"),
+    )
+
+
+def memory_tables(spark: SparkSession, sf_dir: str) -> memory.Memory:
+    return memory.build(span_table(spark, sf_dir), day_notes(spark, sf_dir), NOW)
+
+
+def said_of(made: memory.Memory, rows: DataFrame) -> DataFrame:
+    """Rows of tags or references with the chunk that they belong to."""
+    return rows.join(made.memory_chunk.select(F.col("id").alias("chunk_id"), "user_id", "day", "chunk_type", "sort_key"), "chunk_id")
+
+
+MEMORY = (
+    SPANS
+    + """, f AS (SELECT n_nationkey AS n, 'u' || n_nationkey % 3 AS user_id, strftime(DATE '2023-11-15' + n_nationkey::INTEGER, '%Y-%m-%d') AS day, CASE WHEN n_nationkey % 3 <> 0 THEN 'Bio ' || n_nationkey END AS bio, n_nationkey % 4 <> 0 AS side, CASE WHEN n_nationkey % 5 = 0 THEN 'why' END AS inc FROM nation),
+    sp AS (SELECT *, strftime(make_timestamp(start_us - 25200000000), '%Y-%m-%d') AS day FROM spans), cnt AS (SELECT user_id, day, count(*) AS k FROM sp GROUP BY ALL),
+    days AS (SELECT user_id, day, n, bio, coalesce(side, FALSE) AS side, inc, coalesce(k, 0) AS k FROM f FULL JOIN cnt USING (user_id, day)),
+    st AS (SELECT *, CASE WHEN inc IS NOT NULL THEN 'incomplete' WHEN bio IS NOT NULL AND side THEN 'complete' WHEN bio IS NOT NULL OR side THEN 'partial' WHEN k > 0 THEN 'evidence_only' ELSE 'empty' END AS status,
+      CASE WHEN inc IS NOT NULL THEN 0.6 WHEN bio IS NOT NULL AND side THEN 0.95 WHEN bio IS NOT NULL OR side THEN 0.55 WHEN k > 0 THEN 0.35 ELSE 0.0 END AS share FROM days),
+    content AS (SELECT sp.*, status, share, row_number() OVER (PARTITION BY user_id, day ORDER BY start_us, id) - 1 AS i FROM sp JOIN st USING (user_id, day)),
+    chunks AS (
+      SELECT user_id, day, 'biography' AS chunk_type, 0 AS sort_key, day || ' biography' AS title, bio AS text, 0.92 AS confidence, 1.0 AS salience, share AS completeness FROM st WHERE bio IS NOT NULL
+      UNION ALL SELECT user_id, day, 'day_arc', 10, day || ' arc', 'arc ' || n, 0.88, 0.95, share FROM st WHERE side UNION ALL SELECT user_id, day, 'time_block', 100, 'code', 'did', 0.8, 0.85, share FROM st WHERE side
+      UNION ALL SELECT user_id, day, 'decision', 300, NULL, 'd1', 0.78, 0.7, share FROM st WHERE side UNION ALL SELECT user_id, day, 'decision', 301, 'T', 'D', 0.78, 0.7, share FROM st WHERE side
+      UNION ALL SELECT user_id, day, 'person_context', 700, 'P ' || n, 'c', 0.78, 0.7, share FROM st WHERE side
+      UNION ALL SELECT user_id, day, 'topic', 800, 'topic', 't1', 0.78, 0.7, share FROM st WHERE side UNION ALL SELECT user_id, day, 'topic', 801, 'topic', 't2', 0.78, 0.7, share FROM st WHERE side
+      UNION ALL SELECT user_id, day, 'tool_used', 900, 'tool', 'vim', 0.78, 0.7, share FROM st WHERE side
+      UNION ALL SELECT user_id, day, 'activity_total', 1000, 'code', 'code: 2.5 hours', 0.82, 0.72, share FROM st WHERE side UNION ALL SELECT user_id, day, 'activity_total', 1001, 'mail', 'mail: 1 hours', 0.82, 0.72, share FROM st WHERE side
+      UNION ALL SELECT user_id, day, 'content_' || span_type, 2000 + i, title, trim(regexp_replace(text, '\\s+', ' ', 'g')), confidence, CASE WHEN span_type = 'transcript' THEN 0.6 ELSE 0.78 END, CASE WHEN status = 'complete' THEN 1.0 ELSE share END FROM content)"""
+)
+
+
+@query(MEMORY + " SELECT user_id, day, chunk_type, CAST(sort_key AS BIGINT) AS sort_key, title, text, CAST(confidence AS DOUBLE) AS confidence, CAST(salience AS DOUBLE) AS salience, CAST(completeness AS DOUBLE) AS completeness FROM chunks")
+def memory_chunks_union(spark, sf_dir):
+    return memory_tables(spark, sf_dir).memory_chunk.select("user_id", "day", "chunk_type", "sort_key", "title", "text", "confidence", "salience", "completeness")
+
+
+@query(
+    MEMORY
+    + """, t AS (SELECT user_id, day, 'biography' AS chunk_type, 0 AS sort_key, unnest([['topic', 't1'], ['topic', 't2'], ['tool', 'vim'], ['person', 'P ' || n]]) AS x FROM st WHERE bio IS NOT NULL AND side
+      UNION ALL SELECT user_id, day, chunk_type, sort_key, [CASE chunk_type WHEN 'person_context' THEN 'person' WHEN 'tool_used' THEN 'tool' WHEN 'topic' THEN 'topic' ELSE 'activity' END, title] FROM chunks WHERE chunk_type IN ('time_block', 'person_context', 'topic', 'tool_used', 'activity_total')
+      UNION ALL SELECT user_id, day, 'content_' || span_type, 2000 + i, unnest([['modality', modality], ['span_type', span_type], ['speaker', speaker_label]]) FROM content)
+    SELECT user_id, day, chunk_type, CAST(sort_key AS BIGINT) AS sort_key, x[1] AS tag_type, x[2] AS tag_value FROM t WHERE x[2] IS NOT NULL"""
+)
+def memory_tags(spark, sf_dir):
+    made = memory_tables(spark, sf_dir)
+    return said_of(made, made.chunk_tag).select("user_id", "day", "chunk_type", "sort_key", "tag_type", "tag_value")
+
+
+@query(
+    MEMORY
+    + """, r AS (SELECT user_id, day, chunk_type, sort_key, 'day_summary' AS ref_kind, NULL AS ref_id, 'summary' AS role, 1.0 AS weight FROM chunks WHERE sort_key < 2000
+      UNION ALL SELECT user_id, day, 'content_' || span_type, 2000 + i, 'content_span', id, 'source', 1.0 FROM content UNION ALL SELECT user_id, day, 'content_' || span_type, 2000 + i, CASE WHEN starts_with(source, 'e') THEN 'event' ELSE 'scene_window' END, source, 'source', 0.95 FROM content
+      UNION ALL SELECT user_id, day, 'content_' || span_type, 2000 + i, 'reference_scene', reference_scene_id, 'source', 0.95 FROM content WHERE reference_scene_id IS NOT NULL)
+    SELECT user_id, day, chunk_type, CAST(sort_key AS BIGINT) AS sort_key, ref_kind, ref_id, role, CAST(weight AS DOUBLE) AS weight FROM r"""
+)
+def memory_refs(spark, sf_dir):
+    made = memory_tables(spark, sf_dir)
+    shown = F.when(F.col("ref_kind") != "day_summary", F.col("ref_id"))
+    return said_of(made, made.chunk_ref).select("user_id", "day", "chunk_type", "sort_key", "ref_kind", shown.alias("ref_id"), "role", "weight")
+
+
+@query(MEMORY + " SELECT user_id, day, status, CAST(share AS DOUBLE) AS completeness, bio AS biography, CASE WHEN side THEN 'arc ' || n END AS day_arc, CAST(k AS VARCHAR) AS spans FROM st")
+def memory_days(spark, sf_dir):
+    total = F.get_json_object("source_counts_json", "$.content_spans_total")
+    return memory_tables(spark, sf_dir).day_summary.select("user_id", "day", "status", "completeness", F.col("biography_md").alias("biography"), "day_arc", total.alias("spans"))
+
+
+@query(
+    MEMORY
+    + """, m AS (SELECT user_id, day, modality, count(*) AS c FROM sp GROUP BY ALL), d AS (SELECT *, epoch(CAST(day AS TIMESTAMP))::BIGINT AS s FROM st)
+    SELECT user_id, day, 'day_modality' AS span_kind, modality, s + 25200 AS start_s, s + 25200 + 86400 AS end_s, c || ' normalized content spans' AS notes FROM m JOIN d USING (user_id, day)
+    UNION ALL SELECT user_id, day, 'time_block', 'code', s + 32400, s + 37800, 'did' FROM d WHERE side UNION ALL SELECT user_id, day, 'time_block', 'L', s + 82800, s + 90000, NULL FROM d WHERE side"""
+)
+def memory_coverage(spark, sf_dir):
+    rows = memory_tables(spark, sf_dir).coverage_span
+    return rows.select("user_id", "day", "span_kind", "modality", F.unix_seconds("start_at").alias("start_s"), F.unix_seconds("end_at").alias("end_s"), "notes")
+
+
+@query(MEMORY + " SELECT DISTINCT user_id, 'active' AS status FROM st")
+def memory_builds(spark, sf_dir):
+    return memory_tables(spark, sf_dir).memory_build.select("user_id", "status")
