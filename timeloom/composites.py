@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 
 from timeloom import schema
 from timeloom.functions import ids, scoring, text, times
-from timeloom.operators import align, episodes, jobs, memory, normalize, overlap, retrieval, scans, scenes, segments, upsert, windows
+from timeloom.operators import align, episodes, jobs, memory, normalize, overlap, retrieval, scans, scenes, segments, upsert
+from timeloom.plans import ingest
 from timeloom.plans.driver_tables import EV, events, table
 from timeloom.plans.store import TableStore
-from timeloom.queries import GROUPED, HALF_DAY, query
+from timeloom.queries import GROUPED, HALF_DAY, LABELLED, query
 from timeloom.schema import TABLES
 from timeloom.sources import files, screen, transcripts
 
@@ -191,7 +192,7 @@ def cell_sql(name: str, kind: str, turn: str) -> str:
 
 
 def key_cell(name: str, k: Column) -> Column:
-    """Keys are texts; the second of a key is null for some rows, which must still be found again."""
+    """Keys are texts."""
     return F.concat(F.lit(f"{name} "), k.cast("string"))
 
 
@@ -199,13 +200,12 @@ def upsert_sql(name: str) -> str:
     """Old rows are nations 0 to 14, new ones 10 to 24: those in both keep what is fixed and take the rest from the new."""
     t = TABLES[name]
     parts = []
-    for f in t.schema:
-        kind = f.dataType.simpleString()
-        if f.name in t.key:
-            parts.append(f"'{f.name} ' || n_nationkey")
+    for column, kind in (x.split() for x in t.ddl.split(", ")):  # there may be no session yet that could parse it
+        if column in t.key:
+            parts.append(f"'{column} ' || n_nationkey")
             continue
-        new = "n_nationkey >= 15" if f.name in t.fixed else "n_nationkey >= 10"
-        parts.append(f"CASE WHEN {new} THEN {cell_sql(f.name, kind, 'new')} ELSE {cell_sql(f.name, kind, 'old')} END")
+        new = "n_nationkey >= 15" if column in t.fixed else "n_nationkey >= 10"
+        parts.append(f"CASE WHEN {new} THEN {cell_sql(column, kind, 'new')} ELSE {cell_sql(column, kind, 'old')} END")
     return f"SELECT '{name}' AS tbl, n_nationkey AS k, concat_ws('|', {', '.join(parts)}) AS content FROM nation"
 
 
@@ -845,7 +845,7 @@ def scene_tables(spark: SparkSession, sf_dir: str) -> scenes.Scenes:
     return scenes.build(*interpreted(spark, sf_dir), NOW, SCENES)
 
 
-R3 = "CAST(round(CAST({} AS DECIMAL(18, 12)), 3) AS DOUBLE)"
+R3 = "CAST(round(CAST(CAST({} AS VARCHAR) AS DECIMAL(38, 18)), 3) AS DOUBLE)"
 SCENE_SQL = f"""WITH RECURSIVE {EV}, x AS (SELECT *, 'e' || lpad(CAST(id AS VARCHAR), 12, '0') AS sid, CASE WHEN id % 5 <> 0 THEN event_type END AS app, CASE WHEN kind = 'capture' THEN 'capture_control' ELSE kind END AS cat,
   CASE WHEN id % 5 <> 0 AND k % 2 = 0 THEN 't' || k END AS title, (id % 4) / 4.0 AS conf FROM ev),
 n AS (SELECT *, row_number() OVER (PARTITION BY user_id, device_id ORDER BY start_at, end_at, sid) AS rn FROM x),
@@ -1033,3 +1033,162 @@ def memory_coverage(spark, sf_dir):
 @query(MEMORY + " SELECT DISTINCT user_id, 'active' AS status FROM st")
 def memory_builds(spark, sf_dir):
     return memory_tables(spark, sf_dir).memory_build.select("user_id", "status")
+
+
+# Canonical JSON
+
+
+@query(
+    """WITH j AS (SELECT doc_id, '{"a":' || doc_id || ',"b":{"x":"' || lang || '","y":[1,"z"]}}' AS t FROM documents) SELECT doc_id, t AS canonical, sha256(t) AS sha, CAST(strlen(t) AS BIGINT) AS bytes FROM j"""
+)
+def canonical_payloads(spark, sf_dir):
+    d, n = table(spark, sf_dir, "documents"), F.col("doc_id").cast("string")
+    one = F.concat(F.lit('{"b": {"y": [1, "z"], "x": "'), "lang", F.lit('"}, "a": '), n, F.lit("}"))
+    two = F.concat(F.lit('{ "a":'), n, F.lit(', "b": {"x":"'), "lang", F.lit('", "y": [1,"z"]} }'))
+    payload = F.when(F.col("doc_id") % 2 == 0, one).otherwise(two)
+    made = ingest.virtual(payload)
+    return d.select("doc_id", text.canonical_json(payload).alias("canonical"), made["sha256"].alias("sha"), made["byte_size"].alias("bytes"))
+
+
+# Episodes
+
+EPISODES = (
+    LABELLED.replace("PARTITION BY user_id", "PARTITION BY user_id, day").replace("FROM ev WINDOW", "FROM (SELECT *, strftime(start_at, '%Y-%m-%d') AS day FROM ev) WINDOW")
+    + f""", o AS (SELECT *, CASE kind WHEN 'work' THEN 'development' WHEN 'interruptible' THEN 'browser' WHEN 'capture' THEN 'capture_control' ELSE 'meeting' END AS activity, CASE WHEN id % 4 <> 0 THEN 'A' || id % 3 END AS app, (id % 4) / 4.0 AS conf,
+      row_number() OVER (PARTITION BY user_id, day, group_no ORDER BY start_at, end_at, id) AS ordinal, role = 'primary' AS p FROM labelled),
+    apps AS (SELECT user_id, day, group_no, app, count(*) AS c, min(ordinal) AS f FROM o WHERE p AND app IS NOT NULL GROUP BY ALL), acts AS (SELECT user_id, day, group_no, activity, count(*) AS c, min(ordinal) AS f FROM o WHERE p GROUP BY ALL),
+    da AS (SELECT user_id, day, group_no, arg_max(app, (c, -f)) AS dapp, count(*) AS n_apps FROM apps GROUP BY ALL), dc AS (SELECT user_id, day, group_no, arg_max(activity, (c, -f)) AS dact FROM acts GROUP BY ALL),
+    g AS (SELECT user_id, day, group_no, min(episode_type) AS t, min(start_at) AS st, max(end_at) AS en, count(*) AS n, count(*) FILTER (p) AS np, count(*) FILTER (NOT p) AS ni, sum(CAST(CASE WHEN p THEN conf END AS DOUBLE)) / count(*) FILTER (p) AS base,
+      sum(dur) / 1e6 AS total, sum(CASE WHEN p THEN 0 ELSE dur END) / 1e6 AS cut, count(*) FILTER (p AND id % 2 = 1) / greatest(1, count(*) FILTER (p)) AS low, count(*) FILTER (app = 'A1') AS a1 FROM o GROUP BY ALL),
+    e AS (SELECT *, CASE t WHEN 'capture_control' THEN 'Capture control' WHEN 'work_block' THEN 'Work block' ELSE 'Unclassified activity' END || coalesce(' in ' || dapp, '') AS title,
+      greatest(0.15, least(0.95, base - CASE WHEN t = 'unclassified' THEN 0.15 ELSE 0.0 END - CASE WHEN ni > 0 THEN 0.05 + least(0.2, cut / greatest(1.0, total) * 0.25) ELSE 0.0 END - CASE WHEN low > 0.5 THEN 0.1 ELSE 0.0 END
+        + CASE WHEN t = 'work_block' AND np >= 2 AND greatest(1.0, total) >= 600 THEN 0.05 ELSE 0.0 END - CASE WHEN coalesce(n_apps, 0) > 2 THEN 0.05 ELSE 0.0 END)) AS score
+      FROM g LEFT JOIN da USING (user_id, day, group_no) LEFT JOIN dc USING (user_id, day, group_no)),
+    said AS (SELECT user_id, day, group_no, 0 AS part, 0 AS ordinal, title AS v FROM e UNION ALL SELECT user_id, day, group_no, 1, 0, t FROM e UNION ALL SELECT user_id, day, group_no, 2, ordinal, event_type || ' done' FROM o
+      UNION ALL SELECT user_id, day, group_no, 3, ordinal, activity FROM o UNION ALL SELECT user_id, day, group_no, 4, ordinal, app FROM o WHERE app IS NOT NULL),
+    firsts AS (SELECT user_id, day, group_no, v, min((part, ordinal)) AS f FROM said GROUP BY ALL), search AS (SELECT user_id, day, group_no, substr(string_agg(v, ' | ' ORDER BY f), 1, 2000) AS search_text FROM firsts GROUP BY ALL)"""
+)
+
+
+def episode_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e, n = events(spark, sf_dir), F.col("id")
+    activity = F.when(F.col("kind") == "work", " Development").when(F.col("kind") == "interruptible", "browser").when(F.col("kind") == "capture", "capture_control").otherwise("meeting")
+    payload = F.struct(
+        activity.alias("activity_type"), F.when(n % 4 != 0, F.concat(F.lit("A"), (n % 3).cast("string"))).alias("primary_app_name"), F.concat("event_type", F.lit(" done")).alias("summary"),
+        F.struct(F.when(n % 2 == 1, "LOW").otherwise("ok").alias("signal_quality")).alias("quality_assessment"),
+    )
+    return schema.shaped(
+        e.select(
+            F.concat(F.lit("e"), F.lpad(n.cast("string"), 12, "0")).alias("id"), F.col("user_id").cast("string").alias("user_id"), F.lit("activity_context").alias("event_type"), F.col("start_at").cast("timestamp").alias("start_at"),
+            F.col("end_at").cast("timestamp").alias("end_at"), ((n % 4) / 4).alias("confidence"), F.to_json(payload).alias("payload_json"),
+        ),
+        "event",
+    )
+
+
+@query(
+    EPISODES
+    + """SELECT CAST(user_id AS VARCHAR) AS user_id, day, t AS episode_type, epoch_us(st) AS started_us, epoch_us(en) AS ended_us, title, search_text, CAST(round(100 * round(CAST(score AS DECIMAL(18, 12)), 2)) AS BIGINT) AS confidence_pct,
+    CAST(n AS VARCHAR) AS n, dact AS activity, CASE WHEN a1 > 0 THEN CAST(a1 AS VARCHAR) END AS a1 FROM e JOIN search USING (user_id, day, group_no)"""
+)
+def episode_tables(spark, sf_dir):
+    rows, _ = episodes.build(episode_inputs(spark, sf_dir), NOW, episodes.Config(max_gap_seconds=HALF_DAY))
+    of = lambda k: F.get_json_object("metadata_json", f"$.{k}")
+    return rows.select(
+        "user_id", "day", "episode_type", us(F.col("started_at")).alias("started_us"), us(F.col("ended_at")).alias("ended_us"), "title", "search_text", F.round(F.col("confidence") * 100).cast("long").alias("confidence_pct"), of("event_count").alias("n"),
+        of("dominant_activity_type").alias("activity"), F.get_json_object(of("app_counts"), "$.A1").alias("a1"),
+    )
+
+
+# Segments of captures
+
+
+def capture_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e, n = events(spark, sf_dir), F.col("id")
+    return e.select(
+        F.col("user_id").cast("string").alias("user_id"), F.concat(F.lit("d"), F.col("device_id").cast("string")).alias("device_id"), F.col("start_at").cast("timestamp").alias("at"), F.concat(F.lit("/j/"), F.lpad(n.cast("string"), 12, "0")).alias("json_path"),
+        chosen(["Slack", "Terminal", "unknown"], F.col("k") % 3).alias("app_name"), F.when(n % 3 == 0, F.concat(F.lit("w"), (F.col("k") % 2).cast("string"))).otherwise("").alias("window_title"), F.lit(None).cast("string").alias("sha256"),
+        F.when(F.col("k") % 2 == 0, 0).otherwise(1_048_575).cast("long").alias("dhash"), F.lit("linux").alias("platform"), (n % 7).alias("window_id"), (n % 2 == 0).alias("was_input_idle"), F.lit(10.0).alias("width"), (n % 300).cast("double").alias("height"),
+        F.when(n % 4 != 0, F.concat(F.lit("/i/"), n.cast("string"))).alias("image_path"),
+    )
+
+
+CAPTURES = f"""WITH RECURSIVE {EV}, c AS (SELECT *, CASE k % 3 WHEN 0 THEN 'Slack' WHEN 1 THEN 'Terminal' ELSE 'unknown' END AS app, CASE WHEN id % 3 = 0 THEN 'w' || k % 2 ELSE '' END AS title, CASE WHEN k % 2 = 0 THEN 0 ELSE 1048575 END AS h FROM ev),
+n AS (SELECT *, row_number() OVER w AS rn, coalesce(date_diff('microsecond', lag(start_at) OVER w, start_at) <= 300000000 AND h = lag(h) OVER w, FALSE) AS near FROM c WINDOW w AS (PARTITION BY user_id, device_id ORDER BY start_at, id)),
+walk AS (
+  SELECT id, user_id, device_id, rn, start_at, app, title, h AS anchor, 1 AS seg FROM n WHERE rn = 1
+  UNION ALL
+  SELECT n.id, n.user_id, n.device_id, n.rn, n.start_at, n.app, n.title, CASE WHEN x.ok AND (n.h = w.anchor OR n.near) THEN w.anchor ELSE n.h END, w.seg + CASE WHEN x.ok THEN 0 ELSE 1 END
+  FROM walk w JOIN n ON n.user_id = w.user_id AND n.device_id = w.device_id AND n.rn = w.rn + 1,
+    LATERAL (SELECT date_diff('microsecond', w.start_at, n.start_at) <= 172800000000 AND ((n.app = w.app AND n.app <> 'unknown') OR (n.title = w.title AND n.title <> '') OR n.near OR n.h = w.anchor) AS ok) x),
+m AS (SELECT n.*, seg, row_number() OVER (PARTITION BY user_id, device_id, seg ORDER BY rn) AS i FROM n JOIN walk USING (user_id, device_id, rn)),
+t AS (SELECT user_id, device_id, seg, title, min(i) AS f FROM m WHERE title <> '' GROUP BY ALL), tt AS (SELECT user_id, device_id, seg, string_agg(title, ',' ORDER BY f) AS titles FROM t GROUP BY ALL),
+im AS (SELECT user_id, device_id, seg, i, '/i/' || id AS p, i = 1 OR NOT near AS novel FROM m WHERE id % 4 <> 0), iv AS (SELECT *, bool_or(novel) OVER (PARTITION BY user_id, device_id, seg) AS anyone FROM im),
+il AS (SELECT user_id, device_id, seg, list(p ORDER BY i) AS ps FROM iv WHERE novel OR NOT anyone GROUP BY ALL),
+g AS (SELECT user_id, device_id, seg, count(*) AS n, min(start_at) AS st, max(start_at) AS en, arg_min(app, i) AS app, count(*) FILTER (id % 2 = 0) AS idle, count(*) FILTER (near AND i > 1) AS nd, count(*) FILTER (title <> '') / count(*) AS ts, median(id % 300) AS hh FROM m GROUP BY ALL),
+s AS (SELECT *, CASE app WHEN 'Slack' THEN 'communication' WHEN 'Terminal' THEN 'development' ELSE 'unknown' END AS cat, idle / n AS ish, nd / greatest(1, n - 1) AS nsh FROM g),
+f AS (SELECT *, concat_ws(',', CASE WHEN hh <= 100 THEN 'thin_window_strip' END, CASE WHEN ts < 0.2 THEN 'missing_window_titles' END, CASE WHEN n = 1 THEN 'brief_glimpse' END, CASE WHEN ish >= 0.6 THEN 'mostly_idle' END, CASE WHEN nsh >= 0.6 THEN 'mostly_unchanged' END, CASE WHEN ish >= 0.6 AND nsh >= 0.6 THEN 'idle_unchanged_run' END) AS flags FROM s)"""
+
+
+def packet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segments.packets(segments.segment(capture_rows(spark, sf_dir), 172_800.0))
+
+
+@query(
+    CAPTURES
+    + """SELECT CAST(user_id AS VARCHAR) AS user_id, 'd' || device_id AS device_id, CAST(seg AS BIGINT) AS segment_no, n AS captures, epoch_us(st) AS start_us, epoch_us(en) AS end_us, app, cat AS category, idle, nd AS near_duplicates, CAST(hh AS DOUBLE) AS height, coalesce(titles, '') AS titles, flags,
+    coalesce(array_to_string(CASE WHEN len(ps) <= 3 THEN ps ELSE [ps[1], ps[len(ps) // 2 + 1], ps[len(ps)]] END, ','), '') AS images FROM f LEFT JOIN tt USING (user_id, device_id, seg) LEFT JOIN il USING (user_id, device_id, seg)"""
+)
+def segment_packets(spark, sf_dir):
+    return packet_rows(spark, sf_dir).select(
+        "user_id", "device_id", "segment_no", F.col("capture_count").alias("captures"), us(F.col("start_at")).alias("start_us"), us(F.col("end_at")).alias("end_us"), F.col("primary_app_name").alias("app"), F.col("coarse_category").alias("category"),
+        F.col("idle_capture_count").alias("idle"), F.col("near_duplicate_capture_count").alias("near_duplicates"), F.col("median_height").alias("height"), F.array_join("window_title_examples", ",").alias("titles"), F.array_join("quality_flags", ",").alias("flags"),
+        F.array_join("sample_image_paths", ",").alias("images"),
+    )
+
+
+@query(CAPTURES + "SELECT CAST(user_id AS VARCHAR) AS user_id, 'd' || device_id AS device_id, epoch_us(st) AS start_us, 'app_focus' AS event_type, cat AS category, CAST(n AS VARCHAR) AS captures, CAST(greatest(1, n - nd) AS VARCHAR) AS novel FROM f")
+def focus_events(spark, sf_dir):
+    of = lambda k: F.get_json_object("payload_json", f"$.{k}")
+    rows = segments.focus_events(packet_rows(spark, sf_dir), NOW)
+    return rows.select("user_id", "device_id", us(F.col("start_at")).alias("start_us"), "event_type", of("category").alias("category"), of("capture_count").alias("captures"), of("novel_capture_count").alias("novel"))
+
+
+@query(
+    CAPTURES
+    + """, d AS (SELECT *, strftime(st, '%Y-%m-%d') AS day FROM f), cats AS (SELECT user_id, device_id, day, cat, sum(n) AS k, min(seg) AS fs FROM d GROUP BY ALL)
+    SELECT CAST(d.user_id AS VARCHAR) AS user_id, 'd' || d.device_id AS device_id, epoch_us(min(st)) AS start_us, CAST(sum(n) AS VARCHAR) AS captures, CAST(count(*) AS VARCHAR) AS segments,
+    (SELECT arg_max(cat, (k, -fs)) FROM cats WHERE cats.user_id = d.user_id AND cats.device_id = d.device_id AND cats.day = d.day) AS category FROM d GROUP BY d.user_id, d.device_id, d.day"""
+)
+def overview_events(spark, sf_dir):
+    of = lambda k: F.get_json_object("payload_json", f"$.{k}")
+    rows = segments.overview_events(packet_rows(spark, sf_dir), NOW)
+    return rows.select("user_id", "device_id", us(F.col("start_at")).alias("start_us"), of("capture_count").alias("captures"), of("segment_count").alias("segments"), of("dominant_category").alias("category"))
+
+
+# What a recorder said
+
+WHO = ingest.Who("u", "d", NOW)
+SAID_CHUNKS = """WITH f AS (SELECT *, (1700000000 + conv_id * 3600 - CASE WHEN conv_id % 2 = 0 THEN 32400 ELSE 0 END) * 1000000 AS at_us FROM conversations),
+c AS (SELECT conv_id, turn AS chunk, CASE WHEN role = 'user' THEN 'room' ELSE 'unclear' END AS kind, trim(text, ' ') AS said, at_us + turn * 2500000 AS start_us, at_us AS end_us FROM f WHERE conv_id % 3 <> 0
+  UNION ALL SELECT DISTINCT conv_id, 1, 'unclear', 'whole', at_us, at_us + 7500000 FROM f WHERE conv_id % 3 = 0)"""
+
+
+@query(
+    SAID_CHUNKS
+    + f"""SELECT {uuid5_sql("'tl-recorder-scene|u|d|f' || conv_id || '|' || chunk || '|v1'")} AS id, 'sensor_segment' AS x, start_us, end_us, 5 AS source_priority,
+    CAST(round(1000 * greatest(0.05, least(0.95, CASE kind WHEN 'room' THEN 0.82 ELSE 0.18 END - CASE WHEN length(said) < 40 THEN 0.1 ELSE 0 END))) AS BIGINT) AS confidence_ppt FROM c""".replace("'sensor_segment' AS x", "'device_segment' AS window_type")
+)
+def recorder_scenes(spark, sf_dir):
+    rows = ingest.recorder(transcripts.recorder_chunks(spoken_documents(spark, sf_dir), "Asia/Tokyo"), WHO, "Asia/Tokyo")["scene_window"]
+    return rows.select("id", "window_type", us(F.col("start_at")).alias("start_us"), us(F.col("end_at")).alias("end_us"), F.col("source_priority").cast("int").alias("source_priority"), F.round(F.col("confidence") * 1000).cast("long").alias("confidence_ppt"))
+
+
+@query(
+    SAID_CHUNKS
+    + f"""SELECT {uuid5_sql("'tl-recorder-scene|u|d|f' || conv_id || '|' || chunk || '|v1'")} AS scene, {uuid5_sql("'tl-recorder-chunk|u|d|f' || conv_id || '|' || chunk || '|v1'")} AS artifact, 'primary' AS role FROM c
+    UNION ALL SELECT {uuid5_sql("'tl-recorder-scene|u|d|f' || conv_id || '|' || chunk || '|v1'")}, {uuid5_sql("'tl-recorder-file|u|d|f' || conv_id || '|v1'")}, 'supporting' FROM c"""
+)
+def recorder_links(spark, sf_dir):
+    rows = ingest.recorder(transcripts.recorder_chunks(spoken_documents(spark, sf_dir), "Asia/Tokyo"), WHO, "Asia/Tokyo")["scene_window_artifact"]
+    return rows.select(F.col("scene_window_id").alias("scene"), F.col("artifact_id").alias("artifact"), "role")

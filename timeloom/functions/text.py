@@ -75,6 +75,11 @@ def joined_facts(xs: Column, sep: str = "; ", limit: int | None = None) -> Colum
     return F.nullif(F.array_join(F.filter(F.transform(some, squeeze), lambda x: x.isNotNull()), sep), F.lit(""))
 
 
+def canonical_json(x: Column) -> Column:
+    """JSON with the keys of every object in order and no space between, so that equal values are equal text; other text as it is."""
+    return F.coalesce(F.to_json(F.try_parse_json(x)), x)
+
+
 def leaves(document) -> Iterator[tuple[tuple, str]]:
     """The path and text of every leaf of a JSON value that says something; a path's steps are (place, key), the key None in lists."""
     waiting = [((), document)]

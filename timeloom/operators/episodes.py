@@ -136,7 +136,7 @@ def build(events: DataFrame, built_at, config: Config = Config()) -> tuple[DataF
         blocks = blocks.join(dominant(main, group, value, F.col("ordinal"), out=name).drop(f"{name}_count"), group, "left")
     blocks = blocks.withColumn("title", title(F.col("episode_type"), F.col("dominant_app")))
     found = F.concat(F.array("title", "episode_type"), F.col("summaries"), F.col("activities"), F.filter("app_list", lambda x: x.isNotNull()))
-    blocks = blocks.withColumn("search_text", F.substring(F.array_join(F.array_distinct(F.transform(F.filter(found, lambda x: F.coalesce(x, F.lit("")) != ""), F.trim)), " | "), 1, 2000))
+    blocks = blocks.withColumn("search_text", F.substring(F.array_join(F.array_distinct(F.transform(F.filter(found, lambda x: F.coalesce(x, F.lit("")) != ""), lambda x: F.trim(x))), " | "), 1, 2000))
     meta = F.struct(
         "day",
         "title",

@@ -44,6 +44,7 @@ def _artifact(rows: DataFrame, who: Who, **columns: Column) -> DataFrame:
 
 def virtual(payload: Column) -> dict[str, Column]:
     """Hash and size of a payload kept as canonical JSON."""
+    payload = text.canonical_json(payload)
     return {"sha256": F.sha2(payload, 256), "byte_size": F.octet_length(payload).cast("long"), "mime_type": F.lit("application/json")}
 
 

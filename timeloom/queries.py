@@ -94,8 +94,8 @@ def episode_metadata(spark, sf_dir):
 @query(
     LABELLED
     + """, kinds AS (SELECT user_id, group_no, episode_type, event_type, min(epoch_us(start_at)) AS f FROM labelled GROUP BY ALL)
-    SELECT user_id, group_no, CASE episode_type WHEN 'work_block' THEN 'Work block' WHEN 'capture_control' THEN 'Capture control' ELSE 'Unclassified activity' END || ' | ' || episode_type || ' | '
-      || string_agg(event_type, ' | ' ORDER BY f) AS search_text FROM kinds GROUP BY user_id, group_no, episode_type"""
+    SELECT user_id, group_no, substr(CASE episode_type WHEN 'work_block' THEN 'Work block' WHEN 'capture_control' THEN 'Capture control' ELSE 'Unclassified activity' END || ' | ' || episode_type || ' | '
+      || string_agg(event_type, ' | ' ORDER BY f), 1, 2000) AS search_text FROM kinds GROUP BY user_id, group_no, episode_type"""
 )
 def episode_title_search_text(spark, sf_dir):
     rows = labelled(spark, sf_dir).groupBy("user_id", "group_no", "episode_type").agg(windows.first_distinct(micros(F.col("start_at")), F.col("event_type")).alias("found"))
@@ -211,12 +211,6 @@ def cross_device_groups(spark, sf_dir):
     return g.where("devices > 1")
 
 
-@query(GROUPED + "SELECT user_id, CAST(group_no AS BIGINT) AS group_no, id AS primary_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, group_no ORDER BY device_id, s, id) AS r FROM walk) WHERE r = 1")
-def reference_primary(spark, sf_dir):
-    best = F.min_by("id", F.struct("device_id", "s", "id"))
-    return grouped(spark, sf_dir).groupBy("user_id", "group_no").agg(best.alias("primary_id"))
-
-
 # Scores
 
 SCENE_SCORE = f"""WITH {EV}, g AS (SELECT user_id, strftime(start_at, '%Y-%m-%d') AS day, count(*) AS n, count(DISTINCT event_type) AS apps, count(DISTINCT kind) AS kinds,
@@ -266,17 +260,6 @@ def claim_disposition(spark, sf_dir):
     return claim_scored(spark, sf_dir).groupBy(scenes.disposition(F.col("final")).alias("disposition")).agg(F.count("*").alias("n"))
 
 
-@query(
-    f"""WITH {EV}, c AS (SELECT user_id, strftime(start_at, '%Y-%m-%d') AS day, event_type, count(*) AS m, min(start_at) AS f FROM ev GROUP BY ALL),
-    d AS (SELECT user_id, day, event_type AS app FROM (SELECT *, row_number() OVER (PARTITION BY user_id, day ORDER BY m DESC, f) AS r FROM c) WHERE r = 1)
-    SELECT id AS event_id, CASE WHEN event_type = app THEN 'supporting' ELSE 'contradictory' END AS evidence_role FROM (SELECT *, strftime(start_at, '%Y-%m-%d') AS day FROM ev) JOIN d USING (user_id, day)"""
-)
-def claim_evidence_roles(spark, sf_dir):
-    rows = events(spark, sf_dir).withColumn("day", day_of(F.col("start_at")))
-    top = windows.dominant(rows, ["user_id", "day"], "event_type", micros(F.col("start_at")), out="app").select("user_id", "day", "app")
-    return rows.join(top, ["user_id", "day"]).select(F.col("id").alias("event_id"), F.when(F.col("event_type") == F.col("app"), "supporting").otherwise("contradictory").alias("evidence_role"))
-
-
 @query(
     f"""WITH {EV}, c AS (SELECT device_id, strftime(start_at, '%Y-%m-%d') AS day, kind, CAST(sum(k) AS BIGINT) AS m, min(id) AS f FROM ev GROUP BY ALL)
     SELECT device_id, day, kind AS dominant_category, m AS captures FROM (SELECT *, row_number() OVER (PARTITION BY device_id, day ORDER BY m DESC, f) AS r FROM c) WHERE r = 1"""
@@ -380,11 +363,6 @@ def day_buckets_shifted(spark, sf_dir):
     return rows.groupBy(day_of(F.col("ts")).alias("utc_day"), day_of(F.col("ts"), -7.0).alias("shifted_day")).agg(F.count("*").alias("n"))
 
 
-@query("SELECT DISTINCT user_id, event_id % 3 AS device_id, strftime(ts, '%Y-%m-%d') AS day FROM events")
-def device_days(spark, sf_dir):
-    return events(spark, sf_dir).select("user_id", "device_id", day_of(F.col("start_at")).alias("day")).distinct()
-
-
 @query(f"WITH {EV} SELECT id, epoch_us(start_at - to_milliseconds(device_id * 1500)) AS adjusted_us, CAST(dur AS DOUBLE) / 1e6 AS seconds FROM ev")
 def clock_adjustment(spark, sf_dir):
     return events(spark, sf_dir).select("id", micros(without_offset(F.col("start_at"), F.col("device_id") * 1500)).alias("adjusted_us"), seconds_between(F.col("start_at"), F.col("end_at")).alias("seconds"))
@@ -463,32 +441,9 @@ def orphan_check(spark, sf_dir):
     return orphans(table(spark, sf_dir, "orders"), parents, "o_custkey", "c_custkey").groupBy("o_custkey").agg(F.count("*").alias("n"))
 
 
-# Joins of the sources
-
-
-@query("SELECT o_orderkey, coalesce(l_linenumber, 0) AS l_linenumber, coalesce(l_quantity, 0) AS l_quantity FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_returnflag = 'R'")
-def frames_left_join(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select("o_orderkey")
-    li = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_quantity")
-    return o.join(li, "o_orderkey", "left").na.fill(0)
-
-
-@query("SELECT count(*) FILTER (o_orderkey IS NULL) AS unmatched, count(*) FILTER (o_orderkey IS NOT NULL) AS matched FROM lineitem LEFT JOIN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') ON l_orderkey = o_orderkey")
-def unmatched_units(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select("o_orderkey")
-    both = table(spark, sf_dir, "lineitem").select("l_orderkey").join(o, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    return both.agg(F.count_if(F.col("o_orderkey").isNull()).alias("unmatched"), F.count_if(F.col("o_orderkey").isNotNull()).alias("matched"))
-
-
 # Text
 
 
-@query("SELECT conv_id, turn, role AS speaker_label, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS text FROM conversations WHERE trim(regexp_replace(text, '\\s+', ' ', 'g')) <> ''")
-def content_spans(spark, sf_dir):
-    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("role").alias("speaker_label"), text.squeeze(F.col("text")).alias("text"))
-    return rows.where("text IS NOT NULL")
-
-
 @query(
     """SELECT doc_id, CASE WHEN lang = source THEN lang ELSE 'Language: ' || lang || chr(10) || source END || CASE WHEN s IN ('Language: ' || lang, source) OR s = '' THEN '' ELSE chr(10) || s END AS parts
     FROM (SELECT *, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS s FROM documents)"""
@@ -639,12 +594,6 @@ def latest_listing(spark, sf_dir):
     return search.search(*chunked(spark, sf_dir), " ")[1].select("id", "snippet")
 
 
-@query("SELECT source AS chunk_id, string_agg(DISTINCT lang, ',' ORDER BY lang) AS langs, count(*) AS refs FROM documents GROUP BY source")
-def chunk_tags_grouped(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
-    return d.groupBy(F.col("source").alias("chunk_id")).agg(F.array_join(F.array_sort(F.collect_set("lang")), ",").alias("langs"), F.count("*").alias("refs"))
-
-
 @query("SELECT doc_id AS id FROM documents WHERE EXISTS (SELECT 1 FROM labels WHERE labels.doc_id = documents.doc_id AND quality = 1) AND source = 'src3'")
 def tag_semi_join(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "source")
@@ -653,21 +602,6 @@ def tag_semi_join(spark, sf_dir):
     return search.tag_filter(d, tags, ["quality:1", "source:src3"]).select("id")
 
 
-@query(
-    """SELECT doc_id AS chunk_id, 'label' AS ref_kind, CAST(quality AS VARCHAR) AS shown FROM labels
-    UNION ALL SELECT d.doc_id, 'benchmark', b.text FROM documents d JOIN benchmark b ON b.item_id = d.doc_id UNION ALL SELECT doc_id, 'vector', CAST(label AS VARCHAR) FROM documents JOIN embeddings ON vec_id = doc_id"""
-)
-def evidence_lookup(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("chunk_id"))
-    kinds = {
-        "label": table(spark, sf_dir, "labels").select(F.col("doc_id").alias("chunk_id"), F.col("quality").cast("string").alias("shown")),
-        "benchmark": table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("chunk_id"), F.col("text").alias("shown")),
-        "vector": table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("chunk_id"), F.col("label").cast("string").alias("shown")),
-    }
-    parts = [d.join(rows, "chunk_id").select("chunk_id", F.lit(kind).alias("ref_kind"), "shown") for kind, rows in kinds.items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
-
-
 # Memory
 
 
@@ -698,14 +632,3 @@ def env_status(spark, sf_dir):
 
     days = table(spark, sf_dir, "events").select("user_id", day_of(F.col("ts")).alias("day")).distinct()
     return status_counts(days.withColumn("status", F.when(F.col("user_id") % 3 == 0, "complete").otherwise("partial")))
-
-
-@query(
-    """SELECT id, chunk_type, sort_key FROM (SELECT 'd' || doc_id AS id, 'content_' || lang AS chunk_type, 2000 + row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS sort_key FROM documents
-    UNION ALL SELECT 'c' || conv_id || '-' || turn, 'decision', 300 + row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 FROM conversations)"""
-)
-def memory_chunks_union(spark, sf_dir):
-    band = lambda base, by, order: (base + F.row_number().over(Window.partitionBy(by).orderBy(order)) - 1).cast("long").alias("sort_key")
-    d = table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), F.concat(F.lit("content_"), F.col("lang")).alias("chunk_type"), band(F.lit(2000), "source", "doc_id"))
-    c = table(spark, sf_dir, "conversations").select(F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("id"), F.lit("decision").alias("chunk_type"), band(F.lit(300), "conv_id", "turn"))
-    return d.unionByName(c)
