@@ -131,11 +131,16 @@ def scatter_scores(queries: Postings, candidates: Postings) -> np.ndarray:
     for q, c in zip(qs.tolist(), cs.tolist()):
         a, b = slice(queries.start[q], queries.start[q + 1]), slice(candidates.start[c], candidates.start[c + 1])
         asks, rows = queries.rows[a], candidates.rows[b]
-        if len(asks) == n and len(rows) == m:
-            np.multiply(q_weights[a, None], c_weights[b], out=buffer)
-            scores += buffer
-        elif len(rows) == m:
-            scores[asks] += q_weights[a, None] * c_weights[b]
+        if 2 * len(rows) >= m:  # a term that most rows have: zeros cost less than places
+            offered = np.zeros(m, kind)
+            offered[rows] = c_weights[b]
+            if 2 * len(asks) >= n:
+                asked = np.zeros(n, kind)
+                asked[asks] = q_weights[a]
+                np.multiply(asked[:, None], offered, out=buffer)
+                scores += buffer
+            else:
+                scores[asks] += q_weights[a, None] * offered
         else:
             scores[np.ix_(asks, rows)] += q_weights[a, None] * c_weights[b]
     return scores
