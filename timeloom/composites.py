@@ -1192,3 +1192,78 @@ def recorder_scenes(spark, sf_dir):
 def recorder_links(spark, sf_dir):
     rows = ingest.recorder(transcripts.recorder_chunks(spoken_documents(spark, sf_dir), "Asia/Tokyo"), WHO, "Asia/Tokyo")["scene_window_artifact"]
     return rows.select(F.col("scene_window_id").alias("scene"), F.col("artifact_id").alias("artifact"), "role")
+
+
+# What cameras and screens took in
+
+UNIT = "l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey"
+
+
+def camera_made(spark: SparkSession, sf_dir: str) -> ingest.Ingested:
+    units, _ = camera_units(spark, sf_dir)
+    return ingest.camera(units, WHO, "UTC")
+
+
+@query(
+    f"""SELECT {uuid5_sql(f"'tl-camera-scene|u|d|' || {UNIT} || '|v1'")} AS id, 'sensor_segment' AS window_type, CASE WHEN l_linenumber = 1 THEN 'camera_visual' ELSE 'camera_audio' END AS source, CAST(CASE WHEN l_linenumber = 1 THEN 6 ELSE 7 END AS BIGINT) AS source_priority,
+    epoch(CAST(o_orderdate AS TIMESTAMP))::BIGINT + 86400 AS start_s, CAST(420 AS BIGINT) AS confidence_ppt FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus = 'F'"""
+)
+def camera_scenes(spark, sf_dir):
+    rows = camera_made(spark, sf_dir)["scene_window"]
+    return rows.select("id", "window_type", F.col("primary_source_type").alias("source"), "source_priority", F.unix_seconds("start_at").alias("start_s"), F.round(F.col("confidence") * 1000).cast("long").alias("confidence_ppt"))
+
+
+@query(
+    """WITH u AS (SELECT l_linenumber FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus = 'F'), n AS (SELECT count(*) AS a, count(*) FILTER (l_linenumber = 1) AS b FROM u)
+    SELECT 'artifact' AS name, a + b AS n FROM n UNION ALL SELECT 'scene_window', a FROM n UNION ALL SELECT 'scene_window_artifact', a + b FROM n"""
+)
+def camera_counters(spark, sf_dir):
+    return ingest.counters(camera_made(spark, sf_dir))
+
+
+@query(
+    f"""SELECT {uuid5_sql("'tl-ui-input|u|d|' || event_id || '|v1'")} AS event, {uuid5_sql("'tl-ui-event|u|d|' || event_id || '|v1'")} AS artifact, 'primary' AS role FROM events
+    UNION ALL SELECT {uuid5_sql("'tl-ui-input|u|d|' || event_id || '|v1'")}, 'frame ' || event_id % 30, 'supporting' FROM events WHERE event_id % 30 % 3 = 0"""
+)
+def ui_event_links(spark, sf_dir):
+    e, none = table(spark, sf_dir, "events"), F.lit(None).cast("string")
+    rows = e.select(F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("at"), (F.col("event_id") % 30).alias("frame_id"), "event_type", none.alias("app_name"), none.alias("window_title"), none.alias("browser_url"), none.alias("machine_id"))
+    frames = spark.range(0, 30, 3).select(F.col("id").alias("frame_id"), F.concat(F.lit("frame "), F.col("id").cast("string")).alias("artifact_id"))
+    links = ingest.ui_events(rows, frames, WHO, "db")["event_artifact"]
+    return links.select(F.col("event_id").alias("event"), F.col("artifact_id").alias("artifact"), "role")
+
+
+@query(
+    f"""SELECT {uuid5_sql("'tl-audio-event|u|d|' || doc_id || '|v1'")} AS id, 'desktop_audio_context' AS event_type, CAST(CASE WHEN doc_id % 4 = 0 THEN 450 ELSE 780 END AS BIGINT) AS confidence_ppt, CASE WHEN doc_id % 4 <> 0 THEN 'said by ' || lang END AS summary,
+    CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 2 END AS links FROM documents"""
+)
+def desk_audio_events(spark, sf_dir):
+    n, none = F.col("doc_id"), F.lit(None).cast("string")
+    rows = table(spark, sf_dir, "documents").select(
+        n.alias("id"), n.alias("audio_chunk_id"), F.lit("t").alias("timestamp"), F.when(n % 4 != 0, F.concat(F.lit("said by "), "lang")).alias("transcription"), F.lit("mic").alias("device"), F.lit(True).alias("is_input_device"), none.alias("transcription_engine"),
+        F.lit(0.0).alias("start_time"), F.lit(1.0).alias("end_time"), (n % 2).alias("speaker_id"), F.when(n % 3 != 0, F.concat(F.lit("/f"), n.cast("string"))).alias("file_path"), none.alias("machine_id"), F.timestamp_seconds(n).alias("start_at"), F.timestamp_seconds(n + 1).alias("end_at"),
+    )
+    made = ingest.desk_audio(rows, WHO, "db")
+    links = made["event_artifact"].groupBy(F.col("event_id").alias("id")).agg(F.count("*").cast("int").alias("links"))
+    out = made["event"].select("id", "event_type", F.round(F.col("confidence") * 1000).cast("long").alias("confidence_ppt"), F.get_json_object("payload_json", "$.summary").alias("summary"))
+    return out.join(links, "id")
+
+
+@query(
+    f"""WITH {EV}, b AS (SELECT *, CASE WHEN date_diff('microsecond', lag(start_at) OVER w, start_at) <= 43200000000 AND event_type = lag(event_type) OVER w THEN 0 ELSE 1 END AS brk FROM ev WINDOW w AS (PARTITION BY user_id ORDER BY start_at, id)),
+    s AS (SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY start_at, id ROWS UNBOUNDED PRECEDING) AS seg FROM b),
+    g AS (SELECT user_id, seg, count(*) AS n, min(event_type) AS app, arg_min(id, (start_at, id)) AS first_id, arg_max(id, (start_at, id)) AS last_id, bool_or(id % 4 = 0) AS shots, arg_min(CASE WHEN id % 3 = 0 THEN 'text ' || id END, (start_at, id)) FILTER (id % 3 = 0) AS said,
+      epoch_us(min(start_at)) AS start_us FROM s GROUP BY ALL)
+    SELECT {uuid5_sql("'tl-frame-event|u|d|' || first_id || '|' || last_id || '|v1'")} AS id, start_us, CAST(n AS VARCHAR) AS captures, app AS summary, said AS activity,
+    CAST(round(1000 * least(0.95, 0.62 + CASE WHEN said IS NOT NULL THEN 0.12 ELSE 0 END + CASE WHEN shots THEN 0.08 ELSE 0 END + CASE WHEN n >= 3 THEN 0.08 ELSE 0 END)) AS BIGINT) AS confidence_ppt FROM g"""
+)
+def frame_events(spark, sf_dir):
+    n, none = F.col("id"), F.lit(None).cast("string")
+    nothing = ["window_name", "browser_url", "capture_trigger", "text_source", "content_hash", "simhash", "accessibility_text", "ocr_text", "ocr_text_json", "ocr_engine", "host", "device_name", "timestamp"]
+    rows = events(spark, sf_dir).select(
+        "id", F.col("start_at").cast("timestamp").alias("at"), F.col("event_type").alias("app_name"), F.col("user_id").cast("string").alias("machine_id"), F.concat(F.lit("/s/"), n.cast("string")).alias("path"), F.when(n % 3 == 0, F.concat(F.lit("text "), n.cast("string"))).alias("full_text"),
+        F.lit(True).alias("focused"), F.when(n % 4 == 0, F.concat(F.lit("/s/"), n.cast("string"))).alias("snapshot_path"), *[none.alias(c) for c in nothing],
+    )
+    made = ingest.frames(rows, WHO, "db", HALF_DAY)["event"]
+    of = lambda k: F.get_json_object("payload_json", f"$.{k}")
+    return made.select("id", us(F.col("start_at")).alias("start_us"), of("capture_count").alias("captures"), of("summary").alias("summary"), of("specific_activity").alias("activity"), F.round(F.col("confidence") * 1000).cast("long").alias("confidence_ppt"))
