@@ -18,6 +18,7 @@ from timeloom.functions import ids, scoring, text, times
 from timeloom.operators import align, episodes, jobs, memory, normalize, overlap, retrieval, scans, scenes, segments, upsert
 from timeloom.plans import ingest
 from timeloom.plans.driver_tables import EV, events, table
+from timeloom.plans.stages import stored
 from timeloom.plans.store import TableStore
 from timeloom.queries import GROUPED, HALF_DAY, LABELLED, query
 from timeloom.schema import TABLES
@@ -842,7 +843,8 @@ def interpreted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
 
 
 def scene_tables(spark: SparkSession, sf_dir: str) -> scenes.Scenes:
-    return scenes.build(*interpreted(spark, sf_dir), NOW, SCENES)
+    folder = work_folder(spark)
+    return scenes.build(*interpreted(spark, sf_dir), NOW, SCENES, keep=lambda df: stored(df, folder, "scenes"))
 
 
 R3 = "CAST(round(CAST(CAST({} AS VARCHAR) AS DECIMAL(38, 18)), 3) AS DOUBLE)"
@@ -955,7 +957,7 @@ def day_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def memory_tables(spark: SparkSession, sf_dir: str) -> memory.Memory:
-    return memory.build(span_table(spark, sf_dir), day_notes(spark, sf_dir), NOW)
+    return memory.build(stored(span_table(spark, sf_dir), work_folder(spark), "spans"), day_notes(spark, sf_dir), NOW)
 
 
 def said_of(made: memory.Memory, rows: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -252,11 +253,16 @@ def artifact_roles(scenes: DataFrame) -> DataFrame:
     return out.select("scene_window_id", "artifact_id", F.when(F.col("x.priority") == F.col("best"), "primary").otherwise("supporting").alias("role"), F.col("x.confidence").alias("confidence"), F.col("x.pos").alias("pos"))
 
 
-def build(events: DataFrame, event_artifact: DataFrame, artifact: DataFrame, produced_at, config: Config = Config()) -> Scenes:
-    """All tables of the scene stage, for every user and device at once."""
+def build(events: DataFrame, event_artifact: DataFrame, artifact: DataFrame, produced_at, config: Config = Config(), keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> Scenes:
+    """All tables of the scene stage, for every user and device at once.
+
+    ``keep`` may store what several of them are made of, the events in their
+    scenes and the scored scenes, so that it is computed once.
+    """
     rows = contexts(events, event_artifact, artifact, config)
     rows = capped_scenes(rows, ["user_id", "device_id"], ["start_at", "end_at", "id"], "start_at", "end_at", "app", "category", config.gap_seconds, config.max_window_seconds)
-    scenes = scored(rows, config)
+    rows = keep(rows)
+    scenes = keep(scored(rows, config))
     meta = F.struct(
         F.col("dominant_app").alias("dominant_app_name"),
         "dominant_category",
