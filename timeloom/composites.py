@@ -141,7 +141,7 @@ SAID = "a text of twenty-five chars"
     CAST(round(1000 * (CASE event_id % 5 WHEN 0 THEN 0.82 WHEN 1 THEN 0.58 WHEN 2 THEN 0.3 WHEN 3 THEN 0.18 ELSE 0.2 END - CASE WHEN event_id % 2 = 0 THEN 0.1 ELSE 0 END)) AS BIGINT) AS chunk_ppt,
     CAST(round(1000 * CASE WHEN event_id % 3 = 0 THEN CASE event_id % 2 WHEN 0 THEN 0.2 ELSE 0.62 END WHEN event_id % 2 = 0 THEN least(0.95, 0.35 + 0.55 * (event_id % 11) / 10) ELSE least(0.98, 0.45 + 0.45 * (event_id % 11) / 10) END) AS BIGINT) AS camera_ppt,
     CASE event_id % 4 WHEN 0 THEN 'Mutter' WHEN 1 THEN 'Firefox' WHEN 2 THEN 'A title' ELSE 'Real' END AS app,
-    bit_count(xor(event_id, event_id // 2)) AS bits, CASE WHEN event_id % 2 = 0 THEN -1 ELSE event_id END AS signed FROM events"""
+    CAST(bit_count(xor(event_id, event_id // 2)) AS INTEGER) AS bits, CASE WHEN event_id % 2 = 0 THEN -1 ELSE event_id END AS signed FROM events"""
 )
 def scalar_policies(spark, sf_dir):
     e, n = table(spark, sf_dir, "events"), F.col("event_id")
@@ -207,7 +207,7 @@ def upsert_sql(name: str) -> str:
             continue
         new = "n_nationkey >= 15" if column in t.fixed else "n_nationkey >= 10"
         parts.append(f"CASE WHEN {new} THEN {cell_sql(column, kind, 'new')} ELSE {cell_sql(column, kind, 'old')} END")
-    return f"SELECT '{name}' AS tbl, n_nationkey AS k, concat_ws('|', {', '.join(parts)}) AS content FROM nation"
+    return f"SELECT '{name}' AS tbl, CAST(n_nationkey AS BIGINT) AS k, concat_ws('|', {', '.join(parts)}) AS content FROM nation"
 
 
 @query(" UNION ALL ".join(map(upsert_sql, UPSERTED)))
@@ -241,7 +241,7 @@ def prints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT 'v' || c_custkey AS id, CASE WHEN hit THEN 'retired' WHEN c_custkey % 3 = 0 THEN 'retired' ELSE 'active' END AS status, CASE WHEN hit THEN 1767323045 ELSE 0 END AS updated
+    """SELECT 'v' || c_custkey AS id, CASE WHEN hit THEN 'retired' WHEN c_custkey % 3 = 0 THEN 'retired' ELSE 'active' END AS status, CAST(CASE WHEN hit THEN 1767323045 ELSE 0 END AS BIGINT) AS updated
     FROM (SELECT *, c_nationkey = 7 AND c_custkey % 3 <> 0 AND c_custkey NOT IN (5, 10) AS hit FROM customer)"""
 )
 def voiceprint_update(spark, sf_dir):
@@ -387,7 +387,7 @@ def jobs_fail_and_parents_end(spark, sf_dir):
 
 @query(
     JOB_SQL
-    + f"""SELECT id, 'finished' AS status, a + 1 AS run_number, epoch(TIMESTAMP '{NOW}')::BIGINT AS started, {uuid5_sql("'tl-processor-run|' || id || '|' || (a + 1)")} AS run_id FROM j WHERE s = 'queued'"""
+    + f"""SELECT id, 'finished' AS status, CAST(a + 1 AS BIGINT) AS run_number, epoch(TIMESTAMP '{NOW}')::BIGINT AS started, {uuid5_sql("'tl-processor-run|' || id || '|' || (a + 1)")} AS run_id FROM j WHERE s = 'queued'"""
 )
 def job_runs(spark, sf_dir):
     rows = job_rows(spark, sf_dir)
@@ -528,7 +528,7 @@ def spoken_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """WITH f AS (SELECT *, (1700000000 + conv_id * 3600 - CASE WHEN conv_id % 2 = 0 THEN 32400 ELSE 0 END) * 1000000 AS at_us FROM conversations)
-    SELECT 'f' || conv_id AS file, turn AS chunk, turn * 2.5 AS start_seconds, CASE WHEN role = 'user' THEN 'room' ELSE 'unclear' END AS source_type, trim(text, ' ') AS transcript, at_us FROM f WHERE conv_id % 3 <> 0
+    SELECT 'f' || conv_id AS file, turn AS chunk, CAST(turn * 2.5 AS DOUBLE) AS start_seconds, CASE WHEN role = 'user' THEN 'room' ELSE 'unclear' END AS source_type, trim(text, ' ') AS transcript, at_us FROM f WHERE conv_id % 3 <> 0
     UNION ALL SELECT DISTINCT 'f' || conv_id, 1, 0.0, 'unclear', 'whole', at_us FROM f WHERE conv_id % 3 = 0"""
 )
 def recorder_documents(spark, sf_dir):
@@ -642,7 +642,7 @@ def span_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.build(scene_rows(spark, sf_dir), span_events(spark, sf_dir), *span_references(spark, sf_dir), NOW)
 
 
-@query(SPANS + " SELECT * EXCLUDE (start_us) FROM spans")
+@query(SPANS + " SELECT * EXCLUDE (start_us) REPLACE (CAST(confidence AS DOUBLE) AS confidence) FROM spans")
 def content_spans(spark, sf_dir):
     rows = span_table(spark, sf_dir)
     return rows.select("id", "user_id", F.coalesce("scene_window_id", "event_id").alias("source"), "span_type", "modality", "title", "text", "language", "speaker_label", "confidence", "reference_scene_id", F.unix_seconds("start_at").alias("start_s"))
