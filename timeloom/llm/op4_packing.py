@@ -110,6 +110,9 @@ def word_hashes(points: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.n
 class Words:
     """Ids of texts, each distinct word encoded once and kept in a direct-mapped table."""
 
+    #: What the tokenizer makes of a word before it looks for pieces.
+    form = staticmethod(str.lower)
+
     def __init__(self, definition: str):
         import os
 
@@ -165,14 +168,14 @@ class Words:
         miss = np.flatnonzero(~known & short)
         if len(miss):
             new, one, which = np.unique(h[miss], return_index=True, return_inverse=True)
-            words = [text[a:b].lower() for a, b in zip(first[miss[one]].tolist(), last[miss[one]].tolist())]
+            words = [self.form(text[a:b]) for a, b in zip(first[miss[one]].tolist(), last[miss[one]].tolist())]
             ids, n = self.encode_words(words)
             at = self.add(ids) + np.cumsum(n) - n
             place = slot[miss[one]]
             self.hash[place], self.start[place], self.size[place] = new, at, n
             start[miss], size[miss] = at[which], n[which]
         for i in np.flatnonzero(~short):
-            ids, _ = self.encode_words([text[first[i] : last[i]].lower()])
+            ids, _ = self.encode_words([self.form(text[first[i] : last[i]])])
             start[i], size[i] = self.add(ids), len(ids)
         return start, size
 

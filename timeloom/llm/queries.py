@@ -13,6 +13,7 @@ from timeloom.llm import (
     op8_toxicity,
     op9_jaccard_join,
     op10_quality,
+    op12_token_records,
     op13_fill_in_middle,
     pipeline,
 )
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity.query,
     "op9_jaccard_join": op9_jaccard_join.query,
     "op10_quality": op10_quality.query,
+    "op12_token_records": op12_token_records.query,
     "op13_fill_in_middle": op13_fill_in_middle.query,
     "pipeline": pipeline.run,
 }
