@@ -43,7 +43,15 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     ship(df.sparkSession)
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Remove the files of a table that ``durable`` gave; nothing that is still to be computed may read it."""
+    path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+    path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -13,6 +13,7 @@ from timeloom.llm import (
     op8_toxicity,
     op9_jaccard_join,
     op10_quality,
+    op11_collocations,
     op12_token_records,
     op13_fill_in_middle,
     pipeline,
@@ -29,11 +30,12 @@ QUERIES = {
     "op8_toxicity": op8_toxicity.query,
     "op9_jaccard_join": op9_jaccard_join.query,
     "op10_quality": op10_quality.query,
+    "op11_collocations": op11_collocations.query,
     "op12_token_records": op12_token_records.query,
     "op13_fill_in_middle": op13_fill_in_middle.query,
     "pipeline": pipeline.run,
 }
 
-ORACLE_SQL = {"op5_topk": op5_topk.SQL, "op13_fill_in_middle": op13_fill_in_middle.SQL}
+ORACLE_SQL = {"op5_topk": op5_topk.SQL, "op11_collocations": op11_collocations.SQL, "op13_fill_in_middle": op13_fill_in_middle.SQL}
 if pipeline.ORACLE_SQL:
     ORACLE_SQL["pipeline"] = pipeline.ORACLE_SQL
