@@ -175,7 +175,7 @@ UPSERTED = [*SMALL, "identity_hypothesis", "identity_hypothesis_evidence", "epis
 
 def cell(name: str, kind: str, k: Column, turn: str) -> Column:
     """A value of a column that tells its row and whether it is an old or a new one."""
-    number = k + (1000 if turn == "new" else 0)
+    number = k + {"old": 0, "between": 500, "new": 1000}[turn]
     if kind in ("bigint", "double"):
         return number.cast(kind)
     if kind == "timestamp":
@@ -184,7 +184,7 @@ def cell(name: str, kind: str, k: Column, turn: str) -> Column:
 
 
 def cell_sql(name: str, kind: str, turn: str) -> str:
-    number = "n_nationkey + 1000" if turn == "new" else "n_nationkey"
+    number = {"old": "n_nationkey", "between": "n_nationkey + 500", "new": "n_nationkey + 1000"}[turn]
     if kind == "double":
         return f"CAST(CAST({number} AS DOUBLE) AS VARCHAR)"
     if kind == "timestamp":
@@ -198,15 +198,15 @@ def key_cell(name: str, k: Column) -> Column:
 
 
 def upsert_sql(name: str) -> str:
-    """Old rows are nations 0 to 14, new ones 10 to 24: those in both keep what is fixed and take the rest from the new."""
+    """Old rows are nations 0 to 14, new ones 10 to 24, each written twice in one batch, with other values in between: what is fixed comes from the first that was written, the rest from the last."""
     t = TABLES[name]
     parts = []
     for column, kind in (x.split() for x in t.ddl.split(", ")):  # there may be no session yet that could parse it
         if column in t.key:
             parts.append(f"'{column} ' || n_nationkey")
             continue
-        new = "n_nationkey >= 15" if column in t.fixed else "n_nationkey >= 10"
-        parts.append(f"CASE WHEN {new} THEN {cell_sql(column, kind, 'new')} ELSE {cell_sql(column, kind, 'old')} END")
+        new, turn = ("n_nationkey >= 15", "between") if column in t.fixed else ("n_nationkey >= 10", "new")
+        parts.append(f"CASE WHEN {new} THEN {cell_sql(column, kind, turn)} ELSE {cell_sql(column, kind, 'old')} END")
     return f"SELECT '{name}' AS tbl, CAST(n_nationkey AS BIGINT) AS k, concat_ws('|', {', '.join(parts)}) AS content FROM nation"
 
 
@@ -215,11 +215,11 @@ def upsert_tables(spark, sf_dir):
     n, out = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k")), None
     for name in UPSERTED:
         t = TABLES[name]
-        old, new = (
-            n.where(where).select(*[(key_cell(f.name, F.col("k")) if f.name in t.key else cell(f.name, f.dataType.simpleString(), F.col("k"), turn)).alias(f.name) for f in t.schema])
-            for turn, where in (("old", "k < 15"), ("new", "k >= 10"))
+        old, between, new = (
+            n.where(where).select(*[(key_cell(f.name, F.col("k")) if f.name in t.key else cell(f.name, f.dataType.simpleString(), F.col("k"), turn)).alias(f.name) for f in t.schema], F.lit(line).alias("line"))
+            for line, turn, where in ((0, "old", "k < 15"), (1, "between", "k >= 10"), (2, "new", "k >= 10"))
         )
-        rows = upsert.upsert(old, new.unionByName(new.where(F.lit(name != "episode_event"))), name)
+        rows = upsert.upsert(old, new.unionByName(between), name, ["line"])
         shown = F.concat_ws("|", *[F.date_format(f.name, "yyyy-MM-dd HH:mm:ss") if f.dataType.simpleString() == "timestamp" else F.col(f.name).cast("string") for f in t.schema])
         rows = rows.select(F.lit(name).alias("tbl"), F.regexp_extract(t.key[0], r"(\d+)$", 1).cast("long").alias("k"), shown.alias("content"))
         out = rows if out is None else out.unionByName(rows)
@@ -250,12 +250,12 @@ def voiceprint_update(spark, sf_dir):
 
 
 @query(
-    """SELECT 'v' || c_custkey AS id, 'name ' || c_nationkey AS display_name, row_number() OVER (ORDER BY c_custkey, 'v' || c_custkey) AS place FROM customer WHERE c_nationkey < 20 AND c_custkey % 3 <> 0 AND c_nationkey <> 3"""
+    """SELECT 'v' || c_custkey AS id, 'name ' || c_nationkey AS display_name, c_custkey AS enrolled FROM customer WHERE c_nationkey < 20 AND c_custkey % 3 <> 0 AND c_nationkey <> 3"""
 )
 def voiceprints_of_people(spark, sf_dir):
     people = table(spark, sf_dir, "nation").where("n_nationkey <> 3").select(F.concat(F.lit("p"), F.col("n_nationkey").cast("string")).alias("id"), F.concat(F.lit("name "), F.col("n_nationkey").cast("string")).alias("display_name"))
     rows = scans.voiceprints(prints(spark, sf_dir), people, "u", status="active")
-    return rows.select("id", "display_name", F.row_number().over(_whole(*scans.ordering("person_voiceprint"))).cast("long").alias("place"))
+    return rows.select("id", "display_name", F.unix_seconds("enrolled_at").alias("enrolled"))
 
 
 def _whole(*order):
@@ -298,19 +298,34 @@ def story(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 @query(
-    """WITH inside AS (SELECT o_orderkey AS k FROM orders WHERE o_orderstatus = 'F'), claims AS (SELECT * FROM lineitem WHERE l_returnflag = 'R' AND l_orderkey IN (SELECT k FROM inside)),
-    fused AS (SELECT o_orderkey AS k FROM orders WHERE o_orderpriority = '2-HIGH' AND o_orderstatus = 'F'), gone AS (SELECT l_orderkey AS k FROM claims UNION SELECT k FROM fused)
-    SELECT 'scene_window' AS tbl, count(*) AS n FROM orders WHERE o_orderkey NOT IN (SELECT k FROM gone)
-    UNION ALL SELECT 'candidate_claim', (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM claims) UNION ALL SELECT 'candidate_claim_evidence', (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM claims)
-    UNION ALL SELECT 'scene_window_artifact', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT k FROM gone)
-    UNION ALL SELECT 'event', count(*) FROM orders WHERE o_orderpriority = '2-HIGH' AND o_orderkey NOT IN (SELECT k FROM fused) UNION ALL SELECT 'event_artifact', count(*) FROM orders WHERE o_orderpriority = '2-HIGH' AND o_orderkey NOT IN (SELECT k FROM fused)
-    UNION ALL SELECT 'gone claims', count(*) FROM claims UNION ALL SELECT 'gone events', count(*) FROM fused UNION ALL SELECT 'gone scenes', count(*) FROM gone"""
+    """WITH inside AS (SELECT o_orderkey AS k FROM orders WHERE o_orderstatus = 'F'), lines AS (SELECT *, 'c' || concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS c FROM lineitem),
+    claims AS (SELECT * FROM lines WHERE l_returnflag = 'R' AND l_orderkey IN (SELECT k FROM inside)),
+    fused AS (SELECT o_orderkey AS k FROM orders WHERE o_orderpriority = '2-HIGH' AND o_orderstatus = 'F'), gone AS (SELECT l_orderkey AS k FROM claims UNION SELECT k FROM fused),
+    events_left AS (SELECT 'e' || o_orderkey AS e FROM orders WHERE o_orderpriority = '2-HIGH' AND o_orderkey NOT IN (SELECT k FROM fused))
+    SELECT 'scene_window' AS tbl, 's' || o_orderkey AS id FROM orders WHERE o_orderkey NOT IN (SELECT k FROM gone)
+    UNION ALL SELECT 'candidate_claim', c FROM lines WHERE c NOT IN (SELECT c FROM claims)
+    UNION ALL SELECT 'candidate_claim_evidence', c || ' a' FROM lines WHERE c NOT IN (SELECT c FROM claims)
+    UNION ALL SELECT 'scene_window_artifact', 's' || l_orderkey || ' ' || l_linenumber FROM lineitem WHERE l_orderkey NOT IN (SELECT k FROM gone)
+    UNION ALL SELECT 'event', e FROM events_left UNION ALL SELECT 'event_artifact', e || ' a' FROM events_left
+    UNION ALL SELECT 'gone claims', c FROM claims UNION ALL SELECT 'gone events', 'e' || k FROM fused UNION ALL SELECT 'gone scenes', 's' || k FROM gone"""
 )
 def cascade_scene_bundle(spark, sf_dir):
     after, gone = upsert.cascade_scenes(story(spark, sf_dir), F.col("user_id") == "F")
-    counts = [(name, df) for name, df in after.items()] + [(f"gone {name}", df) for name, df in gone.items()]
-    parts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("tbl"), "n") for name, df in counts]
-    return parts[0].unionByName(parts[1]) if len(parts) == 2 else _union(parts)
+    return _rows_by_name({**after, **{f"gone {name}": df for name, df in gone.items()}})
+
+
+#: What names a row of the tables that a cascade leaves, where it isn't the first column alone.
+NAMED_BY = {
+    "candidate_claim_evidence": ["candidate_claim_id", "artifact_id"],
+    "scene_window_artifact": ["scene_window_id", "artifact_id"],
+    "event_artifact": ["event_id", "artifact_id"],
+    "reference_scene_member": ["reference_scene_id", "scene_window_id"],
+}
+
+
+def _rows_by_name(tables: dict[str, DataFrame]) -> DataFrame:
+    """The rows of some tables, by what names them."""
+    return _union([df.select(F.lit(name).alias("tbl"), F.concat_ws(" ", *NAMED_BY.get(name, df.columns[:1])).alias("id")) for name, df in tables.items()])
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -321,9 +336,12 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 @query(
-    """SELECT 'reference_scene' AS tbl, count(*) AS n FROM orders WHERE o_orderstatus <> 'F' UNION ALL SELECT 'reference_scene_member', count(*) FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F')
-    UNION ALL SELECT 'event', count(*) FROM orders WHERE o_orderstatus <> 'F' OR o_orderpriority = '1-URGENT' UNION ALL SELECT 'event_artifact', count(*) FROM orders WHERE o_orderstatus <> 'F' OR o_orderpriority = '1-URGENT'
-    UNION ALL SELECT 'gone references', count(*) FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT 'gone events', count(*) FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority <> '1-URGENT'"""
+    """WITH kept AS (SELECT 'e' || o_orderkey AS e FROM orders WHERE o_orderstatus <> 'F' OR o_orderpriority = '1-URGENT')
+    SELECT 'reference_scene' AS tbl, 'r' || o_orderkey AS id FROM orders WHERE o_orderstatus <> 'F'
+    UNION ALL SELECT 'reference_scene_member', 'r' || l_orderkey || ' ' || l_linenumber FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F')
+    UNION ALL SELECT 'event', e FROM kept UNION ALL SELECT 'event_artifact', e || ' a' FROM kept
+    UNION ALL SELECT 'gone references', 'r' || o_orderkey FROM orders WHERE o_orderstatus = 'F'
+    UNION ALL SELECT 'gone events', 'e' || o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority <> '1-URGENT'"""
 )
 def cascade_reference_bundle(spark, sf_dir):
     o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
@@ -339,12 +357,12 @@ def cascade_reference_bundle(spark, sf_dir):
         "event_artifact": o.select(eid.alias("event_id"), F.lit("a").alias("artifact_id")),
     }
     after, gone = upsert.cascade_references(tables, F.col("user_id") == "F")
-    return _union([df.agg(F.count("*").alias("n")).select(F.lit(name).alias("tbl"), "n") for name, df in [*after.items(), *((f"gone {k}", v) for k, v in gone.items())]])
+    return _rows_by_name({**after, **{f"gone {name}": df for name, df in gone.items()}})
 
 
-@query("SELECT event_type AS id, user_id AS user, CASE WHEN user_id % 2 = 0 THEN 'superseded' ELSE 'active' END AS status FROM events WHERE event_id < 300 AND event_type IN ('view', 'click') GROUP BY ALL")
+@query("SELECT event_type AS id, user_id AS user, CASE WHEN user_id % 2 = 0 THEN 'superseded' ELSE 'active' END AS status FROM events WHERE event_type IN ('view', 'click') GROUP BY ALL")
 def builds_superseded(spark, sf_dir):
-    e = table(spark, sf_dir, "events").where("event_id < 300 AND event_type IN ('view', 'click')").select(F.col("event_type").alias("id"), F.col("user_id").cast("string").alias("user_id")).distinct()
+    e = table(spark, sf_dir, "events").where("event_type IN ('view', 'click')").select(F.col("event_type").alias("id"), F.col("user_id").cast("string").alias("user_id")).distinct()
     builds = schema.shaped(e, "memory_build", status="active", generated_at=NOW)
     return memory.supersede(builds, e.where(F.col("user_id").cast("long") % 2 == 0)).select("id", F.col("user_id").cast("long").alias("user"), "status")
 
@@ -410,30 +428,29 @@ def jobs_done_and_set(spark, sf_dir):
 
 
 @query(
-    """SELECT 'e' || event_id AS id, row_number() OVER (ORDER BY ts, event_id) AS place FROM (SELECT * FROM events WHERE user_id < 200 AND event_type IN ('click', 'view') AND props LIKE '%k%'
+    """SELECT 'e' || event_id AS id, row_number() OVER (ORDER BY ts, event_id) AS place FROM (SELECT * FROM events WHERE event_type IN ('click', 'view') AND props LIKE '%k%'
       AND ts >= TIMESTAMP '2024-01-02 00:00:00' AND ts < TIMESTAMP '2024-01-20 00:00:00' ORDER BY ts, event_id LIMIT 40)"""
 )
 def event_scan(spark, sf_dir):
-    e = table(spark, sf_dir, "events").where("user_id < 200")
+    e = table(spark, sf_dir, "events")
     rows = e.select(F.col("event_id").alias("id"), F.lit("u").alias("user_id"), "event_type", F.col("ts").cast("timestamp").alias("start_at"), F.lit(None).cast("timestamp").alias("end_at"), F.col("props").alias("payload_json"))
     rows = scans.scan(rows, "event", start="2024-01-02", end="2024-01-20", like={"payload_json": "%_K_%", "event_type": None}, among={"event_type": ["click", "view"]}, limit=40, user_id="u", device_id=None)
     return rows.select(F.concat(F.lit("e"), F.col("id").cast("string")).alias("id"), F.row_number().over(_whole("start_at", "id")).cast("long").alias("place"))
 
 
 @query(
-    """SELECT event_id AS id, artifact_id, row_number() OVER (ORDER BY event_id, r, sized, artifact_id) AS place FROM (SELECT 'o' || l_orderkey AS event_id, 'a' || l_partkey AS artifact_id, CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS r, p_size AS sized
-      FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_orderkey < 500 AND l_linenumber < 5)"""
+    """SELECT 'o' || l_orderkey AS id, 'a' || l_partkey AS artifact_id, CASE l_returnflag WHEN 'A' THEN 'primary' WHEN 'N' THEN 'supporting' ELSE 'context' END AS role, CAST(p_size AS BIGINT) AS captured
+    FROM lineitem JOIN part ON p_partkey = l_partkey JOIN orders ON o_orderkey = l_orderkey"""
 )
 def artifacts_of_events(spark, sf_dir):
     li, p = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
     key = lambda prefix, c: F.concat(F.lit(prefix), F.col(c).cast("string"))
     role = F.when(F.col("l_returnflag") == "A", "primary").when(F.col("l_returnflag") == "N", "supporting").otherwise("context")
-    links = li.select(key("o", "l_orderkey").alias("event_id"), key("a", "l_partkey").alias("artifact_id"), role.alias("role"), "l_linenumber").where("l_linenumber < 5")
+    links = li.select(key("o", "l_orderkey").alias("event_id"), key("a", "l_partkey").alias("artifact_id"), role.alias("role"))
     arts = p.select(key("a", "p_partkey").alias("id"), F.lit("u").alias("user_id"), F.timestamp_seconds(F.col("p_size").cast("long")).alias("captured_at_wall"))
-    evs = table(spark, sf_dir, "orders").where("o_orderkey < 500").select(key("o", "o_orderkey").alias("id"))
+    evs = table(spark, sf_dir, "orders").select(key("o", "o_orderkey").alias("id"))
     rows = scans.event_artifacts(evs, links, arts)
-    rank = F.when(F.col("role") == "primary", 0).when(F.col("role") == "supporting", 1).otherwise(2)
-    return rows.select(F.col("event_id").alias("id"), "artifact_id", F.row_number().over(_whole("event_id", rank, "captured_at_wall", "artifact_id")).cast("long").alias("place"))
+    return rows.select(F.col("event_id").alias("id"), "artifact_id", "role", F.unix_seconds("captured_at_wall").alias("captured"))
 
 
 @query("SELECT 'd' || event_id % 3 AS device_id, strftime(ts - INTERVAL 7 HOURS, '%Y-%m-%d') AS day FROM events WHERE user_id % 5 = 2 GROUP BY ALL")
@@ -469,12 +486,12 @@ def store_replace_day(spark, sf_dir):
 
 
 @query(
-    """WITH best AS (SELECT l_orderkey AS k, arg_max({'t': t, 'e': e}, (length(t), t, e)) AS o FROM (SELECT l_orderkey, repeat(l_returnflag || ' ', l_linenumber) || l_linestatus AS t, l_linestatus || l_suppkey AS e FROM lineitem WHERE l_quantity < 30) GROUP BY 1)
+    """WITH best AS (SELECT l_orderkey AS k, arg_max({'t': t, 'e': e}, (length(t), t, e)) AS o FROM (SELECT l_orderkey, repeat(l_returnflag || ' ', l_linenumber) || l_linestatus AS t, l_linestatus || l_suppkey AS e FROM lineitem) GROUP BY 1)
     SELECT o_orderkey AS id, epoch_us(CAST(o_orderdate AS TIMESTAMP)) - 3600000000 AS at_us, 'host' || o_custkey % 7 || '.org:80' AS host, regexp_replace(trim(o.t), ' +', ' ', 'g') AS ocr_text, o.e AS engine, 'a ' || o_orderstatus AS said
     FROM orders LEFT JOIN best ON k = o_orderkey WHERE o_custkey % 2 = 1"""
 )
 def frames_left_join(spark, sf_dir):
-    o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem").where("l_quantity < 30")
+    o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
     frame = o.select(
         F.col("o_orderkey").alias("id"), F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T00:00:00+01:00")).alias("timestamp"), (F.col("o_custkey") % 2).cast("string").alias("machine_id"),
         F.concat(F.lit(" a \n"), F.col("o_orderstatus")).alias("full_text"), F.lit("  ").alias("accessibility_text"), F.concat(F.lit("https://HOST"), (F.col("o_custkey") % 7).cast("string"), F.lit(".org:80/x?y")).alias("browser_url"),
@@ -783,10 +800,10 @@ def environment_view(spark, sf_dir):
     return rows.select("build_id", "days", "first_day", "last_day", F.array_join("statuses", ",").alias("statuses"), F.array_join(F.transform("open_days", lambda x: x["day"]), ",").alias("open_days"))
 
 
-@query(CURRENT + "SELECT 'v' || doc_id AS id, lang AS modality, row_number() OVER (ORDER BY CASE WHEN doc_id % 2 = 0 THEN doc_id END NULLS FIRST, 'v' || doc_id) AS place FROM now WHERE day = '2026-01-04'")
+@query(CURRENT + "SELECT 'v' || doc_id AS id, lang AS modality, CASE WHEN doc_id % 2 = 0 THEN doc_id END AS start_s FROM now WHERE day = '2026-01-04'")
 def coverage_view(spark, sf_dir):
     rows = retrieval.coverage(memory_store(spark, sf_dir), "u", "2026-01-04")
-    return rows.select("id", "modality", F.row_number().over(_whole(F.col("start_at").asc_nulls_first(), "id")).cast("long").alias("place"))
+    return rows.select("id", "modality", F.unix_seconds("start_at").alias("start_s"))
 
 
 @query(CURRENT + "SELECT id, lang AS title, sort_key, 'n=' || doc_id % 3 AS tag FROM d WHERE id = 'c17'")

@@ -10,17 +10,38 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from timeloom.schema import TABLES, shaped
 
 
-def last_writer(source: DataFrame, key: list[str], order: list | None = None) -> DataFrame:
-    """One row a key: the last in ``order`` (descending columns), so that rows of one batch can repeat a key."""
-    if not order:
-        return source.dropDuplicates(key)
-    w = Window.partitionBy(*key).orderBy(*order)
-    return source.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+#: Times that say when a row was written, those of most weight first.
+WRITTEN = ["updated_at", "created_at", "produced_at", "built_at", "generated_at", "normalized_at", "received_at", "finished_at", "started_at", "queued_at"]
+
+
+def written_order(source: DataFrame, columns: list[str]) -> list[Column]:
+    """What orders the rows of a batch that has no order of its own: primary roles last, then the times of writing, then a digest of the row."""
+    role = [(F.col("role") == "primary")] if "role" in columns else []
+    return [*role, *[F.col(c) for c in WRITTEN if c in columns], F.xxhash64(*[F.col(c).cast("string") for c in columns]), F.to_json(F.struct(*columns))]
+
+
+def last_writer(source: DataFrame, key: list[str], order: list[str] | None = None, fixed: list[str] | None = None) -> DataFrame:
+    """One row a key, as if the rows had been written one after another: the last one's values, and the first one's in the ``fixed`` columns.
+
+    ``order`` names columns of the batch that say which came first (they are
+    left out of the result if it has others); without it ``written_order``
+    decides.  Either way all that is equal there is told apart by a digest, so
+    that reruns over other partitions agree.  Two partial aggregations, no sort.
+    """
+    columns = [c for c in source.columns if c not in (order or [])] if order else source.columns
+    place = F.struct(*[F.col(c) if isinstance(c, str) else c for c in [*(order or []), *written_order(source, columns)]])
+    first = [c for c in columns if c in (fixed or [])]
+    last = [c for c in columns if c not in key and c not in first]
+    parts = [F.max_by(F.struct(*last), place).alias("_last")] if last else []
+    parts += [F.min_by(F.struct(*first), place).alias("_first")] if first else []
+    if not parts:
+        return source.select(*columns).distinct()
+    rows = source.groupBy(*key).agg(*parts)
+    return rows.select(*[F.col(c) if c in key else F.col(f"_first.{c}" if c in first else f"_last.{c}").alias(c) for c in columns])
 
 
 def merge(target: DataFrame, source: DataFrame, key: list[str], updated: list[str]) -> DataFrame:
@@ -36,16 +57,19 @@ def merge(target: DataFrame, source: DataFrame, key: list[str], updated: list[st
     return both.select(*[value(c) for c in target.columns])
 
 
-def upsert(target: DataFrame, source: DataFrame, table: str) -> DataFrame:
-    """``merge`` by a table's own key and update rules."""
+def upsert(target: DataFrame, source: DataFrame, table: str, order: list[str] | None = None) -> DataFrame:
+    """``merge`` by a table's own key and update rules; rows of one batch may repeat a key and are taken in the ``order`` of those columns."""
     t = TABLES[table]
-    order = [F.when(F.col("role") == "primary", 0).otherwise(1)] if table in ("event_artifact", "scene_window_artifact", "reference_scene_member") else None
-    return merge(shaped(target, table), last_writer(shaped(source, table), list(t.key), order), list(t.key), t.updated)
+    keep = [F.col(c).alias(f"_order{i}") for i, c in enumerate(order or [])]
+    # The columns that give the order stand aside: they may be the table's own.
+    rows = shaped(source, table, extra=keep)
+    batch = last_writer(rows, list(t.key), [f"_order{i}" for i in range(len(keep))] or None, list(t.fixed))
+    return merge(shaped(target, table), batch, list(t.key), t.updated)
 
 
 def insert_missing(target: DataFrame, source: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
     """The snapshot with the rows of unknown keys added, and those rows."""
-    new = last_writer(source, key).join(target.select(*key), key, "left_anti").select(*target.columns)
+    new = last_writer(source, key, fixed=[c for c in source.columns if c not in key]).join(target.select(*key), key, "left_anti").select(*target.columns)
     return target.unionByName(new), new
 
 

@@ -101,15 +101,23 @@ class TableStore:
         """The (_user, _day) of the rows for which a condition holds."""
         return placed(self.read(name).where(where), name).select(*PLACE).distinct()
 
-    def upsert(self, name: str, df: DataFrame) -> None:
-        """Merge rows in by the table's key.  Of tables by day only the days of the new rows, and of old ones with their keys, are read and written."""
-        df = shaped(df, name)
+    def upsert(self, name: str, df: DataFrame, order: list[str] | None = None, days_stay: bool = False) -> None:
+        """Merge rows in by the table's key; rows that repeat a key are taken in ``order`` (columns of ``df``).
+
+        Of tables by day only the days of the new rows, and of old ones with
+        their keys, are read whole and written.  To find the latter the keys of
+        the whole table are read (two columns and the key); with ``days_stay``
+        the caller says that no row ever moves to another day, and the days of
+        the new rows are enough.
+        """
         if name not in BY_DAY:
-            return self.write(name, upsert.upsert(self.read(name), df, name))
-        key = list(TABLES[name].key)
-        known = placed(self.read(name).join(df.select(*key).distinct(), key, "left_semi"), name).select(*PLACE)
-        touched = known.unionByName(placed(df, name).select(*PLACE)).distinct()
-        self.write(name, upsert.upsert(self.read(name, touched), df, name), touched)
+            return self.write(name, upsert.upsert(self.read(name), df, name, order))
+        key, rows = list(TABLES[name].key), shaped(df, name)
+        touched = placed(rows, name).select(*PLACE)
+        if not days_stay:
+            touched = placed(self.read(name).join(rows.select(*key).distinct(), key, "left_semi"), name).select(*PLACE).unionByName(touched)
+        touched = touched.distinct()
+        self.write(name, upsert.upsert(self.read(name, touched), df, name, order), touched)
 
     def vacuum(self, name: str) -> None:
         """Delete the versions that the current one doesn't need."""

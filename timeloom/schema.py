@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,10 +109,10 @@ TABLES = {
 }
 
 
-def shaped(df: DataFrame, table: str, **defaults) -> DataFrame:
-    """The columns of a table in order and type; a column that ``df`` lacks takes its default, or null."""
+def shaped(df: DataFrame, table: str, extra: list[Column] | None = None, **defaults) -> DataFrame:
+    """The columns of a table in order and type, and ``extra`` ones; a column that ``df`` lacks takes its default, or null."""
     have = set(df.columns)
-    return df.select(*[(F.col(f.name) if f.name in have else F.lit(defaults.get(f.name))).cast(f.dataType).alias(f.name) for f in TABLES[table].schema])
+    return df.select(*(extra or []), *[(F.col(f.name) if f.name in have else F.lit(defaults.get(f.name))).cast(f.dataType).alias(f.name) for f in TABLES[table].schema])
 
 
 def orphans(child: DataFrame, parent: DataFrame, column: str, key: str = "id") -> DataFrame:
