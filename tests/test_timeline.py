@@ -1,6 +1,7 @@
 """The timeline stages on small inputs, from sources to retrieval."""
 
 import json
+import math
 import random
 import re
 import uuid
@@ -461,7 +462,7 @@ def test_overlap_report_equals_all_pairs(spark):
             gap = abs((a[1] - b[1]).total_seconds())
             score = cos * 0.65 + max(0, 1 - gap / 60 / 90) * 0.35
             if score > 0:
-                want.append((-round(score, 9), gap, a[1], a[0], b[0]))
+                want.append((-math.floor(score / 1e-4 + 0.5), math.floor(gap / 60 / 1e-2 + 0.5), a[1], a[0], b[0]))
     frame = lambda x: spark.createDataFrame(x, "id string, start_at timestamp, text string")
     got = [(r["left_id"], r["right_id"]) for r in overlap.report(frame(left), frame(right)).collect()]
     assert got == [w[3:] for w in sorted(want)[:12]]

@@ -6,10 +6,6 @@ driver's rows, in Spark and in SQL alike.
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +18,7 @@ from timeloom.plans.stages import stored
 from timeloom.plans.store import TableStore
 from timeloom.queries import GROUPED, HALF_DAY, LABELLED, query
 from timeloom.schema import TABLES
+from timeloom.session import work_folder
 from timeloom.sources import files, screen, transcripts
 
 NOW = "2026-01-02 03:04:05"
@@ -41,16 +38,6 @@ def listed(names: list) -> str:
     return "[" + ", ".join("NULL" if x is None else "'" + x.replace("'", "''") + "'" for x in names) + "]"
 
 
-def work_folder(spark: SparkSession) -> str:
-    """A new folder where the session keeps its checkpoints; a local one only where that is unset and the session is local."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = tempfile.mkdtemp(prefix="timeloom-")
-    return os.path.join(base.rstrip("/"), f"store-{uuid.uuid4().hex}")
-
-
 # Scalars
 
 TAILS = ["Z", "+02:00", ".1234567-05:30", " "]

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from timeloom.session import work_folder
 
 
 def stored(df: DataFrame, folder: str, name: str = "table") -> DataFrame:
@@ -16,3 +19,9 @@ def stored(df: DataFrame, folder: str, name: str = "table") -> DataFrame:
 
 def stored_all(tables: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
     return {name: stored(df, folder, name) for name, df in tables.items()}
+
+
+def keeper(spark: SparkSession) -> Callable[[DataFrame, str], DataFrame]:
+    """What stores the tables of one run in a new folder of its own."""
+    folder = work_folder(spark)
+    return lambda df, name: stored(df, folder, name)

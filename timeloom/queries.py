@@ -9,8 +9,9 @@ from pyspark.sql.window import Window
 from timeloom.functions import scoring, text
 from timeloom.functions.ids import stable_id
 from timeloom.functions.times import day_of, seconds_between, without_offset
-from timeloom.operators import episodes, jobs, memory, overlap, scenes, search, segments, upsert, windows
+from timeloom.operators import episodes, jobs, memory, overlap, scenes, search, segments, similarity, upsert, windows
 from timeloom.plans.driver_tables import EV, events, micros, table
+from timeloom.plans.stages import keeper
 from timeloom.schema import orphans
 
 QUERIES: dict = {}
@@ -518,9 +519,8 @@ def token_tf(spark, sf_dir):
 def tf_cosine_topk(spark, sf_dir):
     b = overlap.term_counts(table(spark, sf_dir, "benchmark"), "item_id", text.tokens(F.col("text")))
     d = overlap.term_counts(table(spark, sf_dir, "documents"), "doc_id", text.tokens(F.col("text")))
-    pairs = overlap.cosine_pairs(b, d, "item_id", "doc_id").select("item_id", "doc_id", ppm(F.col("text_score")).alias("cosine_ppm"))
-    w = Window.partitionBy("item_id").orderBy(F.col("cosine_ppm").desc(), "doc_id")
-    return pairs.withColumn("rn", F.row_number().over(w)).where("rn <= 5").drop("rn")
+    rows = similarity.top_k(b, d, "item_id", "doc_id", 5, keeper(spark))
+    return rows.select("item_id", "doc_id", ppm(F.col("text_score")).alias("cosine_ppm"))
 
 
 @query(
@@ -531,12 +531,13 @@ def tf_cosine_topk(spark, sf_dir):
     dots AS (SELECT lt.id AS left_id, rt.id AS right_id, sum(lt.tf * rt.tf) AS dot FROM lt JOIN rt USING (token) GROUP BY ALL),
     s AS (SELECT l.id AS left_id, r.id AS right_id, coalesce(dot / (ln.n * rn.n), 0) AS ts, greatest(0.0, 1 - abs(date_diff('microsecond', l.start_at, r.start_at)) / 60e6 / 90) AS tm, abs(date_diff('microsecond', l.start_at, r.start_at)) AS gap, l.start_at
       FROM l CROSS JOIN r LEFT JOIN dots ON dots.left_id = l.id AND dots.right_id = r.id LEFT JOIN ln ON ln.id = l.id LEFT JOIN rn ON rn.id = r.id)
-    SELECT left_id, right_id, CAST(floor((ts * 0.65 + tm * 0.35) * 1e6 + 0.5) AS BIGINT) AS score_ppm FROM s WHERE ts * 0.65 + tm * 0.35 > 0 ORDER BY ts * 0.65 + tm * 0.35 DESC, gap, start_at, left_id, right_id LIMIT 12"""
+    SELECT left_id, right_id, CAST(floor((ts * 0.65 + tm * 0.35) * 1e6 + 0.5) AS BIGINT) AS score_ppm FROM s
+    WHERE floor((ts * 0.65 + tm * 0.35) / 1e-4 + 0.5) > 0 ORDER BY floor((ts * 0.65 + tm * 0.35) / 1e-4 + 0.5) DESC, floor(gap / 1e6 / 60 / 1e-2 + 0.5), start_at, left_id, right_id LIMIT 12"""
 )
 def overlap_report(spark, sf_dir):
     at = F.timestamp_add("SECOND", F.col("conv_id") * 600 + F.col("turn") * 60, F.lit("2026-01-01 00:00:00").cast("timestamp"))
     c = table(spark, sf_dir, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), at.alias("start_at"), "text", "role")
-    out = overlap.report(c.where("role = 'user'"), c.where("role = 'assistant'"))
+    out = overlap.report(c.where("role = 'user'"), c.where("role = 'assistant'"), keep=keeper(spark))
     return out.select("left_id", "right_id", ppm(F.col("score")).alias("score_ppm"))
 
 

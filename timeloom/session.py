@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -19,15 +24,31 @@ def session(app: str = "timeloom", **more: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+_own_folder: str | None = None
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in ``spark.checkpoint.dir``; one of our own only where that is unset and the session is local."""
+    global _own_folder
+    if folder := spark.conf.get("spark.checkpoint.dir", None):
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if _own_folder is None:
+        _own_folder = tempfile.mkdtemp(prefix="timeloom-")
+    return _own_folder
+
+
+def work_folder(spark: SparkSession) -> str:
+    """A new folder there."""
+    return f"{shared_folder(spark)}/store-{uuid.uuid4().hex}"
+
+
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors' Python, once a session, where the environment doesn't give it to them already."""
-    import os
-    import shutil
-    import tempfile
-
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     paths = [os.path.realpath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
     app = spark.sparkContext.applicationId
