@@ -53,6 +53,8 @@ LEAST, LONGEST, TOP, COVER = 30, 4, 2000, 80
 UND = "und"
 #: Words, gaps included, and different words that a task takes into its blocks together.
 BLOCK_WORDS, BLOCK_DISTINCT = 4_000_000, 1_000_000
+#: Slots and numbers that a task packs together on their way back to their blocks.
+PACKED = 1_000_000
 #: Shares in which the phrases of a language are ranked before the best are ranked together.
 SHARES = 64
 
@@ -136,14 +138,12 @@ def one_row(block: int, ids: np.ndarray, sizes: np.ndarray, positions: np.ndarra
     return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds)], names=["block", "ids", "sizes", "positions"])
 
 
-def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
-    """The rows of batches, lists as arrays of numpy and bytes as positions."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            yield [
-                c[i].values.to_numpy(zero_copy_only=False) if pa.types.is_list(c.type) and c[i].is_valid else np.frombuffer(c[i].as_py(), np.int32) if pa.types.is_binary(c.type) else c[i].as_py()
-                for c in batch.columns
-            ]
+def cell(batch: pa.RecordBatch, i: int, column: int):
+    """A value of a batch: a list as an array, bytes as positions."""
+    c = batch.column(column)
+    if pa.types.is_list(c.type):
+        return c[i].values.to_numpy(zero_copy_only=False)
+    return np.frombuffer(c[i].as_py(), np.int32) if pa.types.is_binary(c.type) else c[i].as_py()
 
 
 def kept_lists(sizes: np.ndarray, positions: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -157,40 +157,74 @@ def pairs_of(lists: DataFrame) -> DataFrame:
     """How often each pair of neighbouring phrases occurs in each block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, ids, sizes, positions in cells(batches):
-            left, right, n, _ = longer(sizes, positions)
-            for a in range(0, len(n), 100_000):
-                part = slice(a, a + 100_000)
-                columns = [np.full(len(n[part]), block), np.arange(a, a + len(n[part]), dtype=np.int32), ids[left[part]], ids[right[part]], n[part]]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["block", "slot", "left", "right", "n"])
+        for batch in batches:
+            for i in range(batch.num_rows):
+                block, ids, sizes, positions = (cell(batch, i, c) for c in range(4))
+                left, right, n, _ = longer(sizes, positions)
+                for a in range(0, len(n), 100_000):
+                    part = slice(a, a + 100_000)
+                    columns = [np.full(len(n[part]), block), np.arange(a, a + len(n[part]), dtype=np.int32), ids[left[part]], ids[right[part]], n[part]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["block", "slot", "left", "right", "n"])
         common.give_back()
 
     return lists.mapInArrow(run, PAIRS)
 
 
-def frequent(rows: DataFrame, key: list[str], least: int, name: str) -> tuple[DataFrame, DataFrame]:
-    """Of rows of counts by block those whose key is frequent over all blocks; and the keys with frequency and number."""
-    over = rows.withColumn("f", F.sum(F.col("n").cast("long")).over(Window.partitionBy(*key)))
-    kept = common.durable(over.where(F.col("f") >= least), f"{name}-kept")
-    keys = kept.groupBy(*key).agg(F.first("f").alias("f")).withColumn("id", F.monotonically_increasing_id())
-    return kept, common.durable(keys, f"{name}-keys")
+def frequent(rows: DataFrame, key: list[str], least: int, name: str) -> DataFrame:
+    """Of rows of counts by block those whose key is frequent over all blocks, with its frequency and a number of its own (id).
+
+    The number is that of the key's first row, as the rows lie after one
+    exchange by key; ``first`` marks it.
+    """
+    same = Window.partitionBy(*key)
+    kept = rows.withColumn("f", F.sum(F.col("n").cast("long")).over(same)).where(F.col("f") >= least)
+    kept = kept.withColumn("row", F.monotonically_increasing_id()).withColumn("id", F.min("row").over(same))
+    return common.durable(kept.select("block", "slot", *key, "f", "id", (F.col("row") == F.col("id")).alias("first")), name)
+
+
+def numbered(kept: DataFrame) -> DataFrame:
+    """By block the slots of its frequent phrases and their numbers, as parts of two arrays of bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+
+        def give() -> Iterator[pa.RecordBatch]:
+            block, slot, new = (np.concatenate(x) for x in zip(*held))
+            order = np.lexsort((slot, block))
+            block, slot, new = block[order], slot[order], new[order]
+            blocks, start = np.unique(block, return_index=True)
+            ends = [*start[1:].tolist(), len(block)]
+            parts = [(slot[i:j].tobytes(), new[i:j].tobytes()) for i, j in zip(start.tolist(), ends)]
+            yield pa.RecordBatch.from_arrays([pa.array(blocks), *(pa.array(x, pa.binary()) for x in zip(*parts))], names=["block", "slots", "new"])
 
+        for batch in batches:
+            held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            rows += batch.num_rows
+            if rows >= PACKED:
+                yield from give()
+                held, rows = [], 0
+        if rows:
+            yield from give()
+        common.give_back()
 
-def numbered(kept: DataFrame, keys: DataFrame, key: list[str]) -> DataFrame:
-    """By block the slots of its frequent phrases and their numbers."""
-    found = common.meet(kept.select("block", "slot", *key), keys.select(*key, "id"), key, "block")
-    return found.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("slot", "id"))).alias("found")).select("block", F.col("found.slot").alias("slots"), F.col("found.id").alias("new"))
+    packed = kept.select("block", "slot", "id").mapInArrow(run, "block long, slots binary, new binary")
+    return packed.groupBy("block").agg(F.collect_list(F.struct("slots", "new")).alias("found"))
 
 
 def keep(lists: DataFrame, found: DataFrame, grow: bool) -> DataFrame:
     """The lists of what is frequent: of the words themselves, or of the pairs that the block's lists make (``grow``)."""
-    rows = lists.select("block", "sizes", "positions").join(found, "block")
+    rows = lists.select("block", "sizes", "positions").join(found, "block").select("block", "sizes", "positions", "found")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, sizes, positions, slots, new in cells(batches):
-            if grow:
-                _, _, sizes, positions = longer(sizes, positions)
-            yield one_row(block, new, *kept_lists(sizes, positions, slots))
+        for batch in batches:
+            for i in range(batch.num_rows):
+                block, sizes, positions = cell(batch, i, 0), cell(batch, i, 1), cell(batch, i, 2)
+                parts = batch.column(3)[i].as_py()
+                slots = np.frombuffer(b"".join(x["slots"] for x in parts), np.int32)
+                new = np.frombuffer(b"".join(x["new"] for x in parts), np.int64)
+                if grow:
+                    _, _, sizes, positions = longer(sizes, positions)
+                yield one_row(block, new, *kept_lists(sizes, positions, slots))
         common.give_back()
 
     return rows.mapInArrow(run, LISTS)
@@ -206,20 +240,21 @@ def mine(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple[l
     words = common.durable(word_lists(docs), "blocks")
     totals = common.durable(words.groupBy("lang").agg(F.sum("total").alias("n")), "totals")
     each = words.select("block", "lang", F.posexplode(F.arrays_zip("names", "sizes")).alias("slot", "w")).select("block", "slot", "lang", F.col("w.names").alias("word"), F.col("w.sizes").alias("n"))
-    kept, keys = frequent(each, ["lang", "word"], least, "words")
+    kept = frequent(each, ["lang", "word"], least, "words-kept")
     none, no_id = F.array().cast("array<long>"), F.lit(None).cast("long")
-    phrases = [keys.select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", no_id.alias("left"), no_id.alias("right"), none.alias("firsts"), none.alias("lasts"))]
+    words_kept = kept.where("first")
+    phrases = [common.durable(words_kept.select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", no_id.alias("left"), no_id.alias("right"), none.alias("firsts"), none.alias("lasts")), "scored-1")]
     lists = words
     for size in range(2, longest + 1):
-        shorter = common.durable(keep(lists, numbered(kept, keys, ["lang", "word"] if size == 2 else ["left", "right"]), size > 2), f"lists-{size - 1}")
+        shorter = common.durable(keep(lists, numbered(kept), size > 2), f"lists-{size - 1}")
         common.discard(lists)
         common.discard(kept)
         lists = shorter
-        kept, keys = frequent(pairs_of(lists), ["left", "right"], least, f"phrases-{size}")
+        kept = frequent(pairs_of(lists), ["left", "right"], least, f"phrases-{size}")
         before = phrases[-1]
         first = before.select(F.col("id").alias("left"), "lang", "phrase", F.col("firsts").alias("_firsts"), F.col("f").alias("_first"))
         last = before.select(F.col("id").alias("right"), "last", F.col("lasts").alias("_lasts"), F.col("f").alias("_last"))
-        joined = keys.join(first, "left").join(last, "right")
+        joined = kept.where("first").join(first, "left").join(last, "right")
         found = joined.select(
             "id", "lang", F.concat_ws(" ", "phrase", "last").alias("phrase"), "last", "f", "left", "right",
             F.concat("_firsts", F.array("_first")).alias("firsts"), F.concat("_lasts", F.array("_last")).alias("lasts"),
