@@ -426,28 +426,6 @@ def test_query_language(spark):
 # Similarity, upserts, jobs
 
 
-def test_a_stored_index_gives_what_the_documents_give(spark, tmp_path):
-    rng = random.Random(8)
-    rows = [(i, "Äpfel b" if i % 7 else None, " ".join(rng.choices(["apple", "applet", "pie", "the", "Thé", "b"], weights=[2, 1, 2, 9, 3, 1], k=rng.randint(0, 30)))) for i in range(200)]
-    df = spark.createDataFrame(rows, "id int, title string, text string")
-    ix = search.index(df.where("id < 120"), "id", ["title", "text"])
-    search.store_index(ix, str(tmp_path / "ix"))
-    search.store_index(search.index(df.where("id >= 120"), "id", ["title", "text"]), str(tmp_path / "ix"), "append")
-    stored, whole = search.stored_index(spark, str(tmp_path / "ix")), search.index(df, "id", ["title", "text"])
-    plain = {r[0]: re.findall(r"[a-z]+", (r[2] or "").lower().replace("é", "e")) for r in rows}
-    for ask, test in {
-        "apple": lambda w: "apple" in w,
-        '"apple pie"': lambda w: any(a == ["apple", "pie"] for a in (w[i : i + 2] for i in range(len(w)))),
-        '"the app"*': lambda w: any(len(a) > 1 and a[0] == "the" and a[1].startswith("app") for a in (w[i : i + 2] for i in range(len(w)))),
-        "app* NOT (pie OR applet)": lambda w: any(x.startswith("app") for x in w) and "pie" not in w and "applet" not in w,
-        "pie applet": lambda w: "pie" in w and "applet" in w,
-    }.items():
-        a, b = ({r["doc"]: round(r["score"], 9) for r in search.bm25(x, ask).collect()} for x in (stored, whole))
-        assert a == b and set(a) == {i for i, w in plain.items() if test(w)}
-    plan = search.bm25(stored, "pie")._jdf.queryExecution().toString()
-    assert "EqualTo(token,pie)" in plan and search.bm25(whole, "nothing").count() == 0
-
-
 def test_overlap_report_equals_all_pairs(spark):
     rng = random.Random(3)
     vocabulary = ["alpha", "beta", "gamma", "delta", "omega"]

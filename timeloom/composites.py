@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 from timeloom import schema
 from timeloom.functions import ids, scoring, text, times
-from timeloom.operators import align, episodes, jobs, memory, normalize, overlap, retrieval, scans, scenes, segments, upsert
+from timeloom.operators import align, episodes, inverted, jobs, memory, normalize, overlap, retrieval, scans, scenes, search, segments, upsert
 from timeloom.plans import ingest
 from timeloom.plans.driver_tables import EV, events, table
 from timeloom.plans.stages import stored
 from timeloom.plans.store import TableStore
-from timeloom.queries import GROUPED, HALF_DAY, LABELLED, query
+from timeloom.queries import GROUPED, HALF_DAY, LABELLED, index_once, query
 from timeloom.schema import TABLES
 from timeloom.session import work_folder
 from timeloom.sources import files, screen, transcripts
@@ -809,14 +809,22 @@ PLAIN_WORD = "regexp_replace(lower(strip_accents(w)), '^[^\\p{L}\\p{N}]+|[^\\p{L
     sc AS (SELECT f.*, greatest(1e-6, ln((nd - n1 + 0.5) / (n1 + 0.5))) * t1 * 2.2 / (t1 + 1.2 * (0.25 + 0.75 * n / av)) + greatest(1e-6, ln((nd - n2 + 0.5) / (n2 + 0.5))) * t2 * 2.2 / (t2 + 1.2 * (0.25 + 0.75 * n / av)) AS score FROM f, st
       WHERE (t1 > 0 OR t2 > 0) AND day >= '2026-01-02' AND day <= '2026-01-04' AND doc_id % 3 <> 1 AND doc_id % 3 = 0),
     p AS (SELECT *, regexp_split_to_array(trim(text, ' '), '\\s+') AS parts FROM sc ORDER BY score DESC, id LIMIT 50),
-    h AS (SELECT *, len(parts) AS m, coalesce(list_position(list_transform(parts, lambda w: {PLAIN_WORD} IN ('license', 'reserv')), TRUE), 1) AS hit FROM p),
-    g AS (SELECT *, greatest(1, least(hit - 2, m - 16 + 1)) AS b FROM h)
+    q AS (SELECT *, len(parts) AS m, list_transform(parts, lambda w: CASE WHEN {PLAIN_WORD} = 'license' THEN 0 WHEN starts_with({PLAIN_WORD}, 'reserv') THEN 1 END) AS who FROM p),
+    h AS (SELECT id, unnest(range(1, m + 1)) AS place, unnest(who) AS who FROM q),
+    v AS (SELECT a.id, a.place, count(DISTINCT b.who) AS terms, count(b.who) AS n, max(b.place) AS last FROM h a JOIN h b ON b.id = a.id AND b.place >= a.place AND b.place < a.place + 16 AND b.who IS NOT NULL WHERE a.who IS NOT NULL GROUP BY ALL),
+    g AS (SELECT q.*, (CASE WHEN v.place IS NULL THEN 1 ELSE greatest(1, least(v.place - floor((15 - (v.last - v.place)) / 2), m - 16 + 1)) END)::INTEGER AS b FROM q LEFT JOIN (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY id ORDER BY terms DESC, n DESC, place) = 1) v USING (id))
     SELECT id, CAST(floor(score * 1e6 + 0.5) AS BIGINT) AS score_ppm, 'lang=' || lang AS tag, CASE WHEN b > 1 THEN '...' ELSE '' END
-      || array_to_string(list_transform(parts[b:b + 15], lambda w: CASE WHEN {PLAIN_WORD} IN ('license', 'reserv') THEN '[' || w || ']' ELSE w END), ' ') || CASE WHEN b + 16 <= m THEN '...' ELSE '' END AS snippet FROM g"""
+      || array_to_string(list_transform(list_zip(parts, who)[b:b + 15], lambda w: CASE WHEN w[2] IS NOT NULL THEN '[' || w[1] || ']' ELSE w[1] END), ' ') || CASE WHEN b + 16 <= m THEN '...' ELSE '' END AS snippet FROM g"""
 )
 def memory_search(spark, sf_dir):
-    """Full-text search in the active build, with a range of days and a tag, with snippets and tags."""
-    how, rows = retrieval.search_memory(memory_store(spark, sf_dir), "u", "license OR reserv*", 50, day_from="2026-01-02", day_to="2026-01-04", tags=["n:0"])
+    """Full-text search in the active build, with a range of days and a tag, with snippets and tags; the index is stored."""
+    store = memory_store(spark, sf_dir)
+
+    def build(folder: str) -> None:
+        inverted.add(folder, store["memory_chunk"], "id", list(search.FIELDS), "build_id")
+
+    ix = inverted.opened(spark, index_once(spark, sf_dir, "chunks", build), list(search.FIELDS), "string")
+    how, rows = retrieval.search_memory(store, "u", "license OR reserv*", 50, ix, day_from="2026-01-02", day_to="2026-01-04", tags=["n:0"])
     if how != "fts":
         raise AssertionError(how)
     return rows.select("id", F.floor(F.col("score") * 1e6 + 0.5).cast("long").alias("score_ppm"), F.concat(F.lit("lang="), F.col("tags")["lang"][0]).alias("tag"), "snippet")

@@ -9,10 +9,11 @@ from pyspark.sql.window import Window
 from timeloom.functions import scoring, text
 from timeloom.functions.ids import stable_id
 from timeloom.functions.times import day_of, seconds_between, without_offset
-from timeloom.operators import episodes, jobs, memory, overlap, scenes, search, segments, similarity, upsert, windows
+from timeloom.operators import episodes, inverted, jobs, memory, overlap, scenes, search, segments, similarity, upsert, windows
 from timeloom.plans.driver_tables import EV, events, micros, table
 from timeloom.plans.stages import keeper
 from timeloom.schema import orphans
+from timeloom.session import shared_folder, work_folder
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -547,9 +548,46 @@ WORDS = "regexp_extract_all(lower(strip_accents(text)), '[\\p{L}\\p{N}]+')"
 POSTINGS = f"""WITH w AS (SELECT doc_id, {WORDS} AS ws FROM documents), lens AS (SELECT doc_id, len(ws) AS n FROM w), post AS (SELECT doc_id, unnest(ws) AS token, generate_subscripts(ws, 1) AS pos FROM w)"""
 
 
+_indexes: dict[tuple[str, ...], str] = {}
+
+
+def index_once(spark, sf_dir: str, name: str, build) -> str:
+    """The folder of an index that a session builds once for a folder of tables, and its queries share."""
+    key = (spark.sparkContext.applicationId, shared_folder(spark), sf_dir, name)
+    if key not in _indexes:
+        folder = work_folder(spark)
+        build(folder)
+        _indexes[key] = folder
+    return _indexes[key]
+
+
+#: Documents as those of seven builds.
+BUILD = F.concat(F.lit("b"), (F.col("doc_id") % 7).cast("string"))
+
+
+def documents_index(spark, sf_dir: str) -> inverted.Stored:
+    """Texts of documents; one segment."""
+
+    def build(folder: str) -> None:
+        inverted.add(folder, table(spark, sf_dir, "documents").select("doc_id", "text", F.lit("all").alias("segment")), "doc_id", ["text"])
+
+    return inverted.opened(spark, index_once(spark, sf_dir, "documents", build), ["text"])
+
+
+def builds_index(spark, sf_dir: str) -> inverted.Stored:
+    """Languages and texts of documents in seven builds, of which two came later and one is superseded."""
+
+    def build(folder: str) -> None:
+        docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text", BUILD.alias("segment"))
+        inverted.add(folder, docs.where("segment < 'b5'"), "doc_id", ["lang", "text"])
+        inverted.add(folder, docs.where("segment >= 'b5'"), "doc_id", ["lang", "text"])
+        inverted.remove(folder, docs.where("segment = 'b2'").select("segment").distinct())
+
+    return inverted.opened(spark, index_once(spark, sf_dir, "builds", build), ["lang", "text"])
+
+
 def fts(spark, sf_dir, ask: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return search.bm25(search.index(docs, "doc_id", ["text"]), ask)
+    return search.bm25(documents_index(spark, sf_dir), ask)
 
 
 @query(
@@ -559,8 +597,8 @@ def fts(spark, sf_dir, ask: str) -> DataFrame:
     SELECT doc_id, CAST(floor(s * 1e6 + 0.5) AS BIGINT) AS score_ppm FROM sc ORDER BY floor(s * 1e6 + 0.5) DESC, doc_id LIMIT 20"""
 )
 def fts_bm25_topk(spark, sf_dir):
-    rows = fts(spark, sf_dir, "idiot OR clown").select(F.col("doc").alias("doc_id"), ppm(F.col("score")).alias("score_ppm"))
-    return rows.orderBy(F.col("score_ppm").desc(), "doc_id").limit(20)
+    rows = inverted.top(documents_index(spark, sf_dir), "idiot OR clown", 20)
+    return rows.select(F.col("doc").alias("doc_id"), ppm(F.col("score")).alias("score_ppm"))
 
 
 @query(POSTINGS + " SELECT DISTINCT a.doc_id FROM post a JOIN post b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1 WHERE a.token = 'apache' AND b.token = 'license'")
@@ -573,6 +611,48 @@ def fts_prefix_not(spark, sf_dir):
     return fts(spark, sf_dir, "licen* NOT apache").select(F.col("doc").alias("doc_id"))
 
 
+@query(
+    POSTINGS
+    + """, t AS (SELECT doc_id, pos, CASE WHEN token = 'version' THEN 0 WHEN starts_with(token, 'licens') THEN 1 ELSE 2 END AS who FROM post WHERE token IN ('version', 'the') OR starts_with(token, 'licens'))
+    SELECT DISTINCT x.doc_id FROM t x JOIN t y ON y.doc_id = x.doc_id AND y.pos <= x.pos AND x.pos - y.pos - 1 <= 2 GROUP BY x.doc_id, x.pos HAVING count(DISTINCT y.who) = 3"""
+)
+def fts_near(spark, sf_dir):
+    """Three words in any order, the last of which begins no more than 2 tokens behind the end of each other one."""
+    return fts(spark, sf_dir, "NEAR(version licens* the, 2)").select(F.col("doc").alias("doc_id"))
+
+
+BUILT = f"""WITH live AS (SELECT *, {WORDS.replace('text', "coalesce(text, '')")} AS ws, {WORDS.replace('text', "coalesce(lang, '')")} AS ls FROM documents WHERE doc_id % 7 <> 2),
+    st AS (SELECT count(*) AS nd, avg(len(ws) + len(ls)) AS av FROM live)"""
+SATURATED = "{tf} * 2.2 / ({tf} + 1.2 * (0.25 + 0.75 * (len(ws) + len(ls)) / av))"
+
+
+@query(
+    BUILT
+    + f""", f AS (SELECT *, len(list_filter(ls, lambda x: x = 'en')) AS t1, len(list_filter(ws, lambda x: x = 'license')) + len(list_filter(ls, lambda x: x = 'license')) AS t2,
+      len(list_filter(ws, lambda x: x = 'en')) AS t3 FROM live), n AS (SELECT count(*) FILTER (t1 > 0) AS n1, count(*) FILTER (t2 > 0) AS n2 FROM f)
+    SELECT doc_id, CAST(floor((greatest(1e-6, ln((nd - n1 + 0.5) / (n1 + 0.5))) * {SATURATED.format(tf="t1")} + greatest(1e-6, ln((nd - n2 + 0.5) / (n2 + 0.5))) * {SATURATED.format(tf="t2")}) * 1e6 + 0.5) AS BIGINT) AS score_ppm
+    FROM f, st, n WHERE t1 > 0 AND t2 > 0 AND t3 = 0"""
+)
+def fts_column(spark, sf_dir):
+    """Words of one field, of any field, and not of another, over the builds that count."""
+    rows = search.bm25(builds_index(spark, sf_dir), "lang : en AND license NOT text : en")
+    return rows.select(F.col("doc").alias("doc_id"), ppm(F.col("score")).alias("score_ppm"))
+
+
+@query(
+    BUILT
+    + f""", f AS (SELECT *, {", ".join(f"len(list_filter(ws, lambda x: x = '{w}')) AS t{i}" for i, w in enumerate(("software", "license", "apache")))} FROM live),
+    n AS (SELECT {", ".join(f"count(*) FILTER (t{i} > 0) AS n{i}" for i in range(3))} FROM f),
+    s AS (SELECT doc_id, CAST(floor(({" + ".join(f"greatest(1e-6, ln((nd - n{i} + 0.5) / (n{i} + 0.5))) * " + SATURATED.format(tf=f"t{i}") for i in range(2))}) * 1e6 + 0.5) AS BIGINT) AS score_ppm
+      FROM f, st, n WHERE (t0 > 0 OR t1 > 0) AND t2 = 0)
+    SELECT * FROM s ORDER BY score_ppm DESC, doc_id LIMIT 25"""
+)
+def fts_segments(spark, sf_dir):
+    """The best documents of an index of several builds, after an append and without a superseded one."""
+    rows = inverted.top(builds_index(spark, sf_dir), "(software OR license) NOT apache", 25)
+    return rows.select(F.col("doc").alias("doc_id"), ppm(F.col("score")).alias("score_ppm"))
+
+
 CHUNKS = "SELECT doc_id AS id, lang AS title, text, doc_id % 7 AS sort_key, (doc_id % 5) / 5.0 AS salience, (doc_id % 3) / 3.0 AS confidence FROM documents"
 
 
