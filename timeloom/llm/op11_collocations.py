@@ -76,6 +76,18 @@ def inverted(owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return owners, sizes.astype(np.int32), order.astype(np.int32)
 
 
+def squeezed(positions: np.ndarray) -> bytes:
+    """Lists of positions as compressed bytes: steps from one to the next, low bytes first, then the next ones, and so on."""
+    steps = np.diff(positions.astype(np.int32), prepend=np.int32(0))
+    return pa.compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 4).T).tobytes(), "zstd", asbytes=True)
+
+
+def unsqueezed(data: bytes, sizes: np.ndarray) -> np.ndarray:
+    n = int(sizes.sum())
+    planes = np.frombuffer(pa.decompress(data, 4 * n, "zstd", asbytes=True), np.uint8).reshape(4, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.int32).ravel(), dtype=np.int32)
+
+
 def word_lists(docs: DataFrame) -> DataFrame:
     """The blocks: by block its language, its words and the list of positions of each."""
     rows = docs.select(F.coalesce(docs["lang"].cast("string"), F.lit(UND)).alias("lang"), F.coalesce(docs["text"], F.lit("")).alias("text"))
@@ -92,7 +104,7 @@ def word_lists(docs: DataFrame) -> DataFrame:
                 gaps = int(sizes[0]) if owners[0] == 0 else 0
                 names = list(known[lang])[1:]
                 if names:
-                    row = [[task + next(numbers)], [lang], [int(sizes[1:].sum())], [names], [sizes[1:]], [positions[gaps:].tobytes()]]
+                    row = [[task + next(numbers)], [lang], [int(sizes[1:].sum())], [names], [sizes[1:]], [squeezed(positions[gaps:])]]
                     kinds = [pa.int64(), pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.binary()]
                     yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds)], names=["block", "lang", "total", "names", "sizes", "positions"])
             known.clear()
@@ -133,17 +145,15 @@ def longer(sizes: np.ndarray, positions: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def one_row(block: int, ids: np.ndarray, sizes: np.ndarray, positions: np.ndarray) -> pa.RecordBatch:
-    row = [[block], [ids], [sizes], [positions.astype(np.int32).tobytes()]]
+    row = [[block], [ids], [sizes], [squeezed(positions)]]
     kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds)], names=["block", "ids", "sizes", "positions"])
 
 
-def cell(batch: pa.RecordBatch, i: int, column: int):
-    """A value of a batch: a list as an array, bytes as positions."""
-    c = batch.column(column)
-    if pa.types.is_list(c.type):
-        return c[i].values.to_numpy(zero_copy_only=False)
-    return np.frombuffer(c[i].as_py(), np.int32) if pa.types.is_binary(c.type) else c[i].as_py()
+def lists_of(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sizes and positions of a block's lists."""
+    sizes = batch.column("sizes")[i].values.to_numpy(zero_copy_only=False)
+    return sizes, unsqueezed(batch.column("positions")[i].as_py(), sizes)
 
 
 def kept_lists(sizes: np.ndarray, positions: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -159,7 +169,8 @@ def pairs_of(lists: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                block, ids, sizes, positions = (cell(batch, i, c) for c in range(4))
+                block, ids = batch.column("block")[i].as_py(), batch.column("ids")[i].values.to_numpy(zero_copy_only=False)
+                sizes, positions = lists_of(batch, i)
                 left, right, n, _ = longer(sizes, positions)
                 for a in range(0, len(n), 100_000):
                     part = slice(a, a + 100_000)
@@ -174,12 +185,13 @@ def frequent(rows: DataFrame, key: list[str], least: int, name: str) -> DataFram
     """Of rows of counts by block those whose key is frequent over all blocks, with its frequency and a number of its own (id).
 
     The number is that of the key's first row, as the rows lie after one
-    exchange by key; ``first`` marks it.
+    exchange by key; ``first`` marks it, and that row alone shows the key.
     """
     same = Window.partitionBy(*key)
     kept = rows.withColumn("f", F.sum(F.col("n").cast("long")).over(same)).where(F.col("f") >= least)
     kept = kept.withColumn("row", F.monotonically_increasing_id()).withColumn("id", F.min("row").over(same))
-    return common.durable(kept.select("block", "slot", *key, "f", "id", (F.col("row") == F.col("id")).alias("first")), name)
+    first = F.col("row") == F.col("id")
+    return common.durable(kept.select("block", "slot", *[F.when(first, F.col(c)).alias(c) for c in (*key, "f")], "id", first.alias("first")), name)
 
 
 def numbered(kept: DataFrame) -> DataFrame:
@@ -218,8 +230,8 @@ def keep(lists: DataFrame, found: DataFrame, grow: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                block, sizes, positions = cell(batch, i, 0), cell(batch, i, 1), cell(batch, i, 2)
-                parts = batch.column(3)[i].as_py()
+                block, (sizes, positions) = batch.column("block")[i].as_py(), lists_of(batch, i)
+                parts = batch.column("found")[i].as_py()
                 slots = np.frombuffer(b"".join(x["slots"] for x in parts), np.int32)
                 new = np.frombuffer(b"".join(x["new"] for x in parts), np.int64)
                 if grow:
