@@ -1,7 +1,7 @@
 """Episodes: blocks of work that absorb short interruptions, recording control, and the rest.
 
 Whether a row is absorbed depends on its two neighbours alone, so the whole
-grouping is lag, lead and a running sum over each (user, day).
+grouping is a look at the rows before and after and a running sum, by ranges of time.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ from timeloom import schema
 from timeloom.functions import text
 from timeloom.functions.ids import stable_id
 from timeloom.functions.times import day_of, iso_z, seconds_between
-from timeloom.operators.windows import dominant, ordered, running
+from timeloom.operators.ranges import Scan
+from timeloom.operators.windows import dominant, numbered, ordered
 
 # Activities by the class that groups them.
 WORK = ["development", "mixed_work"]
@@ -42,25 +43,27 @@ def label(df: DataFrame, keys: list[str], order: list, start: str, end: str, kin
     ``kind`` holds work, capture, interruptible or other.  A null end is the
     start; gaps count from the end of the row before, never below 0.
     """
-    w = ordered(keys, order)
     last = F.coalesce(F.col(end), F.col(start))
-    gap = lambda a_end, b_start: F.greatest(F.lit(0.0), seconds_between(a_end, b_start))
-    rows = df.withColumn("_end", last)
-    before, after = (lambda c: F.lag(c).over(w)), (lambda c: F.lead(c).over(w))
-    rows = rows.withColumn("_gap", gap(before("_end"), F.col(start)))
+    # Null where there is no row on one of the sides.
+    gap = lambda a_end, b_start: F.when(a_end.isNotNull() & b_start.isNotNull(), F.greatest(F.lit(0.0), seconds_between(a_end, b_start)))
+    scan = Scan(df, keys, order)
+    gap_in, gap_out = gap(scan.before(last), F.col(start)), gap(last, scan.after(start))
     absorbed = (
         (F.col(kind) == "interruptible")
-        & (before(kind) == "work")
-        & (after(kind) == "work")
-        & (F.greatest(F.lit(0.0), seconds_between(F.col(start), F.col("_end"))) <= interruption_max)
-        & (F.col("_gap") <= max_gap)
-        & (after("_gap") <= max_gap)
+        & (scan.before(kind) == "work")
+        & (scan.after(kind) == "work")
+        & (F.greatest(F.lit(0.0), seconds_between(F.col(start), last)) <= interruption_max)
+        & (gap_in <= max_gap)
+        & (gap_out <= max_gap)
     )
-    rows = rows.withColumn("_absorbed", F.coalesce(absorbed, F.lit(False)))
+    rows = scan.rows().select(*df.columns, gap_in.alias("_gap"), F.coalesce(absorbed, F.lit(False)).alias("_absorbed"))
     rows = rows.withColumn("episode_type", F.when(F.col(kind) == "capture", "capture_control").when((F.col(kind) == "work") | F.col("_absorbed"), "work_block").otherwise("unclassified"))
-    new = before("episode_type").isNull() | (F.col("episode_type") != before("episode_type")) | (F.col("_gap") > max_gap)
-    rows = rows.withColumn("_new", new.cast("int")).withColumn("group_no", F.sum("_new").over(running(w)))
-    return rows.withColumn("role", F.when(F.col("_absorbed"), "interruption").otherwise("primary")).drop("_end", "_gap", "_absorbed", "_new")
+    scan = Scan(rows, keys, order)
+    last_type = scan.before("episode_type")
+    new = last_type.isNull() | (F.col("episode_type") != last_type) | (F.col("_gap") > max_gap)
+    role = F.when(F.col("_absorbed"), "interruption").otherwise("primary")
+    rows = scan.rows().select(*df.columns, "episode_type", role.alias("role"), F.coalesce(new, F.lit(False)).cast("int").alias("_new"))
+    return numbered(rows, keys, order, "_new", "group_no")
 
 
 def inputs(events: DataFrame, config: Config = Config()) -> DataFrame:
@@ -100,7 +103,7 @@ def title(kind: Column, app: Column) -> Column:
 def build(events: DataFrame, built_at, config: Config = Config()) -> tuple[DataFrame, DataFrame]:
     """The tables episode and episode_event of all users and days in ``events``."""
     rows = inputs(events, config).withColumn("kind", activity_class(F.col("activity")))
-    order = [F.col("start_at"), F.col("end_at").asc_nulls_first(), F.col("id")]
+    order = ["start_at", "end_at", "id"]
     group = ["user_id", "day", "group_no"]
     rows = label(rows, ["user_id", "day"], order, "start_at", "end_at", "kind", config.max_gap_seconds, config.interruption_max_seconds)
     rows = rows.withColumn("ordinal", F.row_number().over(ordered(group, order)).cast("long"))

@@ -1,9 +1,9 @@
 """Ordered operators: change signals, islands and folds.
 
-What a look at neighbouring rows decides is a window expression.  What needs
-the state of the group so far is a fold inside islands that window expressions
-have cut already: it streams over sorted partitions with one state, so an
-island of any length costs constant memory.
+What a look at neighbouring rows decides is a scan (``ranges``), which needs no
+key's rows in one task.  What needs the state of the group so far is a fold
+inside islands that a scan has cut already: it streams over sorted partitions
+with one state, so an island of any length costs constant memory.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql.window import Window, WindowSpec
 
 from timeloom.functions.scoring import hamming
 from timeloom.functions.times import seconds_between
+from timeloom.operators.ranges import Scan, instant
 
 # Bits of difference, and seconds, within which frames are compared.
 DUPLICATE_BITS, BRIDGE_BITS, COMPARE_SECONDS = 6, 10, 300.0
@@ -28,45 +29,44 @@ def ordered(keys: list[str], order: list) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy(*order)
 
 
-def running(w: WindowSpec) -> WindowSpec:
-    return w.rowsBetween(Window.unboundedPreceding, 0)
-
-
-def change_signal(df: DataFrame, keys: list[str], order: list, at: str, sha: str, dhash: str, gap: float = COMPARE_SECONDS, bits: int = DUPLICATE_BITS) -> DataFrame:
+def change_signal(df: DataFrame, keys: list[str], order: list[str], at: str, sha: str, dhash: str, gap: float = COMPARE_SECONDS, bits: int = DUPLICATE_BITS) -> DataFrame:
     """Against the row before: exact_duplicate, near_duplicate and bits_changed, unless it is more than ``gap`` seconds away."""
-    w = ordered(keys, order)
-    before = lambda c: F.lag(c).over(w)
-    close = F.coalesce(seconds_between(before(at), F.col(at)) <= gap, F.lit(False))
-    equal = close & F.coalesce((F.col(sha) != "") & (F.col(sha) == before(sha)), F.lit(False))
-    changed = F.when(equal, 0).when(close, hamming(F.col(dhash), before(dhash)))
-    return df.select("*", equal.alias("exact_duplicate"), (equal | F.coalesce(changed <= bits, F.lit(False))).alias("near_duplicate"), changed.cast("int").alias("bits_changed"))
+    scan = Scan(df, keys, order)
+    close = F.coalesce(seconds_between(scan.before(at), F.col(at)) <= gap, F.lit(False))
+    equal = close & F.coalesce((F.col(sha) != "") & (F.col(sha) == scan.before(sha)), F.lit(False))
+    changed = F.when(equal, 0).when(close, hamming(F.col(dhash), scan.before(dhash)))
+    return scan.rows().select(*df.columns, equal.alias("exact_duplicate"), (equal | F.coalesce(changed <= bits, F.lit(False))).alias("near_duplicate"), changed.cast("int").alias("bits_changed"))
 
 
-def islands(df: DataFrame, keys: list[str], order: list, breaks: Callable[[WindowSpec], Column], out: str = "segment_no") -> DataFrame:
-    """Number the runs of rows: a new one starts where ``breaks`` holds, a null counting as a break."""
-    w = ordered(keys, order)
-    return df.withColumn("_break", F.coalesce(breaks(w), F.lit(True)).cast("int")).withColumn(out, F.sum("_break").over(running(w))).drop("_break")
+def numbered(df: DataFrame, keys: list[str], order: list[str], begins: str, out: str) -> DataFrame:
+    """Number the groups of each key from the flag (0 or 1) of their first rows, which is dropped."""
+    scan = Scan(df, keys, order)
+    number = scan.sum_to(begins)
+    return scan.rows().select(*[c for c in df.columns if c != begins], number.alias(out))
 
 
-def instant(df: DataFrame, c: str) -> Column:
-    """Microseconds since 1970, whatever kind of timestamp the column is."""
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast(df.schema[c].dataType), F.col(c))
+def islands(df: DataFrame, keys: list[str], order: list[str], breaks: Callable[[Scan], Column], out: str = "segment_no") -> DataFrame:
+    """Number the runs of rows: a new one starts where ``breaks`` holds, a null counting as a break."""
+    scan = Scan(df, keys, order)
+    hard = F.coalesce(breaks(scan), F.lit(True)).cast("int")
+    return numbered(scan.rows().select(*df.columns, hard.alias("_break")), keys, order, "_break", out)
 
 
-def fold(df: DataFrame, keys: list[str], order: list[str], hard: Column, facts: dict[str, Column], step: Callable, out: str) -> DataFrame:
+def fold(scan: Scan, hard: Column, facts: dict[str, Column], step: Callable, out: str) -> DataFrame:
     """Number groups that depend on the state of the group so far, in two phases.
 
-    ``hard`` says, by window expressions over the rows before, where a group
+    ``hard`` says, by what a scan tells of the rows before, where a group
     begins whatever the state; a null counts as one.  The rows between are an
     island, and islands are dealt to all tasks, so that one key can fill many.
     Inside an island ``step(state, *facts)``, with a state of None at its first
     row, gives whether a group begins and the next state; it sees only the
     ``facts``, a few numbers that the JVM has made.  A last running sum numbers
-    the groups of each key.
+    the groups of each key.  Both sums are scans, too, so that no key is sorted in
+    one task; rows without any certain break between them are one walk, though.
     """
-    over, names = ordered(keys, order), list(facts)
-    rows = df.withColumns({"_hard": F.coalesce(hard, F.lit(True)).cast("int"), **facts})
-    rows = rows.withColumn("_island", F.sum("_hard").over(running(over))).drop("_hard")
+    df, keys, order, names = scan.df, scan.keys, scan.order, list(facts)
+    rows = scan.rows().select(*df.columns, F.coalesce(hard, F.lit(True)).cast("int").alias("_hard"), *[c.alias(n) for n, c in facts.items()])
+    rows = numbered(rows, keys, order, "_hard", "_island")
     group = [*keys, "_island"]
     schema = T.StructType([*rows.schema.fields, T.StructField("_begins", T.IntegerType())])
 
@@ -83,20 +83,20 @@ def fold(df: DataFrame, keys: list[str], order: list[str], hard: Column, facts:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(begins, pa.int32())], names=[*batch.schema.names, "_begins"])
 
     walked = rows.repartition(*group).sortWithinPartitions(*group, *order).mapInArrow(run, schema)
-    return walked.withColumn(out, F.sum("_begins").over(running(over))).select(*df.columns, out)
+    return numbered(walked.select(*df.columns, "_begins"), keys, order, "_begins", out)
 
 
 def capped_scenes(df: DataFrame, keys: list[str], order: list[str], start: str, end: str, app: str, category: str, gap: float = 75.0, longest: float = 180.0, out: str = "scene_no") -> DataFrame:
     """Scenes: near enough to the row before, of its application or category, and at most ``longest`` seconds from the scene's start."""
-    w, cap = ordered(keys, order), int(longest * 1e6)
+    scan, cap = Scan(df, keys, order), int(longest * 1e6)
     begin, ends = instant(df, start), F.coalesce(instant(df, end), instant(df, start))
-    same = lambda c: F.coalesce((F.col(c) != "") & (F.col(c) == F.lag(c).over(w)), F.lit(False))
-    apart = begin - F.lag(ends).over(w) > int(gap * 1e6)
+    same = lambda c: F.coalesce((F.col(c) != "") & (F.col(c) == scan.before(c)), F.lit(False))
+    apart = begin - scan.before(ends) > int(gap * 1e6)
 
     def step(since, first, last):
         return (True, first) if since is None or last - since > cap else (False, since)
 
-    return fold(df, keys, order, apart | ~(same(app) | same(category)), {"_first": begin, "_last": ends}, step, out)
+    return fold(scan, apart | ~(same(app) | same(category)), {"_first": begin, "_last": ends}, step, out)
 
 
 def capped_overlaps(df: DataFrame, keys: list[str], order: list[str], start: str, end: str, tolerance: float = 8.0, longest: float = 900.0, out: str = "group_no") -> DataFrame:
@@ -104,9 +104,8 @@ def capped_overlaps(df: DataFrame, keys: list[str], order: list[str], start: str
 
     Beyond the latest end of all rows before there is a break for certain.
     """
-    near, cap = int(tolerance * 1e6), int(longest * 1e6)
+    scan, near, cap = Scan(df, keys, order), int(tolerance * 1e6), int(longest * 1e6)
     begin, ends = instant(df, start), instant(df, end)
-    reach = F.max(ends).over(ordered(keys, order).rowsBetween(Window.unboundedPreceding, -1))
 
     def step(span, first, last):
         if span is not None and first <= span[1] + near:
@@ -115,7 +114,7 @@ def capped_overlaps(df: DataFrame, keys: list[str], order: list[str], start: str
                 return False, wider
         return True, (first, last)
 
-    return fold(df, keys, order, begin - reach > near, {"_first": begin, "_last": ends}, step, out)
+    return fold(scan, begin - scan.most_before(ends) > near, {"_first": begin, "_last": ends}, step, out)
 
 
 def anchored_segments(
@@ -126,11 +125,11 @@ def anchored_segments(
     The anchor is the run's first picture; it moves to a row of the run that is
     like neither the anchor nor the row before.
     """
-    w = ordered(keys, order)
+    scan = Scan(df, keys, order)
     name, heading = F.lower(F.trim(F.coalesce(app, F.lit("")))), F.coalesce(title, F.lit(""))
     like = F.coalesce(F.col(near), F.lit(False))
-    tied = like | ((name == F.lag(name).over(w)) & ~name.isin("", "unknown")) | ((heading != "") & (heading == F.lag(heading).over(w)))
-    apart = instant(df, at) - F.lag(instant(df, at)).over(w) > int(gap * 1e6)
+    tied = like | ((name == scan.before(name)) & ~name.isin("", "unknown")) | ((heading != "") & (heading == scan.before(heading)))
+    apart = instant(df, at) - scan.before(instant(df, at)) > int(gap * 1e6)
 
     def step(anchor, tie, close, digest, picture):
         seen = (digest, picture)
@@ -144,17 +143,17 @@ def anchored_segments(
         return not tie, anchor if tie and close else seen
 
     facts = {"_tie": F.coalesce(tied, F.lit(False)), "_close": like, "_digest": F.col(sha), "_picture": F.col(dhash)}
-    return fold(df, keys, order, apart, facts, step, out)
+    return fold(scan, apart, facts, step, out)
 
 
-def frame_segments(df: DataFrame, keys: list[str], order: list, at: str, app: str, host: str, title: str, gap: float = 45.0, out: str = "segment_no") -> DataFrame:
+def frame_segments(df: DataFrame, keys: list[str], order: list[str], at: str, app: str, host: str, title: str, gap: float = 45.0, out: str = "segment_no") -> DataFrame:
     """Frames in runs: one application, near in time, one host or else one title where both are known."""
 
-    def breaks(w):
-        before = lambda c: F.lag(c).over(w)
-        known = lambda c: F.coalesce((F.col(c) != "") & (before(c) != ""), F.lit(False))
-        moved = F.when(known(host), F.col(host) != before(host)).when(known(title), F.col(title) != before(title)).otherwise(False)
-        return before(at).isNull() | (seconds_between(before(at), F.col(at)) > gap) | ~F.col(app).eqNullSafe(before(app)) | moved
+    def breaks(scan: Scan) -> Column:
+        last_at, last_app, last_host, last_title = (scan.before(c) for c in (at, app, host, title))
+        known = lambda c, last: F.coalesce((F.col(c) != "") & (last != ""), F.lit(False))
+        moved = F.when(known(host, last_host), F.col(host) != last_host).when(known(title, last_title), F.col(title) != last_title).otherwise(False)
+        return last_at.isNull() | (seconds_between(last_at, F.col(at)) > gap) | ~F.col(app).eqNullSafe(last_app) | moved
 
     return islands(df, keys, order, breaks, out)
 
