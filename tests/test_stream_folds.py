@@ -26,7 +26,6 @@ def rows(spark):
 
 def streamed(spark, rows, path, make, batches=4):
     """Files by time, rows swapped between neighbouring ones; the query is stopped after half of them and goes on."""
-    folds.configured(spark)
     data = sorted(rows.collect(), key=lambda r: (r["start_at"], r["id"]))
     rng = random.Random(5)
     size = -(-len(data) // batches)
@@ -41,8 +40,8 @@ def streamed(spark, rows, path, make, batches=4):
         spark.createDataFrame(part, rows.schema).coalesce(1).write.mode("append").parquet(folder)
         if i in (len(parts) // 2 - 1, len(parts) - 1):
             stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
-            query = make(stream).writeStream.format("parquet").option("path", out).option("checkpointLocation", state).outputMode("append").trigger(availableNow=True).start()
-            query.awaitTermination()
+            with folds.configured(spark):
+                make(stream).writeStream.format("parquet").option("path", out).option("checkpointLocation", state).outputMode("append").trigger(availableNow=True).start().awaitTermination()
     found = spark.read.parquet(out).where("user_id <> '-1'")
     return sorted((int(r["user_id"]), int(r["id"]), r["number"], r["kind"], r["role"]) for r in found.collect())
 

@@ -22,11 +22,16 @@ def micros(ts: Column) -> Column:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as intervals of as many seconds as their value, on one of three devices, with a class and a small number for a picture hash."""
+    return as_intervals(table(spark, sf_dir, "events"))
+
+
+def as_intervals(rows: DataFrame) -> DataFrame:
+    """The same of a table or stream of events."""
     length = F.floor(F.col("value") * 1_000_000).cast("long")
     kind = F.lit("other")
     for event_type, name in KIND.items():
         kind = F.when(F.col("event_type") == event_type, name).otherwise(kind)
-    return table(spark, sf_dir, "events").select(
+    return rows.select(
         F.col("event_id").alias("id"), "user_id", (F.col("event_id") % 3).alias("device_id"), "event_type", F.col("ts").alias("start_at"), add_micros(F.col("ts"), length).alias("end_at"), length.alias("dur"), kind.alias("kind"),
         F.get_json_object("props", "$.k").cast("long").alias("k"),
     )

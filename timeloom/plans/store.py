@@ -12,6 +12,7 @@ leave the manifest, and the others are not rewritten.  Old versions stay until
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,17 +44,32 @@ class TableStore:
     def _files(self, path):
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def current(self, name: str) -> str | None:
-        """The version that readers see."""
+    def _pointer(self, name: str) -> list[str]:
+        """The lines of the small file: the version that readers see, then, by stream, the last batch that it holds."""
         path = self._path(name, "current")
         if not self._files(path).exists(path):
-            return None
-        return self.spark.read.text(path.toString()).first()[0]
+            return []
+        stream = self._files(path).open(path)
+        try:
+            return bytes(stream.readAllBytes()).decode().splitlines()
+        finally:
+            stream.close()
 
-    def _switch(self, name: str, version: str) -> None:
+    def current(self, name: str) -> str | None:
+        """The version that readers see."""
+        lines = self._pointer(name)
+        return lines[0] if lines else None
+
+    def batches(self, name: str) -> dict[str, int]:
+        """The number of the last batch that the current version holds of each stream."""
+        return {query: int(epoch) for epoch, query in (line.split(" ", 1) for line in self._pointer(name)[1:])}
+
+    def _switch(self, name: str, version: str, batch: tuple[str, int] | None = None) -> None:
+        held = self.batches(name) | (dict([batch]) if batch else {})
+        lines = "\n".join([version, *(f"{epoch} {query}" for query, epoch in sorted(held.items()))])
         jvm, new, now = self.spark._jvm, self._path(name, f"next-{version}"), self._path(name, "current")
         stream = self._files(new).create(new, True)
-        stream.write(bytearray(version.encode()))
+        stream.write(bytearray(lines.encode()))
         stream.close()
         context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(now.toUri(), self.spark._jsc.hadoopConfiguration())
         options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
@@ -77,8 +93,11 @@ class TableStore:
             which = which.join(days.select(*PLACE).distinct(), PLACE, "left_semi")
         return shaped(rows.join(which, ["_version", *PLACE], "left_semi"), name)
 
-    def write(self, name: str, df: DataFrame, days: DataFrame | None = None) -> None:
-        """Replace the whole table, or the rows of ``days`` (_user, _day), by ``df``, which must have no others then."""
+    def write(self, name: str, df: DataFrame, days: DataFrame | None = None, batch: tuple[str, int] | None = None) -> None:
+        """Replace the whole table, or the rows of ``days`` (_user, _day), by ``df``, which must have no others then.
+
+        ``batch``, a stream's name and a batch's number, is kept with the version, in the same step.
+        """
         version, before, df = uuid.uuid4().hex, self.current(name), shaped(df, name)
         folder = self._path(name, "data", f"_version={version}").toString()
         if name not in BY_DAY:
@@ -90,7 +109,7 @@ class TableStore:
             if days is not None and before is not None:
                 rows = self._manifest(name, before).join(days.select(*PLACE).distinct(), PLACE, "left_anti").unionByName(rows)
             rows.write.parquet(self._path(name, "manifest", version).toString())
-        self._switch(name, version)
+        self._switch(name, version, batch)
 
     def replace_days(self, name: str, df: DataFrame, days: DataFrame) -> None:
         """The rows of ``days`` (user_id, day) give way to ``df``; days that it lacks become empty."""
@@ -101,7 +120,7 @@ class TableStore:
         """The (_user, _day) of the rows for which a condition holds."""
         return placed(self.read(name).where(where), name).select(*PLACE).distinct()
 
-    def upsert(self, name: str, df: DataFrame, order: list[str] | None = None, days_stay: bool = False) -> None:
+    def upsert(self, name: str, df: DataFrame, order: list[str] | None = None, days_stay: bool = False, batch: tuple[str, int] | None = None) -> None:
         """Merge rows in by the table's key; rows that repeat a key are taken in ``order`` (columns of ``df``).
 
         Of tables by day only the days of the new rows, and of old ones with
@@ -111,13 +130,29 @@ class TableStore:
         the new rows are enough.
         """
         if name not in BY_DAY:
-            return self.write(name, upsert.upsert(self.read(name), df, name, order))
+            return self.write(name, upsert.upsert(self.read(name), df, name, order), batch=batch)
         key, rows = list(TABLES[name].key), shaped(df, name)
         touched = placed(rows, name).select(*PLACE)
         if not days_stay:
             touched = placed(self.read(name).join(rows.select(*key).distinct(), key, "left_semi"), name).select(*PLACE).unionByName(touched)
         touched = touched.distinct()
-        self.write(name, upsert.upsert(self.read(name, touched), df, name, order), touched)
+        self.write(name, upsert.upsert(self.read(name, touched), df, name, order), touched, batch)
+
+    def sink(self, name: str, stream: str, order: list[str] | None = None, make: Callable[[DataFrame], DataFrame] | None = None, days_stay: bool = False) -> Callable[[DataFrame, int], None]:
+        """A ``foreachBatch`` function that merges what ``make`` makes of a batch into a table, each batch once.
+
+        A batch that comes again after a crash, between its write and the
+        stream's own commit or before, changes nothing: the version that it
+        wrote names it.  ``stream`` must be the stream's name for ever, and a
+        table has one writer at a time.
+        """
+
+        def run(rows: DataFrame, number: int) -> None:
+            if number <= self.batches(name).get(stream, -1):
+                return
+            self.upsert(name, make(rows) if make else rows, order, days_stay, (stream, number))
+
+        return run
 
     def vacuum(self, name: str) -> None:
         """Delete the versions that the current one doesn't need."""

@@ -10,10 +10,11 @@ from timeloom.functions import scoring, text
 from timeloom.functions.ids import stable_id
 from timeloom.functions.times import day_of, seconds_between, without_offset
 from timeloom.operators import episodes, inverted, jobs, memory, overlap, scenes, search, segments, similarity, upsert, windows
-from timeloom.plans.driver_tables import EV, events, micros, table
+from timeloom.plans.driver_tables import EV, as_intervals, events, micros, table
 from timeloom.plans.stages import keeper
 from timeloom.schema import orphans
 from timeloom.session import shared_folder, work_folder
+from timeloom.streaming import folds
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -172,8 +173,7 @@ def capture_segments_anchor(spark, sf_dir):
     return rows.select("id", "user_id", "segment_no")
 
 
-@query(
-    f"""WITH RECURSIVE {EV}, n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY start_at, end_at, id) AS rn FROM ev),
+SCENES_CAPPED = f"""WITH RECURSIVE {EV}, n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY start_at, end_at, id) AS rn FROM ev),
     walk AS (
       SELECT id, user_id, rn, end_at, event_type, kind, start_at AS first_at, 1 AS scene_no FROM n WHERE rn = 1
       UNION ALL
@@ -181,11 +181,27 @@ def capture_segments_anchor(spark, sf_dir):
       FROM walk w JOIN n ON n.user_id = w.user_id AND n.rn = w.rn + 1,
         LATERAL (SELECT date_diff('microsecond', w.end_at, n.start_at) <= 43200000000 AND date_diff('microsecond', w.first_at, n.end_at) <= 86400000000 AND (n.event_type = w.event_type OR n.kind = w.kind) AS ok) x)
     SELECT id, user_id, CAST(scene_no AS BIGINT) AS scene_no FROM walk"""
-)
+
+
+@query(SCENES_CAPPED)
 def scene_windows_capped(spark, sf_dir):
     return windows.capped_scenes(events(spark, sf_dir), ["user_id"], ORDER, "start_at", "end_at", "event_type", "kind", HALF_DAY, 86_400.0).select("id", "user_id", "scene_no")
 
 
+@query(SCENES_CAPPED)
+def scene_windows_stream(spark, sf_dir):
+    """The same by a stream with state over the table's files, run until it has taken them all."""
+    folder, source = work_folder(spark), table(spark, sf_dir, "events")
+    # A pattern, as a stream's plain path must be a folder and the table may be one file.
+    stream = as_intervals(spark.readStream.schema(source.schema).parquet(f"{sf_dir}/[e]vents.parquet"))
+    found = folds.scenes(stream, ["user_id"], "id", "start_at", "end_at", "event_type", "kind", HALF_DAY, 86_400.0, "0 seconds")
+    with folds.configured(spark):
+        written = found.writeStream.format("parquet").option("path", f"{folder}/rows").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
+        written.awaitTermination()
+    user = source.schema["user_id"].dataType
+    return spark.read.schema("user_id string, id string, number long").parquet(f"{folder}/rows").select(F.col("id").cast("long").alias("id"), F.col("user_id").cast(user).alias("user_id"), F.col("number").alias("scene_no"))
+
+
 GROUPED = f"""WITH RECURSIVE {EV}, adj AS (SELECT id, user_id, device_id, event_type, start_at - to_milliseconds(device_id * 1000) AS s, end_at - to_milliseconds(device_id * 1000) AS e FROM ev),
 n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY s, e, id) AS rn FROM adj),
 walk AS (

@@ -6,11 +6,15 @@ timer wakes a key whose rows have waited long enough.  What a fold knows of the
 rows so far (a scene's start, an anchor picture, a row that waits for its
 successor) is a value of a few columns.  A query that is stopped goes on from
 its checkpoint.  Needs the RocksDB state store, which ``configured`` chooses.
+
+A run that is bounded passes its last rows, too, if it allows no lateness and
+takes all files in one batch.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import pandas as pd
@@ -25,9 +29,16 @@ from timeloom.operators.windows import BRIDGE_BITS, COMPARE_SECONDS, DUPLICATE_B
 BEHIND = 1_000_000
 
 
-def configured(spark: SparkSession) -> SparkSession:
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    return spark
+@contextmanager
+def configured(spark: SparkSession) -> Iterator[None]:
+    """The session with the state store that these streams need, for as long as they are started in here."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def micros(x: Column) -> Column:
