@@ -95,6 +95,28 @@ def confidence(kind: Column, base: Column, interruptions: Column, interrupted: C
     return F.greatest(F.lit(0.15), F.least(F.lit(0.95), value))
 
 
+#: Values that can matter for a text of SEARCH_CHARS, each of which takes a character and a separator of three.
+SEARCH_CHARS = 2000
+SHOWN = SEARCH_CHARS // 4 + 1
+
+
+def tallied(rows: DataFrame, group: list[str], columns: list[str], place: str) -> DataFrame:
+    """For each group and column c: c_counts, JSON of how often each value occurs, by value; and c_values, the first ones in order.
+
+    Two aggregations: values with partial counts first, then the few of each
+    group, so that no list of a group's rows is made.
+    """
+    each = rows.select(*group, F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v"), F.col(place).alias("at")) for c in columns])).alias("x")).select(*group, "x.*").where("v IS NOT NULL")
+    values = each.groupBy(*group, "c", "v").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    parts = []
+    for c in columns:
+        mine = F.col("c") == c
+        counts = F.array_sort(F.collect_list(F.when(mine, F.struct(F.col("v").alias("key"), F.col("n").alias("value")))))
+        first = F.slice(F.array_sort(F.collect_list(F.when(mine, F.struct("first", "v")))), 1, SHOWN)
+        parts += [F.to_json(F.map_from_entries(counts)).alias(f"{c}_counts"), F.transform(first, lambda x: x["v"]).alias(f"{c}_values")]
+    return values.groupBy(*group).agg(*parts)
+
+
 def title(kind: Column, app: Column) -> Column:
     name = F.when(kind == "capture_control", "Capture control").when(kind == "work_block", "Work block").otherwise("Unclassified activity")
     return F.concat(name, F.coalesce(F.concat(F.lit(" in "), app), F.lit("")))
@@ -109,12 +131,9 @@ def build(events: DataFrame, built_at, config: Config = Config()) -> tuple[DataF
     rows = rows.withColumn("ordinal", F.row_number().over(ordered(group, order)).cast("long"))
     rows = rows.withColumn("seconds", F.greatest(F.lit(0.0), seconds_between(F.col("start_at"), F.col("end_at"))))
     primary = F.col("role") == "primary"
-    said = lambda c: F.transform(F.array_sort(F.collect_list(F.struct("ordinal", F.col(c).alias("v")))), lambda x: x["v"])
-
-    def counted(c: str) -> Column:
-        some = F.filter(F.col(c), lambda v: v.isNotNull())
-        pairs = F.transform(F.array_sort(F.array_distinct(some)), lambda v: F.struct(v.alias("key"), F.size(F.filter(some, lambda x: x == v)).alias("value")))
-        return F.to_json(F.map_from_entries(pairs))
+    # The metadata lists every summary; of other columns each value is there once, with its count and first place.
+    said = F.transform(F.array_sort(F.collect_list(F.struct("ordinal", F.col("summary").alias("v")))), lambda x: x["v"])
+    tallies = tallied(rows, group, ["activity", "app", "signal"], "ordinal")
 
     blocks = rows.groupBy(*group).agg(
         F.first("episode_type").alias("episode_type"),
@@ -129,17 +148,15 @@ def build(events: DataFrame, built_at, config: Config = Config()) -> tuple[DataF
         F.sum(F.when(primary, 0.0).otherwise(F.col("seconds"))).alias("interrupted"),
         (F.count_if(primary & (F.col("signal") == "low")) / F.greatest(F.lit(1), F.count_if(primary))).alias("low_share"),
         F.count_distinct(F.when(primary, F.col("app"))).alias("apps"),
-        said("summary").alias("summaries"),
-        said("activity").alias("activities"),
-        said("app").alias("app_list"),
-        said("signal").alias("signals"),
+        said.alias("summaries"),
     )
+    blocks = blocks.join(tallies, group, "left")
     main = rows.where(primary)
     for name, value in (("dominant_app", "app"), ("dominant_activity", "activity")):
         blocks = blocks.join(dominant(main, group, value, F.col("ordinal"), out=name).drop(f"{name}_count"), group, "left")
     blocks = blocks.withColumn("title", title(F.col("episode_type"), F.col("dominant_app")))
-    found = F.concat(F.array("title", "episode_type"), F.col("summaries"), F.col("activities"), F.filter("app_list", lambda x: x.isNotNull()))
-    blocks = blocks.withColumn("search_text", F.substring(F.array_join(F.array_distinct(F.transform(F.filter(found, lambda x: F.coalesce(x, F.lit("")) != ""), lambda x: F.trim(x))), " | "), 1, 2000))
+    found = F.concat(F.array("title", "episode_type"), F.col("summaries"), *[F.coalesce(f"{c}_values", F.array().cast("array<string>")) for c in ("activity", "app")])
+    blocks = blocks.withColumn("search_text", F.substring(F.array_join(F.array_distinct(F.transform(F.filter(found, lambda x: F.coalesce(x, F.lit("")) != ""), lambda x: F.trim(x))), " | "), 1, SEARCH_CHARS))
     meta = F.struct(
         "day",
         "title",
@@ -148,9 +165,7 @@ def build(events: DataFrame, built_at, config: Config = Config()) -> tuple[DataF
         F.col("interruptions").alias("interruption_count"),
         F.coalesce("dominant_activity", "episode_type").alias("dominant_activity_type"),
         F.col("dominant_app").alias("dominant_app_name"),
-        counted("activities").alias("activity_counts"),
-        counted("app_list").alias("app_counts"),
-        counted("signals").alias("signal_quality_counts"),
+        *[F.coalesce(f"{c}_counts", F.lit("{}")).alias(n) for c, n in (("activity", "activity_counts"), ("app", "app_counts"), ("signal", "signal_quality_counts"))],
         F.col("primary_seconds").alias("primary_duration_seconds"),
         F.col("interrupted").alias("interruption_duration_seconds"),
         F.col("summaries").alias("event_summaries"),
