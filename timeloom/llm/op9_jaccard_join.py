@@ -380,7 +380,9 @@ def linked_rows(docs: DataFrame, gram: int = GRAM, threshold: float = THRESHOLD,
     member = common.durable(stars_of(classes), "stars")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = common.keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_hash().alias("th"), "text"))
-    texts = texts.groupBy(*common.ROW).agg(F.first("text").alias("text"))  # a row that is repeated once
+    # Of all texts only those of representatives that share a bucket, a row that is repeated once.
+    wanted = common.keyed(member.select("cid").distinct().join(classes, "cid"), "rep_id").withColumnRenamed("rep_th", "th").select(*common.ROW)
+    texts = texts.join(wanted, common.ROW, "left_semi").groupBy(*common.ROW).agg(F.first("text").alias("text"))
     found = common.durable(star_links(tiled(member, classes, texts, gram, parts), threshold, tolerance), "links")
 
     links = found.groupBy("cid").agg(F.sum("links").alias("links"))
