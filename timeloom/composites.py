@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from timeloom import schema
 from timeloom.functions import ids, scoring, text, times
-from timeloom.operators import align, episodes, inverted, jobs, memory, normalize, overlap, retrieval, scans, scenes, search, segments, upsert
+from timeloom.operators import align, episodes, inverted, jobs, memory, normalize, overlap, resources, retrieval, scans, scenes, search, segments, upsert
 from timeloom.plans import ingest
 from timeloom.plans.driver_tables import EV, events, table
 from timeloom.plans.stages import stored
@@ -798,6 +798,37 @@ def chunk_view(spark, sf_dir):
     return retrieval.chunk(memory_store(spark, sf_dir), "u", "c17").select("id", "title", "sort_key", F.concat(F.lit("n="), F.col("tags")["n"][0]).alias("tag"))
 
 
+@query(
+    CURRENT
+    + """, asked AS (
+      SELECT 'timeloom://chunk/' || id AS uri FROM d WHERE doc_id % 3 = 0 UNION SELECT 'timeloom://day/' || day FROM d UNION SELECT 'timeloom://coverage/' || day FROM d
+      UNION SELECT 'timeloom://notes/corrections/' || CAST(o_orderdate AS DATE) FROM orders UNION SELECT 'timeloom://nobody' UNION SELECT 'other://day/2026-01-01' UNION SELECT 'timeloom://day/2026-01-01/x')
+    SELECT a.uri, CASE WHEN c.id IS NOT NULL OR s.day IS NOT NULL THEN 'application/json' WHEN n.date IS NOT NULL THEN 'text/markdown' END AS mime_type,
+      coalesce(c.lang || ' ' || c.sort_key, s.said, n.text) AS shown
+    FROM asked a
+    LEFT JOIN d c ON a.uri = 'timeloom://chunk/' || c.id
+    LEFT JOIN (SELECT kind, day, CASE WHEN day = '2026-01-03' THEN 'partial ' ELSE 'complete ' END || count(*) AS said FROM now, (VALUES ('day'), ('coverage')) k(kind) GROUP BY kind, day) s ON a.uri = 'timeloom://' || s.kind || '/' || s.day
+    LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS date, 'orders ' || count(*) AS text FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1) n ON a.uri = 'timeloom://notes/corrections/' || n.date"""
+)
+def resource_rows(spark, sf_dir):
+    """Chunks, days, coverage and dated notes by their addresses, of which some name nothing."""
+    store, d, o = memory_store(spark, sf_dir), table(spark, sf_dir, "documents"), table(spark, sf_dir, "orders")
+    chunks = store["memory_chunk"]
+    at = lambda path, c: F.concat(F.lit(f"timeloom://{path}/"), c)
+    dated = F.date_format("o_orderdate", "yyyy-MM-dd")
+    uris = d.where("doc_id % 3 = 0").select(at("chunk", F.concat(F.lit("c"), F.col("doc_id").cast("string"))).alias("uri"))
+    for more in (chunks.select(at("day", F.col("day"))), chunks.select(at("coverage", F.col("day"))), o.select(at("notes/corrections", dated)), spark.createDataFrame([("timeloom://nobody",), ("other://day/2026-01-01",), ("timeloom://day/2026-01-01/x",)], "uri string")):
+        uris = uris.union(more)
+    notes = o.where("o_orderstatus <> 'P'").groupBy(F.concat(F.lit("notes/corrections/"), dated).alias("name")).agg(F.concat(F.lit("orders "), F.count("*").cast("string")).alias("text"))
+    rows = resources.content(store, notes, uris, "u")
+    field = lambda name: F.get_json_object("content", f"$.{name}")
+    spans = F.size(F.from_json(field("coverage_spans"), "array<struct<modality:string>>")).cast("string")
+    sort_key = chunks.select(at("chunk", F.col("id")).alias("uri"), F.col("sort_key").cast("string").alias("k"))
+    rows = rows.join(sort_key, "uri", "left")
+    shown = F.when(F.col("uri").contains("/chunk/"), F.concat_ws(" ", field("title"), "k")).when(F.col("mime_type") == resources.JSON, F.concat_ws(" ", field("status"), spans)).otherwise(F.col("content"))
+    return rows.select("uri", "mime_type", shown.alias("shown"))
+
+
 PLAIN_WORD = "regexp_replace(lower(strip_accents(w)), '^[^\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+$', '', 'g')"
 
 
