@@ -40,6 +40,8 @@ from timeloom.llm import common
 PROBABLE, LIKENESS = 0.5, 0.6
 #: About so many documents, chosen by hash, give lines of class unknown, at most PER_DOCUMENT each, chosen by hash too.
 SAMPLE, PER_DOCUMENT = 1500, 4
+#: Words drawn from each of those lines, to stand in and around the made-up notices; lines of three characters or fewer teach nothing.
+FILLER = 20
 #: Templates of up to so many word pairs are compared with single sentences.
 SHORT = 4
 UNKNOWN = "unknown"
@@ -174,7 +176,8 @@ def examples(background: list[str], seed: int = 7) -> list[Example]:
     rng = random.Random(seed)
     other = [WORD.findall(t.lower()) for t in background if all(likeness(t, f) < 0.5 for f in TEMPLATES)]
     other = [w for w in other if w]
-    filler = [w for words in other for w in words[:20]] or ["text", "word", "line"]
+    draw = random.Random(seed)
+    filler = [w for words in other for w in draw.sample(words, min(FILLER, len(words)))] or ["text", "word", "line"]
     out = [Example(w, 0, -1) for w in other] + [Example(WORD.findall(t.lower()), 0, -1) for t in OTHERS for _ in range(5)]
     for k, family in enumerate(FAMILIES[1:], 1):
         for i, text in enumerate(TEMPLATES[family]):
