@@ -577,10 +577,6 @@ def index_once(spark, sf_dir: str, name: str, build) -> str:
     return _indexes[key]
 
 
-#: Documents as those of seven builds.
-BUILD = F.concat(F.lit("b"), (F.col("doc_id") % 7).cast("string"))
-
-
 def documents_index(spark, sf_dir: str) -> inverted.Stored:
     """Texts of documents; one segment."""
 
@@ -594,7 +590,8 @@ def builds_index(spark, sf_dir: str) -> inverted.Stored:
     """Languages and texts of documents in seven builds, of which two came later and one is superseded."""
 
     def build(folder: str) -> None:
-        docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text", BUILD.alias("segment"))
+        name = F.concat(F.lit("b"), (F.col("doc_id") % 7).cast("string"))
+        docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text", name.alias("segment"))
         inverted.add(folder, docs.where("segment < 'b5'"), "doc_id", ["lang", "text"])
         inverted.add(folder, docs.where("segment >= 'b5'"), "doc_id", ["lang", "text"])
         inverted.remove(folder, docs.where("segment = 'b2'").select("segment").distinct())
