@@ -191,9 +191,10 @@ def repeats(sized: DataFrame) -> DataFrame | None:
 
 
 def hashed(sized: DataFrame, repeated: DataFrame | None) -> DataFrame:
-    """Add u: a hash of id, text and, among rows that agree in both, of a number from 1.
+    """Add u: a hash of id, text and, among rows of one source that agree in both, of a number from 1.
 
-    Numbers count on from one input partition to the next, so that a row that
+    Rows that agree in all three are alike, so whichever gets a number, a
+    source's hashes are the same over any partitions.  Numbers count on from one input partition to the next, so that a row that
     is repeated very often is numbered in many tasks.
     """
     if repeated is None:
@@ -201,10 +202,11 @@ def hashed(sized: DataFrame, repeated: DataFrame | None) -> DataFrame:
     rows = sized.withColumn("uid", F.monotonically_increasing_id()).withColumn("part", F.shiftright("uid", 33))
     rows = common.meet(rows, repeated, common.ROW, "uid", "left")
     once = rows.where("repeated IS NULL").withColumn("number", F.lit(1).cast("long"))
-    more = rows.where("repeated")
-    keys = [*common.ROW, "part"]
+    own = [*common.ROW, "_source"]
+    more = rows.where("repeated").withColumn("_source", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("none")))
+    keys = [*own, "part"]
     counts = more.groupBy(*keys).agg(F.count("*").alias("k"))
-    before = F.coalesce(F.sum("k").over(Window.partitionBy(*common.ROW).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = F.coalesce(F.sum("k").over(Window.partitionBy(*own).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     counts = counts.select(*keys, before.alias("before"))
     more = more.withColumn("number", F.row_number().over(Window.partitionBy(*keys).orderBy("uid")))
     more = more.join(counts, keys).withColumn("number", (F.col("number") + F.col("before")).cast("long"))
