@@ -7,7 +7,8 @@ each term's postings of the queries are scattered, weighted by those of the
 candidates, into dense arrays of scores; partition selection keeps the best of
 each query, a task merges what it keeps over its blocks, and a window merges
 the tasks' lists.  No row passes the driver, and a task holds one block of each
-side, the scores of QUERY_GROUP queries, and the best of up to HELD queries.
+side, the scores of QUERY_GROUP queries, and HELD bytes of the best of queries:
+of the blocks of queries that it has left behind their ids alone.
 
 Spark pairs the blocks by a broadcast of one side only where that is below its
 own limit of size, and by partitions of both otherwise.
@@ -35,8 +36,8 @@ from pyspark.sql.window import Window
 
 from timeloom.llm import common
 
-#: Rows, and components, of one block; queries scored together; queries whose best a task holds.
-BLOCK, BLOCK_TERMS, QUERY_GROUP, HELD = 2048, 1 << 21, 64, 200_000
+#: Rows, and components, of one block; queries scored together; bytes of the best of queries that a task holds.
+BLOCK, BLOCK_TERMS, QUERY_GROUP, HELD = 2048, 1 << 21, 64, 64 << 20
 PART = "query_uid long, query_id long, uid long, vec_id long, score long"
 ARRAYS = ["uids", "ids", "known", "terms", "start", "rows", "weights"]
 
@@ -173,17 +174,22 @@ def select(scores: np.ndarray, queries: Postings, candidates: Postings, k: int)
     return first_k((query, scores[query, place].astype(np.int64), candidates.ids[place], candidates.known[place], candidates.uids[place]), k)
 
 
+def weight(kept: tuple[np.ndarray, np.ndarray, Found]) -> int:
+    """The bytes of what a task keeps of one block of queries."""
+    return sum(x.nbytes for x in (*kept[:2], *kept[2]))
+
+
 def best_of_pairs(pairs: DataFrame, k: int) -> DataFrame:
     """The k best of every query over the candidate blocks that a task pairs it with; more rows than that where it holds too many queries."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[Postings, Found]] = {}
-        candidates, stored = None, None
+        held: dict[int, tuple[np.ndarray, np.ndarray, Found]] = {}
+        candidates, stored, size = None, None, 0
 
         def give() -> Iterator[pa.RecordBatch]:
-            for queries, (query, score, vec_id, known, uid) in held.values():
+            for uids, query_ids, (query, score, vec_id, known, uid) in held.values():
                 ids = pa.array(vec_id, mask=known == 0)
-                columns = [pa.array(queries.uids[query]), pa.array(queries.ids[query]), pa.array(uid), ids, pa.array(score)]
+                columns = [pa.array(uids[query]), pa.array(query_ids[query]), pa.array(uid), ids, pa.array(score)]
                 yield pa.RecordBatch.from_arrays(columns, names=["query_uid", "query_id", "uid", "vec_id", "score"])
             held.clear()
 
@@ -199,10 +205,14 @@ def best_of_pairs(pairs: DataFrame, k: int) -> DataFrame:
                     query, *rest = select(scatter_scores(group, candidates), group, candidates, k)
                     found.append((query + at, *rest))
                 if (key := int(queries.uids[0])) in held:
-                    found.append(held[key][1])
-                held[key] = queries, first_k(tuple(map(np.concatenate, zip(*found))), k)
-                if sum(len(x[0].uids) for x in held.values()) > HELD:
+                    found.append(held[key][-1])
+                    size -= weight(held[key])
+                # Copies, so that the block they were read from can go.
+                held[key] = queries.uids.copy(), queries.ids.copy(), first_k(tuple(map(np.concatenate, zip(*found))), k)
+                size += weight(held[key])
+                if size > HELD:
                     yield from give()
+                    size = 0
         yield from give()
         common.give_back()
 
