@@ -282,3 +282,51 @@ def test_records_query(spark, tokenizer):
         ids = tokenizer.encode(r["text"] or "", add_special_tokens=False).ids + [2]
         assert rows[r["doc_id"]] == (r["doc_id"], at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         at += len(ids)
+
+
+# what earlier operators hold
+
+
+def test_topk_keeps_ids_alone_of_the_blocks_it_leaves(monkeypatch):
+    """At 768 dimensions a task keeps a hundredth of the blocks of queries that it has seen."""
+    from timeloom.llm import op5_topk
+
+    rng = np.random.default_rng(1)
+    blocks = [op5_topk.Postings.of(np.arange(i * 256, (i + 1) * 256), np.arange(256), np.ones(256, bool), list(rng.integers(-9, 9, (256, 768)))) for i in range(4)]
+    weights = []
+    real = op5_topk.weight
+    monkeypatch.setattr(op5_topk, "weight", lambda kept: weights.append(real(kept)) or real(kept))
+    whole = sum(len(x) for x in blocks[0].store())
+    queries, ids = blocks[0].uids.copy(), blocks[0].ids.copy()
+    scores = op5_topk.scatter_scores(blocks[0], blocks[1])
+    kept = queries, ids, op5_topk.select(scores, blocks[0], blocks[1], 5)
+    assert op5_topk.weight(kept) < whole / 20 and queries.base is None
+
+
+def test_topk_with_room_for_few_queries(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from timeloom.llm import op5_topk
+
+    rng = random.Random(3)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(6)]) for i in range(120)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    want = sorted(map(tuple, op5_topk.top_k(df, F.col("vec_id") % 3 == 0).collect()))
+    monkeypatch.setattr(op5_topk, "HELD", 1)
+    monkeypatch.setattr(op5_topk, "BLOCK", 16)
+    assert sorted(map(tuple, op5_topk.top_k(df, F.col("vec_id") % 3 == 0).collect())) == want
+
+
+def test_repeated_rows_of_two_sources_meet_both_targets(spark):
+    """Rows that agree in id and text but not in source get the same numbers over any partitions."""
+    from timeloom.llm import op3_mixing
+
+    rows = [(1, "the same words here", s) for s in ("a", "b", None) for _ in range(70)] + [(i, "w " * (i % 9), "b") for i in range(2, 90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    results = []
+    for parts in (1, 4, 9):
+        mixed = op3_mixing.resample(common.durable(docs.repartition(parts), "mixed-in"))
+        results.append(sorted((str(r["source"]), r["doc_id"]) for r in mixed.collect()))
+    assert results[0] == results[1] == results[2]
+    met = op3_mixing.mix(docs).groupBy("source_size", "target").sum("taken").collect()
+    assert len(met) == 3 and all(abs(r["sum(taken)"] - r["target"]) <= 5 for r in met)
