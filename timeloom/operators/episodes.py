@@ -122,6 +122,11 @@ def title(kind: Column, app: Column) -> Column:
     return F.concat(name, F.coalesce(F.concat(F.lit(" in "), app), F.lit("")))
 
 
+def hundredths(x: Column) -> Column:
+    """Rounded to two places; what is a half but for an error in the last bits goes up."""
+    return F.round(x.cast("decimal(18,12)"), 2).cast("double")
+
+
 def build(events: DataFrame, built_at, config: Config = Config()) -> tuple[DataFrame, DataFrame]:
     """The tables episode and episode_event of all users and days in ``events``."""
     rows = inputs(events, config).withColumn("kind", activity_class(F.col("activity")))
@@ -129,7 +134,8 @@ def build(events: DataFrame, built_at, config: Config = Config()) -> tuple[DataF
     group = ["user_id", "day", "group_no"]
     rows = label(rows, ["user_id", "day"], order, "start_at", "end_at", "kind", config.max_gap_seconds, config.interruption_max_seconds)
     rows = rows.withColumn("ordinal", F.row_number().over(ordered(group, order)).cast("long"))
-    rows = rows.withColumn("seconds", F.greatest(F.lit(0.0), seconds_between(F.col("start_at"), F.col("end_at"))))
+    # Whole microseconds, so that sums don't depend on the order of the rows.
+    rows = rows.withColumn("micros", F.greatest(F.lit(0), F.timestamp_diff("MICROSECOND", F.col("start_at"), F.col("end_at"))))
     primary = F.col("role") == "primary"
     # The metadata lists every summary; of other columns each value is there once, with its count and first place.
     said = F.transform(F.array_sort(F.collect_list(F.struct("ordinal", F.col("summary").alias("v")))), lambda x: x["v"])
@@ -143,9 +149,9 @@ def build(events: DataFrame, built_at, config: Config = Config()) -> tuple[DataF
         F.count_if(primary).alias("primaries"),
         F.count_if(~primary).alias("interruptions"),
         F.avg(F.when(primary, F.col("confidence"))).alias("base"),
-        F.sum("seconds").alias("total"),
-        F.sum(F.when(primary, F.col("seconds")).otherwise(0.0)).alias("primary_seconds"),
-        F.sum(F.when(primary, 0.0).otherwise(F.col("seconds"))).alias("interrupted"),
+        (F.sum("micros") / 1e6).alias("total"),
+        (F.sum(F.when(primary, F.col("micros")).otherwise(0)) / 1e6).alias("primary_seconds"),
+        (F.sum(F.when(primary, 0).otherwise(F.col("micros"))) / 1e6).alias("interrupted"),
         (F.count_if(primary & (F.col("signal") == "low")) / F.greatest(F.lit(1), F.count_if(primary))).alias("low_share"),
         F.count_distinct(F.when(primary, F.col("app"))).alias("apps"),
         said.alias("summaries"),
@@ -173,7 +179,7 @@ def build(events: DataFrame, built_at, config: Config = Config()) -> tuple[DataF
     score = confidence(*[F.col(c) for c in ("episode_type", "base", "interruptions", "interrupted", "total", "low_share", "primaries", "apps")])
     ident = stable_id("tl-episode", F.col("user_id"), F.col("day"), F.lit(config.builder_version), F.col("group_no"), F.col("episode_type"), iso_z(F.col("started_at")), iso_z(F.col("ended_at")))
     blocks = blocks.select(
-        "*", ident.alias("id"), F.round(score, 2).alias("confidence"), F.lit(config.builder_version).alias("builder_version"), F.lit(built_at).cast("timestamp").alias("built_at"), F.to_json(meta).alias("metadata_json")
+        "*", ident.alias("id"), hundredths(score).alias("confidence"), F.lit(config.builder_version).alias("builder_version"), F.lit(built_at).cast("timestamp").alias("built_at"), F.to_json(meta).alias("metadata_json")
     )
     links = rows.join(blocks.select(*group, F.col("id").alias("episode_id")), group).select("episode_id", F.col("id").alias("event_id"), "ordinal", "role")
     return schema.shaped(blocks, "episode", status="provisional"), schema.shaped(links, "episode_event")
