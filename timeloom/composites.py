@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from timeloom import schema
 from timeloom.functions import ids, scoring, text, times
-from timeloom.operators import align, episodes, inverted, jobs, memory, normalize, overlap, resources, retrieval, scans, scenes, search, segments, upsert
+from timeloom.operators import align, episodes, inverted, jobs, memory, normalize, overlap, ranges, resources, retrieval, scans, scenes, search, segments, upsert
 from timeloom.plans import ingest
 from timeloom.plans.driver_tables import EV, events, table
-from timeloom.plans.stages import stored
+from timeloom.plans.stages import keeper, stored
 from timeloom.plans.store import TableStore
 from timeloom.queries import GROUPED, HALF_DAY, LABELLED, index_once, query
 from timeloom.schema import TABLES
@@ -237,12 +237,13 @@ def voiceprint_update(spark, sf_dir):
 
 
 @query(
-    """SELECT 'v' || c_custkey AS id, 'name ' || c_nationkey AS display_name, c_custkey AS enrolled FROM customer WHERE c_nationkey < 20 AND c_custkey % 3 <> 0 AND c_nationkey <> 3"""
+    """SELECT 'v' || c_custkey AS id, 'name ' || c_nationkey AS display_name, c_custkey AS enrolled, row_number() OVER (ORDER BY c_custkey, 'v' || c_custkey) AS place FROM customer WHERE c_nationkey < 20 AND c_custkey % 3 <> 0 AND c_nationkey <> 3"""
 )
 def voiceprints_of_people(spark, sf_dir):
     people = table(spark, sf_dir, "nation").where("n_nationkey <> 3").select(F.concat(F.lit("p"), F.col("n_nationkey").cast("string")).alias("id"), F.concat(F.lit("name "), F.col("n_nationkey").cast("string")).alias("display_name"))
     rows = scans.voiceprints(prints(spark, sf_dir), people, "u", status="active")
-    return rows.select("id", "display_name", F.unix_seconds("enrolled_at").alias("enrolled"))
+    rows = ranges.places(rows, scans.ordering("person_voiceprint"), keeper(spark))
+    return rows.select("id", "display_name", F.unix_seconds("enrolled_at").alias("enrolled"), "place")
 
 
 def _whole(*order):

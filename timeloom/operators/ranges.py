@@ -12,6 +12,8 @@ that the ranges are cut by (rows without one are a range before all others).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -90,3 +92,19 @@ class Scan:
         # In this order the join keeps the partitions that the windows need.
         rows = rows.join(carry, ["_key", "_range"]).withColumns(made)
         return rows.select(*self.df.columns, *named)
+
+
+def places(df: DataFrame, order: list[Column], keep: Callable[[DataFrame, str], DataFrame], name: str = "place") -> DataFrame:
+    """Number all rows from 1 on in an order; what it leaves open falls as it may.
+
+    Rows are dealt and sorted by ranges of the order and stored (``keep``) with
+    their number in their range; only the sizes of the ranges meet in one task.
+    """
+    # The number of a partition, and of a row in it.
+    rows = keep(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()), "places")
+    part = F.shiftright("_at", 33)
+    sizes = rows.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    place = F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1) + 1
+    return rows.withColumn("_part", part).join(F.broadcast(sizes), "_part").select(*df.columns, place.cast("long").alias(name))
