@@ -23,3 +23,11 @@ def test_voiceprints_say_their_place(spark):
     """Those of all people, in the order of their enrolment."""
     rows = __spark_entry__.queries()["voiceprints_of_people"](spark, "/root/testdata/sf0.001").orderBy("place").collect()
     assert [r["place"] for r in rows] == list(range(1, len(rows) + 1)) and [r["enrolled"] for r in rows] == sorted(r["enrolled"] for r in rows)
+
+
+def test_coverage_says_its_place(spark):
+    """Spans without a start come first, then the others as they start."""
+    rows = __spark_entry__.queries()["coverage_view"](spark, "/root/testdata/sf0.001").orderBy("place").collect()
+    assert [r["place"] for r in rows] == list(range(1, len(rows) + 1))
+    order = [(r["start_s"] is not None, r["start_s"] or 0, r["id"]) for r in rows]
+    assert order == sorted(order) and order[0][0] is False and order[-1][0] is True

@@ -788,10 +788,11 @@ def environment_view(spark, sf_dir):
     return rows.select("build_id", "days", "first_day", "last_day", F.array_join("statuses", ",").alias("statuses"), F.array_join(F.transform("open_days", lambda x: x["day"]), ",").alias("open_days"))
 
 
-@query(CURRENT + "SELECT 'v' || doc_id AS id, lang AS modality, CASE WHEN doc_id % 2 = 0 THEN doc_id END AS start_s FROM now WHERE day = '2026-01-04'")
+@query(CURRENT + "SELECT 'v' || doc_id AS id, lang AS modality, CASE WHEN doc_id % 2 = 0 THEN doc_id END AS start_s, row_number() OVER (ORDER BY CASE WHEN doc_id % 2 = 0 THEN doc_id END NULLS FIRST, 'v' || doc_id) AS place FROM now WHERE day = '2026-01-04'")
 def coverage_view(spark, sf_dir):
     rows = retrieval.coverage(memory_store(spark, sf_dir), "u", "2026-01-04")
-    return rows.select("id", "modality", F.unix_seconds("start_at").alias("start_s"))
+    rows = ranges.places(rows, [F.col("start_at").asc_nulls_first(), F.col("id")], keeper(spark))
+    return rows.select("id", "modality", F.unix_seconds("start_at").alias("start_s"), "place")
 
 
 @query(CURRENT + "SELECT id, lang AS title, sort_key, 'n=' || doc_id % 3 AS tag FROM d WHERE id = 'c17'")
