@@ -31,3 +31,8 @@ def test_coverage_says_its_place(spark):
     assert [r["place"] for r in rows] == list(range(1, len(rows) + 1))
     order = [(r["start_s"] is not None, r["start_s"] or 0, r["id"]) for r in rows]
     assert order == sorted(order) and order[0][0] is False and order[-1][0] is True
+
+
+def test_frames_of_every_machine(spark):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    assert __spark_entry__.queries()["frames_left_join"](spark, "/root/testdata/sf0.001").count() == orders.count()

@@ -476,7 +476,7 @@ def store_replace_day(spark, sf_dir):
 @query(
     """WITH best AS (SELECT l_orderkey AS k, arg_max({'t': t, 'e': e}, (length(t), t, e)) AS o FROM (SELECT l_orderkey, repeat(l_returnflag || ' ', l_linenumber) || l_linestatus AS t, l_linestatus || l_suppkey AS e FROM lineitem) GROUP BY 1)
     SELECT o_orderkey AS id, epoch_us(CAST(o_orderdate AS TIMESTAMP)) - 3600000000 AS at_us, 'host' || o_custkey % 7 || '.org:80' AS host, regexp_replace(trim(o.t), ' +', ' ', 'g') AS ocr_text, o.e AS engine, 'a ' || o_orderstatus AS said
-    FROM orders LEFT JOIN best ON k = o_orderkey WHERE o_custkey % 2 = 1"""
+    FROM orders LEFT JOIN best ON k = o_orderkey"""
 )
 def frames_left_join(spark, sf_dir):
     o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
@@ -486,7 +486,7 @@ def frames_left_join(spark, sf_dir):
     )
     said = F.concat(F.expr("repeat(concat(l_returnflag, ' '), int(l_linenumber))"), "l_linestatus")
     ocr = li.select(F.col("l_orderkey").alias("frame_id"), said.alias("text"), F.lit(None).cast("string").alias("text_json"), F.concat(F.col("l_linestatus"), F.col("l_suppkey").cast("string")).alias("ocr_engine"))
-    rows = screen.frames(frame, ocr, machine="1")
+    rows = screen.frames(frame, ocr)
     return rows.select("id", us(F.col("at")).alias("at_us"), "host", "ocr_text", F.col("ocr_engine").alias("engine"), F.col("full_text").alias("said"))
 
 
