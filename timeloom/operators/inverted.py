@@ -2,8 +2,8 @@
 
 Under a folder lie ``postings``, a row for every token of every block of
 documents: how many documents of the block have it, the largest frequency, the
-least length, and the documents with the places; rows lie in ranges of tokens,
-sorted, so that a query reads the row groups of its tokens alone.  A segment,
+least length, and the documents with the places; the rows of a file are sorted by
+token, so that a query reads the pages of its tokens alone.  A segment,
 one build's documents, is written once and never changed; it counts from when
 its row of totals is there, and no longer once it is among the ``removed``.
 
@@ -14,13 +14,17 @@ others only those follow whose bound reaches the k-th best score so far.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from timeloom.operators import search
+from timeloom.session import ship
 
 #: Documents of a block.
 BLOCK = 256
@@ -28,18 +32,100 @@ BLOCK = 256
 STEP, SLACK = 1e-6, 1e-9
 
 
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of BLOCK; the last may have fewer."""
+    rest = None
+    for batch in batches:
+        rest = batch if rest is None else pa.concat_batches([rest, batch])
+        while rest.num_rows >= BLOCK:
+            yield rest.slice(0, BLOCK)
+            rest = rest.slice(BLOCK)
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
+def blocks_of(schema: StructType, fields: int):
+    """What turns Arrow batches of documents (doc, segment, the words of each field) into postings, block by block, each in the task that read it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        out, block = to_arrow_schema(schema), TaskContext.get().partitionId() << 33
+        for docs in blocks(batches):
+            arrays = postings_of(docs, fields, block)
+            yield pa.RecordBatch.from_arrays([arrays[f.name].cast(f.type) for f in out], schema=out)
+            block += 1
+
+    return run
+
+
+def postings_of(docs: pa.RecordBatch, fields: int, block: int) -> dict[str, pa.Array]:
+    """The postings of one block, as columns; the row of the empty token says how many documents a segment has there, and their length."""
+    n, tokens, doc, field, position = docs.num_rows, [], [], [], []
+    length = np.zeros(n, dtype=np.int64)
+    for f in range(fields):
+        column = docs.column(f"f{f}")
+        size = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        tokens.append(column.flatten())
+        doc.append(np.repeat(np.arange(n), size))
+        position.append(np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size))
+        field.append(np.full(size.sum(), f))
+        length += size
+    doc, field, position = (np.concatenate(x) for x in (doc, field, position))
+    words, segments = pa.concat_arrays(tokens).dictionary_encode(), docs.column("segment").dictionary_encode()
+    segment, m = segments.indices.to_numpy(), max(1, len(words.dictionary))
+    group = segment[doc] * m + words.indices.to_numpy()
+    order = np.argsort(group * n + doc, kind="stable")
+    group, doc, field, position = group[order], doc[order], field[order], position[order]
+    # Where a token's documents begin, and where its rows do.
+    posting = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]) | (doc[1:] != doc[:-1])]) if len(doc) else np.empty(0, dtype=np.int64)
+    tf = np.diff(np.r_[posting, len(doc)])
+    of, who = group[posting], doc[posting]
+    row = np.flatnonzero(np.r_[True, of[1:] != of[:-1]]) if len(of) else np.empty(0, dtype=np.int64)
+    ends = np.r_[row, len(of)]
+    places = np.r_[posting[row], len(doc)]
+    held = np.bincount(segment, minlength=len(segments.dictionary))
+    total = np.bincount(segment, weights=length, minlength=len(held)).astype(np.int64)
+    k, none = len(held), np.zeros(len(held), dtype=np.int64)
+
+    def lists(bounds: np.ndarray, values: pa.Array, last: pa.Array | None = None) -> pa.Array:
+        """The values of each row, then ``last``, one a segment, or nothing."""
+        tail = np.arange(1, k + 1) if last is not None else none
+        return pa.ListArray.from_arrays(pa.array(np.r_[bounds, bounds[-1] + tail], pa.int32()), pa.concat_arrays([values, last]) if last is not None else values)
+
+    some = len(row) > 0
+    return {
+        "token": pa.concat_arrays([words.dictionary.take(pa.array(of[row] % m)).cast(pa.string()), pa.array([""] * k, pa.string())]),
+        "block": pa.array(np.full(len(row) + k, block)),
+        "n": pa.array(np.r_[np.diff(ends), held]),
+        "max_tf": pa.array(np.r_[np.maximum.reduceat(tf, row) if some else row, none]),
+        "min_length": pa.array(np.r_[np.minimum.reduceat(length[who], row) if some else row, none]),
+        "doc": lists(ends, docs.column("doc").take(pa.array(who))),
+        "length": lists(ends, pa.array(length[who], pa.int64()), pa.array(total, pa.int64())),
+        "tf": lists(ends, pa.array(tf, pa.int64())),
+        "field": lists(places, pa.array(field, pa.int64())),
+        "position": lists(places, pa.array(position, pa.int64())),
+        "segment": segments.dictionary.take(pa.array(np.r_[of[row] // m, np.arange(k)])).cast(pa.string()),
+    }
+
+
+def postings_schema(key: str) -> str:
+    """A row for each token of each block: its documents, and their places one after another, ``tf`` of each document."""
+    return f"token string, block bigint, n bigint, max_tf int, min_length int, doc array<{key}>, length array<int>, tf array<int>, field array<int>, position array<int>, segment string"
+
+
 def add(folder: str, docs: DataFrame, key: str, fields: list[str], segment: str = "segment") -> None:
     """Add documents; their column ``segment`` (text) says of which build each is.  A segment's documents must come in one call."""
-    ix = search.index(docs, key, fields, segment)
-    per = ix.words.withColumnRenamed(segment, "segment").withColumn("block", F.floor(F.monotonically_increasing_id() / BLOCK))
-    at = per.select("segment", "block", "doc", "length", F.explode("words").alias("w")).select("segment", "block", "doc", "length", "w.token", "w.field", "w.position")
-    # One exchange serves both groupings; a token of all documents is as many rows as there are blocks.
-    by_doc = at.repartition("segment", "token", "block").groupBy("segment", "token", "block", "doc", "length").agg(F.array_sort(F.collect_list(F.struct("field", "position"))).alias("places"))
-    rows = by_doc.groupBy("segment", "token", "block").agg(
-        F.count("*").alias("n"), F.max(F.size("places")).alias("max_tf"), F.min("length").alias("min_length"), F.collect_list(F.struct("doc", "length", "places")).alias("docs")
-    )
-    rows.repartitionByRange("segment", "token", "block").sortWithinPartitions("segment", "token", "block").write.mode("append").partitionBy("segment").parquet(f"{folder}/postings")
-    totals = ix.words.groupBy(F.col(segment).alias("segment")).agg(F.count("*").alias("n_docs"), F.sum("length").alias("length"))
+    ship(docs.sparkSession)
+    kind = docs.schema[key].dataType.simpleString()
+    words = docs.select(F.col(key).alias("doc"), F.col(segment).alias("segment"), *[search.words(F.col(f)).alias(f"f{n}") for n, f in enumerate(fields)])
+    # Blocks are made where their documents are read, so flat postings are all that is exchanged; a token of all documents is as many rows as there are blocks.
+    rows = words.mapInArrow(blocks_of(StructType.fromDDL(postings_schema(kind)), len(fields)), postings_schema(kind))
+    rows.repartition("segment", "token", "block").sortWithinPartitions("segment", "token", "block").write.mode("append").partitionBy("segment").parquet(f"{folder}/postings")
+    added = docs.sparkSession.read.schema(postings_schema(kind)).parquet(f"{folder}/postings").where("token = ''")
+    added = added.join(docs.select(F.col(segment).alias("segment")).distinct(), "segment", "left_semi")
+    totals = added.groupBy("segment").agg(F.sum("n").alias("n_docs"), F.sum(F.col("length")[0].cast("long")).alias("length"))
     totals.write.mode("append").parquet(f"{folder}/totals")
 
 
@@ -69,18 +155,27 @@ class Stored:
 
 def placed(postings: DataFrame) -> DataFrame:
     """doc, length and all places of some postings."""
-    rows = postings.select("segment", "token", F.explode("docs").alias("d")).select("segment", "d.doc", "d.length", F.transform("d.places", lambda p: F.struct(p["field"].alias("field"), p["position"].alias("position"), F.col("token").alias("token"))).alias("p"))
-    return rows.groupBy("segment", "doc", "length").agg(F.flatten(F.collect_list("p")).cast(search.PLACED).alias("places")).drop("segment")
+    # The flat rows are exchanged, once; with a block's rows together, so are those of each document.
+    rows = postings.select("segment", "block", "token", "doc", "length", "tf", "field", "position").repartition("segment", "block")
+    ends = F.aggregate("tf", F.array(F.lit(0)), lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n)))
+    rows = rows.withColumn("ends", ends)
+
+    def of(i: Column) -> Column:
+        here = lambda c: F.slice(c, F.get("ends", i) + 1, F.get("tf", i))
+        at = F.zip_with(here("field"), here("position"), lambda f, p: F.struct(f.alias("field"), p.alias("position"), F.col("token").alias("token")))
+        return F.struct(F.get("doc", i).alias("doc"), F.get("length", i).alias("length"), at.alias("p"))
+
+    rows = rows.select("segment", "block", F.explode(F.transform("doc", lambda _, i: of(i))).alias("d")).select("segment", "block", "d.*")
+    return rows.groupBy("segment", "block", "doc", "length").agg(F.flatten(F.collect_list("p")).cast(search.PLACED).alias("places")).drop("segment", "block")
 
 
 def opened(spark: SparkSession, folder: str, fields: list[str], key: str = "bigint") -> Stored:
     """The index under a folder as it is now; ``key`` is the type of the documents' keys."""
-    schema = f"token string, block bigint, n bigint, max_tf int, min_length int, docs array<struct<doc:{key},length:int,places:array<struct<field:int,position:int>>>>, segment string"
     totals = spark.read.schema("segment string, n_docs bigint, length bigint").parquet(f"{folder}/totals")
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/removed")
     if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         totals = totals.join(spark.read.schema("segment string").parquet(path.toString()), "segment", "left_anti")
-    return Stored(spark.read.schema(schema).parquet(f"{folder}/postings"), totals, tuple(fields)).of(totals)
+    return Stored(spark.read.schema(postings_schema(key)).parquet(f"{folder}/postings"), totals, tuple(fields)).of(totals)
 
 
 def bounded(ix: Stored, asked: list[search.Match], tree, n_docs: int, avg_length: float, counts: dict[str, int]) -> tuple[DataFrame, Column]:
