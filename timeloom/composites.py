@@ -542,16 +542,16 @@ def recorder_documents(spark, sf_dir):
 
 
 def camera_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """A camera's documents: clips, each named twice, of finished orders; units of their lines; records of some units."""
+    """A camera's documents: clips, each named twice, of finished orders; units of their lines; records of some units.  A document holds 500 orders, however many there are."""
     o, li = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'"), table(spark, sf_dir, "lineitem")
     stem = lambda c: F.concat(F.lit("c"), F.col(c).cast("string"))
     at = lambda days: F.date_format(F.date_add("o_orderdate", days), "yyyy-MM-dd HH:mm:ss")
     clip = lambda days, group: F.struct(stem("o_orderkey").alias("clip_stem"), at(days).alias("timestamp"), F.lit(group).alias("recording_group"), F.lit(3.0).alias("duration_seconds"))
-    clips = o.groupBy((F.col("o_orderkey") % 50).alias("d")).agg(F.flatten(F.array(F.collect_list(clip(0, "old")), F.collect_list(clip(1, "new")))).alias("clips"))
+    clips = o.groupBy(F.floor(F.col("o_orderkey") / 500).alias("d")).agg(F.flatten(F.array(F.collect_list(clip(0, "old")), F.collect_list(clip(1, "new")))).alias("clips"))
     unit = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    units = li.groupBy((F.col("l_orderkey") % 50).alias("d")).agg(F.collect_list(F.struct(unit.alias("transcription_unit_id"), stem("l_orderkey").alias("clip_stem"), F.concat(F.lit(" "), F.col("l_returnflag")).alias("transcript"), F.array(F.lit(" "), F.col("l_linestatus")).alias("quality_flags"))).alias("transcripts"))
+    units = li.groupBy(F.floor(F.col("l_orderkey") / 500).alias("d")).agg(F.collect_list(F.struct(unit.alias("transcription_unit_id"), stem("l_orderkey").alias("clip_stem"), F.concat(F.lit(" "), F.col("l_returnflag")).alias("transcript"), F.array(F.lit(" "), F.col("l_linestatus")).alias("quality_flags"))).alias("transcripts"))
     record = F.to_json(F.struct(unit.alias("transcription_unit_id"), F.col("l_quantity").alias("q")))
-    records = li.where("l_linenumber = 1").groupBy((F.col("l_orderkey") % 50).alias("d")).agg(F.collect_list(record).alias("rs"))
+    records = li.where("l_linenumber = 1").groupBy(F.floor(F.col("l_orderkey") / 500).alias("d")).agg(F.collect_list(record).alias("rs"))
     records = records.select(F.concat(F.lit('{"records": ['), F.array_join("rs", ","), F.lit(', 7, {"x": 1}]}')).alias("text"))
     document = lambda df, c: df.select(F.concat(F.lit("/g/"), F.col("d").cast("string")).alias("path"), F.to_json(F.struct(c)).alias("text"))
     return document(clips, "clips"), document(units, "transcripts"), records
