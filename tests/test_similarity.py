@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from timeloom import queries
 from timeloom.operators import overlap, similarity
 
 
@@ -108,3 +109,21 @@ def test_report_of_empty_sides(spark):
     some = spark.createDataFrame([("a", T0, "words here"), ("b", None, None)], empty.schema)
     assert overlap.report(empty, some).count() == 0 and overlap.report(some, empty).count() == 0
     assert overlap.report(some, some).count() == 1
+
+
+@pytest.mark.parametrize("k", [1, 4])
+def test_top_k_of_few_equals_all_pairs(spark, k):
+    rng = random.Random(k)
+    words = [f"w{i}" for i in range(200)]
+    left, right = corpora(rng, 12, words, 12, ("all",)), corpora(rng, 150, words, 12, ("all",))
+    left[99], right[99], right[98] = vector(["nowhere"]), vector(["alone"]), vector(["all"])
+    got = similarity.top_k_of_few(counts(spark, left, "l"), counts(spark, right, "r").repartition("r"), "l", "r", k)
+    assert {(r["l"], r["r"], r["rank"]) for r in got.collect()} == best_by_hand(left, right, k)
+
+
+def test_pairs_with_a_small_table_stay_where_the_documents_are(spark):
+    """Texts are exchanged once; neither their words nor the pairs are, but the best of each partition."""
+    plan = queries.tf_cosine_topk(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len([x for x in exchanges if "doc_id" in x]) == 1
+    assert not [x for x in exchanges if "token" in x]
