@@ -558,3 +558,20 @@ def test_store_upserts_partitions(spark, tmp_path):
     store.upsert("event_artifact", spark.createDataFrame([("a", "m", "primary", 0.5)], schema.TABLES["event_artifact"].schema))
     store.upsert("event_artifact", spark.createDataFrame([("a", "n", "primary", 0.5)], schema.TABLES["event_artifact"].schema))
     assert store.read("event_artifact").count() == 2
+
+
+def test_scenes_exchange_each_event_once(spark):
+    """No row is sent for each distinct count, and no scene is joined with its own most frequent values."""
+    keys = {"user_id": "u", "device_id": "d", "scene_no": 1}
+    rows = [("a", 0, "x", "m"), ("b", 1, "y", None), ("c", 2, "y", "m"), ("d", 3, "x", ""), ("e", 4, None, "n")]
+    df = spark.createDataFrame([(n, at, app, kind) for n, at, app, kind in rows], "id string, at long, app string, category string").select(
+        *[F.lit(v).alias(k) for k, v in keys.items()], "id", F.timestamp_seconds("at").alias("start_at"), F.timestamp_seconds("at").alias("end_at"), F.lit(0.5).alias("confidence"), "app", "category", F.col("app").alias("heading"),
+        F.array(F.lit("screenshot")).alias("sources"), F.array(F.lit(4).cast("long")).alias("offsets"), F.array(F.lit("low")).alias("clocks"), F.array("id").alias("summaries"), F.array(F.struct("id")).alias("artifacts"),
+    )
+    got = scenes.scored(df)
+    one = got.first()
+    assert (one["dominant_app"], one["app_share"], one["apps"]) == ("x", 0.4, 2)
+    assert (one["dominant_category"], one["category_share"], one["categories"]) == ("m", 0.4, 3)
+    assert (one["title_examples"], one["event_ids"], one["summary_examples"]) == (["x", "y"], list("abcde"), list("abcde"))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Expand" not in plan

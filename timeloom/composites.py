@@ -929,12 +929,12 @@ FLAGS_SQL = "concat_ws(',', CASE WHEN titles < 0.5 THEN 'missing_window_titles'
 )
 def scene_build(spark, sf_dir):
     w = scene_tables(spark, sf_dir).scene_window
-    of = lambda k: F.get_json_object("metadata_json", f"$.{k}")
-    joined = lambda k: F.array_join(F.from_json(of(k), "array<string>"), ",")
+    meta = "dominant_app_name string, dominant_category string, quality_flags array<string>, source_types array<string>, median_clock_offset_ms bigint, clock_confidence string, event_count string"
+    w = w.withColumn("meta", F.from_json("metadata_json", meta))
     return w.select(
         "id", "user_id", us(F.col("start_at")).alias("start_us"), us(F.col("end_at")).alias("end_us"), F.round(F.col("confidence") * 1000).cast("long").alias("confidence_ppt"), "window_type", F.col("primary_source_type").alias("source"),
-        of("dominant_app_name").alias("app"), of("dominant_category").alias("category"), joined("quality_flags").alias("flags"), joined("source_types").alias("source_types"), of("median_clock_offset_ms").cast("long").alias("offset_ms"),
-        of("clock_confidence").alias("clock"), of("event_count").alias("n"),
+        F.col("meta.dominant_app_name").alias("app"), F.col("meta.dominant_category").alias("category"), F.array_join("meta.quality_flags", ",").alias("flags"), F.array_join("meta.source_types", ",").alias("source_types"),
+        F.col("meta.median_clock_offset_ms").alias("offset_ms"), F.col("meta.clock_confidence").alias("clock"), F.col("meta.event_count").alias("n"),
     )
 
 
@@ -978,9 +978,9 @@ def scene_artifact_roles(spark, sf_dir):
     LEFT JOIN (SELECT user_id, device_id, scene_no, string_agg(claim_type, ',' ORDER BY claim_type) AS accepted FROM judged WHERE fin >= 0.72 GROUP BY ALL) USING (user_id, device_id, scene_no)"""
 )
 def scene_events(spark, sf_dir):
-    of = lambda k: F.get_json_object("payload_json", f"$.{k}")
-    claims = F.from_json(of("accepted_claims"), "array<struct<claim_type:string>>")
-    return scene_tables(spark, sf_dir).event.select("id", of("scene_window_id").alias("scene_id"), F.size(F.from_json(of("source_event_ids"), "array<string>")).alias("sources"), F.array_join(F.transform(claims, lambda x: x["claim_type"]), ",").alias("accepted"))
+    said = F.from_json("payload_json", "scene_window_id string, source_event_ids array<string>, accepted_claims array<struct<claim_type:string>>")
+    made = scene_tables(spark, sf_dir).event.select("id", said.alias("said"))
+    return made.select("id", F.col("said.scene_window_id").alias("scene_id"), F.size("said.source_event_ids").alias("sources"), F.array_join("said.accepted_claims.claim_type", ",").alias("accepted"))
 
 
 # The memory store

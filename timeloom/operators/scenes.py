@@ -12,7 +12,7 @@ from timeloom import schema
 from timeloom.functions import scoring, text
 from timeloom.functions.ids import stable_id
 from timeloom.functions.times import iso_z
-from timeloom.operators.windows import capped_scenes, dominant, first_distinct, ordered
+from timeloom.operators.windows import capped_scenes, ordered
 
 # Final confidence from which a claim is accepted, or ambiguous.
 ACCEPTED, AMBIGUOUS = 0.72, 0.45
@@ -44,19 +44,23 @@ def contexts(events: DataFrame, event_artifact: DataFrame, artifact: DataFrame,
     rank = F.when(F.col("l.role") == "primary", 0).when(F.col("l.role") == "supporting", 1).otherwise(2)
     links = links.select(
         F.col("l.event_id").alias("id"),
-        F.struct(rank.alias("rank"), F.col("a.captured_at_wall").alias("at"), F.col("a.id").alias("artifact_id")).alias("o"),
         F.struct(
-            F.col("a.id").alias("artifact_id"), kind.alias("artifact_type"), F.col("a.storage_uri").alias("storage_uri"), F.col("l.confidence").alias("confidence"), field("frontmost_app_name").alias("app_name")
-        ).alias("artifact"),
-        app.alias("app"),
-        heading.alias("heading"),
-        F.when(kind.isin(*scoring.ARTIFACT_SOURCE), scoring.artifact_source(kind)).alias("source"),
-        F.col("a.clock_offset_ms").alias("offset"),
-        F.col("a.clock_confidence").alias("clock"),
+            F.struct(rank.alias("rank"), F.col("a.captured_at_wall").alias("at"), F.col("a.id").alias("artifact_id")).alias("o"),
+            F.struct(
+                F.col("a.id").alias("artifact_id"), kind.alias("artifact_type"), F.col("a.storage_uri").alias("storage_uri"), F.col("l.confidence").alias("confidence"), field("frontmost_app_name").alias("app_name")
+            ).alias("artifact"),
+            app.alias("app"),
+            heading.alias("heading"),
+            F.when(kind.isin(*scoring.ARTIFACT_SOURCE), scoring.artifact_source(kind)).alias("source"),
+            F.col("a.clock_offset_ms").alias("offset"),
+            F.col("a.clock_confidence").alias("clock"),
+        ).alias("x"),
     )
-    listed = lambda c: F.filter(F.transform(F.array_sort(F.collect_list(F.struct("o", F.col(c).alias("v")))), lambda x: x["v"]), lambda v: v.isNotNull())
-    found = links.groupBy("id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("o", "artifact"))), lambda x: x["artifact"]).alias("artifacts"),
+    listed = lambda c: F.filter(F.transform("all", lambda x: x[c]), lambda v: v.isNotNull())
+    # One list an event, sorted once.
+    found = links.groupBy("id").agg(F.sort_array(F.collect_list("x")).alias("all")).select(
+        "id",
+        F.transform("all", lambda x: x["artifact"]).alias("artifacts"),
         F.get(listed("app"), F.lit(0)).alias("app"),
         F.get(listed("heading"), F.lit(0)).alias("heading"),
         listed("source").alias("sources"),
@@ -116,10 +120,10 @@ def scored(rows: DataFrame, config: Config = Config()) -> DataFrame:
     """One row a scene with all that is scored of it; ``rows`` carry scene_no."""
     key = ["user_id", "device_id", "scene_no"]
     rows = rows.withColumn("n", F.row_number().over(ordered(key, ["start_at", "end_at", "id"])))
-    position = F.col("n")
-    flat = lambda c: F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("n", F.col(c).alias("v")))), lambda x: x["v"]))
     direct = F.exists("sources", scoring.is_direct)
     end = F.max("end_at") if config.latest_end else F.max_by("end_at", "n")
+    told = F.struct("n", "id", "app", "category", "heading", "sources", "offsets", "clocks", "summaries", "artifacts")
+    # One list a scene, sorted once; a scene is capped in time.
     out = rows.groupBy(*key).agg(
         F.min("start_at").alias("start_at"),
         end.alias("end_at"),
@@ -127,20 +131,31 @@ def scored(rows: DataFrame, config: Config = Config()) -> DataFrame:
         F.avg("confidence").alias("base"),
         F.avg(F.when(F.coalesce("heading", F.lit("")) != "", 1.0).otherwise(0.0)).alias("titles"),
         F.avg(F.when(direct, 1.0).otherwise(0.0)).alias("direct_share"),
-        F.count_distinct("app").alias("apps"),
-        F.count_distinct("category").alias("categories"),
-        first_distinct(position, F.col("heading"), 4).alias("title_examples"),
-        F.array_sort(F.array_distinct(F.filter(flat("sources"), lambda s: s != ""))).alias("source_types"),
+        F.sort_array(F.collect_list(told)).alias("told"),
+    )
+    each = lambda c: F.col(f"told.{c}")
+    known = lambda c: F.filter(each(c), lambda x: x != "")
+    flat = lambda c: F.flatten(each(c))
+    # The most frequent value, of equals the one that came first.
+    often = lambda c: F.array_min(F.transform(F.array_distinct(known(c)), lambda v, i: F.struct((-F.size(F.filter(each(c), lambda x: x == v))).alias("n"), i.alias("i"), v.alias("v"))))
+    out = out.select(
+        *[c for c in out.columns if c != "told"],
+        F.size(F.array_distinct(F.filter(each("app"), lambda x: x.isNotNull()))).alias("apps"),
+        F.size(F.array_distinct(F.filter(each("category"), lambda x: x.isNotNull()))).alias("categories"),
+        F.slice(F.array_distinct(known("heading")), 1, 4).alias("title_examples"),
+        F.sort_array(F.array_distinct(F.filter(flat("sources"), lambda s: s != ""))).alias("source_types"),
         flat("offsets").alias("offsets"),
         flat("clocks").alias("clocks"),
         F.slice(flat("summaries"), 1, 6).alias("summary_examples"),
-        F.transform(F.array_sort(F.collect_list(F.struct("n", "id"))), lambda x: x["id"]).alias("event_ids"),
+        each("id").alias("event_ids"),
         flat("artifacts").alias("artifacts"),
+        often("app").alias("_app"),
+        often("category").alias("_category"),
     )
     for name in ("app", "category"):
-        out = out.join(dominant(rows, key, name, position, out=f"dominant_{name}"), key, "left")
-        out = out.withColumn(f"{name}_share", F.coalesce(F.col(f"dominant_{name}_count"), F.lit(0)) / F.col("events"))
-    ordered_offsets, half = F.array_sort("offsets"), F.floor((F.size("offsets") - 1) / 2).cast("int")
+        most = F.col(f"_{name}")
+        out = out.withColumns({f"dominant_{name}": most["v"], f"{name}_share": F.coalesce(-most["n"], F.lit(0)) / F.col("events")}).drop(f"_{name}")
+    ordered_offsets, half = F.sort_array("offsets"), F.floor((F.size("offsets") - 1) / 2).cast("int")
     median = (F.get(ordered_offsets, half) + F.get(ordered_offsets, F.floor(F.size("offsets") / 2).cast("int"))) / 2
     ranked = F.transform("clocks", lambda c, i: F.struct((-scoring.clock_rank(c)).alias("r"), i.alias("i"), c.alias("c")))
     out = out.withColumn("median_clock_offset_ms", F.coalesce(F.bround(median, 0).cast("long"), F.lit(0).cast("long")))
@@ -163,11 +178,9 @@ def claims_of(scenes: DataFrame, config: Config, produced_at) -> DataFrame:
     capture = F.coalesce(F.col("dominant_category") == "capture_control", F.lit(False)) | F.coalesce(F.lower("dominant_app").contains(config.recorder_name), F.lit(False))
     mixed = lambda flag, cost: F.when(F.array_contains("quality_flags", flag), cost).otherwise(0.0)
 
-    def claim(kind, on, value, base, support, conflict):
-        return F.when(on, F.struct(F.lit(kind).alias("claim_type"), value.alias("value_json"), base.alias("base"), support.alias("support"), conflict.cast("double").alias("conflict")))
-
-    made = F.array(
-        claim(
+    # By kind: where it is made, value_json, base, support, conflict.
+    made = [
+        (
             "device_attended",
             F.lit(True),
             text_of(device_id=F.col("device_id"), basis=F.when(direct, "direct_device_segment").otherwise("indirect_sensor_inference"), time_alignment=basis),
@@ -175,7 +188,7 @@ def claims_of(scenes: DataFrame, config: Config, produced_at) -> DataFrame:
             F.when(direct, 0.95).otherwise(0.6),
             F.lit(0.0),
         ),
-        claim(
+        (
             "app_in_focus",
             F.col("dominant_app").isNotNull(),
             text_of(app_name=F.col("dominant_app"), window_title_examples=F.col("title_examples")),
@@ -183,7 +196,7 @@ def claims_of(scenes: DataFrame, config: Config, produced_at) -> DataFrame:
             F.col("app_share"),
             mixed("mixed_app_focus", 0.35),
         ),
-        claim(
+        (
             "task_context",
             F.col("dominant_category").isNotNull(),
             text_of(coarse_category=F.col("dominant_category"), summary_examples=F.col("summary_examples")),
@@ -191,7 +204,7 @@ def claims_of(scenes: DataFrame, config: Config, produced_at) -> DataFrame:
             F.col("category_share"),
             mixed("mixed_category_context", 0.2),
         ),
-        claim(
+        (
             "capture_control",
             capture,
             text_of(coarse_category=F.coalesce("dominant_category", F.lit("capture_control")), app_name=F.col("dominant_app")),
@@ -199,30 +212,40 @@ def claims_of(scenes: DataFrame, config: Config, produced_at) -> DataFrame:
             F.lit(0.95),
             F.lit(0.0),
         ),
-    )
-    rows = scenes.withColumn("claim", F.explode(F.filter(made, lambda x: x.isNotNull())))
-    rows = rows.withColumn("raw_final", claim_confidence(F.col("claim.base"), scoring.clamp(c), F.col("claim.support"), F.col("claim.conflict")))
+    ]
+    kinds = F.array(*[F.when(on, kind) for kind, on, *_ in made])
+    rows = scenes.withColumn("claim_type", F.explode(F.array_compact(kinds)))
+
+    def of(place):
+        """What this kind has at a place, a column of its own, so that what isn't asked isn't made."""
+        return F.coalesce(*[F.when(F.col("claim_type") == one[0], one[place]) for one in made])
+
+    rows = rows.withColumns({"value_json": of(2), "base": of(3), "support": of(4), "conflict": of(5).cast("double")})
+    rows = rows.withColumn("raw_final", claim_confidence(F.col("base"), scoring.clamp(c), F.col("support"), F.col("conflict")))
     return rows.select(
-        stable_id("tl-claim", F.col("id"), F.col("claim.claim_type")).alias("id"),
+        stable_id("tl-claim", F.col("id"), F.col("claim_type")).alias("id"),
         "user_id",
         F.col("id").alias("scene_window_id"),
-        "claim.claim_type",
-        "claim.value_json",
-        F.round("claim.base", 3).alias("base_confidence"),
+        "claim_type",
+        "value_json",
+        F.round("base", 3).alias("base_confidence"),
         F.round(scoring.clamp(c), 3).alias("quality_score"),
-        F.round("claim.support", 3).alias("support_score"),
-        F.round("claim.conflict", 3).alias("conflict_score"),
+        F.round("support", 3).alias("support_score"),
+        F.round("conflict", 3).alias("conflict_score"),
         F.round("raw_final", 3).alias("final_confidence"),
         disposition(F.col("raw_final")).alias("disposition"),
         F.lit(f"scene_claims_{config.processor_version}").alias("produced_by"),
         F.lit(produced_at).cast("timestamp").alias("produced_at"),
         "dominant_app",
+        "device_id",
+        "scene_no",
     )
 
 
 def evidence_of(claims: DataFrame, members: DataFrame) -> DataFrame:
     """What supports and contradicts each claim: the scene's events and their artifacts."""
-    rows = claims.select(F.col("id").alias("candidate_claim_id"), "scene_window_id", "dominant_app").join(members, "scene_window_id")
+    scene = ["user_id", "device_id", "scene_no"]
+    rows = claims.select(F.col("id").alias("candidate_claim_id"), *scene, "dominant_app").join(members, scene)
     free = F.col("dominant_app").isNull()
     role = F.when(free | F.coalesce(F.col("app") == F.col("dominant_app"), F.lit(False)), "supporting").otherwise("contradictory")
     name = lambda c: F.coalesce(c, F.lit("unknown"))
@@ -238,9 +261,11 @@ def evidence_of(claims: DataFrame, members: DataFrame) -> DataFrame:
     other = ~free & F.coalesce(a["app_name"] != F.col("dominant_app"), F.lit(False))
     part = F.when(a["artifact_type"] == "app_metadata", F.when(other, "contradictory").otherwise("metadata_support")).otherwise("supporting")
     notes = F.when(a["artifact_type"] == "app_metadata", F.concat(F.lit("app_metadata app="), name(a["app_name"]))).when(a["artifact_type"] == "screenshot", F.concat(F.lit("screenshot path="), a["storage_uri"]))
-    of_artifacts = rows.select("candidate_claim_id", "dominant_app", F.explode("artifacts").alias("a"))
-    of_artifacts = of_artifacts.select("candidate_claim_id", a["artifact_id"].alias("artifact_id"), F.lit(None).cast("string").alias("event_id"), part.alias("evidence_role"), a["confidence"].alias("confidence"), notes.alias("notes"))
-    return of_events.unionByName(of_artifacts.dropDuplicates(["candidate_claim_id", "artifact_id", "evidence_role"]))
+    of_artifacts = rows.select(*scene, "candidate_claim_id", "dominant_app", F.explode("artifacts").alias("a"))
+    of_artifacts = of_artifacts.select(*scene, "candidate_claim_id", a["artifact_id"].alias("artifact_id"), F.lit(None).cast("string").alias("event_id"), part.alias("evidence_role"), a["confidence"].alias("confidence"), notes.alias("notes"))
+    # A claim has one scene; with it in the key the rows stay where the join put them.
+    once = of_artifacts.dropDuplicates([*scene, "candidate_claim_id", "artifact_id", "evidence_role"])
+    return of_events.unionByName(once.drop(*scene))
 
 
 def artifact_roles(scenes: DataFrame) -> DataFrame:
@@ -259,9 +284,14 @@ def build(events: DataFrame, event_artifact: DataFrame, artifact: DataFrame, pro
     ``keep`` may store what several of them are made of, the events in their
     scenes and the scored scenes, so that it is computed once.
     """
+    # The scans take what decides on scenes; lists of artifacts and texts wait in the stored rows.
     rows = contexts(events, event_artifact, artifact, config)
-    rows = capped_scenes(rows, ["user_id", "device_id"], ["start_at", "end_at", "id"], "start_at", "end_at", "app", "category", config.gap_seconds, config.max_window_seconds)
-    rows = keep(rows)
+    # Rows that repeat an id are told apart by the rest of them; an id may be null inside the key.
+    rest = ordered(["id"], ["start_at", "end_at", "user_id", "device_id", "category", "confidence", "sources", "summaries"])
+    rows = keep(rows.withColumn("_row", F.struct("id", F.row_number().over(rest).alias("copy"))))
+    narrow = rows.select("_row", "id", "user_id", "device_id", "start_at", "end_at", "app", "category")
+    numbers = capped_scenes(narrow, ["user_id", "device_id"], ["start_at", "end_at", "id"], "start_at", "end_at", "app", "category", config.gap_seconds, config.max_window_seconds)
+    rows = keep(rows.join(numbers.select("_row", "scene_no"), "_row").drop("_row"))
     scenes = keep(scored(rows, config))
     meta = F.struct(
         F.col("dominant_app").alias("dominant_app_name"),
@@ -288,8 +318,7 @@ def build(events: DataFrame, event_artifact: DataFrame, artifact: DataFrame, pro
         F.to_json(meta).alias("metadata_json"),
     )
     claims = claims_of(scenes, config, produced_at)
-    members = rows.join(scenes.select("user_id", "device_id", "scene_no", F.col("id").alias("scene_window_id")), ["user_id", "device_id", "scene_no"])
-    members = members.select("scene_window_id", "id", "app", "category", "confidence", "artifacts")
+    members = rows.select("user_id", "device_id", "scene_no", "id", "app", "category", "confidence", "artifacts")
     accepted = claims.where("disposition = 'accepted'").groupBy("scene_window_id").agg(
         F.array_sort(F.collect_list(F.struct("claim_type", F.col("value_json").alias("value"), F.col("final_confidence").alias("confidence")))).alias("accepted_claims")
     )
