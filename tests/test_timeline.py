@@ -575,3 +575,10 @@ def test_scenes_exchange_each_event_once(spark):
     assert (one["title_examples"], one["event_ids"], one["summary_examples"]) == (["x", "y"], list("abcde"), list("abcde"))
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and "Expand" not in plan
+
+
+def test_without_keeps_no_set_of_ids(spark):
+    target, ids = spark.createDataFrame([("a", 1), ("b", 2)], "id string, n long"), spark.createDataFrame([("b",), ("b",)], "x string")
+    left = upsert.without(target, ids, "id")
+    assert [tuple(r) for r in left.collect()] == [("a", 1)]
+    assert "Aggregate" not in left._jdf.queryExecution().optimizedPlan().toString()

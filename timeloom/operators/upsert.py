@@ -103,8 +103,8 @@ def voiceprint_status(target: DataFrame, user: str, person: str, before: str, af
 
 
 def without(target: DataFrame, ids: DataFrame, column: str) -> DataFrame:
-    """Rows whose ``column`` isn't among the ids."""
-    return target.join(ids.select(F.col(ids.columns[0]).alias(column)).distinct(), column, "left_anti").select(*target.columns)
+    """Rows whose ``column`` isn't among the ids, which may repeat: an anti join asks for one, so no task keeps a set of them."""
+    return target.join(ids.select(F.col(ids.columns[0]).alias(column)), column, "left_anti").select(*target.columns)
 
 
 def cascade_scenes(tables: dict[str, DataFrame], where: Column, created_by: str = "scene_claims_%") -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
