@@ -13,6 +13,7 @@ takes all files in one batch.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -27,6 +28,8 @@ from timeloom.operators.windows import BRIDGE_BITS, COMPARE_SECONDS, DUPLICATE_B
 
 #: Microseconds by which the watermark's column is late, so that timers of rows at the very end fire.
 BEHIND = 1_000_000
+#: Waiting rows of a key that one value of its state holds; each value is pickled, sent and stored by itself.
+PACKED = 4096
 
 
 @contextmanager
@@ -139,17 +142,32 @@ class Episodes:
 
 
 OUT = "id string, at long, number long, kind string, role string"
+#: Waiting rows as JSON.
+WAITING = "rows string"
 
 
-def processor(walk, pending: T.StructType, state: T.StructType) -> type[StatefulProcessor]:
-    """The stateful processor of a walk; rows are (id, order, at, due, facts ...)."""
+def packed(rows: list[tuple]) -> list[tuple[str]]:
+    """Rows as values of a state, up to PACKED in each."""
+    return [(json.dumps(rows[i : i + PACKED]),) for i in range(0, len(rows), PACKED)]
+
+
+def unpacked(values: Iterator[tuple]) -> list[tuple]:
+    return [tuple(r) for (text,) in values for r in json.loads(text)]
+
+
+def processor(walk, names: list[str], state: T.StructType) -> type[StatefulProcessor]:
+    """The stateful processor of a walk; ``names`` are the columns of its rows (id, order, at, due, facts ...)."""
 
     class Walker(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
             self.handle = handle
-            self.rows, self.so_far = handle.getListState("pending", pending), handle.getValueState("so_far", state)
+            self.rows, self.so_far = handle.getListState("waiting", WAITING), handle.getValueState("so_far", state)
+
+        def held(self) -> list[tuple]:
+            return unpacked(self.rows.get()) if self.rows.exists() else []
 
-        def go(self, rows: list[tuple], timers) -> Iterator[pd.DataFrame]:
+        def go(self, key: tuple, rows: list[tuple], held: bool, timers) -> Iterator[pd.DataFrame]:
+            """Take the rows that the watermark has passed; ``held`` says whether some of them are in the state."""
             passed = timers.getCurrentWatermarkInMs() * 1000
             ready = sorted((r for r in rows if r[3] <= passed), key=lambda r: (r[2], r[4] if walk.by_end else 0, r[1]))
             waiting = [r for r in rows if r[3] > passed]
@@ -164,27 +182,28 @@ def processor(walk, pending: T.StructType, state: T.StructType) -> type[Stateful
                 out, due = out + made, None
             if now is not None:
                 self.so_far.update(now)
-            self.rows.put(waiting) if waiting else self.rows.clear()
+            if waiting:
+                self.rows.put(packed(waiting))
+            elif held:
+                self.rows.clear()
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
             next_at = [*([min(r[3] for r in waiting)] if waiting else []), *([due + BEHIND] if due is not None else [])]
             if next_at:
                 # Somewhat early; a timer that finds nothing ready waits for the watermark to move.
                 self.handle.registerTimer(max(-(-min(next_at) // 1000) - BEHIND // 2000, passed // 1000 + 1))
-            yield pd.DataFrame(out, columns=["id", "at", "number", "kind", "role"])
+            if out:
+                columns = [*([k] * len(out) for k in key), *zip(*out)]
+                yield pd.DataFrame(dict(zip([*(f"k{i}" for i in range(len(key))), "id", "at", "number", "kind", "role"], columns)))
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-            new = [tuple(r) for frame in rows for r in frame[pending.names].itertuples(index=False, name=None)]
-            old = [tuple(r) for r in self.rows.get()] if self.rows.exists() else []
-            for made in self.go(old + new, timerValues):
-                yield self.named(key, made)
+            new = [r for frame in rows for r in zip(*(frame[c].tolist() for c in names))]
+            old = self.held()
+            yield from self.go(key, old + new, bool(old), timerValues)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-            for made in self.go([tuple(r) for r in self.rows.get()] if self.rows.exists() else [], timerValues):
-                yield self.named(key, made)
-
-        def named(self, key, made: pd.DataFrame) -> pd.DataFrame:
-            return pd.concat([pd.DataFrame([key] * len(made), columns=[f"k{i}" for i in range(len(key))]), made.reset_index(drop=True)], axis=1)
+            old = self.held()
+            yield from self.go(key, old, bool(old), timerValues)
 
         def close(self) -> None:
             pass
@@ -201,8 +220,8 @@ def walked(stream: DataFrame, walk, keys: list[str], ident: str, at: str, facts:
     rows = stream.select(
         *[F.col(k).cast("string").alias(f"k{i}") for i, k in enumerate(keys)], F.col(ident).cast("string").alias("id"), F.col(ident).cast("long").alias("turn"), micros(F.col(at)).alias("at"), due.cast("long").alias("due"), *[c.alias(n) for n, c in facts.items()]
     ).withColumn("passes", F.timestamp_micros("due")).withWatermark("passes", late)
-    pending = T.StructType.fromDDL(f"id string, turn long, at long, due long, {walk.facts}")
-    made = processor(walk, pending, T.StructType.fromDDL(walk.state))
+    waiting = T.StructType.fromDDL(f"id string, turn long, at long, due long, {walk.facts}")
+    made = processor(walk, waiting.names, T.StructType.fromDDL(walk.state))
     names = ", ".join(f"k{i} string" for i in range(len(keys)))
     out = rows.groupBy(*[f"k{i}" for i in range(len(keys))]).transformWithStateInPandas(made(), f"{names}, {OUT}", "Append", "EventTime")
     return out.select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(keys)], "id", "at", "number", "kind", "role")
