@@ -1178,7 +1178,7 @@ f AS (SELECT *, concat_ws(',', CASE WHEN hh <= 100 THEN 'thin_window_strip' END,
 
 
 def packet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segments.packets(segments.segment(capture_rows(spark, sf_dir), 172_800.0))
+    return segments.packets(segments.segment(capture_rows(spark, sf_dir), 172_800.0, keeper(spark)))
 
 
 @query(

@@ -20,6 +20,8 @@ from pyspark.sql.window import Window
 
 #: Seconds of a range.
 RANGE_SECONDS = 86_400.0
+#: A row's key and range.
+CUT = ["_key", "_range"]
 
 
 def instant(df: DataFrame, c: str) -> Column:
@@ -58,12 +60,16 @@ class Scan:
         """The largest value of all rows before this one."""
         return self._ask("most", value)
 
-    def rows(self) -> DataFrame:
-        """The table with a column for each question."""
+    def rows(self, cut: bool = False) -> DataFrame:
+        """The table with a column for each question; with ``cut`` also its key and range, by which the rows are dealt.
+
+        A scan of the same keys and order over such a table takes the rows as they lie.
+        """
         named = {name: value for _, name, value in self.asked}
-        cut = F.coalesce(F.floor(instant(self.df, self.order[0]) / int(self.seconds * 1e6)), F.lit(-(1 << 62)))
+        dealt = set(CUT) <= set(self.df.columns)
+        places = F.coalesce(F.floor(instant(self.df, self.order[0]) / int(self.seconds * 1e6)), F.lit(-(1 << 62)))
         # One key of all parts, which may be null inside, serves the windows and the join.
-        rows = self.df.withColumns({"_key": F.struct(F.lit(0), *self.keys), "_range": cut, **named})
+        rows = self.df.withColumns(named if dealt else {"_key": F.struct(F.lit(0), *self.keys), "_range": places, **named})
         inside = Window.partitionBy("_key", "_range").orderBy(*self.order)
         place = F.struct(*self.order)
         made, parts, carried = {}, [], {}
@@ -91,7 +97,7 @@ class Scan:
         carry = summary.select("_key", "_range", *[c.alias(n) for n, c in carried.items()])
         # In this order the join keeps the partitions that the windows need.
         rows = rows.join(carry, ["_key", "_range"]).withColumns(made)
-        return rows.select(*self.df.columns, *named)
+        return rows.select(*self.df.columns, *named, *(CUT if cut and not dealt else []))
 
 
 def places(df: DataFrame, order: list[Column], keep: Callable[[DataFrame, str], DataFrame], name: str = "place") -> DataFrame:

@@ -9,7 +9,7 @@ from timeloom import schema
 from timeloom.functions import scoring
 from timeloom.functions.ids import stable_id
 from timeloom.functions.times import iso_z, seconds_between
-from timeloom.operators.windows import anchored_segments, change_signal, dominant, first_distinct, ordered, sample_places
+from timeloom.operators.windows import Keep, anchored_segments, as_it_is, first_distinct, ordered, sample_places
 
 # What each flag takes off a segment's confidence.
 FLAG_COST = {"thin_window_strip": 0.25, "missing_window_titles": 0.15, "brief_glimpse": 0.1, "mostly_idle": 0.2, "mostly_unchanged": 0.15, "idle_unchanged_run": 0.1}
@@ -52,11 +52,9 @@ def skip_reasons(category: Column, captures: Column, idle_share: Column, near_sh
     return F.filter(F.array(*reasons), lambda x: x.isNotNull())
 
 
-def segment(observations: DataFrame, gap_seconds: float = 45.0) -> DataFrame:
+def segment(observations: DataFrame, gap_seconds: float = 45.0, keep: Keep = as_it_is) -> DataFrame:
     """Observations with change signals and segment_no, by user and device."""
-    keys, order = ["user_id", "device_id"], ["at", "json_path"]
-    rows = change_signal(observations, keys, order, "at", "sha256", "dhash")
-    return anchored_segments(rows, keys, order, "at", "app_name", "window_title", "sha256", "dhash", gap=gap_seconds)
+    return anchored_segments(observations, ["user_id", "device_id"], ["at", "json_path"], "at", "app_name", "window_title", "sha256", "dhash", near=None, gap=gap_seconds, keep=keep)
 
 
 def packets(rows: DataFrame, image_limit: int = 3) -> DataFrame:
@@ -148,23 +146,33 @@ def focus_events(found: DataFrame, created_at, created_by: str = "metadata_categ
 
 
 def day_overview(found: DataFrame, keys: list[str], position: Column) -> DataFrame:
-    """By day: captures by category and by application, the heaviest of each, and what is left uninterpreted."""
-    out = found.groupBy(*keys).agg(
-        F.min("start_at").alias("start_at"),
-        F.max("end_at").alias("end_at"),
-        F.sum("capture_count").alias("capture_count"),
-        F.count("*").alias("segment_count"),
-        F.sum("idle_capture_count").alias("idle_capture_count"),
-        F.sum("near_duplicate_capture_count").alias("near_duplicate_capture_count"),
-        F.count_if(~F.col("should_queue_interpretation")).alias("suppressed_segment_count"),
-        F.sum(F.when(F.col("should_queue_interpretation"), 0).otherwise(F.col("capture_count"))).alias("suppressed_capture_count"),
-    )
-    for name, column in (("category", "coarse_category"), ("app", "primary_app_name")):
-        counts = found.groupBy(*keys, column).agg(F.sum("capture_count").alias("n")).groupBy(*keys)
-        counts = counts.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(column).alias("key"), F.col("n").alias("value"))))).alias(f"{name}_counts"))
-        best = dominant(found, keys, column, position, F.col("capture_count"), out=f"dominant_{name}").drop(f"dominant_{name}_count")
-        out = out.join(counts, keys).join(best, keys, "left").withColumn(f"dominant_{name}", F.coalesce(f"dominant_{name}", F.lit("unknown")))
-    return out
+    """By day: captures by category and by application, the heaviest of each, and what is left uninterpreted; rows without a key drop out.
+
+    Each segment is counted once by its category and once by its application, in
+    one pass over ``found``; the sums of the day are those over its categories.
+    """
+    sums = {
+        "capture_count": F.col("capture_count"),
+        "segment_count": F.lit(1),
+        "idle_capture_count": F.col("idle_capture_count"),
+        "near_duplicate_capture_count": F.col("near_duplicate_capture_count"),
+        "suppressed_segment_count": F.when(~F.col("should_queue_interpretation"), 1).otherwise(0),
+        "suppressed_capture_count": F.when(F.col("should_queue_interpretation"), 0).otherwise(F.col("capture_count")),
+    }
+    named = {"category": "coarse_category", "app": "primary_app_name"}
+    by = F.explode(F.array(*[F.struct(F.lit(name).alias("by"), F.col(column).cast("string").alias("value")) for name, column in named.items()]))
+    rows = found.where(F.forall(F.array(*[F.col(k).isNotNull() for k in keys]), lambda x: x)).select(*keys, "start_at", "end_at", position.alias("_position"), *[c.cast("long").alias(n) for n, c in sums.items()], by.alias("_by"))
+    counts = rows.groupBy(*keys, "_by").agg(F.min("start_at").alias("start_at"), F.max("end_at").alias("end_at"), F.min("_position").alias("_first"), *[F.sum(n).alias(n) for n in sums])
+    n, value = F.col("capture_count"), F.col("_by.value")
+    whole = lambda c: F.when(F.col("_by.by") == "category", F.col(c))
+    columns = []
+    for name in named:
+        mine = F.col("_by.by") == name
+        columns.append(F.map_from_entries(F.array_sort(F.collect_list(F.when(mine, F.struct(value.alias("key"), n.alias("value")))))).alias(f"{name}_counts"))
+        # One struct decides: most captures, then earliest position.
+        best = F.min(F.when(mine & (F.coalesce(value, F.lit("")) != ""), F.struct((-n).alias("n"), F.col("_first").alias("f"), value.alias("v"))))
+        columns.append(F.coalesce(best["v"], F.lit("unknown")).alias(f"dominant_{name}"))
+    return counts.groupBy(*keys).agg(F.min(whole("start_at")).alias("start_at"), F.max(whole("end_at")).alias("end_at"), *[F.sum(whole(c)).alias(c) for c in sums], *columns)
 
 
 def overview_events(found: DataFrame, created_at, created_by: str = "metadata_categorizer_v1") -> DataFrame:

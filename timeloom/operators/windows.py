@@ -18,12 +18,18 @@ from pyspark.sql.window import Window, WindowSpec
 
 from timeloom.functions.scoring import hamming
 from timeloom.functions.times import seconds_between
-from timeloom.operators.ranges import Scan, instant
+from timeloom.operators.ranges import CUT, Scan, instant
 
 # Bits of difference, and seconds, within which frames are compared.
 DUPLICATE_BITS, BRIDGE_BITS, COMPARE_SECONDS = 6, 10, 300.0
 WORD64 = (1 << 64) - 1
 
+Keep = Callable[[DataFrame, str], DataFrame]
+
+
+def as_it_is(df: DataFrame, name: str) -> DataFrame:
+    return df
+
 
 def ordered(keys: list[str], order: list) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy(*order)
@@ -32,10 +38,16 @@ def ordered(keys: list[str], order: list) -> WindowSpec:
 def change_signal(df: DataFrame, keys: list[str], order: list[str], at: str, sha: str, dhash: str, gap: float = COMPARE_SECONDS, bits: int = DUPLICATE_BITS) -> DataFrame:
     """Against the row before: exact_duplicate, near_duplicate and bits_changed, unless it is more than ``gap`` seconds away."""
     scan = Scan(df, keys, order)
+    made = signals(scan, at, sha, dhash, gap, bits)
+    return scan.rows().select(*df.columns, *[c.alias(n) for n, c in made.items()])
+
+
+def signals(scan: Scan, at: str, sha: str, dhash: str, gap: float = COMPARE_SECONDS, bits: int = DUPLICATE_BITS) -> dict[str, Column]:
+    """The columns of ``change_signal`` over what a scan finds."""
     close = F.coalesce(seconds_between(scan.before(at), F.col(at)) <= gap, F.lit(False))
     equal = close & F.coalesce((F.col(sha) != "") & (F.col(sha) == scan.before(sha)), F.lit(False))
     changed = F.when(equal, 0).when(close, hamming(F.col(dhash), scan.before(dhash)))
-    return scan.rows().select(*df.columns, equal.alias("exact_duplicate"), (equal | F.coalesce(changed <= bits, F.lit(False))).alias("near_duplicate"), changed.cast("int").alias("bits_changed"))
+    return {"exact_duplicate": equal, "near_duplicate": equal | F.coalesce(changed <= bits, F.lit(False)), "bits_changed": changed.cast("int")}
 
 
 def numbered(df: DataFrame, keys: list[str], order: list[str], begins: str, out: str) -> DataFrame:
@@ -52,7 +64,7 @@ def islands(df: DataFrame, keys: list[str], order: list[str], breaks: Callable[[
     return numbered(scan.rows().select(*df.columns, hard.alias("_break")), keys, order, "_break", out)
 
 
-def fold(scan: Scan, hard: Column, facts: dict[str, Column], step: Callable, out: str) -> DataFrame:
+def fold(scan: Scan, hard: Column, facts: dict[str, Column], step: Callable, out: str, also: dict[str, Column] | None = None, keep: Keep = as_it_is) -> DataFrame:
     """Number groups that depend on the state of the group so far, in two phases.
 
     ``hard`` says, by what a scan tells of the rows before, where a group
@@ -63,12 +75,16 @@ def fold(scan: Scan, hard: Column, facts: dict[str, Column], step: Callable, out
     ``facts``, a few numbers that the JVM has made.  A last running sum numbers
     the groups of each key.  Both sums are scans, too, so that no key is sorted in
     one task; rows without any certain break between them are one walk, though.
+
+    ``also`` are columns of the scan that stay.  ``keep`` stores the walked rows,
+    which the last sum needs twice.
     """
-    df, keys, order, names = scan.df, scan.keys, scan.order, list(facts)
-    rows = scan.rows().select(*df.columns, F.coalesce(hard, F.lit(True)).cast("int").alias("_hard"), *[c.alias(n) for n, c in facts.items()])
-    rows = numbered(rows, keys, order, "_hard", "_island")
+    keys, order, names, also = scan.keys, scan.order, list(facts), also or {}
+    stay = [*scan.df.columns, *also]
+    rows = scan.rows(cut=True).select(*scan.df.columns, *CUT, *[c.alias(n) for n, c in also.items()], F.coalesce(hard, F.lit(True)).cast("int").alias("_hard"), *[c.alias(n) for n, c in facts.items()])
+    rows = numbered(rows, keys, order, "_hard", "_island").drop(*CUT)
     group = [*keys, "_island"]
-    schema = T.StructType([*rows.schema.fields, T.StructField("_begins", T.IntegerType())])
+    schema = T.StructType([*[rows.schema[c] for c in stay], T.StructField("_begins", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, state = None, None
@@ -80,10 +96,10 @@ def fold(scan: Scan, hard: Column, facts: dict[str, Column], step: Callable, out
                     now, state = which, None
                 first, state = step(state, *seen)
                 begins.append(int(first))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(begins, pa.int32())], names=[*batch.schema.names, "_begins"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in stay], pa.array(begins, pa.int32())], names=[*stay, "_begins"])
 
-    walked = rows.repartition(*group).sortWithinPartitions(*group, *order).mapInArrow(run, schema)
-    return numbered(walked.select(*df.columns, "_begins"), keys, order, "_begins", out)
+    walked = keep(rows.repartition(*group).sortWithinPartitions(*group, *order).mapInArrow(run, schema), "walked")
+    return numbered(walked, keys, order, "_begins", out)
 
 
 def capped_scenes(df: DataFrame, keys: list[str], order: list[str], start: str, end: str, app: str, category: str, gap: float = 75.0, longest: float = 180.0, out: str = "scene_no") -> DataFrame:
@@ -118,16 +134,18 @@ def capped_overlaps(df: DataFrame, keys: list[str], order: list[str], start: str
 
 
 def anchored_segments(
-    df: DataFrame, keys: list[str], order: list[str], at: str, app: str, title: str, sha: str, dhash: str, near: str = "near_duplicate", gap: float = 45.0, bits: int = BRIDGE_BITS, out: str = "segment_no"
+    df: DataFrame, keys: list[str], order: list[str], at: str, app: str, title: str, sha: str, dhash: str, near: str | None = "near_duplicate", gap: float = 45.0, bits: int = BRIDGE_BITS, out: str = "segment_no", keep: Keep = as_it_is
 ) -> DataFrame:
     """Captures in runs: near in time, and alike in application, title or picture, to the row before or to the run's anchor picture.
 
     The anchor is the run's first picture; it moves to a row of the run that is
-    like neither the anchor nor the row before.
+    like neither the anchor nor the row before.  Where ``near`` is None the same
+    scan makes the columns of ``change_signal``, which stay.
     """
     scan = Scan(df, keys, order)
+    also = signals(scan, at, sha, dhash) if near is None else {}
     name, heading = F.lower(F.trim(F.coalesce(app, F.lit("")))), F.coalesce(title, F.lit(""))
-    like = F.coalesce(F.col(near), F.lit(False))
+    like = F.coalesce(also["near_duplicate"] if near is None else F.col(near), F.lit(False))
     tied = like | ((name == scan.before(name)) & ~name.isin("", "unknown")) | ((heading != "") & (heading == scan.before(heading)))
     apart = instant(df, at) - scan.before(instant(df, at)) > int(gap * 1e6)
 
@@ -143,7 +161,7 @@ def anchored_segments(
         return not tie, anchor if tie and close else seen
 
     facts = {"_tie": F.coalesce(tied, F.lit(False)), "_close": like, "_digest": F.col(sha), "_picture": F.col(dhash)}
-    return fold(scan, apart, facts, step, out)
+    return fold(scan, apart, facts, step, out, also, keep)
 
 
 def frame_segments(df: DataFrame, keys: list[str], order: list[str], at: str, app: str, host: str, title: str, gap: float = 45.0, out: str = "segment_no") -> DataFrame:
