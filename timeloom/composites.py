@@ -857,7 +857,7 @@ def memory_search(spark, sf_dir):
         inverted.add(folder, store["memory_chunk"], "id", list(search.FIELDS), "build_id")
 
     ix = inverted.opened(spark, index_once(spark, sf_dir, "chunks", build), list(search.FIELDS), "string")
-    how, rows = retrieval.search_memory(store, "u", "license OR reserv*", 50, ix, day_from="2026-01-02", day_to="2026-01-04", tags=["n:0"])
+    how, rows = retrieval.search_memory(store, "u", "license OR reserv*", 50, ix, keeper(spark), day_from="2026-01-02", day_to="2026-01-04", tags=["n:0"])
     if how != "fts":
         raise AssertionError(how)
     return rows.select("id", F.floor(F.col("score") * 1e6 + 0.5).cast("long").alias("score_ppm"), F.concat(F.lit("lang="), F.col("tags")["lang"][0]).alias("tag"), "snippet")

@@ -26,20 +26,27 @@ from pyspark.sql.types import StructType
 from timeloom.operators import search
 from timeloom.session import ship
 
-#: Documents of a block.
-BLOCK = 256
+#: Documents of a block, and words at which it ends before (a longer document is a block).
+BLOCK, BLOCK_WORDS = 2048, 1 << 21
 #: Scores are compared to this.
 STEP, SLACK = 1e-6, 1e-9
 
 
-def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows in batches of BLOCK; the last may have fewer."""
+def first_block(docs: pa.RecordBatch, fields: int) -> int:
+    """How many of the first documents are a block; 0 if more can join them."""
+    held = sum(docs.column(f"f{f}").value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for f in range(fields))
+    n = int(np.searchsorted(np.cumsum(held), BLOCK_WORDS, side="right"))
+    return min(BLOCK, max(1, n)) if n < docs.num_rows or docs.num_rows >= BLOCK else 0
+
+
+def blocks(batches: Iterator[pa.RecordBatch], fields: int) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of BLOCK, or of BLOCK_WORDS words at most; the last may have fewer."""
     rest = None
     for batch in batches:
         rest = batch if rest is None else pa.concat_batches([rest, batch])
-        while rest.num_rows >= BLOCK:
-            yield rest.slice(0, BLOCK)
-            rest = rest.slice(BLOCK)
+        while rest.num_rows and (n := first_block(rest, fields)):
+            yield rest.slice(0, n)
+            rest = rest.slice(n)
     if rest is not None and rest.num_rows:
         yield rest
 
@@ -52,7 +59,7 @@ def blocks_of(schema: StructType, fields: int):
         from pyspark.sql.pandas.types import to_arrow_schema
 
         out, block = to_arrow_schema(schema), TaskContext.get().partitionId() << 33
-        for docs in blocks(batches):
+        for docs in blocks(batches, fields):
             arrays = postings_of(docs, fields, block)
             yield pa.RecordBatch.from_arrays([arrays[f.name].cast(f.type) for f in out], schema=out)
             block += 1

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from timeloom.operators.memory import active_build
 from timeloom.operators.inverted import Stored
-from timeloom.operators.search import clamp_limit, search
+from timeloom.operators.search import Keep, as_it_is, clamp_limit, search
 
 
 @dataclass(frozen=True)
@@ -64,12 +64,12 @@ def chunk(store: Store, user: str, chunk_id: str) -> DataFrame:
     return with_tags_and_refs(rows, store["chunk_tag"], store["chunk_ref"])
 
 
-def search_memory(store: Store, user: str, query: str | None, limit: int | None = 10, ix: Stored | None = None, **filters) -> tuple[str, DataFrame]:
-    """``search`` over the user's active build, with tags and references; ``ix`` is an index whose segments are the builds."""
+def search_memory(store: Store, user: str, query: str | None, limit: int | None = 10, ix: Stored | None = None, keep: Keep = as_it_is, **filters) -> tuple[str, DataFrame]:
+    """``search`` over the user's active build, with tags and references; ``ix`` is an index whose segments are the builds, ``keep`` stores what was found."""
     if ix is not None:
         ix = ix.of(active_build(store["memory_build"], user).select("build_id"))
-    how, rows = search(current(store, "memory_chunk", user), store["chunk_tag"], query, limit, ix, **filters)
-    return how, with_tags_and_refs(rows, store["chunk_tag"], store["chunk_ref"])
+    how, rows = search(current(store, "memory_chunk", user), store["chunk_tag"], query, limit, ix, keep, **filters)
+    return how, with_tags_and_refs(keep(rows, "found"), store["chunk_tag"], store["chunk_ref"])
 
 
 # What a reference of each kind shows of its record.

@@ -395,10 +395,18 @@ def filtered(chunks: DataFrame, chunk_tag: DataFrame, day: str | None = None, da
 FIELDS = ("title", "text")
 
 
-def search(chunks: DataFrame, chunk_tag: DataFrame, query: str | None, limit: int | None = 10, ix=None, **filters) -> tuple[str, DataFrame]:
+Keep = Callable[[DataFrame, str], DataFrame]
+
+
+def as_it_is(df: DataFrame, name: str) -> DataFrame:
+    return df
+
+
+def search(chunks: DataFrame, chunk_tag: DataFrame, query: str | None, limit: int | None = 10, ix=None, keep: Keep = as_it_is, **filters) -> tuple[str, DataFrame]:
     """The strategy used (fts, like or latest) and the best chunks with score and snippet.
 
     ``ix`` is an index of the chunks, stored or not; without one the chunks are indexed as they are.
+    Full-text search ranks keys alone; texts are read of the best chunks, which ``keep`` stores.
     """
     rows = filtered(chunks, chunk_tag, **filters)
     top = clamp_limit(limit)
@@ -411,5 +419,10 @@ def search(chunks: DataFrame, chunk_tag: DataFrame, query: str | None, limit: in
     except QuerySyntaxError:
         found = rows.where(F.col("title").ilike(f"%{query.strip()}%") | F.col("text").ilike(f"%{query.strip()}%"))
         return "like", found.select("*", F.lit(None).cast("double").alias("score"), head.alias("snippet")).orderBy(*fallback).limit(top)
-    found = rows.join(bm25(ix or index(chunks, "id", list(FIELDS)), query).withColumnRenamed("doc", "id"), "id")
-    return "fts", found.select(*rows.columns, "score", snippet(F.col("text"), terms_of(tree)).alias("snippet")).orderBy(F.col("score").desc(), "id").limit(top)
+    order = [F.col("score").desc(), F.col("id")]
+    scores = bm25(ix or index(chunks, "id", list(FIELDS)), query).withColumnRenamed("doc", "id")
+    best = keep(rows.select("id").join(scores, "id").orderBy(*order).limit(top).distinct(), "best")
+    # No more rows than the limit, 50 at most, reach every task.
+    tagged = chunk_tag.join(F.broadcast(best.select(F.col("id").alias("chunk_id"))), "chunk_id", "left_semi")
+    found = filtered(chunks.join(F.broadcast(best), "id"), tagged, **filters)
+    return "fts", found.select(*rows.columns, "score", snippet(F.col("text"), terms_of(tree)).alias("snippet")).orderBy(*order).limit(top)
