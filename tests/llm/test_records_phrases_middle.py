@@ -81,6 +81,32 @@ def test_collocations_over_many_small_blocks(docs, rows, monkeypatch, spark):
     assert got == phrases_by_hand(rows, 4, 4, 2000, 80)
 
 
+@pytest.mark.parametrize("together", [40, 10_000])
+def test_collocations_over_many_shares(docs, rows, monkeypatch, together):
+    """Keys dealt into any number of shares give equal frequencies."""
+    monkeypatch.setattr(op11_collocations, "TOGETHER", together)
+    got = sorted(map(tuple, op11_collocations.collocations(docs.repartition(5), 3).collect()))
+    assert got == phrases_by_hand(rows, 3, 4, 2000, 80)
+
+
+def shuffled(spark):
+    """Bytes that the stages of this session have written for exchanges."""
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+
+def test_collocations_exchange_few_bytes_a_word(spark):
+    """Counts leave their blocks packed: all levels together, lists included, exchange less than two bytes a word."""
+    random = np.random.default_rng(7)
+    texts = [" ".join(f"w{x}" for x in random.zipf(1.2, 2000) % 20_000) for _ in range(200)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string").coalesce(2).localCheckpoint()
+    before = shuffled(spark)
+    got = op11_collocations.collocations(docs).collect()
+    assert got
+    assert (shuffled(spark) - before) / (200 * 2000) < 2
+
+
 def test_longer_merges_positions():
     owner = np.array([0, 1, 0, 1, 0, 0])  # words a b a b a a
     _, sizes, positions = op11_collocations.inverted(owner)

@@ -14,9 +14,16 @@ the longer ones.  It sends their lengths alone to be added up; what is
 frequent over all blocks comes back under a number, and only those lists are
 kept.  A phrase is known by the numbers of its two parts, never by a hash.
 
+The keys are dealt into shares by a hash, as many as hold about TOGETHER counts
+each.  A block sends one message to each share: its keys there in their order,
+as compressed steps, with their counts.  A share adds them up and answers every
+block with the places and the numbers of what is frequent.  Numbers begin with
+the most frequent phrase of each share, so that they stay small.
+
 No text and no position leaves its block but to meet what is frequent there; a
-word of any frequency is one row a block, so no key is hot.  Nothing is
-broadcast by hand and nothing reaches the driver.  Tables between the levels
+word of any frequency is one count a block, so no key is hot.  A level sends at
+most one count for every word of the texts.  Nothing is broadcast by hand, and
+but for one sum a level nothing reaches the driver.  Tables between the levels
 are written to the shared folder, and lists removed when the next ones are there.
 
 Scores: a candidate of frequency a, cut after its first k words into parts of
@@ -39,9 +46,11 @@ import string
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import count
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,8 +62,8 @@ LEAST, LONGEST, TOP, COVER = 30, 4, 2000, 80
 UND = "und"
 #: Words, gaps included, and different words that a task takes into its blocks together.
 BLOCK_WORDS, BLOCK_DISTINCT = 4_000_000, 1_000_000
-#: Slots and numbers that a task packs together on their way back to their blocks.
-PACKED = 1_000_000
+#: Counts of blocks that are added up together: those of one share of the keys.  SHARES shares work side by side if they get FEW each.
+TOGETHER, FEW = 1_000_000, 50_000
 #: Shares in which the phrases of a language are ranked before the best are ranked together.
 SHARES = 64
 
@@ -65,8 +74,10 @@ GAP = b"\xff"
 FOLD = bytes.maketrans(string.ascii_uppercase.encode() + STOPS + b"\t", string.ascii_lowercase.encode() + GAP * len(STOPS) + b" ")
 
 WORDS = "block long, lang string, total long, names array<string>, sizes array<int>, positions binary"
-LISTS = "block long, ids array<long>, sizes array<int>, positions binary"
-PAIRS = "block long, slot int, left long, right long, n int"
+LISTS = "block long, total long, ids array<long>, sizes array<int>, positions binary"
+MESSAGES = "share int, block long, lang string, n int, names binary, numbers binary"
+#: Answers have a block, phrases an id; of words also language and word, of longer ones their parts.
+ANSWERS = "block long, n int, numbers binary, id long, f long, lang string, word string, left long, right long"
 
 
 def inverted(owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -88,8 +99,31 @@ def unsqueezed(data: bytes, sizes: np.ndarray) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.int32).ravel(), dtype=np.int32)
 
 
+def packed(*columns: np.ndarray) -> bytes:
+    """Columns of whole numbers as compressed bytes: the low bytes of a column first, then the next ones, and so on."""
+    planes = [np.ascontiguousarray(c, "<i8").view(np.uint8).reshape(-1, 8).T for c in columns]
+    return pa.compress(np.concatenate(planes).tobytes(), "zstd", asbytes=True)
+
+
+def unpacked(data: bytes, n: int, columns: int) -> list[np.ndarray]:
+    planes = np.frombuffer(pa.decompress(data, 8 * n * columns, "zstd", asbytes=True), np.uint8).reshape(columns, 8, n)
+    return [np.ascontiguousarray(p.T).view("<i8").ravel() for p in planes]
+
+
+def steps(ascending: np.ndarray) -> np.ndarray:
+    return np.diff(ascending, prepend=0)
+
+
+def table_of(schema: str, **columns: object) -> pa.Table:
+    """A table of ``schema``, null where no column is given."""
+    kinds = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    n = len(next(iter(columns.values())))
+    return pa.table({name: pa.array(columns[name], kinds[kind]) if name in columns else pa.nulls(n, kinds[kind]) for name, kind in fields})
+
+
 def word_lists(docs: DataFrame) -> DataFrame:
-    """The blocks: by block its language, its words and the list of positions of each."""
+    """The blocks: by block its language, its words in their order and the list of positions of each."""
     rows = docs.select(F.coalesce(docs["lang"].cast("string"), F.lit(UND)).alias("lang"), F.coalesce(docs["text"], F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,11 +134,14 @@ def word_lists(docs: DataFrame) -> DataFrame:
 
         def give() -> Iterator[pa.RecordBatch]:
             for lang, parts in held.items():
-                owners, sizes, positions = inverted(np.concatenate(parts))
-                gaps = int(sizes[0]) if owners[0] == 0 else 0
-                names = list(known[lang])[1:]
-                if names:
-                    row = [[task + next(numbers)], [lang], [int(sizes[1:].sum())], [names], [sizes[1:]], [squeezed(positions[gaps:])]]
+                names = pa.array(list(known[lang])[1:], pa.binary())
+                order = pc.sort_indices(names).to_numpy()
+                place = np.zeros(len(names) + 1, np.int32)
+                place[order + 1] = np.arange(1, len(names) + 1)
+                _, sizes, positions = inverted(place[np.concatenate(parts)])
+                gaps = int(sizes[0])
+                if len(names):
+                    row = [[task + next(numbers)], [lang], [int(sizes[1:].sum())], [names.take(pa.array(order)).cast(pa.string())], [sizes[1:]], [squeezed(positions[gaps:])]]
                     kinds = [pa.int64(), pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.binary()]
                     yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds)], names=["block", "lang", "total", "names", "sizes", "positions"])
             known.clear()
@@ -145,9 +182,9 @@ def longer(sizes: np.ndarray, positions: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def one_row(block: int, ids: np.ndarray, sizes: np.ndarray, positions: np.ndarray) -> pa.RecordBatch:
-    row = [[block], [ids], [sizes], [squeezed(positions)]]
-    kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds)], names=["block", "ids", "sizes", "positions"])
+    row = [[block], [len(positions)], [ids], [sizes], [squeezed(positions)]]
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds)], names=["block", "total", "ids", "sizes", "positions"])
 
 
 def lists_of(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
@@ -163,80 +200,140 @@ def kept_lists(sizes: np.ndarray, positions: np.ndarray, slots: np.ndarray) -> t
     return size, positions[np.repeat(start[slots] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
 
 
-def pairs_of(lists: DataFrame) -> DataFrame:
-    """How often each pair of neighbouring phrases occurs in each block."""
+def shares_for(rows: DataFrame) -> int:
+    """Into how many shares the keys are dealt, from a row with the number of their counts."""
+    counts = rows.first()[0] or 0
+    return max(counts // TOGETHER, min(counts // FEW, SHARES)) + 1
+
+
+def dealt(share: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each share that occurs and the slots dealt to it, ascending."""
+    order = np.argsort(share, kind="stable")
+    found, start = np.unique(share[order], return_index=True)
+    yield from zip(found.tolist(), np.split(order, start[1:]))
+
+
+def words_of(blocks: DataFrame, shares: int) -> DataFrame:
+    """How often each word occurs in each block: messages of blocks to the shares of the words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                block, ids = batch.column("block")[i].as_py(), batch.column("ids")[i].values.to_numpy(zero_copy_only=False)
-                sizes, positions = lists_of(batch, i)
-                left, right, n, _ = longer(sizes, positions)
-                for a in range(0, len(n), 100_000):
-                    part = slice(a, a + 100_000)
-                    columns = [np.full(len(n[part]), block), np.arange(a, a + len(n[part]), dtype=np.int32), ids[left[part]], ids[right[part]], n[part]]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["block", "slot", "left", "right", "n"])
+                block, lang = batch.column("block")[i].as_py(), batch.column("lang")[i].as_py()
+                names = batch.column("names")[i].values.cast(pa.binary()).to_pylist()
+                n = batch.column("sizes")[i].values.to_numpy(zero_copy_only=False)
+                out = defaultdict(list)
+                for share, slots in dealt(np.fromiter(map(crc32, names), np.int64, len(names)) % shares):
+                    there = b" ".join([names[x] for x in slots.tolist()])
+                    row = (share, block, lang, len(slots), len(there).to_bytes(8, "little") + pa.compress(there, "zstd", asbytes=True), packed(steps(slots), n[slots]))
+                    for name, x in zip(("share", "block", "lang", "n", "names", "numbers"), row):
+                        out[name].append(x)
+                yield from table_of(MESSAGES, **out).to_batches()
         common.give_back()
 
-    return lists.mapInArrow(run, PAIRS)
+    return blocks.select("block", "lang", "names", "sizes").mapInArrow(run, MESSAGES)
 
 
-def frequent(rows: DataFrame, key: list[str], least: int, name: str) -> DataFrame:
-    """Of rows of counts by block those whose key is frequent over all blocks, with its frequency and a number of its own (id).
-
-    The number is that of the key's first row, as the rows lie after one
-    exchange by key; ``first`` marks it, and that row alone shows the key.
-    """
-    same = Window.partitionBy(*key)
-    kept = rows.withColumn("f", F.sum(F.col("n").cast("long")).over(same)).where(F.col("f") >= least)
-    kept = kept.withColumn("row", F.monotonically_increasing_id()).withColumn("id", F.min("row").over(same))
-    first = F.col("row") == F.col("id")
-    return common.durable(kept.select("block", "slot", *[F.when(first, F.col(c)).alias(c) for c in (*key, "f")], "id", first.alias("first")), name)
-
-
-def numbered(kept: DataFrame) -> DataFrame:
-    """By block the slots of its frequent phrases and their numbers, as parts of two arrays of bytes."""
+def pairs_of(lists: DataFrame, shares: int) -> DataFrame:
+    """How often each pair of neighbouring phrases occurs in each block: messages of blocks to the shares of the pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = [], 0
-
-        def give() -> Iterator[pa.RecordBatch]:
-            block, slot, new = (np.concatenate(x) for x in zip(*held))
-            order = np.lexsort((slot, block))
-            block, slot, new = block[order], slot[order], new[order]
-            blocks, start = np.unique(block, return_index=True)
-            ends = [*start[1:].tolist(), len(block)]
-            parts = [(slot[i:j].tobytes(), new[i:j].tobytes()) for i, j in zip(start.tolist(), ends)]
-            yield pa.RecordBatch.from_arrays([pa.array(blocks), *(pa.array(x, pa.binary()) for x in zip(*parts))], names=["block", "slots", "new"])
-
         for batch in batches:
-            held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
-            rows += batch.num_rows
-            if rows >= PACKED:
-                yield from give()
-                held, rows = [], 0
-        if rows:
-            yield from give()
+            for i in range(batch.num_rows):
+                block, ids = batch.column("block")[i].as_py(), batch.column("ids")[i].values.to_numpy(zero_copy_only=False)
+                left, right, n, _ = longer(*lists_of(batch, i))
+                if not len(n):
+                    continue
+                left, right = ids[left], ids[right]
+                out = defaultdict(list)
+                for share, slots in dealt((common.mix64(common.mix64(left) + right.astype(np.uint64)) % np.uint64(shares)).astype(np.int64)):
+                    row = (share, block, len(slots), packed(steps(slots), steps(left[slots]), right[slots], n[slots]))
+                    for name, x in zip(("share", "block", "n", "numbers"), row):
+                        out[name].append(x)
+                yield from table_of(MESSAGES, **out).to_batches()
+        common.give_back()
+
+    return lists.select("block", "ids", "sizes", "positions").mapInArrow(run, MESSAGES)
+
+
+def same_words(langs: list[str], names: list[bytes]) -> tuple[np.ndarray, list[str], list[str]]:
+    """From the languages and packed words of messages: which word each row has, and the languages and words met."""
+    group, met_langs, met = [], [], []
+    for lang in dict.fromkeys(langs):
+        there = [x for own, x in zip(langs, names) if own == lang]
+        texts = [pa.decompress(x[8:], int.from_bytes(x[:8], "little"), "zstd", asbytes=True).split(b" ") for x in there]
+        coded = pa.array([w for t in texts for w in t], pa.binary()).dictionary_encode()
+        group.append(coded.indices.to_numpy() + len(met))
+        words = coded.dictionary.cast(pa.string()).to_pylist()
+        met += words
+        met_langs += [lang] * len(words)
+    return np.concatenate(group), met_langs, met
+
+
+def same_pairs(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which pair each row has, and the two sides of the pairs met."""
+    order = np.lexsort((right, left))
+    left, right = left[order], right[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (left[1:] != left[:-1]) | (right[1:] != right[:-1])
+    group = np.empty(len(order), np.int64)
+    group[order] = np.cumsum(new) - 1
+    return group, left[new], right[new]
+
+
+def frequent(messages: DataFrame, shares: int, least: int, name: str) -> DataFrame:
+    """What is frequent over all blocks: answers to the blocks, with slots and ids, and the phrases, with ids and frequencies."""
+
+    def run(key: tuple[pa.Scalar, ...], sent: pa.Table) -> pa.Table:
+        share = key[0].as_py()
+        sent = sent.sort_by("lang")
+        blocks, langs, sizes, names = (sent.column(c).to_pylist() for c in ("block", "lang", "n", "names"))
+        words = names[0] is not None
+        parts = [unpacked(x, n, 2 if words else 4) for x, n in zip(sent.column("numbers").to_pylist(), sizes)]
+        slots = [np.cumsum(p[0]) for p in parts]
+        if words:
+            group, *keys = same_words(langs, names)
+        else:
+            group, *keys = same_pairs(np.concatenate([np.cumsum(p[1]) for p in parts]), np.concatenate([p[2] for p in parts]))
+        # Sums of whole numbers below 2^53 are exact.
+        f = np.bincount(group, weights=np.concatenate([p[-1] for p in parts])).astype(np.int64)
+        kept = np.flatnonzero(f >= least)
+        kept = kept[np.argsort(-f[kept], kind="stable")]
+        ids = np.full(len(f), -1)
+        ids[kept] = np.arange(len(kept)) * shares + share
+        out = defaultdict(list)
+        for block, slot, new in zip(blocks, slots, np.split(ids[group], np.cumsum(sizes)[:-1])):
+            there = new >= 0
+            if there.any():
+                for column, x in zip(("block", "n", "numbers"), (block, int(there.sum()), packed(steps(slot[there]), new[there]))):
+                    out[column].append(x)
+        found = {"lang": [keys[0][x] for x in kept], "word": [keys[1][x] for x in kept]} if words else {"left": keys[0][kept], "right": keys[1][kept]}
+        tables = [table_of(ANSWERS, id=ids[kept], f=f[kept], **found)] + ([table_of(ANSWERS, **out)] if out else [])
         common.give_back()
+        return pa.concat_tables(tables)
+
+    return common.durable(messages.groupBy("share").applyInArrow(run, ANSWERS), name)
+
 
-    packed = kept.select("block", "slot", "id").mapInArrow(run, "block long, slots binary, new binary")
-    return packed.groupBy("block").agg(F.collect_list(F.struct("slots", "new")).alias("found"))
+def phrases_in(answers: DataFrame) -> DataFrame:
+    return answers.where(F.col("id").isNotNull())
 
 
-def keep(lists: DataFrame, found: DataFrame, grow: bool) -> DataFrame:
+def keep(lists: DataFrame, answers: DataFrame, grow: bool) -> DataFrame:
     """The lists of what is frequent: of the words themselves, or of the pairs that the block's lists make (``grow``)."""
+    found = answers.where(F.col("block").isNotNull()).groupBy("block").agg(F.collect_list(F.struct("n", "numbers")).alias("found"))
     rows = lists.select("block", "sizes", "positions").join(found, "block").select("block", "sizes", "positions", "found")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 block, (sizes, positions) = batch.column("block")[i].as_py(), lists_of(batch, i)
-                parts = batch.column("found")[i].as_py()
-                slots = np.frombuffer(b"".join(x["slots"] for x in parts), np.int32)
-                new = np.frombuffer(b"".join(x["new"] for x in parts), np.int64)
+                parts = [unpacked(x["numbers"], x["n"], 2) for x in batch.column("found")[i].as_py()]
+                slots, new = (np.concatenate(x) for x in zip(*[(np.cumsum(slot), new) for slot, new in parts]))
+                order = np.argsort(new)
                 if grow:
                     _, _, sizes, positions = longer(sizes, positions)
-                yield one_row(block, new, *kept_lists(sizes, positions, slots))
+                yield one_row(block, new[order], *kept_lists(sizes, positions, slots[order]))
         common.give_back()
 
     return rows.mapInArrow(run, LISTS)
@@ -251,22 +348,23 @@ def mine(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple[l
     """
     words = common.durable(word_lists(docs), "blocks")
     totals = common.durable(words.groupBy("lang").agg(F.sum("total").alias("n")), "totals")
-    each = words.select("block", "lang", F.posexplode(F.arrays_zip("names", "sizes")).alias("slot", "w")).select("block", "slot", "lang", F.col("w.names").alias("word"), F.col("w.sizes").alias("n"))
-    kept = frequent(each, ["lang", "word"], least, "words-kept")
+    shares = shares_for(words.agg(F.sum(F.size("sizes"))))
+    kept = frequent(words_of(words, shares), shares, least, "words-kept")
     none, no_id = F.array().cast("array<long>"), F.lit(None).cast("long")
-    words_kept = kept.where("first")
-    phrases = [common.durable(words_kept.select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", no_id.alias("left"), no_id.alias("right"), none.alias("firsts"), none.alias("lasts")), "scored-1")]
+    phrases = [common.durable(phrases_in(kept).select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", no_id.alias("left"), no_id.alias("right"), none.alias("firsts"), none.alias("lasts")), "scored-1")]
     lists = words
     for size in range(2, longest + 1):
-        shorter = common.durable(keep(lists, numbered(kept), size > 2), f"lists-{size - 1}")
+        shorter = common.durable(keep(lists, kept, size > 2), f"lists-{size - 1}")
         common.discard(lists)
         common.discard(kept)
         lists = shorter
-        kept = frequent(pairs_of(lists), ["left", "right"], least, f"phrases-{size}")
+        # A pair begins where its left phrase does, so there are no more counts than positions.
+        shares = shares_for(lists.agg(F.sum("total")))
+        kept = frequent(pairs_of(lists, shares), shares, least, f"phrases-{size}")
         before = phrases[-1]
         first = before.select(F.col("id").alias("left"), "lang", "phrase", F.col("firsts").alias("_firsts"), F.col("f").alias("_first"))
         last = before.select(F.col("id").alias("right"), "last", F.col("lasts").alias("_lasts"), F.col("f").alias("_last"))
-        joined = kept.where("first").join(first, "left").join(last, "right")
+        joined = phrases_in(kept).select("id", "f", "left", "right").join(first, "left").join(last, "right")
         found = joined.select(
             "id", "lang", F.concat_ws(" ", "phrase", "last").alias("phrase"), "last", "f", "left", "right",
             F.concat("_firsts", F.array("_first")).alias("firsts"), F.concat("_lasts", F.array("_last")).alias("lasts"),
